@@ -10,3 +10,18 @@ Layers:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value so Python workers (executors)
+    need no installed copy of it."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except Exception:  # pragma: no cover - pyspark absent
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +12,23 @@ from .. import constants as K
 from .text import PY_SPACE_CLASS
 
 
+@functools.lru_cache(maxsize=1)
+def _decimal_digits() -> tuple[str, str]:
+    """Every non-ASCII decimal digit of the BMP and its ASCII value (by rule)."""
+    src, dst = [], []
+    for cp in range(0x80, 0x10000):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.decimal(ch)))
+    return "".join(src), "".join(dst)
+
+
+def _py_regex(pattern: str) -> str:
+    """Python pattern on lower-cased text -> Java pattern with the same \\s."""
+    return pattern.replace(r"\s", PY_SPACE_CLASS)
+
+
 def dni_cascade(col: Column | str) -> Column:
     """Return ``struct(value string, reason string)`` for a raw ID cell.
 
@@ -21,12 +41,13 @@ def dni_cascade(col: Column | str) -> Column:
     raw = c.cast("string")
     s = F.regexp_replace(raw, f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
     low = F.lower(s)
-    # (?iu): case-insensitive with Unicode case folding; (?U): Unicode \s and \d
-    not_given = low.rlike("(?iuU)" + K.PATTERN_NOT_GIVEN)
+    # The text is lower-cased already; Python's Unicode \s becomes an explicit class.
+    not_given = low.rlike(_py_regex(K.PATTERN_NOT_GIVEN))
     symbols = s.rlike(K.PATTERN_SYMBOLS) | s.rlike(K.PATTERN_SHORT_LETTERS)
     repeated = s.rlike(K.PATTERN_LETTERS_ONLY) & (F.size(F.array_distinct(F.split(low, ""))) <= 2)
-    foreign = low.rlike("(?iuU)" + K.PATTERN_FOREIGN)
-    digits = F.regexp_replace(s, r"(?U)\D", "")
+    foreign = low.rlike(_py_regex(K.PATTERN_FOREIGN))
+    # Python's \D keeps any decimal digit and int() reads them all
+    digits = F.translate(F.regexp_replace(s, r"[^\p{Nd}]", ""), *_decimal_digits())
     n_digits = F.length(digits)
     has_letter = low.rlike("[A-Za-z]")
     nb = F.lit(K.KEY_NOT_GIVEN)

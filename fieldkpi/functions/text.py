@@ -72,7 +72,8 @@ def closing_fold() -> tuple[str, str, dict[str, str]]:
     characters vanish; otherwise the compatibility decomposition without marks
     when it is ASCII. Characters without an image are left for the sign rule.
     """
-    src, dst = [], []
+    keep: list[tuple[str, str]] = []
+    drop: list[str] = []
     multi: dict[str, list[str]] = {}
     for cp in range(0x80, 0x10000):
         if 0xD800 <= cp <= 0xDFFF:
@@ -90,20 +91,17 @@ def closing_fold() -> tuple[str, str, dict[str, str]]:
                 continue  # no ASCII image: left to the sign rule (becomes a space)
             if len(img) > 1 and not (cp < 0x250 or 0xFB00 <= cp <= 0xFB06):
                 continue  # multi-letter images only for Latin letters and ligatures
-        if len(img) == 1:
-            src.append(ch)
-            dst.append(img)
-        elif img == "":
-            src.append(ch)  # removed: translate drops characters without an image
+        if img == "":
+            drop.append(ch)
+        elif len(img) == 1:
+            keep.append((ch, img))
         else:
             multi.setdefault(img, []).append(ch)
-    # translate removes trailing 'matching' characters that have no counterpart,
-    # so the removed characters must come last.
-    pairs = [(s, d) for s, d in zip(src, dst + [""] * (len(src) - len(dst)))]
-    keep = [(s, d) for s, d in pairs if d]
-    drop = [s for s, d in pairs if not d]
-    return "".join(s for s, _ in keep) + "".join(drop), "".join(d for _, d in keep), \
-        {k: "".join(v) for k, v in multi.items()}
+    # translate() deletes 'matching' characters beyond the end of 'replace',
+    # so the characters that vanish go last.
+    src = "".join(c for c, _ in keep) + "".join(drop)
+    dst = "".join(i for _, i in keep)
+    return src, dst, {k: "".join(v) for k, v in multi.items()}
 
 
 def _char_class(chars: str) -> str:
@@ -111,9 +109,15 @@ def _char_class(chars: str) -> str:
 
 
 def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
+    """Multi-character images first (guarded by one scan, since those
+    characters are rare), then one ``translate`` for the rest."""
     src, dst, multi = fold
-    for img, chars in multi.items():
-        col = F.regexp_replace(col, _char_class(chars), img.replace("\\", "\\\\").replace("$", "\\$"))
+    if multi:
+        expanded = col
+        for img, chars in multi.items():
+            expanded = F.regexp_replace(expanded, _char_class(chars),
+                                        img.replace("\\", "\\\\").replace("$", "\\$"))
+        col = F.when(col.rlike(_char_class("".join(multi.values()))), expanded).otherwise(col)
     return F.translate(col, src, dst)
 
 

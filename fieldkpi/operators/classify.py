@@ -58,41 +58,48 @@ def _score_vocabulary(batches):
             cats.append(lab if score >= K.FUZZY_ACCEPT else K.NO_MATCH)
             scores.append(float(score))
             methods.append("fuzzy")
-        yield pd.DataFrame({"text": pdf["text"], "category": cats, "score": scores, "method": methods})
+        yield pd.DataFrame({"raw": pdf["raw"], "text": pdf["text"], "category": cats, "score": scores,
+                            "method": methods})
 
 
-VOCAB_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("category", T.StringType()),
+VOCAB_SCHEMA = T.StructType([T.StructField("raw", T.StringType()), T.StructField("text", T.StringType()),
+                             T.StructField("category", T.StringType()),
                              T.StructField("score", T.DoubleType()), T.StructField("method", T.StringType())])
 
 
-def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True) -> DataFrame:
-    """Distinct texts -> (text, category, score, method).
+def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True,
+                        raw: bool = True) -> DataFrame:
+    """Distinct texts -> (raw, text, category, score, method).
 
-    Rules run in the JVM once per distinct text; only texts no rule resolves
-    are scored in Python (Arrow batches via mapInPandas).
+    With ``raw`` the input column holds the raw closing text and the cleaning
+    runs here, once per distinct value. Rules run in the JVM once per distinct
+    text; only texts no rule resolves are scored in Python (Arrow batches via
+    mapInPandas).
     """
-    vocab = texts.select(F.col(text).alias("text")).distinct()
+    vocab = texts.select(F.col(text).alias("raw")).distinct()
+    vocab = vocab.withColumn("text", clean_closing_text("raw") if raw else F.coalesce("raw", F.lit("")))
     vocab = vocab.withColumn("rule", rule_category("text"))
     if not fuzzy_fallback:
-        return vocab.select("text", F.coalesce("rule", F.lit(K.NO_MATCH)).alias("category"),
+        return vocab.select("raw", "text", F.coalesce("rule", F.lit(K.NO_MATCH)).alias("category"),
                             F.lit(None).cast("double").alias("score"),
                             F.when(F.col("rule").isNotNull(), "rule").otherwise("none").alias("method"))
     return vocab.mapInPandas(_score_vocabulary, VOCAB_SCHEMA)
 
 
-def classify_outcomes(df: DataFrame, text: str = K.COL_CLEAN_TEXT, out: str = K.COL_CATEGORY,
-                      fuzzy_fallback: bool = True, broadcast_texts: int = BROADCAST_TEXTS) -> DataFrame:
-    """Attach the category of each row's cleaned text.
+def classify_outcomes(df: DataFrame, raw_text: str = K.COL_CLOSING, text_out: str = K.COL_CLEAN_TEXT,
+                      out: str = K.COL_CATEGORY, fuzzy_fallback: bool = True,
+                      broadcast_texts: int = BROADCAST_TEXTS) -> DataFrame:
+    """Attach the cleaned text and category of each row's raw closing text.
 
-    The vocabulary (distinct texts, partially aggregated map-side) is
-    classified once and written to the checkpoint folder; its measured row
-    count decides between a broadcast and a shuffled join back.
+    The vocabulary (distinct raw texts, partially aggregated map-side) is
+    cleaned and classified once and written to the checkpoint folder; its
+    measured row count decides between a broadcast and a shuffled join back.
     """
-    vocab = cut_lineage(classify_vocabulary(df, text, fuzzy_fallback))
+    vocab = cut_lineage(classify_vocabulary(df, raw_text, fuzzy_fallback))
     n = vocab.count()
-    side = vocab.select(F.col("text").alias("__t"), F.col("category").alias(out))
+    side = vocab.select(F.col("raw").alias("__raw"), F.col("text").alias(text_out), F.col("category").alias(out))
     side = F.broadcast(side) if n <= broadcast_texts else side
-    return df.join(side, F.col(text) == F.col("__t"), "left").drop("__t")
+    return df.join(side, F.col(raw_text).eqNullSafe(F.col("__raw")), "left").drop("__raw")
 
 
 def closing_columns(df: DataFrame, fuzzy_fallback: bool = True) -> DataFrame:
@@ -100,8 +107,7 @@ def closing_columns(df: DataFrame, fuzzy_fallback: bool = True) -> DataFrame:
     note, else the result; cleaned; classified; two-level hierarchy added."""
     df = (df.withColumn(K.COL_SUPERVISOR, blank_markers(K.COL_SUPERVISOR, K.EMPTY_MARKERS))
             .withColumn(K.COL_RESULT, blank_markers(K.COL_RESULT, K.EMPTY_MARKERS))
-            .withColumn(K.COL_CLOSING, F.coalesce(F.col(K.COL_SUPERVISOR), F.col(K.COL_RESULT)))
-            .withColumn(K.COL_CLEAN_TEXT, clean_closing_text(K.COL_CLOSING)))
+            .withColumn(K.COL_CLOSING, F.coalesce(F.col(K.COL_SUPERVISOR), F.col(K.COL_RESULT))))
     df = classify_outcomes(df, fuzzy_fallback=fuzzy_fallback)
     level, gives = levels(K.COL_CATEGORY)
     return df.withColumn(K.COL_CONTACT_LEVEL, level).withColumn(K.COL_GIVES_DATA, gives)

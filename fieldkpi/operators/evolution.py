@@ -36,25 +36,27 @@ def one_row_per_week(df: DataFrame, key: str, week: str, ts: str = K.COL_START,
 def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts: str = K.COL_START,
                row_id: str = K.COL_ROW_ID, out: str = K.COL_EVOLUTION,
                anonymous: list[str] = K.ANONYMOUS_KEYS) -> DataFrame:
-    """Row evolution label of the clean step.
+    """Row evolution label of the clean step, in one pass over the input.
 
     Identified keys: one row kept per (Monday week, key) - the last by time -
     then first sighting -> new, previous zone equal -> recurring, else migrant.
     Anonymous keys are kept whole and labelled unclassifiable; so are rows with
-    no date (they cannot be placed in the week sequence).
+    no date (they cannot be placed in the week sequence). Those rows get a
+    unique group key (their row id), so they pass the aggregation as singletons
+    and never form a hot partition.
     """
-    week = "__week"
-    base = df.withColumn(week, week_monday(ts))
-    anon = F.coalesce(F.col(key).isin(anonymous), F.lit(False))
-    ranked_rows = base.where(~anon & F.col(week).isNotNull())
-    other = base.where(anon | F.col(week).isNull())
-    kept = one_row_per_week(ranked_rows, key, week, ts, row_id, keep="last")
-    w = Window.partitionBy(key).orderBy(week)
-    prev_zone = F.lag(zone).over(w)
-    first = F.lag(week).over(w).isNull()
-    labelled = kept.withColumn(out, evolution_class(first, prev_zone, F.col(zone)))
-    rest = other.withColumn(out, F.lit(K.EVO_UNCLASSIFIED))
-    return labelled.unionByName(rest).drop(week)
+    cols = df.columns
+    week = week_monday(ts)
+    anon = F.coalesce(F.col(key).isin(anonymous), F.lit(False)) | week.isNull()
+    grp = F.when(anon, F.concat(F.lit("\u0000#"), F.col(row_id).cast("string"))).otherwise(F.col(key))
+    base = df.withColumn("__w", week).withColumn("__g", grp).withColumn("__a", anon)
+    rec = F.struct(*[F.col(c) for c in cols + ["__a"]])
+    kept = (base.groupBy("__w", "__g").agg(F.max_by(rec, _order(ts, row_id)).alias("__r"))
+                .select("__w", "__g", *[F.col(f"__r.{c}").alias(c) for c in cols + ["__a"]]))
+    w = Window.partitionBy("__g").orderBy("__w")
+    label = F.when(F.col("__a"), F.lit(K.EVO_UNCLASSIFIED)).otherwise(
+        evolution_class(F.lag("__w").over(w).isNull(), F.lag(zone).over(w), F.col(zone)))
+    return kept.withColumn(out, label).drop("__w", "__g", "__a")
 
 
 def top_weeks(weeks: DataFrame, week: str, n: int = K.LAST_WEEKS) -> DataFrame:

@@ -154,15 +154,28 @@ def cell_table_bytes(zones: DataFrame, cell: float) -> int:
     return int(est or 0)
 
 
+def estimate_bytes(rows: list[tuple], cell: float) -> int:
+    """Cell-table size estimate from zone rows held on the driver."""
+    import math
+    total = 0
+    for _z, _n, _p, minx, miny, maxx, maxy, edges in rows:
+        n = ((math.floor(maxx / cell) - math.floor(minx / cell) + 1)
+             * (math.floor(maxy / cell) - math.floor(miny / cell) + 1))
+        total += n * (len(edges) * EDGE_BYTES + 64)
+    return total
+
+
 def assign_zone(points: DataFrame, zones: DataFrame, lon: str = K.COL_LON, lat: str = K.COL_LAT,
-                out: str = K.COL_ZONE, cell: float = 0.01, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+                out: str = K.COL_ZONE, cell: float = 0.01, broadcast_limit: int = BROADCAST_LIMIT,
+                zones_bytes: int | None = None) -> DataFrame:
     """Left join each point to the zone containing it (strictly), by priority.
 
     ``lon``/``lat`` must be double columns (WGS84). Every input row is kept
     exactly once; ``out`` is null where no polygon contains the point.
     """
     cells = zone_cells(zones, cell)
-    if cell_table_bytes(zones, cell) <= broadcast_limit:
+    size = zones_bytes if zones_bytes is not None else cell_table_bytes(zones, cell)
+    if size <= broadcast_limit:
         cells = F.broadcast(cells)
     px, py = F.col(lon), F.col(lat)
     keyed = points.withColumn("__cx", F.floor(px / cell)).withColumn("__cy", F.floor(py / cell))

@@ -269,3 +269,216 @@ FROM p"""
 
 def clean_history_sql(table: str = "orders") -> str:
     return with_clean(table, "final AS (SELECT * FROM clean)\nSELECT * FROM final")
+
+
+def _counts_sql(cis_cond: str) -> str:
+    auto = "\"Tipo Carta\" = 'AUTOMATICA'"
+    return (f"count(*) AS total, count_if({cis_cond}) AS cis, count_if({auto}) AS calls, "
+            f"count_if({auto} AND cls = 'Se contacta') AS n_contact, "
+            f"count_if({auto} AND cls = 'No se contacta') AS n_no_contact, "
+            f"count_if({auto} AND cls = 'Sin cubrir') AS n_uncovered")
+
+
+def zone_boards_sql(table: str = "orders") -> str:
+    cnt = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in
+                    ["total", "cis", "calls", "n_contact", "n_no_contact", "n_uncovered"])
+    den = "n_contact + n_no_contact + n_uncovered"
+
+    def base(i, col):
+        return (f"CASE WHEN zone = 2.0 THEN {q(K.BOARD_BASELINE_ZONE2[i])} WHEN zone = 14.0 THEN "
+                f"{q(K.BOARD_BASELINE_ZONE14[i])} ELSE {q(K.BOARD_BASELINE_CITY[i])} END AS {col}")
+
+    bases = ", ".join(base(i, c) for i, c in enumerate(
+        ["base_total", "base_cis", "base_calls", "base_contact", "base_no_contact", "base_uncovered"]))
+    body = f"""b AS (
+  SELECT comuna_calculada AS zone, CAST(date_trunc('week', "Fecha Inicio") AS DATE) AS week,
+         "Resultado", "Tipo Carta", {contact_plain_sql()} AS cls
+  FROM clean WHERE comuna_calculada IS NOT NULL AND "Fecha Inicio" IS NOT NULL
+),
+agg AS (SELECT zone, week, {_counts_sql('"Resultado" = ' + q(K.RESULT_CIS))} FROM b GROUP BY zone, week),
+r AS (SELECT *, dense_rank() OVER (PARTITION BY zone ORDER BY week DESC) AS rk FROM agg),
+p AS (
+  SELECT zone, week, {cnt},
+         {pct_sql('n_contact', den)} AS pct_contact, {pct_sql('n_no_contact', den)} AS pct_no_contact,
+         {pct_sql('n_uncovered', den)} AS pct_uncovered
+  FROM r WHERE rk <= {K.LAST_WEEKS}
+)
+SELECT zone, week, 'Sem ' || strftime(week, '%d %b') AS week_label, total, cis, calls, n_contact, n_no_contact,
+       n_uncovered, pct_contact, pct_no_contact, pct_uncovered,
+       {fmt_sql('pct_contact', 'n_contact')} AS fmt_contact, {fmt_sql('pct_no_contact', 'n_no_contact')} AS fmt_no_contact,
+       {fmt_sql('pct_uncovered', 'n_uncovered')} AS fmt_uncovered, {bases}
+FROM p"""
+    return with_clean(table, body)
+
+
+def _acc_cte(src: str, zone: str, start: str) -> str:
+    return f"""acc AS (
+  SELECT {zone} AS zone, {_counts_sql('categoria_final = ' + q(K.CATEGORY_CIS))}
+  FROM {src} WHERE "Fecha Inicio" >= TIMESTAMP '{start}' AND {zone} IS NOT NULL GROUP BY {zone}
+)"""
+
+
+ACC_RENAMES = [("total", "acum_total"), ("cis", "acum_cis"), ("calls", "acum_llamados"),
+               ("n_contact", "Se contacta_y"), ("n_no_contact", "No se contacta_y"),
+               ("n_uncovered", "Sin cubrir_y")]
+
+
+def zone_accumulated_sql(table: str, start: str) -> str:
+    sel = ", ".join(f'CAST({a} AS BIGINT) AS "{b}"' for a, b in ACC_RENAMES)
+    body = f"""cb AS (SELECT *, {contact_plain_sql()} AS cls FROM clean),
+{_acc_cte('cb', 'comuna_calculada', start)}
+SELECT zone, {sel} FROM acc"""
+    return with_clean(table, body)
+
+
+def weekly_zone_summary_sql(table: str, start: str) -> str:
+    den = "calls"
+    acc_sel = ", ".join(f'CAST(coalesce(acc.{a}, 0) AS BIGINT) AS "{b}"' for a, b in ACC_RENAMES)
+    body = f"""b AS (
+  SELECT CAST(trunc(comuna_calculada) AS DOUBLE) AS z, CAST(date_trunc('week', "Fecha Inicio") AS DATE) AS w,
+         "Fecha Inicio", "Tipo Carta", categoria_final, {contact_plain_sql()} AS cls
+  FROM clean WHERE comuna_calculada IS NOT NULL
+),
+weekly AS (
+  SELECT w, z, {_counts_sql('categoria_final = ' + q(K.CATEGORY_CIS))} FROM b WHERE w IS NOT NULL GROUP BY w, z
+),
+{_acc_cte('b', 'z', start)}
+SELECT strftime(w, '%Y-%m-%d') AS "Semana", 'Comuna ' || CAST(CAST(weekly.z AS INTEGER) AS VARCHAR) AS "Comuna",
+       CAST(weekly.total AS BIGINT) AS "Intervenciones totales", CAST(weekly.cis AS BIGINT) AS "Derivaciones CIS",
+       CAST(weekly.calls AS BIGINT) AS "Llamados 108",
+       {fmt_sql(pct_sql('weekly.n_contact', 'weekly.calls'), 'weekly.n_contact')} AS "% Se contacta",
+       {fmt_sql(pct_sql('weekly.n_no_contact', 'weekly.calls'), 'weekly.n_no_contact')} AS "% No se contacta",
+       {fmt_sql(pct_sql('weekly.n_uncovered', 'weekly.calls'), 'weekly.n_uncovered')} AS "% Sin cubrir",
+       {acc_sel}
+FROM weekly LEFT JOIN acc ON acc.zone = weekly.z"""
+    return with_clean(table, body)
+
+
+def zone_evolution_sql(table: str, targets=(2.0, 14.0)) -> str:
+    tv = ", ".join(f"({float(t)})" for t in targets)
+    tl = ", ".join(str(float(t)) for t in targets)
+    body = f"""b AS (
+  SELECT "DNI_Categorizado" AS key, comuna_calculada AS zone, "Fecha Inicio" AS ts, row_id,
+         CAST(date_trunc('week', "Fecha Inicio") AS DATE) AS week
+  FROM clean WHERE "Fecha Inicio" IS NOT NULL
+),
+f AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY week, key ORDER BY ts, row_id) AS rn FROM b)
+  WHERE rn = 1
+),
+lab AS (
+  SELECT *, lag(week) OVER w IS NULL AS is_first, lag(zone) OVER w AS prev
+  FROM f WINDOW w AS (PARTITION BY key ORDER BY week)
+),
+cnt AS (
+  SELECT zone AS target, week, count_if(is_first) AS nuevos,
+         count_if(NOT is_first AND prev = zone) AS recurrentes,
+         count_if(NOT is_first AND NOT coalesce(prev = zone, false)) AS migratorios
+  FROM lab WHERE zone IN ({tl}) GROUP BY zone, week
+),
+weeks AS (SELECT DISTINCT week FROM b ORDER BY week DESC LIMIT {K.LAST_WEEKS}),
+grid AS (SELECT t.target, weeks.week FROM weeks CROSS JOIN (VALUES {tv}) t(target))
+SELECT g.target, g.week, strftime(g.week, '%d %b') AS week_label,
+       CAST(coalesce(c.nuevos, 0) AS BIGINT) AS nuevos, CAST(coalesce(c.recurrentes, 0) AS BIGINT) AS recurrentes,
+       CAST(coalesce(c.migratorios, 0) AS BIGINT) AS migratorios,
+       CAST(coalesce(c.nuevos, 0) + coalesce(c.recurrentes, 0) + coalesce(c.migratorios, 0) AS BIGINT) AS total
+FROM grid g LEFT JOIN cnt c ON c.target = g.target AND c.week = g.week"""
+    return with_clean(table, body)
+
+
+def population_weekly_sql(table: str) -> str:
+    body = f"""b AS (
+  SELECT "DNI_Categorizado" AS "DNI",
+         CAST("Fecha Inicio" AS DATE) - CAST(dayofweek("Fecha Inicio") AS INTEGER) AS "Semana",
+         comuna_calculada, "Fecha Inicio", row_id
+  FROM clean WHERE "DNI_Categorizado" NOT IN {in_list(K.VIEW_EXCLUDED_KEYS)}
+),
+f AS (
+  SELECT "DNI", "Semana", comuna_calculada AS "Comuna_Semanal" FROM (
+    SELECT *, row_number() OVER (PARTITION BY "DNI", "Semana" ORDER BY "Fecha Inicio", row_id) AS rn FROM b)
+  WHERE rn = 1
+),
+h AS (
+  SELECT *, lag("Comuna_Semanal") OVER (PARTITION BY "DNI" ORDER BY "Semana" NULLS FIRST) AS "Comuna_Anterior"
+  FROM f
+)
+SELECT "DNI", "Semana", "Comuna_Semanal", "Comuna_Anterior",
+       CASE WHEN "Comuna_Anterior" IS NULL THEN 'Nuevo' WHEN "Comuna_Anterior" = "Comuna_Semanal" THEN 'Recurrente'
+            ELSE 'Migratorio' END AS "Condicion_Poblacion"
+FROM h"""
+    return with_clean(table, body)
+
+
+def enriched_sql(table: str) -> str:
+    return with_clean(table, f"e AS (SELECT *, {contact_plain_sql()} AS \"Categoria_Contacto\" FROM clean)\n"
+                             "SELECT * FROM e")
+
+
+def zone_assignment_sql(table: str) -> str:
+    return f"""WITH raw AS (
+{fixtures.interventions_sql(table)}
+),
+pts AS (
+  SELECT row_id, CAST(replace("Longitud", ',', '.') AS DOUBLE) AS "Longitud",
+         CAST(replace("Latitud", ',', '.') AS DOUBLE) AS "Latitud" FROM raw
+),
+{zone_ctes('pts')}
+SELECT pts.row_id, pts."Longitud", pts."Latitud", zone_of.zone AS comuna_calculada
+FROM pts LEFT JOIN zone_of USING (row_id)"""
+
+
+def dni_categories_sql(table: str) -> str:
+    val, reason = dni_sql('"Persona DNI"')
+    return f"""WITH raw AS (
+{fixtures.interventions_sql(table)}
+)
+SELECT row_id, "Persona DNI", {val} AS "DNI_Categorizado", {reason} AS "DNI_Categorizado_motivo" FROM raw"""
+
+
+def documents_names_sql() -> str:
+    return f"SELECT doc_id, {name_sql('text')} AS name_clean FROM documents"
+
+
+def documents_closing_sql() -> str:
+    return f"SELECT doc_id, {closing_sql('text')} AS closing_clean FROM documents"
+
+
+def outcome_rules_sql(table: str) -> str:
+    lvl, gives = levels_sql("categoria_final")
+    return f"""WITH raw AS (
+{fixtures.interventions_sql(table)}
+),
+blanked AS (
+  SELECT row_id,
+    CASE WHEN "Cierre Supervisor" IN {in_list(K.EMPTY_MARKERS)} THEN NULL ELSE "Cierre Supervisor" END
+      AS "Cierre Supervisor",
+    CASE WHEN "Resultado" IN {in_list(K.EMPTY_MARKERS)} THEN NULL ELSE "Resultado" END AS "Resultado"
+  FROM raw
+),
+t AS (SELECT *, coalesce("Cierre Supervisor", "Resultado") AS cierre_texto FROM blanked),
+t2 AS (SELECT *, {closing_sql('cierre_texto')} AS texto_limpio FROM t),
+c AS (SELECT *, {category_sql('texto_limpio')} AS categoria_final FROM t2)
+SELECT row_id, "Cierre Supervisor", "Resultado", cierre_texto, texto_limpio, categoria_final,
+       {lvl} AS contacto, {gives} AS brinda_datos
+FROM c"""
+
+
+def incremental_append_sql(table: str, history_before: str, landed_from: str) -> str:
+    return f"""WITH raw AS (
+{fixtures.interventions_sql(table)}
+),
+hist AS (SELECT * FROM raw WHERE "Fecha Inicio" < TIMESTAMP '{history_before}'),
+landed AS (SELECT * FROM raw WHERE "Fecha Inicio" >= TIMESTAMP '{landed_from}')
+SELECT * FROM hist
+UNION ALL
+SELECT * FROM landed WHERE "Fecha Inicio" > (SELECT max("Fecha Inicio") FROM hist)"""
+
+
+def chart_series_sql(table: str, targets=(2.0, 14.0)) -> str:
+    inner = zone_evolution_sql(table, targets)
+    return f"""WITH evo AS (
+{inner}
+)
+SELECT target, list(week_label ORDER BY week) AS labels, list(nuevos ORDER BY week) AS nuevos,
+       list(recurrentes ORDER BY week) AS recurrentes, list(migratorios ORDER BY week) AS migratorios
+FROM evo GROUP BY target"""

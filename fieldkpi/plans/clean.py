@@ -41,12 +41,13 @@ def drop_agencies(df: DataFrame, agencies: list[str] = K.AGENCIES_DROPPED) -> Da
 
 
 def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
-                  cell: float = 0.01) -> DataFrame:
-    """Full clean step over the whole history (one lazy plan)."""
+                  cell: float = 0.01, zones_bytes: int | None = None) -> DataFrame:
+    """Full clean step over the whole history (one lazy plan, apart from the
+    small vocabulary table that is classified and checkpointed first)."""
     df = type_report(raw)
     df = drop_agencies(df)
     df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
-    df = assign_zone(df, zones, cell=cell)
+    df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
     df = with_dni(df)
     df = df.withColumn(K.COL_FIRST, clean_name(K.COL_FIRST)).withColumn(K.COL_LAST, clean_name(K.COL_LAST))
     return label_rows(df)

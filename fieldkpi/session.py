@@ -71,3 +71,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.replace("file:", ""), name) if base.startswith("file:") else f"{base}/{name}"
+
+
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def materialize(df: DataFrame, name: str, key: tuple = ()) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder (once per
+    session and key) and read it back: a durable lineage cut that later jobs
+    of the same session reuse, like a stored table."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    k = (app, name) + tuple(key)
+    path = _MATERIALIZED.get(k)
+    if path is None:
+        path = scratch_dir(spark, f"tables/{app}/{name}-{abs(hash(k)) % 10**10}")
+        df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[k] = path
+    return spark.read.parquet(path)

@@ -66,3 +66,7 @@ def demo_zones(spark: SparkSession) -> DataFrame:
 
 def demo_zone_rows() -> list[tuple]:
     return geo.zone_rows(demo_features())
+
+
+def demo_zones_bytes(cell: float = 0.01) -> int:
+    return geo.estimate_bytes(demo_zone_rows(), cell)
