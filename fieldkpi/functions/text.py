@@ -109,15 +109,12 @@ def _char_class(chars: str) -> str:
 
 
 def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
-    """Multi-character images first (guarded by one scan, since those
-    characters are rare), then one ``translate`` for the rest."""
+    """Multi-character images first (literal replaces: no regex, and no copy
+    when the character is absent), then one ``translate`` for the rest."""
     src, dst, multi = fold
-    if multi:
-        expanded = col
-        for img, chars in multi.items():
-            expanded = F.regexp_replace(expanded, _char_class(chars),
-                                        img.replace("\\", "\\\\").replace("$", "\\$"))
-        col = F.when(col.rlike(_char_class("".join(multi.values()))), expanded).otherwise(col)
+    for img, chars in multi.items():
+        for ch in chars:
+            col = F.replace(col, F.lit(ch), F.lit(img))
     return F.translate(col, src, dst)
 
 

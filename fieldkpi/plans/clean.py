@@ -19,6 +19,7 @@ from ..functions.text import clean_name
 from ..operators.classify import closing_columns
 from ..operators.evolution import label_rows
 from ..operators.geo import assign_zone
+from ..session import spread
 
 
 def type_report(raw: DataFrame, strict_coordinates: bool = True) -> DataFrame:
@@ -44,8 +45,7 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
                   cell: float = 0.01, zones_bytes: int | None = None) -> DataFrame:
     """Full clean step over the whole history (one lazy plan, apart from the
     small vocabulary table that is classified and checkpointed first)."""
-    df = type_report(raw)
-    df = drop_agencies(df)
+    df = drop_agencies(spread(type_report(raw)))
     df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
     df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
     df = with_dni(df)

@@ -76,16 +76,33 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 _MATERIALIZED: dict[tuple, str] = {}
 
 
-def materialize(df: DataFrame, name: str, key: tuple = ()) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder (once per
-    session and key) and read it back: a durable lineage cut that later jobs
-    of the same session reuse, like a stored table."""
-    spark = df.sparkSession
+def materialize(df, name: str, key: tuple = ()) -> DataFrame:
+    """Write a DataFrame as parquet under the shared checkpoint folder (once
+    per session and key) and read it back: a durable lineage cut that later
+    jobs of the same session reuse, like a stored table.
+
+    ``df`` may be a DataFrame or a zero-argument callable building one (so a
+    plan with eager parts is not even built when the table already exists).
+    """
+    from pyspark.sql import SparkSession as _S
+
+    spark = df.sparkSession if isinstance(df, DataFrame) else _S.getActiveSession()
     app = spark.sparkContext.applicationId
     k = (app, name) + tuple(key)
     path = _MATERIALIZED.get(k)
     if path is None:
+        frame = df if isinstance(df, DataFrame) else df()
         path = scratch_dir(spark, f"tables/{app}/{name}-{abs(hash(k)) % 10**10}")
-        df.write.mode("overwrite").parquet(path)
+        frame.write.mode("overwrite").parquet(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when a scan yields fewer partitions than
+    the cluster can run at once (small inputs stored as one row group). Large
+    inputs already split into many tasks pass through unchanged."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
