@@ -23,6 +23,19 @@ def _order(ts: str, row_id: str):
     return F.struct(F.col(ts).alias("t"), F.col(row_id).alias("i"))
 
 
+_SHIFT = "10000000000000000000"   # 10^19 > any long row id
+_NULL_TS = -(2 ** 62)              # null times order first
+
+
+def order_key(ts: str, row_id: str):
+    """(time, row id) as one decimal(38,0), so ``min_by``/``max_by`` keep a
+    fixed-width buffer and run as a hash aggregation with partial (map-side)
+    aggregation. Row ids must be non-negative longs."""
+    dec = "decimal(38,0)"
+    micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")).cast(dec), F.lit(_NULL_TS).cast(dec))
+    return micros * F.lit(_SHIFT).cast(dec) + F.col(row_id).cast(dec)
+
+
 def one_row_per_week(df: DataFrame, key: str, week: str, ts: str = K.COL_START, row_id: str = K.COL_ROW_ID,
                      keep: str = "last") -> DataFrame:
     """Keep the last (or first) row, by (time, row id), of each (week, key)."""
@@ -78,7 +91,7 @@ def zone_evolution(df: DataFrame, targets: list[float] = (2.0, 14.0), key: str =
     base = df.select(F.col(key).alias("key"), F.col(zone).alias("zone"), F.col(ts).alias("ts"),
                      F.col(row_id).alias("rid"), week_monday(ts).alias(week)).where(F.col(week).isNotNull())
     first_rows = (base.groupBy(week, "key")
-                      .agg(F.min_by("zone", F.struct("ts", "rid")).alias("zone")))
+                      .agg(F.min_by("zone", order_key("ts", "rid")).alias("zone")))
     w = Window.partitionBy("key").orderBy(week)
     lab = (first_rows.withColumn("is_first", F.lag(week).over(w).isNull())
                      .withColumn("prev_zone", F.lag("zone").over(w)))
@@ -119,7 +132,7 @@ def population_weekly(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZON
     """
     base = df.where(~F.col(key).isin(excluded))
     g = (base.groupBy(F.col(key).alias("DNI"), week_sunday(ts).alias("Semana"))
-             .agg(F.min_by(F.col(zone), _order(ts, row_id)).alias("Comuna_Semanal")))
+             .agg(F.min_by(F.col(zone), order_key(ts, row_id)).alias("Comuna_Semanal")))
     w = Window.partitionBy("DNI").orderBy("Semana")
     g = g.withColumn("Comuna_Anterior", F.lag("Comuna_Semanal").over(w))
     return g.withColumn("Condicion_Poblacion", population_class("Comuna_Anterior", "Comuna_Semanal"))

@@ -119,31 +119,57 @@ def zones_from_rings(df: DataFrame) -> DataFrame:
         edges.cast(T.ArrayType(EDGE)).alias("edges"))
 
 
+def _parity(edges, px: Column, py: Column) -> Column:
+    def crossing(e):
+        straddles = (e["y1"] > py) != (e["y2"] > py)
+        x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        return straddles & (px < x_at)
+
+    return F.aggregate(edges, F.lit(False), lambda acc, e: acc != crossing(e))
+
+
 def zone_cells(zones: DataFrame, cell: float) -> DataFrame:
-    """Grid cells covering each zone's bounding box, with the candidate list."""
+    """Grid cells covering each zone's bounding box, with the candidate list.
+
+    A cell that no edge of the zone touches (no edge's bounding box meets the
+    closed cell) lies wholly inside or wholly outside the polygon: its centre
+    decides, once, here on the small side. Inside cells become ``full``
+    candidates without edges; outside ones are dropped. Only boundary cells
+    carry edges, so most points skip the exact test.
+    """
     cx = F.explode(F.sequence(F.floor(F.col("z.minx") / cell), F.floor(F.col("z.maxx") / cell)))
     cy = F.explode(F.sequence(F.floor(F.col("z.miny") / cell), F.floor(F.col("z.maxy") / cell)))
     z = F.struct("priority", "zone", "minx", "miny", "maxx", "maxy", "edges").alias("z")
     per_zone = zones.select(z).select("z", cx.alias("cell_x")).select("z", "cell_x", cy.alias("cell_y"))
-    return per_zone.groupBy("cell_x", "cell_y").agg(F.collect_list("z").alias("cands"))
+    # the cell is widened by a hair so rounding in floor(x / cell) can never
+    # put a point of a 'full' cell next to an edge
+    eps = cell * 1e-6
+    x0, y0 = F.col("cell_x") * cell, F.col("cell_y") * cell
+    x1, y1 = x0 + cell, y0 + cell
+    touched = F.exists("z.edges", lambda e: (F.least(e["x1"], e["x2"]) <= x1 + eps)
+                       & (F.greatest(e["x1"], e["x2"]) >= x0 - eps)
+                       & (F.least(e["y1"], e["y2"]) <= y1 + eps) & (F.greatest(e["y1"], e["y2"]) >= y0 - eps))
+    centre_in = _parity(F.col("z.edges"), x0 + cell / 2, y0 + cell / 2)
+    per_zone = per_zone.withColumn("touched", touched).where(F.col("touched") | centre_in)
+    cand = F.struct(F.col("z.priority").alias("priority"), F.col("z.zone").alias("zone"),
+                    F.col("z.minx").alias("minx"), F.col("z.miny").alias("miny"),
+                    F.col("z.maxx").alias("maxx"), F.col("z.maxy").alias("maxy"),
+                    (~F.col("touched")).alias("full"),
+                    F.when(F.col("touched"), F.col("z.edges")).otherwise(F.array().cast(T.ArrayType(EDGE)))
+                    .alias("edges"))
+    return per_zone.groupBy("cell_x", "cell_y").agg(F.collect_list(cand).alias("cands"))
 
 
 def _within(c: Column, px: Column, py: Column) -> Column:
     inside_box = (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
 
-    def crossing(e):
-        straddles = (e["y1"] > py) != (e["y2"] > py)
-        x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        return straddles & (px < x_at)
-
-    parity = F.aggregate(c["edges"], F.lit(False), lambda acc, e: acc != crossing(e))
-
     def on_edge(e):
         cross = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
         return ((cross == 0) & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
                 & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
 
-    return inside_box & parity & ~F.exists(c["edges"], on_edge)
+    exact = inside_box & _parity(c["edges"], px, py) & ~F.exists(c["edges"], on_edge)
+    return c["full"] | exact
 
 
 def cell_table_bytes(zones: DataFrame, cell: float) -> int:
@@ -166,7 +192,7 @@ def estimate_bytes(rows: list[tuple], cell: float) -> int:
 
 
 def assign_zone(points: DataFrame, zones: DataFrame, lon: str = K.COL_LON, lat: str = K.COL_LAT,
-                out: str = K.COL_ZONE, cell: float = 0.01, broadcast_limit: int = BROADCAST_LIMIT,
+                out: str = K.COL_ZONE, cell: float = 0.0025, broadcast_limit: int = BROADCAST_LIMIT,
                 zones_bytes: int | None = None) -> DataFrame:
     """Left join each point to the zone containing it (strictly), by priority.
 

@@ -42,7 +42,7 @@ def drop_agencies(df: DataFrame, agencies: list[str] = K.AGENCIES_DROPPED) -> Da
 
 
 def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
-                  cell: float = 0.01, zones_bytes: int | None = None) -> DataFrame:
+                  cell: float = 0.0025, zones_bytes: int | None = None) -> DataFrame:
     """Full clean step over the whole history (one lazy plan, apart from the
     small vocabulary table that is classified and checkpointed first)."""
     df = drop_agencies(spread(type_report(raw)))

@@ -68,5 +68,5 @@ def demo_zone_rows() -> list[tuple]:
     return geo.zone_rows(demo_features())
 
 
-def demo_zones_bytes(cell: float = 0.01) -> int:
+def demo_zones_bytes(cell: float = 0.0025) -> int:
     return geo.estimate_bytes(demo_zone_rows(), cell)
