@@ -88,6 +88,8 @@ def zone_evolution(df: DataFrame, targets: list[float] = (2.0, 14.0), key: str =
     in the data, for every target, zero where the target has no rows.
     """
     week = "week"
+    if key not in df.columns and K.COL_DNI in df.columns:
+        key = K.COL_DNI  # no categorised key yet: the raw ID column stands in
     base = df.select(F.col(key).alias("key"), F.col(zone).alias("zone"), F.col(ts).alias("ts"),
                      F.col(row_id).alias("rid"), week_monday(ts).alias(week)).where(F.col(week).isNotNull())
     first_rows = (base.groupBy(week, "key")
