@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
+from ..session import spread
 
 # FIXED VALUES (test fixture design): closing codes by source category and the
 # supervisor notes written beside them. Notes are chosen so that every closing
@@ -129,7 +130,7 @@ def duckdb_select(columns: list[tuple[str, str]]) -> str:
 
 def interventions(spark: SparkSession, sf_dir: str, table: str = "orders") -> DataFrame:
     """Landed interventions derived from a driver table (whole table)."""
-    src = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    src = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
     return src.selectExpr(*spark_select(ADAPTERS[table]()))
 
 
