@@ -59,8 +59,8 @@ def decimal_comma(col: Column | str, strict: bool = True) -> Column:
 
 
 def share_pct(count: Column | str, denominator: Column | str) -> Column:
-    """Half-even rounded percentage of count over max(denominator, 1)... with a
-    zero denominator replaced by 1, as the source does."""
+    """Half-even rounded percentage, computed as (count / denominator) * 100
+    in double precision like the source, with a zero denominator read as 1."""
     den = F.when(_c(denominator) == 0, F.lit(1)).otherwise(_c(denominator))
     return F.bround((_c(count).cast("double") / den.cast("double")) * F.lit(100.0), 0).cast("bigint")
 

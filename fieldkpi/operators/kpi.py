@@ -185,3 +185,26 @@ def dashboard_payload(kpis: DataFrame) -> DataFrame:
                                                  F.transform(r["vals"], lambda v: v.cast("string")).alias("vals"))),
         txt_rows).alias("rows"))
     return g.select("scope", F.to_json(doc).alias("payload"))
+
+
+def board_sheet(boards: DataFrame) -> DataFrame:
+    """Sheet layout of the zone boards: per zone a header row of week labels
+    (row 0) and the six indicator rows, baseline first, then the zone's weeks
+    oldest to newest in slots s1..s8 (bounded: at most eight weeks)."""
+    slot = F.row_number().over(Window.partitionBy("zone").orderBy("week"))
+    b = boards.withColumn("slot", slot)
+    cells = F.array(
+        F.struct(F.lit(0).alias("row_no"), F.lit("Indicador").alias("Indicador"), F.lit("Linea base").alias("base"),
+                 F.col("week_label").alias("v")),
+        *[F.struct(F.lit(i + 1).alias("row_no"), F.lit(K.INDICATORS[i]).alias("Indicador"),
+                   F.col(base).alias("base"), val.alias("v"))
+          for i, (base, val) in enumerate([
+              ("base_total", F.col("total").cast("string")), ("base_cis", F.col("cis").cast("string")),
+              ("base_calls", F.col("calls").cast("string")), ("base_contact", F.col("fmt_contact")),
+              ("base_no_contact", F.col("fmt_no_contact")), ("base_uncovered", F.col("fmt_uncovered"))])])
+    long = b.select("zone", "slot", F.explode(cells).alias("c")).select(
+        "zone", "slot", "c.row_no", "c.Indicador", F.col("c.base").alias("Linea base"), "c.v")
+    slots = list(range(1, K.LAST_WEEKS + 1))
+    wide = long.groupBy("zone", "row_no", "Indicador", "Linea base").pivot("slot", slots).agg(F.first("v"))
+    return wide.select("zone", "row_no", "Indicador", "Linea base",
+                       *[F.col(str(s)).alias(f"s{s}") for s in slots])

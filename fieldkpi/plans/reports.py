@@ -12,4 +12,4 @@ from ..sources.writers import write_per_zone, write_sheet
 def write_reports(clean: DataFrame, out: str, start: str = K.ACCUMULATION_START) -> None:
     summary = kpi.summary_order(kpi.weekly_zone_summary(clean, start=start))
     write_sheet(summary, f"{out}/data_por_comuna")
-    write_per_zone(kpi.zone_boards(clean), f"{out}/tableros")
+    write_per_zone(kpi.board_sheet(kpi.zone_boards(clean)), f"{out}/tableros")
