@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.contact import evolution_class, population_class
+from ..functions.contact import evolution_class, is_target_zone, population_class
 from ..functions.dates import label_day_month, week_monday, week_sunday
 
 
@@ -98,12 +98,19 @@ def zone_evolution(df: DataFrame, targets: list[float] = (2.0, 14.0), key: str =
     lab = (first_rows.withColumn("is_first", F.lag(week).over(w).isNull())
                      .withColumn("prev_zone", F.lag("zone").over(w)))
     tgt = [float(t) for t in targets]
-    counts = (lab.where(F.col("zone").isin(tgt))
-                 .groupBy(F.col("zone").alias("target"), week)
+    # target test (numbers by value; text zones as 'N', 'N.0', 'COMUNAN')
+    target, prev_is_target = None, None
+    for t in tgt:
+        here, before = is_target_zone(F.col("zone"), t), is_target_zone(F.col("prev_zone"), t)
+        target = F.when(here, F.lit(t)) if target is None else target.when(here, F.lit(t))
+        prev_is_target = (F.when(F.col("target") == F.lit(t), before) if prev_is_target is None
+                          else prev_is_target.when(F.col("target") == F.lit(t), before))
+    lab = lab.withColumn("target", target).where(F.col("target").isNotNull())
+    lab = lab.withColumn("prev_is_target", F.coalesce(prev_is_target, F.lit(False)))
+    counts = (lab.groupBy("target", week)
                  .agg(F.count_if("is_first").alias("nuevos"),
-                      F.count_if(~F.col("is_first") & (F.col("prev_zone") == F.col("zone"))).alias("recurrentes"),
-                      F.count_if(~F.col("is_first") & ~F.coalesce(F.col("prev_zone") == F.col("zone"),
-                                                                  F.lit(False))).alias("migratorios")))
+                      F.count_if(~F.col("is_first") & F.col("prev_is_target")).alias("recurrentes"),
+                      F.count_if(~F.col("is_first") & ~F.col("prev_is_target")).alias("migratorios")))
     weeks = top_weeks(base, week, last_weeks)
     scaffold = weeks.withColumn("target", F.explode(F.array(*[F.lit(t) for t in tgt])))
     out = scaffold.join(counts, ["target", week], "left")

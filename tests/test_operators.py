@@ -169,3 +169,17 @@ def test_dashboard_invariants(spark):
         if r.scope != "total":
             zones[r.week] = zones.get(r.week, 0) + r.total
     assert all(tot[w] >= zones[w] for w in tot)                          # total also holds null / other zones
+
+
+def test_zone_evolution_text_zones(spark):
+    d = datetime.datetime
+    rows = [(1, d(2025, 1, 6, 9), "A", "Comuna 2"), (2, d(2025, 1, 13, 9), "A", "2.0"),
+            (3, d(2025, 1, 20, 9), "A", "14"), (4, d(2025, 1, 27, 9), "A", "2")]
+    df = spark.createDataFrame(rows, f"row_id long, `{K.COL_START}` timestamp, `{K.COL_KEY}` string, "
+                                     f"`{K.COL_ZONE}` string")
+    got = {(r.target, r.week.isoformat()): (r.nuevos, r.recurrentes, r.migratorios)
+           for r in evolution.zone_evolution(df, targets=[2.0, 14.0]).collect()}
+    assert got[(2.0, "2025-01-06")] == (1, 0, 0)
+    assert got[(2.0, "2025-01-13")] == (0, 1, 0)      # previous 'Comuna 2' counts as zone 2
+    assert got[(14.0, "2025-01-20")] == (0, 0, 1)
+    assert got[(2.0, "2025-01-27")] == (0, 0, 1)
