@@ -10,6 +10,11 @@ characters, which covers the 16 category labels).
 
 from __future__ import annotations
 
+import numpy as np
+
+# above this length the window scan is pruned by a character-count bound
+PRUNE_FROM = 128
+
 
 def _pm(s: str) -> dict[str, int]:
     pm: dict[str, int] = {}
@@ -80,13 +85,56 @@ def _partial_short_needle(s1: str, s2: str) -> float:
     return best * 100
 
 
+def _candidate_windows(s1: str, s2: str) -> list[tuple[int, int]]:
+    """The windows the short-needle scan looks at, in scan order."""
+    len1, len2 = len(s1), len(s2)
+    chars = set(s1)
+    wins = [(0, i) for i in range(1, len1) if s2[i - 1] in chars]
+    wins += [(i, i + len1) for i in range(len2 - len1) if s2[i + len1 - 1] in chars]
+    wins += [(i, len2) for i in range(len2 - len1, len2) if s2[i] in chars]
+    return wins
+
+
+def _partial_pruned(s1: str, s2: str) -> float:
+    """Same maximum as the plain scan. The common-character count of a window
+    bounds its LCS, so windows are visited by decreasing bound and the scan
+    stops once no bound can beat the best exact ratio found."""
+    len1 = len(s1)
+    wins = _candidate_windows(s1, s2)
+    if not wins:
+        return 0.0
+    arr = np.frombuffer(s2.encode("utf-32-le"), dtype=np.uint32)
+    starts = np.array([w[0] for w in wins])
+    ends = np.array([w[1] for w in wins])
+    inter = np.zeros(len(wins), dtype=np.int64)
+    for ch in set(s1):
+        need = s1.count(ch)
+        pref = np.concatenate([[0], np.cumsum(arr == ord(ch))])
+        inter += np.minimum(need, pref[ends] - pref[starts])
+    lensum = len1 + (ends - starts)
+    bound = 1.0 - (lensum - 2 * inter) / lensum
+    pm = _pm(s1)
+    best = 0.0
+    for k in np.argsort(-bound, kind="stable"):
+        if bound[k] <= best:
+            break
+        a, b = int(starts[k]), int(ends[k])
+        r = _norm_sim(_lcs_pm(pm, len1, s2[a:b]), len1 + b - a)
+        if r > best:
+            best = r
+            if best == 1.0:
+                return 100.0
+    return best * 100
+
+
 def partial_ratio(a: str, b: str) -> float:
     if not a or not b:
         return 0.0
     s1, s2 = (a, b) if len(a) <= len(b) else (b, a)
-    res = _partial_short_needle(s1, s2)
+    scan = _partial_pruned if len(s2) > PRUNE_FROM else _partial_short_needle
+    res = scan(s1, s2)
     if res != 100 and len(s1) == len(s2):
-        res = max(res, _partial_short_needle(s2, s1))
+        res = max(res, scan(s2, s1))
     return res
 
 

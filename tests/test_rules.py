@@ -91,3 +91,12 @@ def test_target_zone(spark):
     assert got == [True, False, False, False]
     df2 = spark.createDataFrame([("Comuna 2",), ("2.0",), ("3",)], "z string")
     assert [r[0] for r in df2.select(is_target_zone("z", 2)).collect()] == [True, True, False]
+
+
+def test_pruned_partial_equals_plain_scan():
+    import random
+    rnd = random.Random(11)
+    for _ in range(400):
+        s1 = "".join(rnd.choice("abc de") for _ in range(rnd.randint(1, 30)))
+        s2 = "".join(rnd.choice("abc def") for _ in range(rnd.randint(len(s1), 400)))
+        assert fuzzy._partial_pruned(s1, s2) == fuzzy._partial_short_needle(s1, s2)
