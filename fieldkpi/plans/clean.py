@@ -9,7 +9,7 @@ computed from the scan alone). Results are the same.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -42,12 +42,44 @@ def drop_agencies(df: DataFrame, agencies: list[str] = K.AGENCIES_DROPPED) -> Da
 
 
 def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
-                  cell: float = 0.0025, zones_bytes: int | None = None) -> DataFrame:
+                  cell: float = 0.0025, zones_bytes: int | None = None,
+                  diagnostics: dict | None = None) -> DataFrame:
     """Full clean step over the whole history (one lazy plan, apart from the
-    small vocabulary table that is classified and checkpointed first)."""
+    small vocabulary table that is classified and checkpointed first).
+
+    With ``diagnostics`` (a dict), two ``Observation`` objects are attached:
+    ``zones`` (rows per zone class before de-duplication) and ``kept`` (rows
+    after it); they fill in during the job's own action, with no extra pass.
+    Use ``clean_diagnostics`` to read them.
+    """
     df = drop_agencies(spread(type_report(raw)))
     df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
     df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
     df = with_dni(df)
     df = df.withColumn(K.COL_FIRST, clean_name(K.COL_FIRST)).withColumn(K.COL_LAST, clean_name(K.COL_LAST))
-    return label_rows(df)
+    if diagnostics is not None:
+        z = F.col(K.COL_ZONE)
+        diagnostics["zones"] = Observation("zones")
+        df = df.observe(diagnostics["zones"], F.count(F.lit(1)).alias("rows"),
+                        F.count_if(z == K.ZONE_NORTH_PALERMO).alias("zone_14_5"),
+                        F.count_if(z == K.ZONE_RING_C2).alias("zone_2_5"),
+                        F.count_if(z.between(1, 15)).alias("zones_1_15"),
+                        F.count_if(z.isNull()).alias("no_zone"))
+    out = label_rows(df)
+    if diagnostics is not None:
+        diagnostics["kept"] = Observation("kept")
+        out = out.observe(diagnostics["kept"], F.count(F.lit(1)).alias("rows"))
+    return out
+
+
+def clean_diagnostics(diagnostics: dict) -> dict:
+    """Counts gathered by the observations (after the clean job's action)."""
+    zones = diagnostics["zones"].get
+    kept = diagnostics["kept"].get
+    return {**zones, "duplicates_removed": zones["rows"] - kept["rows"]}
+
+
+def store_clean(clean: DataFrame, path: str, ts: str = K.COL_START) -> None:
+    """Write the clean history sorted by date within each file (no global
+    sort): readers get tight min/max statistics per row group on the date."""
+    clean.sortWithinPartitions(ts).write.mode("errorifexists").option("compression", "snappy").parquet(path)

@@ -57,7 +57,7 @@ def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_base: str
     raw_version = write_version(updated, raw_base) if appended else None
     raw_all = read_history(spark, raw_base)
     clean = clean_history(type_report(raw_all, strict_coordinates=False), zones)
-    clean_version = write_version(clean, clean_base)
+    clean_version = write_version(clean.sortWithinPartitions(K.COL_START), clean_base)
     stored = spark.read.parquet(clean_version)
     if table:
         replace_table(stored, table)

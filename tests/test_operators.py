@@ -183,3 +183,16 @@ def test_zone_evolution_text_zones(spark):
     assert got[(2.0, "2025-01-13")] == (0, 1, 0)      # previous 'Comuna 2' counts as zone 2
     assert got[(14.0, "2025-01-20")] == (0, 0, 1)
     assert got[(2.0, "2025-01-27")] == (0, 0, 1)
+
+
+def test_clean_diagnostics(spark):
+    from fieldkpi.plans.clean import clean_diagnostics, clean_history
+    from fieldkpi.sources.fixtures import interventions
+    diag = {}
+    out = clean_history(interventions(spark, "/root/testdata/sf0.001", "orders"), demo_zones(spark), diagnostics=diag)
+    n = out.count()
+    d = clean_diagnostics(diag)
+    assert d["rows"] - d["duplicates_removed"] == n
+    assert d["zones_1_15"] + d["no_zone"] == d["rows"]   # 1..15 includes 2.5 and 14.5, as the source counts
+    assert d["zone_14_5"] > 0 and d["zone_2_5"] > 0
+    assert d["duplicates_removed"] >= 0
