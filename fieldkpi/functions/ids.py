@@ -29,27 +29,14 @@ def _py_regex(pattern: str) -> str:
     return pattern.replace(r"\s", PY_SPACE_CLASS)
 
 
-def dni_cascade(col: Column | str) -> Column:
-    """Return ``struct(value string, reason string)`` for a raw ID cell.
-
-    Order (first hit wins): null; empty after trimming; a "not given" phrase;
-    only ``x * - .`` or 1-3 letters; letters only with at most two distinct ones;
-    a foreign-document phrase; 6-10 digits once non-digits are dropped (leading
-    zeros lost); under 6 digits or any letter; the rest.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    raw = c.cast("string")
-    s = F.regexp_replace(raw, f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
-    low = F.lower(s)
-    # The text is lower-cased already; Python's Unicode \s becomes an explicit class.
-    not_given = low.rlike(_py_regex(K.PATTERN_NOT_GIVEN))
+def _cascade(raw: Column, s: Column, low: Column, digits: Column, has_letter: Column) -> Column:
+    # Every "not given" and foreign phrase needs an ASCII letter, so rows
+    # without one (most valid IDs) skip both alternations (And short-circuits).
+    not_given = has_letter & low.rlike(_py_regex(K.PATTERN_NOT_GIVEN))
     symbols = s.rlike(K.PATTERN_SYMBOLS) | s.rlike(K.PATTERN_SHORT_LETTERS)
     repeated = s.rlike(K.PATTERN_LETTERS_ONLY) & (F.size(F.array_distinct(F.split(low, ""))) <= 2)
-    foreign = low.rlike(_py_regex(K.PATTERN_FOREIGN))
-    # Python's \D keeps any decimal digit and int() reads them all
-    digits = F.translate(F.regexp_replace(s, r"[^\p{Nd}]", ""), *_decimal_digits())
+    foreign = has_letter & low.rlike(_py_regex(K.PATTERN_FOREIGN))
     n_digits = F.length(digits)
-    has_letter = low.rlike("[A-Za-z]")
     nb = F.lit(K.KEY_NOT_GIVEN)
 
     def pick(value: Column, reason: str) -> Column:
@@ -68,11 +55,43 @@ def dni_cascade(col: Column | str) -> Column:
     )
 
 
+def _parts(raw: Column) -> tuple[Column, Column, Column, Column]:
+    s = F.regexp_replace(raw, f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
+    low = F.lower(s)
+    # Python's \D keeps any decimal digit and int() reads them all
+    digits = F.translate(F.regexp_replace(s, r"[^\p{Nd}]", ""), *_decimal_digits())
+    return s, low, digits, low.rlike("[a-z]")
+
+
+def dni_cascade(col: Column | str) -> Column:
+    """Return ``struct(value string, reason string)`` for a raw ID cell.
+
+    Order (first hit wins): null; empty after trimming; a "not given" phrase;
+    only ``x * - .`` or 1-3 letters; letters only with at most two distinct ones;
+    a foreign-document phrase; 6-10 digits once non-digits are dropped (leading
+    zeros lost); under 6 digits or any letter; the rest.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    raw = c.cast("string")
+    return _cascade(raw, *_parts(raw))
+
+
 def with_dni(df, source: str = K.COL_DNI, out: str = K.COL_KEY, reason: bool = True):
-    """Add the categorised key (and its reason) to ``df``."""
-    tmp = "__dni"
-    df = df.withColumn(tmp, dni_cascade(source))
-    df = df.withColumn(out, F.col(f"{tmp}.value"))
+    """Add the categorised key (and its reason) to ``df``.
+
+    The trimmed text, its lower case and its digits are projected once as
+    intermediate columns, so the ordered cascade reads them instead of
+    recomputing them in every branch.
+    """
+    raw = F.col(source).cast("string")
+    s, low, digits, has_letter = _parts(raw)
+    tmp = df.withColumn("__s", s)
+    tmp = tmp.withColumn("__low", F.lower("__s")).withColumn(
+        "__d", F.translate(F.regexp_replace("__s", r"[^\p{Nd}]", ""), *_decimal_digits()))
+    tmp = tmp.withColumn("__l", F.col("__low").rlike("[a-z]"))
+    tmp = tmp.withColumn("__dni", _cascade(F.col(source).cast("string"), F.col("__s"), F.col("__low"),
+                                            F.col("__d"), F.col("__l")))
+    tmp = tmp.withColumn(out, F.col("__dni.value"))
     if reason:
-        df = df.withColumn(f"{out}_motivo", F.col(f"{tmp}.reason"))
-    return df.drop(tmp)
+        tmp = tmp.withColumn(f"{out}_motivo", F.col("__dni.reason"))
+    return tmp.drop("__s", "__low", "__d", "__l", "__dni")

@@ -118,14 +118,26 @@ def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
     return F.translate(col, src, dst)
 
 
-def clean_name(col: Column | str) -> Column:
-    """Person-name cleaner: null stays null; upper; accents off; ``-.,`` to space;
-    only A-Z and space; spaces collapsed and trimmed; empty gives null."""
+def _name_core(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     s = _apply_fold(c, name_fold())
     s = F.regexp_replace(s, "[^A-Z ]", "")
-    s = F.trim(F.regexp_replace(s, " +", " "))
-    return F.nullif(s, F.lit(""))
+    return F.trim(F.regexp_replace(s, " +", " "))
+
+
+def clean_name(col: Column | str) -> Column:
+    """Person-name cleaner: null stays null; upper; accents off; ``-.,`` to space;
+    only A-Z and space; spaces collapsed and trimmed; empty gives null."""
+    return F.nullif(_name_core(col), F.lit(""))
+
+
+def with_clean_names(df, cols: list[str]):
+    """``clean_name`` on several columns, the folded text projected once per
+    column (the empty test then reads a column instead of recomputing it)."""
+    for c in cols:
+        tmp = f"__n_{abs(hash(c))}"
+        df = df.withColumn(tmp, _name_core(c)).withColumn(c, F.nullif(F.col(tmp), F.lit(""))).drop(tmp)
+    return df
 
 
 def clean_closing_text(col: Column | str) -> Column:

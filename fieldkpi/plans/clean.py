@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.dates import coerce_timestamp, decimal_comma
 from ..functions.ids import with_dni
-from ..functions.text import clean_name
+from ..functions.text import with_clean_names
 from ..operators.classify import closing_columns
 from ..operators.evolution import label_rows
 from ..operators.geo import assign_zone
@@ -56,7 +56,7 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
     df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
     df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
     df = with_dni(df)
-    df = df.withColumn(K.COL_FIRST, clean_name(K.COL_FIRST)).withColumn(K.COL_LAST, clean_name(K.COL_LAST))
+    df = with_clean_names(df, [K.COL_FIRST, K.COL_LAST])
     if diagnostics is not None:
         z = F.col(K.COL_ZONE)
         diagnostics["zones"] = Observation("zones")
