@@ -196,3 +196,40 @@ def test_clean_diagnostics(spark):
     assert d["zones_1_15"] + d["no_zone"] == d["rows"]   # 1..15 includes 2.5 and 14.5, as the source counts
     assert d["zone_14_5"] > 0 and d["zone_2_5"] > 0
     assert d["duplicates_removed"] >= 0
+
+
+def test_row_labels_match_loop(spark):
+    """label_rows against the week-by-week loop of the source (keep last per
+    week and key, state carried over weeks; anonymous keys unclassified)."""
+    import random
+    rnd = random.Random(5)
+    base = datetime.datetime(2025, 1, 6)
+    rows = []
+    for i in range(800):
+        key = rnd.choice([f"P{rnd.randrange(30)}", K.KEY_NOT_GIVEN, K.KEY_FOREIGN])
+        rows.append((i, base + datetime.timedelta(hours=rnd.randrange(24 * 7 * 10)), key,
+                     rnd.choice([1.0, 2.0, 2.5, 14.5, None])))
+    got = {r.row_id: r[K.COL_EVOLUTION] for r in evolution.label_rows(_frame(spark, rows)).collect()}
+    week = lambda t: (t - datetime.timedelta(days=t.weekday())).date()
+    anon = [r for r in rows if r[2] in K.ANONYMOUS_KEYS]
+    ident = sorted((r for r in rows if r[2] not in K.ANONYMOUS_KEYS), key=lambda r: (r[1], r[0]))
+    last_of = {}
+    for r in ident:
+        last_of[(week(r[1]), r[2])] = r          # keep='last'
+    kept = list(last_of.values())
+    expect = {r[0]: K.EVO_UNCLASSIFIED for r in anon}
+    prior, seen = {}, set()
+    for w in sorted({week(r[1]) for r in kept}):
+        wk = [r for r in kept if week(r[1]) == w]
+        for r in wk:
+            p = prior.get(r[2], "missing")
+            if r[2] not in seen:
+                expect[r[0]] = K.EVO_NEW
+            elif p is not None and p == r[3]:
+                expect[r[0]] = K.EVO_RECURRING
+            else:
+                expect[r[0]] = K.EVO_MIGRANT
+        for r in wk:
+            prior[r[2]] = r[3]
+            seen.add(r[2])
+    assert got == expect
