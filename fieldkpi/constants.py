@@ -184,8 +184,8 @@ VIEW_MIGRANT = "Migratorio"
 # FIXED VALUES: zone codes of the special layers and their precedence
 # (2.5 overwrites 14.5, both win over the regular zones)
 # ---------------------------------------------------------------------------
-ZONE_RING_C2 = 2.5
-ZONE_NORTH_PALERMO = 14.5
+ZONE_SPECIAL_2_5 = 2.5
+ZONE_SPECIAL_14_5 = 14.5
 ZONE_PRIORITY = {2.5: 0, 14.5: 1}
 REGULAR_PRIORITY = 2
 

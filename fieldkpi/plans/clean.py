@@ -61,8 +61,8 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
         z = F.col(K.COL_ZONE)
         diagnostics["zones"] = Observation("zones")
         df = df.observe(diagnostics["zones"], F.count(F.lit(1)).alias("rows"),
-                        F.count_if(z == K.ZONE_NORTH_PALERMO).alias("zone_14_5"),
-                        F.count_if(z == K.ZONE_RING_C2).alias("zone_2_5"),
+                        F.count_if(z == K.ZONE_SPECIAL_14_5).alias("zone_14_5"),
+                        F.count_if(z == K.ZONE_SPECIAL_2_5).alias("zone_2_5"),
                         F.count_if(z.between(1, 15)).alias("zones_1_15"),
                         F.count_if(z.isNull()).alias("no_zone"))
     out = label_rows(df)

@@ -78,8 +78,8 @@ def _person_cols(person: str, row: str) -> list[tuple[str, str]]:
         (K.COL_DNI, _dni_expr(person)),
         (K.COL_FIRST, _case(f"{person} % 6", ["José", "María Ñandú", "Straße", "Ana-Lía 2", None, "  Luz  "])),
         (K.COL_LAST, _case(f"{person} % 5", ["Pérez", "Gómez, Jr.", "123", "Müller", "Núñez  Díaz"])),
-        (K.COL_AGENCY, _case(f"{row} % 9", ["DIPA I COMBATE", None, "MAPA DE REISGO - SEGUIMIENTO", "BAP NORTE",
-                                            "BAP SUR", "BAP NORTE", "SALUD MENTAL", "BAP OESTE", "BAP SUR"])),
+        (K.COL_AGENCY, _case(f"{row} % 9", ["DIPA I COMBATE", None, "MAPA DE REISGO - SEGUIMIENTO", "RED NORTE",
+                                            "RED SUR", "RED NORTE", "SALUD MENTAL", "RED OESTE", "RED SUR"])),
         (K.COL_STATE, f"CASE WHEN {row} % 7 = 0 THEN 'PENDIENTE' ELSE 'CERRADA' END"),
         (K.COL_CARD, f"CASE WHEN {row} % 3 <> 0 THEN 'AUTOMATICA' ELSE 'MANUAL' END"),
     ]

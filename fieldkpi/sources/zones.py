@@ -45,9 +45,9 @@ def demo_features() -> list[dict]:
             feats.append({"type": "Feature", "properties": {"zone": zone, "name": f"Comuna {int(zone)}"},
                           "geometry": {"type": "Polygon",
                                        "coordinates": [_closed([[a, c], [b, c], [b, d], [a, d]])]}})
-    feats.append({"type": "Feature", "properties": {"zone": 14.5, "name": "Palermo Norte"},
+    feats.append({"type": "Feature", "properties": {"zone": 14.5, "name": "Zona especial 14.5"},
                   "geometry": {"type": "Polygon", "coordinates": [_closed(SPECIAL_14_5)]}})
-    feats.append({"type": "Feature", "properties": {"zone": 2.5, "name": "Anillo Digital C2"},
+    feats.append({"type": "Feature", "properties": {"zone": 2.5, "name": "Zona especial 2.5"},
                   "geometry": {"type": "Polygon",
                                "coordinates": [_closed(SPECIAL_2_5_OUTER), _closed(SPECIAL_2_5_HOLE)]}})
     return feats
