@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators.incremental import append_new
+from ..operators.incremental import new_rows
 from ..session import ensure_checkpoint_dir
-from ..sources.readers import newest_file, read_history, read_report
-from ..sources.writers import replace_table, write_version
+from ..sources.readers import newest_file, read_batches, read_report
+from ..sources.writers import append_batch, replace_table, write_version
 from .clean import clean_history, type_report
 
 
@@ -20,7 +20,7 @@ from .clean import clean_history, type_report
 class WeeklyResult:
     report: str | None
     appended: bool
-    raw_version: str | None
+    raw_batch: str | None
     clean_version: str | None
     latest: object = None
 
@@ -37,8 +37,8 @@ def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_base: str
     """One weekly cycle.
 
     1. pick the newest landed report; 2. read it (banner skipped) and type its
-    dates; 3. keep rows strictly after the history's latest date and append
-    them as a new raw version (nothing is rewritten when nothing is new);
+    dates; 3. append the rows strictly after the history's latest date as a new
+    raw batch (only those rows are written; nothing when nothing is new);
     4. run the clean job over the whole raw history; 5. store it as a new
     clean version and, optionally, replace the catalog table.
     """
@@ -48,18 +48,18 @@ def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_base: str
         return WeeklyResult(None, False, None, None)
     landed = read_report(spark, path, fmt)
     landed = landed.withColumn(K.COL_START, F.try_to_timestamp(F.col(K.COL_START).cast("string")))
-    history = read_history(spark, raw_base)
+    history = read_batches(spark, raw_base)
     offset = 0
     if history is not None and K.COL_ROW_ID in history.columns:
         offset = (history.agg(F.max(K.COL_ROW_ID)).first()[0] or -1) + 1
-    landed = _with_row_ids(landed, offset)
-    updated, appended = append_new(history, landed)
-    raw_version = write_version(updated, raw_base) if appended else None
-    raw_all = read_history(spark, raw_base)
+    fresh = _with_row_ids(new_rows(history, landed), offset)
+    appended = not fresh.isEmpty()
+    raw_batch = append_batch(fresh, raw_base) if appended else None
+    raw_all = read_batches(spark, raw_base)
     clean = clean_history(type_report(raw_all, strict_coordinates=False), zones)
     clean_version = write_version(clean.sortWithinPartitions(K.COL_START), clean_base)
     stored = spark.read.parquet(clean_version)
     if table:
         replace_table(stored, table)
     latest = stored.agg(F.max(K.COL_START)).first()[0]
-    return WeeklyResult(path, appended, raw_version, clean_version, latest)
+    return WeeklyResult(path, appended, raw_batch, clean_version, latest)

@@ -63,15 +63,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_versions(spark: SparkSession, base: str) -> list[int]:
-    """Committed versions (``version=N`` folders holding a _SUCCESS marker)."""
+def list_versions(spark: SparkSession, base: str, prefix: str = "version") -> list[int]:
+    """Committed versions / batches (``<prefix>=N`` folders with a _SUCCESS marker)."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("version="):
+        if st.isDirectory() and name.startswith(prefix + "="):
             if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name.split("=", 1)[1]))
     return sorted(out)
@@ -84,3 +84,13 @@ def read_history(spark: SparkSession, base: str, schema: T.StructType | None = N
     if not versions:
         return spark.createDataFrame([], schema) if schema is not None else None
     return spark.read.parquet(f"{base}/version={versions[-1]}")
+
+
+def read_batches(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """An append-only table: the union of its committed batches (columns
+    aligned by name across batches); None / empty frame when there is none."""
+    batches = list_versions(spark, base, "batch")
+    if not batches:
+        return spark.createDataFrame([], schema) if schema is not None else None
+    paths = [f"{base}/batch={b}" for b in batches]
+    return spark.read.option("mergeSchema", True).parquet(*paths)

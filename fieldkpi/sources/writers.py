@@ -30,6 +30,21 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     return path
 
 
+def append_batch(df: DataFrame, base: str) -> str:
+    """Append ``df`` to an append-only table as its next batch folder.
+
+    Only the new rows are written; earlier batches are never rewritten, so a
+    weekly append costs the size of the week, not of the history. Readers
+    (``readers.read_batches``) take committed batches only.
+    """
+    spark = df.sparkSession
+    batches = list_versions(spark, base, "batch")
+    nxt = (batches[-1] + 1) if batches else 1
+    path = f"{base}/batch={nxt}"
+    df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    return path
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Replace a catalog table (failures raise)."""
     df.write.mode("overwrite").saveAsTable(name)

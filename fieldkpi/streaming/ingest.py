@@ -3,7 +3,8 @@
 A file-source stream over the landing folder, run with
 ``trigger(availableNow=True)``: every new file is processed once (the stream's
 checkpoint records which), and each micro-batch goes through the same
-high-water-mark append as the batch job, into a new raw-history version.
+high-water-mark filter as the batch job; only the new rows are written, as
+the next batch of the append-only raw history.
 """
 
 from __future__ import annotations
@@ -13,19 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..operators.incremental import append_new
-from ..sources.readers import read_history
-from ..sources.writers import write_version
+from ..operators.incremental import new_rows
+from ..sources.readers import read_batches
+from ..sources.writers import append_batch
 
 
 def _append_batch(raw_base: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         landed = batch.withColumn(K.COL_START, F.try_to_timestamp(F.col(K.COL_START).cast("string")))
-        history = read_history(spark, raw_base)
-        updated, appended = append_new(history, landed)
-        if appended:
-            write_version(updated, raw_base)
+        fresh = new_rows(read_batches(spark, raw_base), landed)
+        if not fresh.isEmpty():
+            append_batch(fresh, raw_base)
     return run
 
 

@@ -54,20 +54,21 @@ def test_weekly_run_appends_by_mark(spark, tmp_path):
     first = _report_rows(spark, "1996-01-01", "1996-04-01")
     _write_report(first, str(land / "w1.csv"))
     r1 = weekly_run(spark, str(land), raw, clean, zones)
-    assert r1.appended and readers.list_versions(spark, raw) == [1]
+    assert r1.appended and readers.list_versions(spark, raw, "batch") == [1]
     time.sleep(1.1)
     second = _report_rows(spark, "1996-03-01", "1996-06-01")   # overlaps the first report
     _write_report(second, str(land / "w2.csv"))
     r2 = weekly_run(spark, str(land), raw, clean, zones)
-    assert r2.appended and readers.list_versions(spark, raw) == [1, 2]
-    hist = readers.read_history(spark, raw)
+    assert r2.appended and readers.list_versions(spark, raw, "batch") == [1, 2]
+    assert spark.read.parquet(r2.raw_batch).count() < len(second)   # only the new rows were written
+    hist = readers.read_batches(spark, raw)
     mark = pd.to_datetime(first[K.COL_START]).max()
     later = (pd.to_datetime(second[K.COL_START]) > mark).sum()
     assert hist.count() == len(first) + later
     assert hist.select(K.COL_ROW_ID).distinct().count() == hist.count()
     # same report again: nothing new, no new raw version
     r3 = weekly_run(spark, str(land), raw, clean, zones)
-    assert not r3.appended and readers.list_versions(spark, raw) == [1, 2]
+    assert not r3.appended and readers.list_versions(spark, raw, "batch") == [1, 2]
     stored = spark.read.parquet(r3.clean_version)
     assert K.COL_EVOLUTION in stored.columns and K.COL_ZONE in stored.columns
 
@@ -120,10 +121,10 @@ def test_streaming_ingest(spark, tmp_path):
     schema = readers.history_schema(list(pdf.columns))
     q = start_ingest(spark, str(land), schema, raw, ck)
     q.awaitTermination(120)
-    assert readers.read_history(spark, raw).count() == len(pdf)
+    assert readers.read_batches(spark, raw).count() == len(pdf)
     pdf2 = _report_rows(spark, "1997-02-01", "1997-04-01")
     pdf2.to_csv(land / "r2.csv", index=False)
     q2 = start_ingest(spark, str(land), schema, raw, ck)
     q2.awaitTermination(120)
     mark = pd.to_datetime(pdf[K.COL_START]).max()
-    assert readers.read_history(spark, raw).count() == len(pdf) + (pd.to_datetime(pdf2[K.COL_START]) > mark).sum()
+    assert readers.read_batches(spark, raw).count() == len(pdf) + (pd.to_datetime(pdf2[K.COL_START]) > mark).sum()
