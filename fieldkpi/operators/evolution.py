@@ -48,7 +48,7 @@ def one_row_per_week(df: DataFrame, key: str, week: str, ts: str = K.COL_START,
 
 def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts: str = K.COL_START,
                row_id: str = K.COL_ROW_ID, out: str = K.COL_EVOLUTION,
-               anonymous: list[str] = K.ANONYMOUS_KEYS) -> DataFrame:
+               anonymous: list[str] = K.ANONYMOUS_KEYS, prior: DataFrame | None = None) -> DataFrame:
     """Row evolution label of the clean step, in one pass over the input.
 
     Identified keys: one row kept per (Monday week, key) - the last by time -
@@ -57,6 +57,11 @@ def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts:
     no date (they cannot be placed in the week sequence). Those rows get a
     unique group key (their row id), so they pass the aggregation as singletons
     and never form a hot partition.
+
+    ``prior`` (columns ``key``, ``last_zone``) carries the state of keys seen
+    before the first week of ``df``: such a key is not new, and its first row
+    here compares with ``last_zone``. This is what makes incremental runs give
+    the same labels as a full recompute.
     """
     cols = df.columns
     week = week_monday(ts)
@@ -67,9 +72,26 @@ def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts:
     kept = (base.groupBy("__w", "__g").agg(F.max_by(rec, _order(ts, row_id)).alias("__r"))
                 .select("__w", "__g", *[F.col(f"__r.{c}").alias(c) for c in cols + ["__a"]]))
     w = Window.partitionBy("__g").orderBy("__w")
-    label = F.when(F.col("__a"), F.lit(K.EVO_UNCLASSIFIED)).otherwise(
-        evolution_class(F.lag("__w").over(w).isNull(), F.lag(zone).over(w), F.col(zone)))
-    return kept.withColumn(out, label).drop("__w", "__g", "__a")
+    kept = kept.withColumn("__first", F.lag("__w").over(w).isNull()).withColumn("__prev", F.lag(zone).over(w))
+    is_first, prev_zone = F.col("__first"), F.col("__prev")
+    if prior is not None:
+        p = prior.select(F.col("key").alias("__g"), F.col("last_zone").alias("__pz"), F.lit(True).alias("__seen"))
+        kept = kept.join(p, "__g", "left")
+        is_first = F.col("__first") & F.col("__seen").isNull()
+        prev_zone = F.when(F.col("__first"), F.col("__pz")).otherwise(F.col("__prev"))
+    label = F.when(F.col("__a"), F.lit(K.EVO_UNCLASSIFIED)).otherwise(evolution_class(is_first, prev_zone, F.col(zone)))
+    return kept.withColumn(out, label).select(*cols, out)
+
+
+def prior_state(clean: DataFrame, before_week, keys: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE,
+                ts: str = K.COL_START, anonymous: list[str] = K.ANONYMOUS_KEYS) -> DataFrame:
+    """(key, last_zone) from a stored clean history: the zone of each key's
+    latest kept week before ``before_week``, for the keys in ``keys`` only
+    (semi join; the key set is a batch's, the clean history the whole past)."""
+    wk = week_monday(ts)
+    past = clean.where((wk < F.lit(before_week)) & ~F.coalesce(F.col(key).isin(anonymous), F.lit(False)))
+    past = past.join(keys.select(F.col(key)).distinct(), key, "left_semi")
+    return past.groupBy(F.col(key).alias("key")).agg(F.max_by(F.col(zone), wk).alias("last_zone"))
 
 
 def top_weeks(weeks: DataFrame, week: str, n: int = K.LAST_WEEKS) -> DataFrame:

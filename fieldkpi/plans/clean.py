@@ -41,22 +41,29 @@ def drop_agencies(df: DataFrame, agencies: list[str] = K.AGENCIES_DROPPED) -> Da
     return df.where(~F.coalesce(F.col(K.COL_AGENCY).isin(agencies), F.lit(False)))
 
 
+def clean_rows(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True, cell: float = 0.0025,
+               zones_bytes: int | None = None) -> DataFrame:
+    """Row-wise part of the clean step (no row depends on another)."""
+    df = drop_agencies(spread(type_report(raw)))
+    df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
+    df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
+    df = with_dni(df)
+    return with_clean_names(df, [K.COL_FIRST, K.COL_LAST])
+
+
 def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
                   cell: float = 0.0025, zones_bytes: int | None = None,
-                  diagnostics: dict | None = None) -> DataFrame:
+                  diagnostics: dict | None = None, prior: DataFrame | None = None) -> DataFrame:
     """Full clean step over the whole history (one lazy plan, apart from the
     small vocabulary table that is classified and checkpointed first).
 
     With ``diagnostics`` (a dict), two ``Observation`` objects are attached:
     ``zones`` (rows per zone class before de-duplication) and ``kept`` (rows
     after it); they fill in during the job's own action, with no extra pass.
-    Use ``clean_diagnostics`` to read them.
+    Use ``clean_diagnostics`` to read them. ``prior`` is passed to the
+    evolution labels (incremental runs).
     """
-    df = drop_agencies(spread(type_report(raw)))
-    df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
-    df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
-    df = with_dni(df)
-    df = with_clean_names(df, [K.COL_FIRST, K.COL_LAST])
+    df = clean_rows(raw, zones, fuzzy_fallback, cell, zones_bytes)
     if diagnostics is not None:
         z = F.col(K.COL_ZONE)
         diagnostics["zones"] = Observation("zones")
@@ -65,7 +72,7 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
                         F.count_if(z == K.ZONE_SPECIAL_2_5).alias("zone_2_5"),
                         F.count_if(z.between(1, 15)).alias("zones_1_15"),
                         F.count_if(z.isNull()).alias("no_zone"))
-    out = label_rows(df)
+    out = label_rows(df, prior=prior)
     if diagnostics is not None:
         diagnostics["kept"] = Observation("kept")
         out = out.observe(diagnostics["kept"], F.count(F.lit(1)).alias("rows"))

@@ -1,19 +1,32 @@
-"""The weekly run: newest landed report -> raw history append -> clean job ->
-stored clean history and table."""
+"""The weekly run: newest landed report -> append-only raw history -> clean
+history, updated incrementally.
+
+The clean history is stored partitioned by Monday week. New rows are strictly
+later than the previous high-water mark, so only weeks from the mark's week on
+can change: their raw rows are cleaned again, the evolution labels start from
+each key's last earlier zone (read from the stored clean history), and just
+those week partitions are overwritten (dynamic partition overwrite). The first
+run, or a missing clean table, builds everything.
+"""
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.dates import week_monday
+from ..operators.evolution import label_rows, prior_state
 from ..operators.incremental import new_rows
-from ..session import ensure_checkpoint_dir
-from ..sources.readers import newest_file, read_batches, read_report
-from ..sources.writers import append_batch, replace_table, write_version
-from .clean import clean_history, type_report
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources.readers import _fs, newest_file, read_batches, read_report
+from ..sources.writers import append_batch, replace_table
+from .clean import clean_history, clean_rows, type_report
+
+WEEK_PART = "semana_part"
 
 
 @dataclass
@@ -21,45 +34,75 @@ class WeeklyResult:
     report: str | None
     appended: bool
     raw_batch: str | None
-    clean_version: str | None
-    latest: object = None
+    rebuilt: bool = False
+    from_week: datetime.date | None = None
 
 
 def _with_row_ids(df: DataFrame, start: int = 0) -> DataFrame:
-    """Stable unique ids for rows that arrive without one (tie-breaker)."""
+    """Unique ids for rows that arrive without one (tie-breaker)."""
     if K.COL_ROW_ID in df.columns:
         return df
     return df.withColumn(K.COL_ROW_ID, F.monotonically_increasing_id() + F.lit(start))
 
 
-def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_base: str, zones: DataFrame,
+def _write_weeks(clean: DataFrame, path: str, dynamic: bool) -> None:
+    out = clean.withColumn(WEEK_PART, week_monday(K.COL_START)).sortWithinPartitions(K.COL_START)
+    w = out.write.mode("overwrite").option("compression", "snappy").partitionBy(WEEK_PART)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
+def build_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame) -> None:
+    """Clean the whole raw history and store it partitioned by week."""
+    raw_all = read_batches(spark, raw_base)
+    _write_weeks(clean_history(type_report(raw_all, strict_coordinates=False), zones), clean_path, False)
+
+
+def update_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame,
+                 mark: datetime.datetime) -> datetime.date:
+    """Re-clean the raw rows from the mark's week on and overwrite only those
+    week partitions. Returns the first week rewritten."""
+    from_week = (mark - datetime.timedelta(days=mark.weekday())).date()
+    affected = read_batches(spark, raw_base).where(F.col(K.COL_START) >= F.lit(from_week).cast("timestamp"))
+    rows = clean_rows(type_report(affected, strict_coordinates=False), zones)
+    stored = spark.read.parquet(clean_path).drop(WEEK_PART)
+    # the state is checkpointed, so the write below never reads the path it overwrites
+    prior = cut_lineage(prior_state(stored, from_week, rows.select(K.COL_KEY)))
+    _write_weeks(label_rows(rows, prior=prior), clean_path, True)
+    return from_week
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+
+
+def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str, zones: DataFrame,
                table: str | None = None, glob: str = "*.csv", fmt: str = "csv") -> WeeklyResult:
-    """One weekly cycle.
-
-    1. pick the newest landed report; 2. read it (banner skipped) and type its
-    dates; 3. append the rows strictly after the history's latest date as a new
-    raw batch (only those rows are written; nothing when nothing is new);
-    4. run the clean job over the whole raw history; 5. store it as a new
-    clean version and, optionally, replace the catalog table.
-    """
+    """One weekly cycle: pick the newest landed report, keep rows strictly
+    after the history's latest date, append them as a raw batch, then update
+    the clean history (incrementally when it exists) and optionally the table."""
     ensure_checkpoint_dir(spark)
     path = newest_file(spark, landing, glob)
     if path is None:
-        return WeeklyResult(None, False, None, None)
+        return WeeklyResult(None, False, None)
     landed = read_report(spark, path, fmt)
     landed = landed.withColumn(K.COL_START, F.try_to_timestamp(F.col(K.COL_START).cast("string")))
     history = read_batches(spark, raw_base)
-    offset = 0
-    if history is not None and K.COL_ROW_ID in history.columns:
-        offset = (history.agg(F.max(K.COL_ROW_ID)).first()[0] or -1) + 1
+    mark, offset = None, 0
+    if history is not None:
+        stats = history.agg(F.max(K.COL_START).alias("m"), F.max(K.COL_ROW_ID).alias("r")).first()
+        mark, offset = stats["m"], (stats["r"] if stats["r"] is not None else -1) + 1
     fresh = _with_row_ids(new_rows(history, landed), offset)
     appended = not fresh.isEmpty()
     raw_batch = append_batch(fresh, raw_base) if appended else None
-    raw_all = read_batches(spark, raw_base)
-    clean = clean_history(type_report(raw_all, strict_coordinates=False), zones)
-    clean_version = write_version(clean.sortWithinPartitions(K.COL_START), clean_base)
-    stored = spark.read.parquet(clean_version)
+    result = WeeklyResult(path, appended, raw_batch)
+    if mark is None or not _exists(spark, clean_path):
+        build_clean(spark, raw_base, clean_path, zones)
+        result.rebuilt = True
+    elif appended:
+        result.from_week = update_clean(spark, raw_base, clean_path, zones, mark)
     if table:
-        replace_table(stored, table)
-    latest = stored.agg(F.max(K.COL_START)).first()[0]
-    return WeeklyResult(path, appended, raw_batch, clean_version, latest)
+        replace_table(spark.read.parquet(clean_path), table)
+    return result

@@ -47,30 +47,36 @@ def test_report_reader_and_newest(spark, tmp_path):
     assert K.COL_START in rep.columns and K.COL_DNI in rep.columns
 
 
-def test_weekly_run_appends_by_mark(spark, tmp_path):
+def test_weekly_run_incremental_equals_rebuild(spark, tmp_path):
     land, raw, clean = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "clean")
     land.mkdir()
     zones = demo_zones(spark)
     first = _report_rows(spark, "1996-01-01", "1996-04-01")
     _write_report(first, str(land / "w1.csv"))
     r1 = weekly_run(spark, str(land), raw, clean, zones)
-    assert r1.appended and readers.list_versions(spark, raw, "batch") == [1]
+    assert r1.appended and r1.rebuilt and readers.list_versions(spark, raw, "batch") == [1]
     time.sleep(1.1)
     second = _report_rows(spark, "1996-03-01", "1996-06-01")   # overlaps the first report
     _write_report(second, str(land / "w2.csv"))
     r2 = weekly_run(spark, str(land), raw, clean, zones)
-    assert r2.appended and readers.list_versions(spark, raw, "batch") == [1, 2]
+    assert r2.appended and not r2.rebuilt and r2.from_week is not None
+    assert readers.list_versions(spark, raw, "batch") == [1, 2]
     assert spark.read.parquet(r2.raw_batch).count() < len(second)   # only the new rows were written
     hist = readers.read_batches(spark, raw)
     mark = pd.to_datetime(first[K.COL_START]).max()
     later = (pd.to_datetime(second[K.COL_START]) > mark).sum()
     assert hist.count() == len(first) + later
     assert hist.select(K.COL_ROW_ID).distinct().count() == hist.count()
-    # same report again: nothing new, no new raw version
+    # the incrementally updated clean history equals a full rebuild
+    from fieldkpi.plans.weekly import WEEK_PART, build_clean
+    full = str(tmp_path / "full")
+    build_clean(spark, raw, full, zones)
+    a = spark.read.parquet(clean).drop(WEEK_PART)
+    b = spark.read.parquet(full).drop(WEEK_PART).select(*a.columns)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # same report again: nothing new, nothing rewritten
     r3 = weekly_run(spark, str(land), raw, clean, zones)
     assert not r3.appended and readers.list_versions(spark, raw, "batch") == [1, 2]
-    stored = spark.read.parquet(r3.clean_version)
-    assert K.COL_EVOLUTION in stored.columns and K.COL_ZONE in stored.columns
 
 
 def test_views_match_operators(spark, tmp_path):
