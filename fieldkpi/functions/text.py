@@ -109,13 +109,30 @@ def _char_class(chars: str) -> str:
 
 
 def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
-    """Multi-character images first (literal replaces: no regex, and no copy
-    when the character is absent), then one ``translate`` for the rest."""
+    """Apply a per-character fold.
+
+    ASCII entries (the name fold's a-z and ``-.,``) go through one small
+    ``translate``. Non-ASCII entries - multi-character images as literal
+    replaces (no regex, no copy when absent), the rest in one ``translate`` -
+    run only for texts that hold a non-ASCII character (one scan decides).
+    Images are ASCII and already final, so the two parts do not interact.
+    """
     src, dst, multi = fold
+    n_kept = len(dst)
+    pairs = list(zip(src[:n_kept], dst))
+    dropped = src[n_kept:]
+    a_src = "".join(c for c, _ in pairs if ord(c) < 128)
+    a_dst = "".join(d for c, d in pairs if ord(c) < 128)
+    n_src = "".join(c for c, _ in pairs if ord(c) >= 128) + dropped
+    n_dst = "".join(d for c, d in pairs if ord(c) >= 128)
+    if a_src:
+        col = F.translate(col, a_src, a_dst)
+    folded = col
     for img, chars in multi.items():
         for ch in chars:
-            col = F.replace(col, F.lit(ch), F.lit(img))
-    return F.translate(col, src, dst)
+            folded = F.replace(folded, F.lit(ch), F.lit(img))
+    folded = F.translate(folded, n_src, n_dst)
+    return F.when(col.rlike("[^\\x00-\\x7F]"), folded).otherwise(col)
 
 
 def _name_core(col: Column | str) -> Column:
@@ -140,6 +157,13 @@ def with_clean_names(df, cols: list[str]):
     return df
 
 
+# ASCII characters the closing-text rule turns into a space: all but a-z, 0-9
+# and Python's ASCII whitespace (by rule)
+_ASCII_SIGNS = "".join(chr(i) for i in range(128)
+                       if not (chr(i).isascii() and (chr(i).islower() and chr(i).isalpha() or chr(i).isdigit()
+                                                     or chr(i).isspace())))
+
+
 def clean_closing_text(col: Column | str) -> Column:
     """Closing-text cleaner: null gives ''; lower; trim; transliterate to ASCII;
     ``_`` and ``-`` to space; other signs to space; spaces collapsed; trimmed."""
@@ -147,8 +171,11 @@ def clean_closing_text(col: Column | str) -> Column:
     s = F.lower(c)
     s = F.regexp_replace(s, f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
     s = _apply_fold(s, closing_fold())
-    s = F.regexp_replace(s, "[_-]", " ")
-    s = F.regexp_replace(s, r"[^a-z0-9áéíóúüñ\t\n\x0b\x0c\r\x1c-\x1f ]", " ")
+    # '_' '-' and every other ASCII sign become a space: one translate (no
+    # per-match regex cost); a leftover non-ASCII character (rare after the
+    # fold) goes through the regex only when present.
+    s = F.translate(s, _ASCII_SIGNS, " " * len(_ASCII_SIGNS))
+    s = F.when(s.rlike("[^\\x00-\\x7F]"), F.regexp_replace(s, "[^\\x00-\\x7Fáéíóúüñ]", " ")).otherwise(s)
     s = F.regexp_replace(s, r"[\t\n\x0b\x0c\r\x1c-\x1f ]+", " ")
     s = F.trim(s)
     return F.coalesce(s, F.lit(""))
