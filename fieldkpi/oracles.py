@@ -482,3 +482,21 @@ def chart_series_sql(table: str, targets=(2.0, 14.0)) -> str:
 SELECT target, list(week_label ORDER BY week) AS labels, list(nuevos ORDER BY week) AS nuevos,
        list(recurrentes ORDER BY week) AS recurrentes, list(migratorios ORDER BY week) AS migratorios
 FROM evo GROUP BY target"""
+
+
+def dashboard_payload_sql(table: str = "orders") -> str:
+    inner = dashboard_kpis_sql(table)
+    lab = K.INDICATORS
+
+    def row(i, base, field):
+        return (f"{{'label': {q(lab[i])}, 'base': first({base}), "
+                f"'vals': list(CAST({field} AS VARCHAR) ORDER BY week)}}")
+
+    rows = ", ".join([row(0, "base_total", "total"), row(1, "base_cis", "cis"), row(2, "base_calls", "calls"),
+                      row(3, "base_contact", "fmt_contact"), row(4, "base_no_contact", "fmt_no_contact"),
+                      row(5, "base_uncovered", "fmt_uncovered")])
+    return f"""WITH k AS (
+{inner}
+)
+SELECT scope, CAST(to_json({{'weeks': list(week_label ORDER BY week), 'rows': [{rows}]}}) AS VARCHAR) AS payload
+FROM k GROUP BY scope"""
