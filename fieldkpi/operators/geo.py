@@ -17,8 +17,6 @@ Plan (no shuffle of the point side):
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,17 +207,3 @@ def assign_zone(points: DataFrame, zones: DataFrame, lon: str = K.COL_LON, lat:
     hits = F.filter("cands", lambda c: _within(c, px, py))
     best = F.array_min(F.transform(hits, lambda c: F.struct(c["priority"].alias("p"), c["zone"].alias("z"))))
     return joined.withColumn(out, best["z"]).drop("__cx", "__cy", "cell_x", "cell_y", "cands")
-
-
-def point_in_zone_sql_edges(rows: list[tuple]) -> str:
-    """VALUES list of (zone, priority, x1, y1, x2, y2) for SQL oracles."""
-    vals = []
-    for zone, _name, prio, *_bbox, edges in rows:
-        for x1, y1, x2, y2 in edges:
-            vals.append(f"({zone!r}, {prio}, {x1!r}, {y1!r}, {x2!r}, {y2!r})")
-    return ",\n".join(vals)
-
-
-def features_from_file(path: str) -> list[dict]:
-    with open(path, encoding="utf-8") as fh:
-        return json.load(fh)["features"]

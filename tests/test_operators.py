@@ -233,3 +233,14 @@ def test_row_labels_match_loop(spark):
             prior[r[2]] = r[3]
             seen.add(r[2])
     assert got == expect
+
+
+def test_one_row_per_week(spark):
+    d = datetime.datetime
+    rows = [(1, d(2025, 1, 6, 9), "A", 1.0), (2, d(2025, 1, 8, 9), "A", 2.0), (3, d(2025, 1, 8, 9), "A", 3.0),
+            (4, d(2025, 1, 14, 9), "A", 4.0)]
+    df = _frame(spark, rows).withColumn("wk", F.to_date(F.date_trunc("week", K.COL_START)))
+    last = sorted(r.row_id for r in evolution.one_row_per_week(df, K.COL_KEY, "wk", keep="last").collect())
+    first = sorted(r.row_id for r in evolution.one_row_per_week(df, K.COL_KEY, "wk", keep="first").collect())
+    assert last == [3, 4]     # equal times: the larger row id is the later row
+    assert first == [1, 4]
