@@ -5,7 +5,7 @@ join, no shuffle). Only texts that no rule resolves reach the fuzzy scorer,
 and they are scored once per *distinct* text: the distinct set is aggregated
 (partial aggregation first, so a hot text costs one row per task), scored in an
 Arrow-batched pandas UDF, written to the checkpoint folder, and joined back —
-broadcast when its measured row count is under a limit, shuffled otherwise.
+broadcast when its measured size is under a limit, shuffled otherwise.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from ..functions.contact import levels
 from ..functions.text import blank_markers, clean_closing_text
 from ..session import cut_lineage
 
-BROADCAST_TEXTS = 200_000
+# broadcast limit for the classified vocabulary, in estimated bytes
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def exact_rule(text: Column) -> Column:
@@ -88,17 +89,19 @@ def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True
 
 def classify_outcomes(df: DataFrame, raw_text: str = K.COL_CLOSING, text_out: str = K.COL_CLEAN_TEXT,
                       out: str = K.COL_CATEGORY, fuzzy_fallback: bool = True,
-                      broadcast_texts: int = BROADCAST_TEXTS) -> DataFrame:
+                      broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach the cleaned text and category of each row's raw closing text.
 
     The vocabulary (distinct raw texts, partially aggregated map-side) is
     cleaned and classified once and written to the checkpoint folder; its
-    measured row count decides between a broadcast and a shuffled join back.
+    measured size (one aggregate over the checkpoint: text bytes plus a per-row
+    overhead) decides between a broadcast and a shuffled join back.
     """
     vocab = cut_lineage(classify_vocabulary(df, raw_text, fuzzy_fallback))
-    n = vocab.count()
+    size = vocab.agg(F.sum(F.coalesce(F.octet_length("raw"), F.lit(0)) + F.octet_length("text")
+                           + F.octet_length("category") + F.lit(48)).alias("b")).first()["b"] or 0
     side = vocab.select(F.col("raw").alias("__raw"), F.col("text").alias(text_out), F.col("category").alias(out))
-    side = F.broadcast(side) if n <= broadcast_texts else side
+    side = F.broadcast(side) if size <= broadcast_bytes else side
     return df.join(side, F.col(raw_text).eqNullSafe(F.col("__raw")), "left").drop("__raw")
 
 

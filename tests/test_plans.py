@@ -34,3 +34,21 @@ def test_write_reports(spark, tmp_path):
     assert (tmp_path / "out" / "data_por_comuna").exists()
     parts = [p.name for p in (tmp_path / "out" / "tableros").iterdir() if p.name.startswith("zone=")]
     assert "zone=2.5" in parts and "zone=14.5" in parts
+
+
+def test_clean_dedup_aggregates_map_side(spark):
+    """The weekly de-dup reduces each (week, key) map-side before the shuffle
+    (partial aggregation), so a hot key never travels whole."""
+    plan = entry.queries()["clean_history"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+
+
+def test_vocabulary_join_without_broadcast(spark):
+    from fieldkpi import constants as K
+    from fieldkpi.operators import classify
+    from fieldkpi.sources.fixtures import interventions
+    raw = interventions(spark, SF, "orders").select(K.COL_ROW_ID, K.COL_SUPERVISOR, K.COL_RESULT)
+    df = raw.withColumn(K.COL_CLOSING, raw[K.COL_RESULT])
+    a = classify.classify_outcomes(df).select(K.COL_ROW_ID, K.COL_CATEGORY)
+    b = classify.classify_outcomes(df, broadcast_bytes=0).select(K.COL_ROW_ID, K.COL_CATEGORY)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
