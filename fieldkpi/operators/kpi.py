@@ -2,9 +2,10 @@
 
 All indicators of one report come out of a single aggregation with
 conditional counts (no per-indicator pass, no join between count series).
-Restrictions to "the last 8 weeks" are a semi join with the 8 latest weeks
-(a bounded, 8-row broadcast side) placed *before* the aggregation, or a rank
-over the already aggregated rows, never a scan per week or per zone.
+Restrictions to "the last 8 weeks" are a filter against the oldest of the 8
+latest weeks (a scalar subquery, which prunes week partitions of a stored
+clean history at run time) placed *before* the aggregation, or a rank over
+the already aggregated rows, never a scan per week or per zone.
 """
 
 from __future__ import annotations
@@ -64,10 +65,15 @@ def dashboard_kpis(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, zones: list
     without rows in a week gets zeros. Contact class: the dashboard rule. One
     grouping-sets aggregation yields the per-zone and the total rows.
     """
-    base = clean.select(week_monday(ts).alias("week"), F.col(zone).alias("zone"), K.COL_STATE, K.COL_RESULT,
-                        K.COL_CARD)
+    # A clean history stored partitioned by week (plans.weekly) carries the week
+    # as a partition column: the semi join with the 8 latest weeks then prunes
+    # partitions at run time and reads those weeks only.
+    wk = F.col(K.WEEK_PART) if K.WEEK_PART in clean.columns else week_monday(ts)
+    base = clean.select(wk.alias("week"), F.col(zone).alias("zone"), K.COL_STATE, K.COL_RESULT, K.COL_CARD)
     weeks = top_weeks(base, "week", last_weeks)
-    base = base.join(F.broadcast(weeks), "week", "left_semi")
+    # week >= the oldest of the latest weeks (a scalar subquery, planned once);
+    # on a week partition column the scan prunes partitions at run time
+    base = base.where(F.col("week") >= weeks.agg(F.min("week")).scalar())
     contact = contact_class_dashboard(K.COL_STATE, K.COL_RESULT, "zone")
     aggs = indicator_aggs(contact, F.col(K.COL_RESULT) == K.RESULT_CIS)
     g = base.groupingSets([["week", "zone"], ["week"]], "week", "zone").agg(*aggs, F.grouping_id().alias("gid"))

@@ -26,7 +26,7 @@ from ..sources.readers import _fs, newest_file, read_batches, read_report
 from ..sources.writers import append_batch, replace_table
 from .clean import clean_history, clean_rows, type_report
 
-WEEK_PART = "semana_part"
+WEEK_PART = K.WEEK_PART
 
 
 @dataclass

@@ -52,3 +52,17 @@ def test_vocabulary_join_without_broadcast(spark):
     a = classify.classify_outcomes(df).select(K.COL_ROW_ID, K.COL_CATEGORY)
     b = classify.classify_outcomes(df, broadcast_bytes=0).select(K.COL_ROW_ID, K.COL_CATEGORY)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_dashboard_prunes_week_partitions(spark, tmp_path):
+    from fieldkpi.plans.weekly import _write_weeks
+    clean = entry._clean(spark, SF)
+    path = str(tmp_path / "clean_by_week")
+    _write_weeks(clean, path, False)
+    stored = spark.read.parquet(path)
+    k = kpi.dashboard_kpis(stored)
+    rows = sorted(map(tuple, k.collect()))
+    plan = k._jdf.queryExecution().executedPlan().toString()
+    pruned = [ln for ln in plan.splitlines() if re.search(r"PartitionFilters: \[[^\]]*semana_part#\d+ >= Subquery", ln)]
+    assert pruned, "the data scan should prune week partitions by the scalar subquery"
+    assert rows == sorted(map(tuple, kpi.dashboard_kpis(clean).collect()))
