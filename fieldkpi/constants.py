@@ -34,7 +34,7 @@ COL_GIVES_DATA = "brinda_datos"
 COL_EVOLUTION = "Tipo_Evolucion"
 COL_WEEK = "Semana"
 COL_ROW_ID = "row_id"  # our own unique tie-breaker; the source relies on row order
-WEEK_PART = "semana_part"  # storage partition column of the clean history (Monday week)
+CLEAN_PART = "mes_part"  # storage partition of the clean history: month ('yyyy-MM') of the Monday week
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: status and result codes

@@ -65,15 +65,16 @@ def dashboard_kpis(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, zones: list
     without rows in a week gets zeros. Contact class: the dashboard rule. One
     grouping-sets aggregation yields the per-zone and the total rows.
     """
-    # A clean history stored partitioned by week (plans.weekly) carries the week
-    # as a partition column: the semi join with the 8 latest weeks then prunes
-    # partitions at run time and reads those weeks only.
-    wk = F.col(K.WEEK_PART) if K.WEEK_PART in clean.columns else week_monday(ts)
-    base = clean.select(wk.alias("week"), F.col(zone).alias("zone"), K.COL_STATE, K.COL_RESULT, K.COL_CARD)
+    base = clean.select(week_monday(ts).alias("week"), F.col(zone).alias("zone"), K.COL_STATE, K.COL_RESULT,
+                        K.COL_CARD, *([K.CLEAN_PART] if K.CLEAN_PART in clean.columns else []))
     weeks = top_weeks(base, "week", last_weeks)
-    # week >= the oldest of the latest weeks (a scalar subquery, planned once);
-    # on a week partition column the scan prunes partitions at run time
-    base = base.where(F.col("week") >= weeks.agg(F.min("week")).scalar())
+    # week >= the oldest of the latest weeks (a scalar subquery, planned once).
+    # A clean history stored by month (plans.weekly) gets the same cutoff on its
+    # partition column, so the scan prunes months at run time.
+    cutoff = weeks.agg(F.min("week")).scalar()
+    if K.CLEAN_PART in clean.columns:
+        base = base.where(F.col(K.CLEAN_PART) >= F.date_format(cutoff, "yyyy-MM")).drop(K.CLEAN_PART)
+    base = base.where(F.col("week") >= cutoff)
     contact = contact_class_dashboard(K.COL_STATE, K.COL_RESULT, "zone")
     aggs = indicator_aggs(contact, F.col(K.COL_RESULT) == K.RESULT_CIS)
     g = base.groupingSets([["week", "zone"], ["week"]], "week", "zone").agg(*aggs, F.grouping_id().alias("gid"))

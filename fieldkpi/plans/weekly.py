@@ -1,12 +1,14 @@
 """The weekly run: newest landed report -> append-only raw history -> clean
 history, updated incrementally.
 
-The clean history is stored partitioned by Monday week. New rows are strictly
-later than the previous high-water mark, so only weeks from the mark's week on
-can change: their raw rows are cleaned again, the evolution labels start from
-each key's last earlier zone (read from the stored clean history), and just
-those week partitions are overwritten (dynamic partition overwrite). The first
-run, or a missing clean table, builds everything.
+The clean history is stored partitioned by month (of each row's Monday week,
+so a week never straddles two partitions). New rows are strictly later than
+the previous high-water mark, so only weeks from the mark's week on can
+change. The update re-cleans the raw rows from the first Monday of the mark's
+month on, starts the evolution labels from each key's last earlier zone (read
+from the stored clean history) and overwrites just those month partitions
+(dynamic partition overwrite). The first run, or a missing clean table,
+builds everything.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from ..sources.readers import _fs, newest_file, read_batches, read_report
 from ..sources.writers import append_batch, replace_table
 from .clean import clean_history, clean_rows, type_report
 
-WEEK_PART = K.WEEK_PART
+CLEAN_PART = K.CLEAN_PART
 
 
 @dataclass
@@ -46,8 +48,9 @@ def _with_row_ids(df: DataFrame, start: int = 0) -> DataFrame:
 
 
 def _write_weeks(clean: DataFrame, path: str, dynamic: bool) -> None:
-    out = clean.withColumn(WEEK_PART, week_monday(K.COL_START)).sortWithinPartitions(K.COL_START)
-    w = out.write.mode("overwrite").option("compression", "snappy").partitionBy(WEEK_PART)
+    out = clean.withColumn(CLEAN_PART, F.date_format(week_monday(K.COL_START), "yyyy-MM"))
+    out = out.sortWithinPartitions(K.COL_START)
+    w = out.write.mode("overwrite").option("compression", "snappy").partitionBy(CLEAN_PART)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
@@ -61,12 +64,15 @@ def build_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: Data
 
 def update_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame,
                  mark: datetime.datetime) -> datetime.date:
-    """Re-clean the raw rows from the mark's week on and overwrite only those
-    week partitions. Returns the first week rewritten."""
-    from_week = (mark - datetime.timedelta(days=mark.weekday())).date()
+    """Re-clean the raw rows from the first Monday of the mark's month on and
+    overwrite only those month partitions. Returns that first Monday."""
+    week = (mark - datetime.timedelta(days=mark.weekday())).date()
+    first_day = week.replace(day=1)
+    from_week = first_day + datetime.timedelta(days=(7 - first_day.weekday()) % 7)
     affected = read_batches(spark, raw_base).where(F.col(K.COL_START) >= F.lit(from_week).cast("timestamp"))
     rows = clean_rows(type_report(affected, strict_coordinates=False), zones)
-    stored = spark.read.parquet(clean_path).drop(WEEK_PART)
+    stored = spark.read.parquet(clean_path)
+    stored = stored.where(F.col(CLEAN_PART) <= F.lit(from_week.strftime("%Y-%m"))).drop(CLEAN_PART)
     # the state is checkpointed, so the write below never reads the path it overwrites
     prior = cut_lineage(prior_state(stored, from_week, rows.select(K.COL_KEY)))
     _write_weeks(label_rows(rows, prior=prior), clean_path, True)

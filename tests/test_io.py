@@ -68,11 +68,11 @@ def test_weekly_run_incremental_equals_rebuild(spark, tmp_path):
     assert hist.count() == len(first) + later
     assert hist.select(K.COL_ROW_ID).distinct().count() == hist.count()
     # the incrementally updated clean history equals a full rebuild
-    from fieldkpi.plans.weekly import WEEK_PART, build_clean
+    from fieldkpi.plans.weekly import CLEAN_PART, build_clean
     full = str(tmp_path / "full")
     build_clean(spark, raw, full, zones)
-    a = spark.read.parquet(clean).drop(WEEK_PART)
-    b = spark.read.parquet(full).drop(WEEK_PART).select(*a.columns)
+    a = spark.read.parquet(clean).drop(CLEAN_PART)
+    b = spark.read.parquet(full).drop(CLEAN_PART).select(*a.columns)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     # same report again: nothing new, nothing rewritten
     r3 = weekly_run(spark, str(land), raw, clean, zones)
