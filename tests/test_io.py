@@ -134,3 +134,15 @@ def test_streaming_ingest(spark, tmp_path):
     q2.awaitTermination(120)
     mark = pd.to_datetime(pdf[K.COL_START]).max()
     assert readers.read_batches(spark, raw).count() == len(pdf) + (pd.to_datetime(pdf2[K.COL_START]) > mark).sum()
+
+
+def test_command_line(spark, tmp_path):
+    from fieldkpi.__main__ import main
+    land, raw, clean = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "clean")
+    land.mkdir()
+    _write_report(_report_rows(spark, "1996-01-01", "1996-04-01"), str(land / "w1.csv"))
+    assert main(["weekly", "--landing", str(land), "--raw", raw, "--clean", clean]) == 0
+    assert main(["dashboard", "--clean", clean, "--out", str(tmp_path / "dash")]) == 0
+    assert (tmp_path / "dash" / "indicators").exists() and (tmp_path / "dash" / "evolution").exists()
+    assert main(["reports", "--clean", clean, "--out", str(tmp_path / "rep"), "--start", "1996-01-01"]) == 0
+    assert (tmp_path / "rep" / "tableros").exists()
