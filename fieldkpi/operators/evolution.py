@@ -2,11 +2,13 @@
 
 The week-by-week state machine of the source (last zone and seen-set per
 person) reduces, once there is one row per (week, person), to a ``lag`` over
-the person's weeks. The reduction to one row per (week, person) is a hash
-aggregation with ``max_by``/``min_by`` (partial aggregation before the shuffle),
+the person's weeks. The reduction to one row per (week, person) is an
+aggregation with ``max_by`` / ``min_by`` and partial (map-side) aggregation,
 so a hot key - for example every foreign document sharing one key - is cut to
-one row per task before it moves. The window then sees at most one row per week
-and person.
+one row per task before it moves. Picks that carry only a zone use a decimal
+(time, row id) key and run as hash aggregations; the clean step keeps whole
+rows, which Spark aggregates by sort. The window then sees at most one row
+per week and person.
 """
 
 from __future__ import annotations
