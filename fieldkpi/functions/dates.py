@@ -36,6 +36,11 @@ def label_iso(d: Column | str) -> Column:
     return F.date_format(_c(d), "yyyy-MM-dd")
 
 
+def label_stamp(ts: Column | str) -> Column:
+    """'dd/mm/YYYY HH:MM' (the dashboard's update stamp)."""
+    return F.date_format(_c(ts), "dd/MM/yyyy HH:mm")
+
+
 def first_number(label: Column | str) -> Column:
     """First run of digits of a label, as int."""
     return F.regexp_extract(_c(label), r"(\d+)", 1).cast("int")

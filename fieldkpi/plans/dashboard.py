@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evolution, kpi
+from ..functions.dates import label_stamp
 from ..sources.writers import write_payload
 
 TARGETS = [2.0, 14.0]
@@ -27,5 +28,6 @@ def dashboard_data(clean: DataFrame, targets: list[float] = TARGETS) -> tuple[Da
 
 def write_dashboard(clean: DataFrame, out: str, targets: list[float] = TARGETS) -> None:
     payload, chart = dashboard_data(clean, targets)
+    payload = payload.withColumn("actualizado", label_stamp(F.current_timestamp()))
     write_payload(payload, f"{out}/indicators")
     write_payload(chart, f"{out}/evolution")

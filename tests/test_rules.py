@@ -100,3 +100,11 @@ def test_pruned_partial_equals_plain_scan():
         s1 = "".join(rnd.choice("abc de") for _ in range(rnd.randint(1, 30)))
         s2 = "".join(rnd.choice("abc def") for _ in range(rnd.randint(len(s1), 400)))
         assert fuzzy._partial_pruned(s1, s2) == fuzzy._partial_short_needle(s1, s2)
+
+
+def test_labels(spark):
+    from fieldkpi.functions.dates import first_number, label_board_week, label_day_month, label_iso, label_stamp
+    df = spark.createDataFrame([(datetime.datetime(2025, 12, 8, 9, 5), "Comuna 14")], "t timestamp, c string")
+    r = df.select(label_board_week(F.to_date("t")), label_day_month(F.to_date("t")), label_iso(F.to_date("t")),
+                  label_stamp("t"), first_number("c")).first()
+    assert tuple(r) == ("Sem 08 Dec", "08 Dec", "2025-12-08", "08/12/2025 09:05", 14)
