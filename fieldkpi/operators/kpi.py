@@ -65,9 +65,17 @@ def dashboard_kpis(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, zones: list
     without rows in a week gets zeros. Contact class: the dashboard rule. One
     grouping-sets aggregation yields the per-zone and the total rows.
     """
+    stored = K.CLEAN_PART in clean.columns
     base = clean.select(week_monday(ts).alias("week"), F.col(zone).alias("zone"), K.COL_STATE, K.COL_RESULT,
-                        K.COL_CARD, *([K.CLEAN_PART] if K.CLEAN_PART in clean.columns else []))
-    weeks = top_weeks(base, "week", last_weeks)
+                        K.COL_CARD, *([K.CLEAN_PART] if stored else []))
+    listing = base
+    if stored:
+        # every month holding data holds a week with data, so the latest weeks
+        # lie in the latest months: those come from the partition column alone
+        months = (clean.select(K.CLEAN_PART).where(F.col(K.CLEAN_PART).isNotNull()).distinct()
+                  .orderBy(F.col(K.CLEAN_PART).desc()).limit(last_weeks))
+        listing = base.where(F.col(K.CLEAN_PART) >= months.agg(F.min(K.CLEAN_PART)).scalar())
+    weeks = top_weeks(listing, "week", last_weeks)
     # week >= the oldest of the latest weeks (a scalar subquery, planned once).
     # A clean history stored by month (plans.weekly) gets the same cutoff on its
     # partition column, so the scan prunes months at run time.
