@@ -146,3 +146,12 @@ def test_command_line(spark, tmp_path):
     assert (tmp_path / "dash" / "indicators").exists() and (tmp_path / "dash" / "evolution").exists()
     assert main(["reports", "--clean", clean, "--out", str(tmp_path / "rep"), "--start", "1996-01-01"]) == 0
     assert (tmp_path / "rep" / "tableros").exists()
+
+
+def test_command_line_views_and_check(spark, tmp_path):
+    from fieldkpi.__main__ import main
+    from __spark_entry__ import _clean
+    path = str(tmp_path / "clean")
+    _clean(spark, SF).write.parquet(path)
+    assert main(["views", "--clean", path]) == 0
+    assert main(["check"]) == 0

@@ -108,3 +108,16 @@ def test_labels(spark):
     r = df.select(label_board_week(F.to_date("t")), label_day_month(F.to_date("t")), label_iso(F.to_date("t")),
                   label_stamp("t"), first_number("c")).first()
     assert tuple(r) == ("Sem 08 Dec", "08 Dec", "2025-12-08", "08/12/2025 09:05", 14)
+
+
+def test_weighted_ratio_public_examples():
+    # plain ratio path (length ratio < 1.5)
+    assert round(fuzzy.wratio("new york mets", "new york meats"), 2) == 96.3
+    # token sort: same words, other order -> 100 * 0.95
+    assert fuzzy.wratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 95.0
+    # partial path: the short side inside the long one -> 100 * 0.9
+    assert fuzzy.partial_ratio("new york mets", "the wonderful new york mets") == 100.0
+    assert fuzzy.wratio("new york mets", "the wonderful new york mets") == 90.0
+    # very different lengths (ratio >= 8) scale partial scores by 0.6
+    long = "no se contacta " + "x" * 150
+    assert fuzzy.wratio("sin cubrir", long) <= 60.0
