@@ -76,13 +76,16 @@ def dashboard_kpis(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, zones: list
                   .orderBy(F.col(K.CLEAN_PART).desc()).limit(last_weeks))
         listing = base.where(F.col(K.CLEAN_PART) >= months.agg(F.min(K.CLEAN_PART)).scalar())
     weeks = top_weeks(listing, "week", last_weeks)
-    # week >= the oldest of the latest weeks (a scalar subquery, planned once).
-    # A clean history stored by month (plans.weekly) gets the same cutoff on its
-    # partition column, so the scan prunes months at run time.
-    cutoff = weeks.agg(F.min("week")).scalar()
-    if K.CLEAN_PART in clean.columns:
+    # On a clean history stored by month (plans.weekly): week >= the oldest of
+    # the latest weeks (a scalar subquery), also applied to the partition
+    # column, so the scan prunes months at run time.
+    if stored:
+        cutoff = weeks.agg(F.min("week")).scalar()
         base = base.where(F.col(K.CLEAN_PART) >= F.date_format(cutoff, "yyyy-MM")).drop(K.CLEAN_PART)
-    base = base.where(F.col("week") >= cutoff)
+        base = base.where(F.col("week") >= cutoff)
+    else:
+        # nothing to prune: an 8-row broadcast semi join keeps a single pass
+        base = base.join(F.broadcast(weeks), "week", "left_semi")
     contact = contact_class_dashboard(K.COL_STATE, K.COL_RESULT, "zone")
     aggs = indicator_aggs(contact, F.col(K.COL_RESULT) == K.RESULT_CIS)
     g = base.groupingSets([["week", "zone"], ["week"]], "week", "zone").agg(*aggs, F.grouping_id().alias("gid"))
