@@ -244,3 +244,27 @@ def test_one_row_per_week(spark):
     first = sorted(r.row_id for r in evolution.one_row_per_week(df, K.COL_KEY, "wk", keep="first").collect())
     assert last == [3, 4]     # equal times: the larger row id is the later row
     assert first == [1, 4]
+
+
+def test_geojson_multipolygon_reader_matches_features(spark, tmp_path):
+    import json
+    feats = [
+        {"type": "Feature", "properties": {"zone": 3.0, "name": "a"},
+         "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [6, 0], [6, 6], [0, 6]]]}},   # ring not closed
+        {"type": "Feature", "properties": {"zone": 9.0, "name": "b"},
+         "geometry": {"type": "MultiPolygon", "coordinates": [
+             [[[10, 0], [12, 0], [12, 2], [10, 2], [10, 0]]],
+             [[[14, 0], [18, 0], [18, 4], [14, 4], [14, 0]], [[15, 1], [17, 1], [17, 3], [15, 3], [15, 1]]]]}},
+    ]
+    p = tmp_path / "zones.geojson"
+    p.write_text(json.dumps({"type": "FeatureCollection", "features": feats}))
+    z_spark = geo.zones_from_geojson(spark, str(p))
+    z_local = geo.zones_from_features(spark, feats)
+    pts = [(i, x + 0.5, y + 0.5) for i, (x, y) in enumerate([(a, b) for a in range(-1, 19) for b in range(-1, 7)])]
+    df = spark.createDataFrame(pts, "id int, lon double, lat double")
+    a = {r.id: r.z for r in geo.assign_zone(df, z_spark, "lon", "lat", "z", cell=1.0).collect()}
+    b = {r.id: r.z for r in geo.assign_zone(df, z_local, "lon", "lat", "z", cell=1.0).collect()}
+    assert a == b
+    got = {(x, y): a[i] for i, x, y in pts}
+    assert got[(1.5, 1.5)] == 3.0 and got[(11.5, 1.5)] == 9.0
+    assert got[(16.5, 2.5)] is None and got[(14.5, 0.5)] == 9.0   # hole of the second part
