@@ -155,3 +155,14 @@ def test_command_line_views_and_check(spark, tmp_path):
     _clean(spark, SF).write.parquet(path)
     assert main(["views", "--clean", path]) == 0
     assert main(["check"]) == 0
+
+
+def test_view_contact_case_equals_rule(spark):
+    from __spark_entry__ import _clean
+    from fieldkpi.functions.contact import contact_class
+    clean = _clean(spark, SF)
+    clean.createOrReplaceTempView("historico_limpio_c")
+    catalog.create_views(spark, "historico_limpio_c", temporary=True)
+    view = spark.table(catalog.ENRICHED_VIEW).select(K.COL_ROW_ID, "Categoria_Contacto")
+    rule = clean.select(K.COL_ROW_ID, contact_class(K.COL_STATE, K.COL_RESULT).alias("Categoria_Contacto"))
+    assert view.exceptAll(rule).count() == 0 and rule.exceptAll(view).count() == 0
