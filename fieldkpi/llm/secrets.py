@@ -98,7 +98,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     got = rows.join(_by_row(docs, id_col, text_col, owner_col, example_owners), "row_key", "left").withColumn(
         "spans", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,stop:int,live:boolean>>")))
     base = F.filter("spans", lambda s: s["kind"] < n_base)
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE)]
+
+    def of_kind(k: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+
+    count = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(BASE)]
     return got.select(
         id_col, *count, _listed(base).alias("base"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
