@@ -121,16 +121,16 @@ def slices(texts: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """Words (runs of non-whitespace bytes) of a slice.
+    """Words (runs of bytes that aren't ``gaps``, by default whitespace) of a slice.
 
     ``start``, ``end``: byte positions; ``doc``: row in the slice; ``first``:
     per row the index of its first word, with one more entry at the end;
     ``hash``: 64-bit hashes of the words with A-Z lower-cased."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, off: np.ndarray, gaps: np.ndarray = WHITESPACE):
         n, rows = len(data), len(off) - 1
         self.data, self.off, self.rows = data, off, rows
-        solid = ~WHITESPACE[data]
+        solid = ~gaps[data]
         edge = np.zeros(n + 1, bool)
         edge[off] = True
         before = np.zeros(n, bool)
@@ -141,7 +141,7 @@ class Words:
         self.end = np.flatnonzero(solid & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, off)
         self.doc = np.repeat(np.arange(rows), np.diff(self.first))
-        self.low = LOWER[data] if lower else data
+        self.low = LOWER[data]
 
     def hashes(self) -> np.ndarray:
         p, inv = powers(len(self.data) + 1)

@@ -12,12 +12,19 @@
    with a probability of about 1e-5).
 3. Every candidate is confirmed on the full sets of both texts.
 
-Pairs inside a hot list are not all formed. First each class is held against
-the pivot (of up to four lists' smallest hashes) that agrees best with it; links give
-components. Then lists that still hold more than one component are worked on:
-members against pivots of other components, then all pairs that still cross
-components. Pairs inside a component can't change the result; none other is
-left out, whatever a list's length.
+Pairs inside a hot list are not all formed, and no link is lost for it:
+
+- Every list has a pivot, its most central class (by its tokens' frequencies).
+  Members are held against it; links give components. Lists that still hold more
+  than one component get a second pivot outside the first one's component.
+- What is left are pairs in different components. For two members x and y of one
+  pivot p, differences from p tell: if x isn't linked to p, x and y can only be
+  similar enough if they share a shingle that p lacks, or if y has fewer
+  shingles than p by a margin that grows with x's distance from p. So members
+  are joined on shingles that their pivot lacks, which are rare; and the few
+  within the margin on the prefix of the shingles that they share with p.
+- Members that hold another pivot than their list's are joined within the list
+  with those that share no pivot with them.
 
 Rows without words link with nothing. A null id takes no part: its row is kept,
 with a null component. Rows that repeat an id are one document, and stand or
@@ -38,7 +45,8 @@ WIDTH = 5
 SIMILARITY_PCT = 75
 COORDS = 64
 MATCH = 32
-PIVOTS = 4
+PIVOT_MATCH = 16  # coordinates in which a class agrees with a pivot that it holds
+PIVOTS = 4  # that a class holds
 
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 1 << 63, COORDS, dtype=U64) | U64(1)
@@ -112,58 +120,114 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
 
     tokens = classes.select("rep", F.explode("sig").alias("token"))
     lists = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    prefix = (tokens.join(lists, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"))
-              .where(F.size("t") >= MATCH).select("rep", F.explode(F.slice("t", F.lit(1), F.size("t") - (MATCH - 1))).alias("t")))
-    posts = stored(prefix.select("rep", F.col("t.token").alias("token")).distinct(), "nd_post")
+    prefix = (tokens.join(lists, "token").groupBy("rep").agg(
+        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"), F.sum(F.floor(F.log2("n") * 16)).alias("central"))
+        .where(F.size("t") >= MATCH).select("rep", "central", F.explode(F.slice("t", F.lit(1), F.size("t") - (MATCH - 1))).alias("t")))
+    posts = stored(prefix.select("rep", "central", F.col("t.token").alias("token")).distinct(), "nd_post")
     sigs = stored(classes.select("rep", "sig").join(posts.select("rep").distinct(), "rep", "left_semi"), "nd_psig")
     texts = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                    .join(posts.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "nd_text")
 
     # rows that repeat an id join their classes
     many = members.where("rep IS NOT NULL").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    edges = members.where("rep IS NOT NULL").join(many.select("id", "a"), "id").select("a", F.col("rep").alias("b")).where("a <> b")
+    edges = members.where("rep IS NOT NULL").join(many.select("id", "a"), "id").where("a <> rep").select("a", F.col("rep").alias("b"))
 
-    def agreeing(pairs: DataFrame) -> DataFrame:
-        p = (pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-             .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b"))
+    def against(pairs: DataFrame) -> DataFrame:
+        """rep, p and the number of coordinates in which their signatures agree."""
+        q = (pairs.join(sigs.select("rep", F.col("sig").alias("sa")), "rep").join(sigs.select(F.col("rep").alias("p"), F.col("sig").alias("sb")), "p"))
         same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
-        return p.select("a", "b", same.alias("agree")).where(F.col("agree") >= MATCH)
+        return q.select("rep", "p", same.alias("agree"))
 
-    def with_pivots(p: DataFrame, salt: int) -> DataFrame:
-        """(rep, pivot) for members and list pivots of different components; p has rep, token, c."""
-        keys = [F.struct(F.xxhash64(F.lit(salt + r), "rep").alias("k"), F.col("rep").alias("p"), F.col("c").alias("pc")) for r in range(PIVOTS)]
-        piv = p.groupBy("token").agg(*[F.min(k).alias(f"p{r}") for r, k in enumerate(keys)])
-        best = p.join(piv, "token").groupBy("rep").agg(
-            *[F.min(F.when(F.col(f"p{r}.pc") != F.col("c"), F.col(f"p{r}"))).alias(f"p{r}") for r in range(PIVOTS)])
-        return (best.select("rep", F.explode(F.array(*[F.col(f"p{r}.p") for r in range(PIVOTS)])).alias("p")).where("p IS NOT NULL")
-                .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"), "rep").distinct())
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = pairs.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
+        return _confirm(near, texts, width, pct)
 
     def crossing(found: DataFrame) -> DataFrame:
         """Postings of the lists that hold more than one component, with it."""
         p = posts.join(components(found).withColumnRenamed("node", "rep"), "rep", "left").select(
-            "token", "rep", F.coalesce("component", "rep").alias("c"))
+            "token", "rep", "central", F.coalesce("component", "rep").alias("c"))
         mixed = p.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("token")
         return stored(p.join(mixed, "token", "left_semi"), "nd_cross")
 
-    first = with_pivots(posts.withColumn("c", F.col("rep")), 0)
-    best = agreeing(first.select("a", "b").distinct()).join(first, ["a", "b"]).groupBy("rep").agg(
-        F.max(F.struct("agree", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
-    best = stored(best, "nd_pairs")
-    found = stored(edges.select("a", "b").unionAll(_confirm(best, texts, width, pct)), "nd_edge")
-    tested = best
+    centre = F.max(F.struct("central", "rep")).alias("x")
+    first = posts.groupBy("token").agg(centre).select("token", F.col("x.rep").alias("p"))
+    tried = stored(against(posts.join(first, "token").where("rep <> p").select("rep", "p").distinct()).where(F.col("agree") >= PIVOT_MATCH), "nd_pairs")
+    found = stored(edges.unionAll(linked(tried.where(F.col("agree") >= MATCH))), "nd_edge")
     cross = crossing(found)
-    if not cross.isEmpty():
-        more = stored(agreeing(with_pivots(cross, PIVOTS).select("a", "b").distinct()).select("a", "b")
-                      .join(tested, ["a", "b"], "left_anti"), "nd_pairs")
-        found = stored(found.unionAll(_confirm(more, texts, width, pct)), "nd_edge")
-        tested = tested.unionAll(more)
-        cross = crossing(found)
-        x, y = cross.alias("x"), cross.alias("y")
-        rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")))
-                .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-        rest = stored(agreeing(rest).select("a", "b").join(tested, ["a", "b"], "left_anti"), "nd_pairs")
-        found = stored(found.unionAll(_confirm(rest, texts, width, pct)), "nd_edge")
-    return members, found
+    if pct >= 100 or cross.isEmpty():
+        return members, found
+
+    lead = cross.groupBy("token").agg(F.max(F.struct("central", "rep", "c")).alias("x")).select("token", F.col("x.c").alias("lead"))
+    others = cross.join(lead, "token").where("c <> lead")
+    second = others.groupBy("token").agg(centre).select("token", F.col("x.rep").alias("p"))
+    more = stored(against(others.join(second, "token").where("rep <> p").select("rep", "p").distinct()
+                          .join(tried, ["rep", "p"], "left_anti")).where(F.col("agree") >= PIVOT_MATCH), "nd_pairs")
+    found = stored(found.unionAll(linked(more.where(F.col("agree") >= MATCH))), "nd_edge")
+    cross = crossing(found)
+    if cross.isEmpty():
+        return members, found
+
+    # every class's best pivots; a pivot has itself
+    c = cross.select("rep", "c").distinct()
+    pivots = tried.unionAll(more).join(c.select("rep"), "rep", "left_semi")
+    pivots = pivots.unionAll(pivots.select(F.col("p").alias("rep"), "p", F.lit(COORDS).alias("agree")).distinct()).join(c, "rep")
+    own = stored(pivots.groupBy("rep", "c").agg(F.slice(F.sort_array(F.collect_set(F.struct("agree", "p")), asc=False), 1, PIVOTS).alias("x"))
+                 .select("rep", "c", F.col("x.p").alias("ps")), "nd_pivot")
+    pairs = _same_pivot(own.select("rep", "c", F.explode("ps").alias("p")), texts, width, pct)
+    listed = cross.select("token", "rep", "c").join(own.select("rep", "ps"), "rep", "left").join(first, "token")
+    none = F.array().cast(own.schema["ps"].dataType)
+    listed = listed.select("token", "rep", "c", "p", F.coalesce("ps", none).alias("ps"))
+    x, y = listed.where(~F.array_contains("ps", F.col("p"))).alias("x"), listed.alias("y")
+    astray = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & ~F.arrays_overlap("x.ps", "y.ps"))
+              .select(F.least("x.rep", "y.rep").alias("rep"), F.greatest("x.rep", "y.rep").alias("p")).distinct())
+    astray = against(astray).where(F.col("agree") >= MATCH).select("rep", "p")
+    rest = stored(pairs.select(F.col("a").alias("rep"), F.col("b").alias("p")).unionAll(astray), "nd_pairs")
+    return members, stored(found.unionAll(linked(rest)), "nd_edge")
+
+
+def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components ``c`` that hold the same
+    pivot ``p`` and that may be similar enough by their differences from it.
+
+    For a class x: ``plus`` shingles that p lacks, ``minus`` shingles of p that x
+    lacks, and ``far`` = f * (plus + minus) - |x| - |p| with f = (100 + pct) / (100 - pct),
+    above 0 if x isn't linked to p. If x and y share no plus shingle, they differ
+    by at least plus_x + minus_x + plus_y - minus_y, so that a link needs
+    far_x <= (f - 1) * (minus_y - plus_y)."""
+    f = (100 + pct) / (100 - pct)
+    both = (held.join(texts.select(F.col("id").alias("rep"), F.col("text").alias("t")), "rep")
+            .join(texts.select(F.col("id").alias("p"), F.col("text").alias("tp")), "p").select("rep", "p", "c", "t", "tp"))
+
+    def differ(batches):
+        for batch in batches:
+            left, right = text_array(batch.column(3)), text_array(batch.column(4))
+            for lo in range(0, len(left), 64):
+                rows = [batch.column(k).slice(lo, 64) for k in range(3)]
+                sets = [[s for _, _, data, off in slices(t.slice(lo, 64)) for s in shingle_sets(data, off, width)] for t in (left, right)]
+                plus, keep, far, short = [], [], [], []
+                for x, p in zip(*sets):
+                    inside = np.isin(x, p, assume_unique=True)
+                    add, kept = x[~inside], x[inside]
+                    gone = len(p) - len(kept)
+                    plus.append(add.view(np.int64))
+                    keep.append(kept[: max(0, len(kept) - -(-pct * len(x) // 100) + 1)].view(np.int64))
+                    far.append(f * (len(add) + gone) - len(x) - len(p))
+                    short.append((f - 1) * (gone - len(add)))
+                lists = [pa.array(v, pa.list_(pa.int64())) for v in (plus, keep)]
+                yield pa.RecordBatch.from_arrays([*rows, *lists, pa.array(far, pa.float64()), pa.array(short, pa.float64())],
+                                                 names=["rep", "p", "c", "plus", "keep", "far", "short"])
+    kind = held.schema["rep"].dataType.simpleString()
+    d = stored(both.mapInArrow(differ, f"rep {kind}, p {kind}, c {kind}, plus array<long>, keep array<long>, far double, short double"), "nd_differ")
+    bound = d.groupBy("p").agg(F.max("short").alias("most"), F.min(F.when(F.col("far") > 0, F.col("far"))).alias("least"))
+    within = d.join(bound, "p").where(((F.col("far") > 0) & (F.col("far") <= F.col("most"))) | (F.col("short") >= F.col("least")))
+    shared = (d.select("p", "rep", "c", "far", F.lit(0).alias("kind"), F.explode("plus").alias("s"))
+              .unionAll(within.select("p", "rep", "c", "far", F.lit(1).alias("kind"), F.explode("keep").alias("s"))))
+    often = shared.groupBy("p", "kind", "s").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("p", "kind", "s")
+    shared = stored(shared.join(often, ["p", "kind", "s"], "left_semi"), "nd_shared")
+    x, y = shared.alias("x"), shared.alias("y")
+    return (x.join(y, (F.col("x.p") == F.col("y.p")) & (F.col("x.kind") == F.col("y.kind")) & (F.col("x.s") == F.col("y.s"))
+                   & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & ((F.col("x.far") > 0) | (F.col("y.far") > 0)))
+            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
