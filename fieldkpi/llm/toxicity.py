@@ -24,7 +24,7 @@ from fieldkpi.llm.common import U64, Words, mix, sample_fraction, slices, text_a
 
 FIT_ROWS = 12_000
 BITS = 20
-EPOCHS = 3
+EPOCHS = 4
 THRESHOLD = 0.7
 GAPS = np.ones(256, bool)
 GAPS[48:58] = GAPS[65:91] = GAPS[97:123] = GAPS[128:] = False
@@ -45,7 +45,7 @@ def coordinates(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Ftrl:
     """State per coordinate; the last one is the intercept, without penalty."""
 
-    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 1.0, l2: float = 0.1):
+    def __init__(self, alpha: float = 6.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.1):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z = np.zeros((1 << BITS) + 1)
         self.n = np.zeros((1 << BITS) + 1)
