@@ -23,8 +23,7 @@ Pairs inside a hot list are not all formed, and no link is lost for it:
   shingles than p by a margin that grows with x's distance from p. So members
   are joined on shingles that their pivot lacks, which are rare; and the few
   within the margin on the prefix of the shingles that they share with p.
-- Members that hold another pivot than their list's are joined within the list
-  with those that share no pivot with them.
+- For that, every list takes the pivot that most of its members agree with best.
 
 Rows without words link with nothing. A null id takes no part: its row is kept,
 with a null component. Rows that repeat an id are one document, and stand or
@@ -45,8 +44,7 @@ WIDTH = 5
 SIMILARITY_PCT = 75
 COORDS = 64
 MATCH = 32
-PIVOT_MATCH = 16  # coordinates in which a class agrees with a pivot that it holds
-PIVOTS = 4  # that a class holds
+PIVOT_MATCH = 16  # coordinates in which a class agrees with a pivot that it votes for
 
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 1 << 63, COORDS, dtype=U64) | U64(1)
@@ -167,21 +165,16 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     if cross.isEmpty():
         return members, found
 
-    # every class's best pivots; a pivot has itself
+    # each list gets the pivot that most of its members hold, and so has one whose differences settle all its pairs
     c = cross.select("rep", "c").distinct()
-    pivots = tried.unionAll(more).join(c.select("rep"), "rep", "left_semi")
-    pivots = pivots.unionAll(pivots.select(F.col("p").alias("rep"), "p", F.lit(COORDS).alias("agree")).distinct()).join(c, "rep")
-    own = stored(pivots.groupBy("rep", "c").agg(F.slice(F.sort_array(F.collect_set(F.struct("agree", "p")), asc=False), 1, PIVOTS).alias("x"))
-                 .select("rep", "c", F.col("x.p").alias("ps")), "nd_pivot")
-    pairs = _same_pivot(own.select("rep", "c", F.explode("ps").alias("p")), texts, width, pct)
-    listed = cross.select("token", "rep", "c").join(own.select("rep", "ps"), "rep", "left").join(first, "token")
-    none = F.array().cast(own.schema["ps"].dataType)
-    listed = listed.select("token", "rep", "c", "p", F.coalesce("ps", none).alias("ps"))
-    x, y = listed.where(~F.array_contains("ps", F.col("p"))).alias("x"), listed.alias("y")
-    astray = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & ~F.arrays_overlap("x.ps", "y.ps"))
-              .select(F.least("x.rep", "y.rep").alias("rep"), F.greatest("x.rep", "y.rep").alias("p")).distinct())
-    astray = against(astray).where(F.col("agree") >= MATCH).select("rep", "p")
-    rest = stored(pairs.select(F.col("a").alias("rep"), F.col("b").alias("p")).unionAll(astray), "nd_pairs")
+    near = tried.unionAll(more).join(c.select("rep"), "rep", "left_semi")
+    near = near.unionAll(near.select(F.col("p").alias("rep"), "p", F.lit(COORDS).alias("agree")).distinct())
+    near = near.groupBy("rep").agg(F.max(F.struct("agree", "p")).alias("x")).select("rep", F.col("x.p").alias("p"))
+    votes = cross.join(near, "rep").groupBy("token", "p").agg(F.count("*").alias("n"))
+    mode = votes.groupBy("token").agg(F.max(F.struct("n", "p")).alias("x")).select("token", F.col("x.p").alias("mode"))
+    settled = first.join(mode, "token", "left").select("token", F.coalesce("mode", "p").alias("p"))
+    held = stored(cross.join(settled, "token").select("rep", "c", "p").distinct(), "nd_held")
+    rest = stored(_same_pivot(held, texts, width, pct).select(F.col("a").alias("rep"), F.col("b").alias("p")), "nd_pairs")
     return members, stored(found.unionAll(linked(rest)), "nd_edge")
 
 
@@ -193,7 +186,13 @@ def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> Data
     lacks, and ``far`` = f * (plus + minus) - |x| - |p| with f = (100 + pct) / (100 - pct),
     above 0 if x isn't linked to p. If x and y share no plus shingle, they differ
     by at least plus_x + minus_x + plus_y - minus_y, so that a link needs
-    far_x <= (f - 1) * (minus_y - plus_y)."""
+    far_x <= (f - 1) * (minus_y - plus_y).
+
+    A linked class also shares at least pct % of x, so that many of x's plus
+    shingles if p has few of x: then only x's rarest ones need be looked up. And
+    two linked classes share at least (plus_x + minus_x + plus_y + minus_y -
+    (|x| + |y|) / f) / 2 - min(minus_x, minus_y) plus shingles, which can't be
+    more than either shares with any class at all."""
     f = (100 + pct) / (100 - pct)
     both = (held.join(texts.select(F.col("id").alias("rep"), F.col("text").alias("t")), "rep")
             .join(texts.select(F.col("id").alias("p"), F.col("text").alias("tp")), "p").select("rep", "p", "c", "t", "tp"))
@@ -204,29 +203,42 @@ def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> Data
             for lo in range(0, len(left), 64):
                 rows = [batch.column(k).slice(lo, 64) for k in range(3)]
                 sets = [[s for _, _, data, off in slices(t.slice(lo, 64)) for s in shingle_sets(data, off, width)] for t in (left, right)]
-                plus, keep, far, short = [], [], [], []
+                plus, keep, far, short, opened, minus = [], [], [], [], [], []
                 for x, p in zip(*sets):
                     inside = np.isin(x, p, assume_unique=True)
                     add, kept = x[~inside], x[inside]
                     gone = len(p) - len(kept)
                     plus.append(add.view(np.int64))
                     keep.append(kept[: max(0, len(kept) - -(-pct * len(x) // 100) + 1)].view(np.int64))
+                    need = max(1, -(-pct * len(x) // 100) - len(kept))  # plus shingles that a linked class shares at least
+                    opened.append(max(0, len(add) - need + 1))
                     far.append(f * (len(add) + gone) - len(x) - len(p))
+                    minus.append(gone)
                     short.append((f - 1) * (gone - len(add)))
                 lists = [pa.array(v, pa.list_(pa.int64())) for v in (plus, keep)]
-                yield pa.RecordBatch.from_arrays([*rows, *lists, pa.array(far, pa.float64()), pa.array(short, pa.float64())],
-                                                 names=["rep", "p", "c", "plus", "keep", "far", "short"])
+                yield pa.RecordBatch.from_arrays([*rows, *lists, pa.array(far, pa.float64()), pa.array(short, pa.float64()), pa.array(opened, pa.int32()),
+                                                 pa.array(minus, pa.int32()), pa.array([len(x) for x in sets[0]], pa.int32())],
+                                                 names=["rep", "p", "c", "plus", "keep", "far", "short", "open", "minus", "size"])
     kind = held.schema["rep"].dataType.simpleString()
-    d = stored(both.mapInArrow(differ, f"rep {kind}, p {kind}, c {kind}, plus array<long>, keep array<long>, far double, short double"), "nd_differ")
+    d = stored(both.mapInArrow(differ, f"rep {kind}, p {kind}, c {kind}, plus array<long>, keep array<long>, far double, short double, open int, minus int, size int"), "nd_differ")
     bound = d.groupBy("p").agg(F.max("short").alias("most"), F.min(F.when(F.col("far") > 0, F.col("far"))).alias("least"))
     within = d.join(bound, "p").where(((F.col("far") > 0) & (F.col("far") <= F.col("most"))) | (F.col("short") >= F.col("least")))
-    shared = (d.select("p", "rep", "c", "far", F.lit(0).alias("kind"), F.explode("plus").alias("s"))
-              .unionAll(within.select("p", "rep", "c", "far", F.lit(1).alias("kind"), F.explode("keep").alias("s"))))
-    often = shared.groupBy("p", "kind", "s").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("p", "kind", "s")
-    shared = stored(shared.join(often, ["p", "kind", "s"], "left_semi"), "nd_shared")
+    facts = ["p", "rep", "c", "far", "short", "size", "minus", F.size("plus").alias("a")]
+    each = (d.select(*facts, F.lit(0).alias("kind"), F.explode("plus").alias("s"), F.size("plus").alias("n"), "open")
+            .unionAll(within.select(*facts, F.lit(1).alias("kind"), F.explode("keep").alias("s"), F.size("keep").alias("n"), F.size("keep").alias("open"))))
+    often = each.groupBy("p", "kind", "s").agg(F.count("*").alias("f"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("f > 1")
+    facts = ["p", "rep", "c", "far", "short", "size", "minus", "a", "kind"]
+    ranked = (each.join(often, ["p", "kind", "s"]).groupBy(*facts, "n", "open")
+              .agg(F.sort_array(F.collect_list(F.struct("f", "s", (F.col("c0") != F.col("c1")).alias("mixed")))).alias("x")))
+    # of each class the ``open`` rarest, of which those in one component only are skipped
+    shared = stored(ranked.select(*facts, F.size("x").alias("most"), F.explode(F.slice("x", F.lit(1), F.greatest(F.lit(0), F.col("open") - F.col("n") + F.size("x")))).alias("x"))
+                    .where("x.mixed").select(*facts, "most", F.col("x.s").alias("s")), "nd_shared")
     x, y = shared.alias("x"), shared.alias("y")
+    fewest = (F.col("x.a") + F.col("x.minus") + F.col("y.a") + F.col("y.minus") - (F.col("x.size") + F.col("y.size")) / f) / 2 - F.least("x.minus", "y.minus")
+    either = ((F.col("x.far") > 0) & (F.col("x.far") <= F.col("y.short"))) | ((F.col("y.far") > 0) & (F.col("y.far") <= F.col("x.short")))
+    may = F.when(F.col("x.kind") == 0, (fewest <= F.least("x.most", "y.most")) & ((F.col("x.far") > 0) | (F.col("y.far") > 0))).otherwise(either)
     return (x.join(y, (F.col("x.p") == F.col("y.p")) & (F.col("x.kind") == F.col("y.kind")) & (F.col("x.s") == F.col("y.s"))
-                   & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & ((F.col("x.far") > 0) | (F.col("y.far") > 0)))
+                   & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & may)
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
 
 
