@@ -18,12 +18,6 @@ from . import constants as K
 from .session import get_spark
 
 
-def _zones(spark, path: str | None):
-    from .operators import geo
-    from .sources.zones import demo_zones
-    return geo.zones_from_geojson(spark, path) if path else demo_zones(spark)
-
-
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="fieldkpi")
     ap.add_argument("--master", default=None, help="Spark master (leave unset under spark-submit)")
@@ -32,7 +26,9 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--landing", required=True)
     w.add_argument("--raw", required=True)
     w.add_argument("--clean", required=True)
-    w.add_argument("--zones", default=None, help="GeoJSON zone layer (default: the demo layer)")
+    w.add_argument("--zones", required=True, action="append", metavar="LAYER",
+                   help="GeoJSON layer, repeatable: PATH (codes in property zone), PATH@PROPERTY or PATH=CODE")
+    w.add_argument("--lenient-coordinates", action="store_true", help="bad coordinate text gives no zone instead of an error")
     w.add_argument("--table", default=None)
     w.add_argument("--glob", default="*.csv")
     d = sub.add_parser("dashboard")
@@ -49,9 +45,10 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_spark(args.master)
     if args.cmd == "weekly":
+        from .operators.geo import zone_layers
         from .plans.weekly import weekly_run
-        res = weekly_run(spark, args.landing, args.raw, args.clean, _zones(spark, args.zones), args.table,
-                         args.glob)
+        res = weekly_run(spark, args.landing, args.raw, args.clean, zone_layers(spark, args.zones), args.table,
+                         args.glob, strict_coordinates=not args.lenient_coordinates)
         print(json.dumps({"report": res.report, "appended": res.appended, "raw_batch": res.raw_batch,
                           "rebuilt": res.rebuilt, "from_week": str(res.from_week) if res.from_week else None}))
     elif args.cmd == "dashboard":

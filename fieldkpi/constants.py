@@ -32,7 +32,6 @@ COL_CATEGORY = "categoria_final"
 COL_CONTACT_LEVEL = "contacto"
 COL_GIVES_DATA = "brinda_datos"
 COL_EVOLUTION = "Tipo_Evolucion"
-COL_WEEK = "Semana"
 COL_ROW_ID = "row_id"  # our own unique tie-breaker; the source relies on row order
 CLEAN_PART = "mes_part"  # storage partition of the clean history: month ('yyyy-MM') of the Monday week
 
@@ -55,7 +54,6 @@ CATEGORY_CIS = "traslado efectivo a cis"
 CONTACT = "Se contacta"
 NO_CONTACT = "No se contacta"
 UNCOVERED = "Sin cubrir"
-CONTACT_CLASSES = [CONTACT, NO_CONTACT, UNCOVERED]
 
 # zones whose pending rows are not forced to "Sin cubrir" in the dashboard rule
 PENDING_EXCEPTION_ZONES = [2, 14]
@@ -197,6 +195,8 @@ REGULAR_PRIORITY = 2
 INDICATORS = ["Intervenciones totales", "Derivaciones CIS", "Llamados 108",
               "% Se contacta", "% No se contacta", "% Sin cubrir"]
 # sheet boards
+BOARD_INDICATORS = ["Intervenciones totales", "Derivaciones CIS", "Llamados 108",
+                    "% Contacta", "% No se contacta", "% Sin cubrir"]
 BOARD_BASELINE_ZONE2 = ["341", "26", "175", "38%", "53%", "9%"]
 BOARD_BASELINE_ZONE14 = ["47", "2", "31", "98%", "6%", "3%"]
 BOARD_BASELINE_CITY = ["4767", "517", "2972", "48%", "45%", "7%"]

@@ -14,9 +14,9 @@ from .text import PY_SPACE_CLASS
 
 @functools.lru_cache(maxsize=1)
 def _decimal_digits() -> tuple[str, str]:
-    """Every non-ASCII decimal digit of the BMP and its ASCII value (by rule)."""
+    """Every non-ASCII decimal digit and its ASCII value (by rule)."""
     src, dst = [], []
-    for cp in range(0x80, 0x10000):
+    for cp in range(0x80, 0x110000):
         ch = chr(cp)
         if unicodedata.category(ch) == "Nd":
             src.append(ch)
@@ -49,7 +49,7 @@ def _cascade(raw: Column, s: Column, low: Column, digits: Column, has_letter: Co
         .when(symbols, pick(nb, K.REASON_SYMBOLS))
         .when(repeated, pick(nb, K.REASON_REPEATED))
         .when(foreign, pick(F.lit(K.KEY_FOREIGN), K.REASON_FOREIGN))
-        .when(n_digits.between(6, 10), pick(digits.cast("decimal(20,0)"), K.REASON_VALID))
+        .when(n_digits.between(6, 10), pick(digits.try_cast("decimal(20,0)"), K.REASON_VALID))
         .when((n_digits < 6) | has_letter, pick(nb, K.REASON_TEXT_SHORT))
         .otherwise(pick(nb, K.REASON_REST))
     )

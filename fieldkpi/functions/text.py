@@ -26,7 +26,7 @@ def _strip_marks(s: str, form: str) -> str:
 
 @functools.lru_cache(maxsize=1)
 def name_fold() -> tuple[str, str, dict[str, str]]:
-    """Per-character image of the name cleaner, over the Basic Multilingual Plane.
+    """Per-character image of the name cleaner, over all of Unicode.
 
     Rule: upper-case, canonical decomposition, drop non-spacing marks, turn
     ``- . ,`` into a space, keep only ``A-Z`` and space. Returns the translate
@@ -35,10 +35,12 @@ def name_fold() -> tuple[str, str, dict[str, str]]:
     """
     src, dst = [], []
     multi: dict[str, list[str]] = {}
-    for cp in range(0x10000):
+    for cp in range(0x110000):
         if 0xD800 <= cp <= 0xDFFF:
             continue
         ch = chr(cp)
+        if cp >= 0x250 and ch.upper() == ch and not unicodedata.decomposition(ch):
+            continue  # its own image, so dropped
         img = _strip_marks(ch.upper(), "NFD")
         img = re.sub(r"[-.,]", " ", img)
         img = re.sub(r"[^A-Z ]", "", img)
@@ -64,33 +66,62 @@ CLOSING_SPECIAL = {
 }
 
 
+# FIXED VALUES: transliterations of lower-case Greek and Cyrillic letters
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l",
+    "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t", "υ": "u", "φ": "ph",
+    "χ": "kh", "ψ": "ps", "ω": "o",
+}
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k",
+    "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh",
+    "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "\"", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia",
+    "ё": "io", "ђ": "dj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "ch",
+    "ў": "u", "џ": "dzh", "ґ": "g",
+}
+_LETTERS = GREEK | CYRILLIC
+
+
 @functools.lru_cache(maxsize=1)
 def closing_fold() -> tuple[str, str, dict[str, str]]:
-    """Per-character ASCII transliteration of lower-cased text (BMP).
+    """Per-character ASCII transliteration of lower-cased text, all of Unicode.
 
-    Rule: CLOSING_SPECIAL first; whitespace -> space; marks and format
-    characters vanish; otherwise the compatibility decomposition without marks
-    when it is ASCII. Characters without an image are left for the sign rule.
+    Rule: CLOSING_SPECIAL and the letter tables first; whitespace -> space;
+    marks and format characters vanish; otherwise the compatibility
+    decomposition without marks, each of its characters by the same rule.
+    Characters without an image are left for the sign rule.
     """
     keep: list[tuple[str, str]] = []
     drop: list[str] = []
     multi: dict[str, list[str]] = {}
-    for cp in range(0x80, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
+
+    def image(ch: str) -> str | None:
+        if ch.isascii():
+            return ch
+        if ch in CLOSING_SPECIAL:
+            return CLOSING_SPECIAL[ch]
+        if ch in _LETTERS:
+            return _LETTERS[ch]
+        if ch == "\u2044":  # fraction slash
+            return "/"
+        if ch.isspace():
+            return " "
+        if unicodedata.category(ch) in ("Mn", "Me", "Cf"):
+            return ""
+        parts = unicodedata.normalize("NFKD", ch)
+        if parts == ch:
+            return None
+        images = [image(c.lower()) for c in parts]
+        return None if None in images or not "".join(images) else "".join(images)
+
+    for cp in range(0x80, 0x110000):
+        if 0xD800 <= cp <= 0xDFFF or 0xAC00 <= cp <= 0xD7A3:
             continue
         ch = chr(cp)
-        if ch in CLOSING_SPECIAL:
-            img = CLOSING_SPECIAL[ch]
-        elif ch.isspace():
-            img = " "  # whitespace of any kind becomes a plain space
-        elif unicodedata.category(ch) in ("Mn", "Me", "Cf"):
-            img = ""  # marks and format characters vanish
-        else:
-            img = _strip_marks(ch, "NFKD")
-            if not img or not img.isascii():
-                continue  # no ASCII image: left to the sign rule (becomes a space)
-            if len(img) > 1 and not (cp < 0x250 or 0xFB00 <= cp <= 0xFB06):
-                continue  # multi-letter images only for Latin letters and ligatures
+        img = image(ch)
+        if img is None:
+            continue
+        img = img.lower() if ch not in CLOSING_SPECIAL else img
         if img == "":
             drop.append(ch)
         elif len(img) == 1:
@@ -112,10 +143,12 @@ def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
     """Apply a per-character fold.
 
     ASCII entries (the name fold's a-z and ``-.,``) go through one small
-    ``translate``. Non-ASCII entries - multi-character images as literal
-    replaces (no regex, no copy when absent), the rest in one ``translate`` -
-    run only for texts that hold a non-ASCII character (one scan decides).
-    Images are ASCII and already final, so the two parts do not interact.
+    ``translate``. Non-ASCII entries run only for texts that hold a non-ASCII
+    character (one scan decides): single-character images in one ``translate``;
+    multi-character ones of letters in common use as literal replaces (no regex,
+    no copy when absent); the many rare ones (squared units, circled and
+    enclosed signs ...) by a lookup per character, only for texts that still
+    hold one. Images are ASCII and already final, so the parts don't interact.
     """
     src, dst, multi = fold
     n_kept = len(dst)
@@ -127,11 +160,18 @@ def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
     n_dst = "".join(d for c, d in pairs if ord(c) >= 128)
     if a_src:
         col = F.translate(col, a_src, a_dst)
-    folded = col
+    folded = F.translate(col, n_src, n_dst)
+    rare = {}
     for img, chars in multi.items():
         for ch in chars:
-            folded = F.replace(folded, F.lit(ch), F.lit(img))
-    folded = F.translate(folded, n_src, n_dst)
+            if ord(ch) < 0x250 or ch in CLOSING_SPECIAL or ch in _LETTERS:
+                folded = F.replace(folded, F.lit(ch), F.lit(img))
+            else:
+                rare[ch] = img
+    if rare:
+        table = F.create_map(*[F.lit(x) for kv in rare.items() for x in kv])
+        one_by_one = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+        folded = F.when(folded.rlike(_char_class("".join(sorted(rare)))), one_by_one).otherwise(folded)
     return F.when(col.rlike("[^\\x00-\\x7F]"), folded).otherwise(col)
 
 
@@ -186,7 +226,3 @@ def blank_markers(col: Column | str, markers: list[str]) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.when(~c.isin(markers), c)
 
-
-def as_text(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("string")

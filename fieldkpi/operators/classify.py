@@ -1,11 +1,13 @@
 """Outcome classification: exact lookup, ordered substring rules, fuzzy fallback.
 
-Exact and substring rules are native expressions evaluated row by row (no
-join, no shuffle). Only texts that no rule resolves reach the fuzzy scorer,
-and they are scored once per *distinct* text: the distinct set is aggregated
-(partial aggregation first, so a hot text costs one row per task), scored in an
-Arrow-batched pandas UDF, written to the checkpoint folder, and joined back —
-broadcast when its measured size is under a limit, shuffled otherwise.
+Cleaning, exact and substring rules are native expressions on each row (no
+join, no shuffle). Only texts that no rule resolves reach the fuzzy scorer, once
+per *distinct* text: the distinct set is aggregated (partial aggregation first,
+so a hot text costs one row per task), scored in Arrow batches and written to
+the checkpoint folder. Its measured size decides how the scores meet the rows
+again: broadcast under a limit, otherwise a join on the text in which rows that
+need no score are spread over keys of their own. Scoring runs when the plan is
+built, as its size is part of the plan.
 """
 
 from __future__ import annotations
@@ -44,73 +46,76 @@ def rule_category(text: Column | str) -> Column:
     return F.coalesce(exact_rule(t), substring_rule(t))
 
 
-def _score_vocabulary(batches):
-    """mapInPandas body: keep rule hits, score the rest by the weighted ratio."""
-    labels = K.CATEGORIES_ALL
+SCORED = T.StructType([T.StructField("text", T.StringType()), T.StructField("category", T.StringType()),
+                       T.StructField("score", T.DoubleType())])
+
+
+def _score(batches):
+    """mapInPandas body: best label and score of each text that is not null."""
     for pdf in batches:
-        cats, scores, methods = [], [], []
-        for text, rule in zip(pdf["text"], pdf["rule"]):
-            if rule is not None and rule == rule:
-                cats.append(rule)
-                scores.append(None)
-                methods.append("rule")
-                continue
-            lab, score = fuzzy.best_label(text, labels)
-            cats.append(lab if score >= K.FUZZY_ACCEPT else K.NO_MATCH)
-            scores.append(float(score))
-            methods.append("fuzzy")
-        yield pd.DataFrame({"raw": pdf["raw"], "text": pdf["text"], "category": cats, "score": scores,
-                            "method": methods})
-
-
-VOCAB_SCHEMA = T.StructType([T.StructField("raw", T.StringType()), T.StructField("text", T.StringType()),
-                             T.StructField("category", T.StringType()),
-                             T.StructField("score", T.DoubleType()), T.StructField("method", T.StringType())])
-
-
-def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True,
-                        raw: bool = True) -> DataFrame:
-    """Distinct texts -> (raw, text, category, score, method).
-
-    With ``raw`` the input column holds the raw closing text and the cleaning
-    runs here, once per distinct value. Rules run in the JVM once per distinct
-    text; only texts no rule resolves are scored in Python (Arrow batches via
-    mapInPandas).
-    """
+        pdf = pdf[pdf["text"].notna()]
+        best = [fuzzy.best_label(t, K.CATEGORIES_ALL) for t in pdf["text"]]
+        yield pd.DataFrame({"text": pdf["text"], "score": [float(s) for _, s in best],
+                            "category": [label if s >= K.FUZZY_ACCEPT else K.NO_MATCH for label, s in best]})[SCORED.names]
+
+
+def score_texts(rows: DataFrame, text: str, rule: str) -> DataFrame:
+    """Distinct cleaned texts that no rule resolves -> (text, category, score).
+
+    Resolved texts become one null rather than being filtered: a filter on the
+    rule would be pushed below the cleaning and repeat it in every rule."""
+    unresolved = F.when(F.col(rule).isNull(), F.col(text)).alias("text")
+    return rows.select(unresolved).distinct().mapInPandas(_score, SCORED)
+
+
+def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True) -> DataFrame:
+    """Distinct raw texts -> (raw, text, category, score, method): the rules'
+    category, else the scorer's."""
     vocab = texts.select(F.col(text).alias("raw")).distinct()
-    vocab = vocab.withColumn("text", clean_closing_text("raw") if raw else F.coalesce("raw", F.lit("")))
-    vocab = vocab.withColumn("rule", rule_category("text"))
-    if not fuzzy_fallback:
-        return vocab.select("raw", "text", F.coalesce("rule", F.lit(K.NO_MATCH)).alias("category"),
-                            F.lit(None).cast("double").alias("score"),
-                            F.when(F.col("rule").isNotNull(), "rule").otherwise("none").alias("method"))
-    return vocab.mapInPandas(_score_vocabulary, VOCAB_SCHEMA)
+    vocab = vocab.withColumn("text", clean_closing_text("raw")).withColumn("rule", rule_category("text"))
+    if fuzzy_fallback:
+        scored = score_texts(vocab, "text", "rule")
+    else:
+        scored = vocab.sparkSession.createDataFrame([], SCORED)
+    return vocab.join(scored, "text", "left").select(
+        "raw", "text", F.coalesce("rule", "category", F.lit(K.NO_MATCH)).alias("category"),
+        F.when(F.col("rule").isNull(), F.col("score")).alias("score"),
+        F.when(F.col("rule").isNotNull(), "rule").when(F.col("score").isNotNull(), "fuzzy").otherwise("none").alias("method"))
+
+
+SPREAD_KEYS = 4096
 
 
 def classify_outcomes(df: DataFrame, raw_text: str = K.COL_CLOSING, text_out: str = K.COL_CLEAN_TEXT,
                       out: str = K.COL_CATEGORY, fuzzy_fallback: bool = True,
                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Attach the cleaned text and category of each row's raw closing text.
-
-    The vocabulary (distinct raw texts, partially aggregated map-side) is
-    cleaned and classified once and written to the checkpoint folder; its
-    measured size (one aggregate over the checkpoint: text bytes plus a per-row
-    overhead) decides between a broadcast and a shuffled join back.
-    """
-    vocab = cut_lineage(classify_vocabulary(df, raw_text, fuzzy_fallback))
-    size = vocab.agg(F.sum(F.coalesce(F.octet_length("raw"), F.lit(0)) + F.octet_length("text")
-                           + F.octet_length("category") + F.lit(48)).alias("b")).first()["b"] or 0
-    side = vocab.select(F.col("raw").alias("__raw"), F.col("text").alias(text_out), F.col("category").alias(out))
-    side = F.broadcast(side) if size <= broadcast_bytes else side
-    return df.join(side, F.col(raw_text).eqNullSafe(F.col("__raw")), "left").drop("__raw")
+    """Attach the cleaned text and category of each row's raw closing text."""
+    rows = df.withColumn(text_out, clean_closing_text(raw_text))
+    rows = rows.withColumn("__rule", rule_category(text_out))
+    if not fuzzy_fallback:
+        return rows.withColumn(out, F.coalesce("__rule", F.lit(K.NO_MATCH))).drop("__rule")
+    scored = cut_lineage(score_texts(rows, text_out, "__rule"))
+    size = scored.agg(F.sum(F.octet_length("text") + F.octet_length("category") + F.lit(48)).alias("b")).first()["b"] or 0
+    side = scored.select(F.col("text").alias("__text"), F.col("category").alias("__scored"))
+    if size <= broadcast_bytes:
+        key, side = F.col(text_out), F.broadcast(side)
+    else:
+        other = F.concat(F.lit("\u0000#"), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD_KEYS)).cast("string"))
+        key = F.when(F.col("__rule").isNull(), F.col(text_out)).otherwise(other)
+    got = rows.withColumn("__key", key).join(side, F.col("__key") == F.col("__text"), "left")
+    return got.withColumn(out, F.coalesce("__rule", "__scored")).drop("__rule", "__key", "__text", "__scored")
+
+
+def with_closing_text(df: DataFrame) -> DataFrame:
+    """Empty markers -> null on supervisor note and result; closing text is the
+    note, else the result."""
+    return (df.withColumn(K.COL_SUPERVISOR, blank_markers(K.COL_SUPERVISOR, K.EMPTY_MARKERS))
+              .withColumn(K.COL_RESULT, blank_markers(K.COL_RESULT, K.EMPTY_MARKERS))
+              .withColumn(K.COL_CLOSING, F.coalesce(F.col(K.COL_SUPERVISOR), F.col(K.COL_RESULT))))
 
 
 def closing_columns(df: DataFrame, fuzzy_fallback: bool = True) -> DataFrame:
-    """Empty markers -> null on supervisor note and result; closing text is the
-    note, else the result; cleaned; classified; two-level hierarchy added."""
-    df = (df.withColumn(K.COL_SUPERVISOR, blank_markers(K.COL_SUPERVISOR, K.EMPTY_MARKERS))
-            .withColumn(K.COL_RESULT, blank_markers(K.COL_RESULT, K.EMPTY_MARKERS))
-            .withColumn(K.COL_CLOSING, F.coalesce(F.col(K.COL_SUPERVISOR), F.col(K.COL_RESULT))))
-    df = classify_outcomes(df, fuzzy_fallback=fuzzy_fallback)
+    """Closing text, cleaned and classified; two-level hierarchy added."""
+    df = classify_outcomes(with_closing_text(df), fuzzy_fallback=fuzzy_fallback)
     level, gives = levels(K.COL_CATEGORY)
     return df.withColumn(K.COL_CONTACT_LEVEL, level).withColumn(K.COL_GIVES_DATA, gives)

@@ -5,10 +5,9 @@ person) reduces, once there is one row per (week, person), to a ``lag`` over
 the person's weeks. The reduction to one row per (week, person) is an
 aggregation with ``max_by`` / ``min_by`` and partial (map-side) aggregation,
 so a hot key - for example every foreign document sharing one key - is cut to
-one row per task before it moves. Picks that carry only a zone use a decimal
-(time, row id) key and run as hash aggregations; the clean step keeps whole
-rows, which Spark aggregates by sort. The window then sees at most one row
-per week and person.
+one row per task before it moves. Picks carry only a zone and use a decimal
+(time, row id) key, so they run as hash aggregations. The window then sees at
+most one row per week and person.
 """
 
 from __future__ import annotations
@@ -21,44 +20,36 @@ from ..functions.contact import evolution_class, is_target_zone, population_clas
 from ..functions.dates import label_day_month, week_monday, week_sunday
 
 
-def _order(ts: str, row_id: str):
-    return F.struct(F.col(ts).alias("t"), F.col(row_id).alias("i"))
-
-
 _SHIFT = "10000000000000000000"   # 10^19 > any long row id
-_NULL_TS = -(2 ** 62)              # null times order first
+_BEFORE = 10 ** 18                 # microseconds from about the year -29700 to 1970; null times order first
 
 
 def order_key(ts: str, row_id: str):
     """(time, row id) as one decimal(38,0), so ``min_by``/``max_by`` keep a
     fixed-width buffer and run as a hash aggregation with partial (map-side)
-    aggregation. Row ids must be non-negative longs."""
+    aggregation. Row ids must be non-negative longs. Times are counted from
+    before any timestamp, so that the key is never negative and its remainder
+    by 10^19 is the row id."""
     dec = "decimal(38,0)"
-    micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")).cast(dec), F.lit(_NULL_TS).cast(dec))
-    return micros * F.lit(_SHIFT).cast(dec) + F.col(row_id).cast(dec)
-
-
-def one_row_per_week(df: DataFrame, key: str, week: str, ts: str = K.COL_START, row_id: str = K.COL_ROW_ID,
-                     keep: str = "last") -> DataFrame:
-    """Keep the last (or first) row, by (time, row id), of each (week, key)."""
-    cols = df.columns
-    pick = F.max_by if keep == "last" else F.min_by
-    rec = F.struct(*[F.col(c) for c in cols])
-    return (df.groupBy(week, key).agg(pick(rec, _order(ts, row_id)).alias("__r"))
-              .select(*[F.col(f"__r.{c}").alias(c) for c in cols]))
+    micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")).cast(dec) + F.lit(_BEFORE).cast(dec), F.lit(0).cast(dec))
+    return (micros.cast("decimal(19,0)") * F.lit(_SHIFT).cast("decimal(20,0)")).cast(dec) + F.col(row_id).cast(dec)
 
 
 def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts: str = K.COL_START,
                row_id: str = K.COL_ROW_ID, out: str = K.COL_EVOLUTION,
                anonymous: list[str] = K.ANONYMOUS_KEYS, prior: DataFrame | None = None) -> DataFrame:
-    """Row evolution label of the clean step, in one pass over the input.
+    """Row evolution label of the clean step.
 
     Identified keys: one row kept per (Monday week, key) - the last by time -
     then first sighting -> new, previous zone equal -> recurring, else migrant.
-    Anonymous keys are kept whole and labelled unclassifiable; so are rows with
-    no date (they cannot be placed in the week sequence). Those rows get a
-    unique group key (their row id), so they pass the aggregation as singletons
-    and never form a hot partition.
+    Rows of anonymous keys and rows with no date (they cannot be placed in the
+    week sequence) are never grouped: each is kept and labelled unclassifiable.
+
+    The winners are picked on narrow columns (key, week, time, row id, zone) by
+    a hash aggregation that reduces a hot key map-side; ``lag`` runs over the
+    winners; their labels meet the wide rows on the row id, which spreads
+    evenly. So the wide rows move once. Row ids must be unique; a null id
+    raises (``writers.append_batch`` assigns them).
 
     ``prior`` (columns ``key``, ``last_zone``) carries the state of keys seen
     before the first week of ``df``: such a key is not new, and its first row
@@ -66,34 +57,34 @@ def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts:
     the same labels as a full recompute.
     """
     cols = df.columns
-    week = week_monday(ts)
-    anon = F.coalesce(F.col(key).isin(anonymous), F.lit(False)) | week.isNull()
-    grp = F.when(anon, F.concat(F.lit("\u0000#"), F.col(row_id).cast("string"))).otherwise(F.col(key))
-    base = df.withColumn("__w", week).withColumn("__g", grp).withColumn("__a", anon)
-    rec = F.struct(*[F.col(c) for c in cols + ["__a"]])
-    kept = (base.groupBy("__w", "__g").agg(F.max_by(rec, _order(ts, row_id)).alias("__r"))
-                .select("__w", "__g", *[F.col(f"__r.{c}").alias(c) for c in cols + ["__a"]]))
+    rid = F.coalesce(F.col(row_id), F.raise_error(F.lit(f"null {row_id}")).cast("long"))
+    base = df.withColumn(row_id, rid)
+    unplaced = F.coalesce(F.col(key).isin(anonymous), F.lit(False)) | F.col(ts).isNull()
+    narrow = base.where(~unplaced).select(F.col(key).alias("__g"), week_monday(ts).alias("__w"),
+                                          order_key(ts, row_id).alias("__o"), F.col(zone).alias("__z"))
+    won = narrow.groupBy("__w", "__g").agg(F.max("__o").alias("__o"), F.max_by("__z", "__o").alias("__z"))
     w = Window.partitionBy("__g").orderBy("__w")
-    kept = kept.withColumn("__first", F.lag("__w").over(w).isNull()).withColumn("__prev", F.lag(zone).over(w))
+    won = won.withColumn("__first", F.lag("__w").over(w).isNull()).withColumn("__prev", F.lag("__z").over(w))
     is_first, prev_zone = F.col("__first"), F.col("__prev")
     if prior is not None:
-        p = prior.select(F.col("key").alias("__g"), F.col("last_zone").alias("__pz"), F.lit(True).alias("__seen"))
-        kept = kept.join(p, "__g", "left")
+        p = prior.select(F.col("key").alias("__pk"), F.col("last_zone").alias("__pz"), F.lit(True).alias("__seen"))
+        won = won.join(p, F.col("__g").eqNullSafe(F.col("__pk")), "left")
         is_first = F.col("__first") & F.col("__seen").isNull()
         prev_zone = F.when(F.col("__first"), F.col("__pz")).otherwise(F.col("__prev"))
-    label = F.when(F.col("__a"), F.lit(K.EVO_UNCLASSIFIED)).otherwise(evolution_class(is_first, prev_zone, F.col(zone)))
-    return kept.withColumn(out, label).select(*cols, out)
+    labels = won.select((F.col("__o") % F.lit(_SHIFT).cast("decimal(38,0)")).cast("long").alias("__rid"),
+                        evolution_class(is_first, prev_zone, F.col("__z")).alias(out))
+    got = base.join(labels, F.col(row_id) == F.col("__rid"), "left")
+    return (got.where(unplaced | F.col(out).isNotNull())
+               .withColumn(out, F.when(unplaced, F.lit(K.EVO_UNCLASSIFIED)).otherwise(F.col(out))).select(*cols, out))
 
 
-def prior_state(clean: DataFrame, before_week, keys: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE,
+def prior_state(clean: DataFrame, before_week, key: str = K.COL_KEY, zone: str = K.COL_ZONE,
                 ts: str = K.COL_START, anonymous: list[str] = K.ANONYMOUS_KEYS) -> DataFrame:
-    """(key, last_zone) from a stored clean history: the zone of each key's
-    latest kept week before ``before_week``, for the keys in ``keys`` only
-    (semi join; the key set is a batch's, the clean history the whole past)."""
+    """(key, last_zone, last_week) from a stored clean history: each identified
+    key's zone in its latest kept week before ``before_week``."""
     wk = week_monday(ts)
     past = clean.where((wk < F.lit(before_week)) & ~F.coalesce(F.col(key).isin(anonymous), F.lit(False)))
-    past = past.join(keys.select(F.col(key)).distinct(), key, "left_semi")
-    return past.groupBy(F.col(key).alias("key")).agg(F.max_by(F.col(zone), wk).alias("last_zone"))
+    return past.groupBy(F.col(key).alias("key")).agg(F.max_by(F.col(zone), wk).alias("last_zone"), F.max(wk).alias("last_week"))
 
 
 def top_weeks(weeks: DataFrame, week: str, n: int = K.LAST_WEEKS) -> DataFrame:
@@ -135,7 +126,7 @@ def zone_evolution(df: DataFrame, targets: list[float] = (2.0, 14.0), key: str =
                  .agg(F.count_if("is_first").alias("nuevos"),
                       F.count_if(~F.col("is_first") & F.col("prev_is_target")).alias("recurrentes"),
                       F.count_if(~F.col("is_first") & ~F.col("prev_is_target")).alias("migratorios")))
-    weeks = top_weeks(base, week, last_weeks)
+    weeks = top_weeks(first_rows, week, last_weeks)
     scaffold = weeks.withColumn("target", F.explode(F.array(*[F.lit(t) for t in tgt])))
     out = scaffold.join(counts, ["target", week], "left")
     n = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("nuevos", "recurrentes", "migratorios")]
@@ -155,6 +146,13 @@ def chart_series(evo: DataFrame) -> DataFrame:
         F.transform("p", lambda x: x["migratorios"]).alias("migratorios"))
 
 
+def chart_document(evo: DataFrame) -> DataFrame:
+    """Published chart document per target: labels and coloured datasets, as JSON."""
+    datasets = F.array(*[F.struct(F.lit(label).alias("label"), F.col(label.lower()).alias("data"), F.lit(colour).alias("backgroundColor"))
+                         for label, colour in K.CHART_COLOURS.items()])
+    return chart_series(evo).select("target", F.to_json(F.struct("labels", datasets.alias("datasets"))).alias("chart"))
+
+
 def population_weekly(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts: str = K.COL_START,
                       row_id: str = K.COL_ROW_ID, excluded: list[str] = K.VIEW_EXCLUDED_KEYS) -> DataFrame:
     """SQL-view population class per (key, Sunday week).

@@ -1,16 +1,20 @@
 """Point-in-polygon zone assignment with layer priorities.
 
-Plan (no shuffle of the point side):
-
-1. The zone table (a small, bounded dimension: one row per polygon with its
-   edges) is exploded into grid cells covering each polygon's bounding box and
-   grouped per cell into a candidate list.
-2. Each point computes its cell key and meets the cell table in an equi-join.
-   The cell table is broadcast only after a size check; beyond the limit it
-   falls back to a shuffled join (AQE splits skewed cells).
-3. The exact test runs as native higher-order functions over the candidate
-   edges: crossing parity (holes and multi-part polygons follow from the
-   even-odd rule), minus points lying on an edge (``within`` is strict).
+Plan (no shuffle of the point side while the cell table stays small):
+
+1. Each zone's bounding box is cut into grid cells. A cell keeps only the zone's
+   edges that meet it and whether one reference point of the cell lies inside;
+   a cell without edges is wholly inside (kept) or outside (dropped). The cell
+   table is written to the checkpoint folder and its size measured.
+2. Each point computes its cell key and meets the cell table in an equi-join:
+   broadcast up to a size limit. Beyond it the join is shuffled; the cell table
+   is then repeated over a few salts, so that a busy cell's points go to several
+   tasks, and points without coordinates are spread over keys of their own.
+3. The exact test runs as native higher-order functions over the cell's edges:
+   from the point along the row to the reference point's column, then along
+   that column to the reference point, every edge crossed flips inside and
+   outside (holes and multi-part polygons follow from the even-odd rule).
+   Points on an edge are outside (``within`` is strict).
 4. The winner is the smallest (priority, zone) among polygons containing the
    point; no match (or null coordinates) gives null.
 """
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import cut_lineage
 
 EDGE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")])
 ZONE_SCHEMA = T.StructType([
@@ -51,12 +56,14 @@ def _rings(geometry: dict) -> list[list[list[float]]]:
 
 
 def zone_rows(features: list[dict], zone_property: str = "zone", name_property: str = "name") -> list[tuple]:
-    """Feature dicts (GeoJSON, lon/lat) -> rows of ZONE_SCHEMA."""
+    """Feature dicts (GeoJSON, lon/lat) -> rows of ZONE_SCHEMA. A feature
+    without a zone code raises: a null code would outrank real zones."""
     rows = []
     for f in features:
         props = f.get("properties") or {}
-        zone = props.get(zone_property)
-        zone = None if zone is None else float(zone)
+        if props.get(zone_property) is None:
+            raise ValueError(f"feature without {zone_property}: {props}")
+        zone = float(props[zone_property])
         edges, xs, ys = [], [], []
         for ring in _rings(f["geometry"]):
             pts = [(float(p[0]), float(p[1])) for p in ring]
@@ -79,7 +86,8 @@ def zones_from_geojson(spark: SparkSession, path: str, zone: float | None = None
     """Read GeoJSON FeatureCollection file(s) into the zone table on the cluster.
 
     ``zone`` assigns one code to every feature of the file (special layers);
-    otherwise the code comes from ``properties.<zone_property>``.
+    otherwise the code comes from ``properties.<zone_property>``, and a feature
+    without it ends the job.
     """
     geom = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     feat = T.StructType([T.StructField("geometry", geom),
@@ -90,11 +98,27 @@ def zones_from_geojson(spark: SparkSession, path: str, zone: float | None = None
     poly = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
     multi = F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")
     rings = F.when(F.col("f.geometry.type") == "Polygon", poly).otherwise(F.flatten(multi))
-    code = F.lit(zone).cast("double") if zone is not None else F.col("f.properties")[zone_property].cast("double")
+    given = F.col("f.properties")[zone_property].cast("double")
+    missing = F.raise_error(F.lit(f"feature without {zone_property} in {path}")).cast("double")
+    code = F.lit(zone).cast("double") if zone is not None else F.coalesce(given, missing)
     df = f.select(code.alias("zone"), F.col("f.properties")["name"].alias("name"), rings.alias("rings"))
     return zones_from_rings(df)
 
 
+def zone_layers(spark: SparkSession, layers: list[str]) -> DataFrame:
+    """Several GeoJSON layers as one zone table. A layer is ``path`` (codes in
+    property ``zone``), ``path@property`` or ``path=code`` (one fixed code)."""
+    out = None
+    for layer in layers:
+        path, fixed = (layer.rsplit("=", 1) + [None])[:2] if "=" in layer else (layer, None)
+        path, prop = (path.rsplit("@", 1) if "@" in path else (path, "zone"))
+        one = zones_from_geojson(spark, path, zone=float(fixed) if fixed is not None else None, zone_property=prop)
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no zone layer given")
+    return out
+
+
 def zones_from_rings(df: DataFrame) -> DataFrame:
     """(zone, name, rings array<array<array<double>>>) -> ZONE_SCHEMA rows."""
     closed = F.transform("rings", lambda r: F.when(
@@ -126,84 +150,85 @@ def _parity(edges, px: Column, py: Column) -> Column:
     return F.aggregate(edges, F.lit(False), lambda acc, e: acc != crossing(e))
 
 
-def zone_cells(zones: DataFrame, cell: float) -> DataFrame:
-    """Grid cells covering each zone's bounding box, with the candidate list.
+# the reference point of a cell lies off its middle, so that no grid-like data falls on its column
+REFERENCE = (0.4871239, 0.5128764)
 
-    A cell that no edge of the zone touches (no edge's bounding box meets the
-    closed cell) lies wholly inside or wholly outside the polygon: its centre
-    decides, once, here on the small side. Inside cells become ``full``
-    candidates without edges; outside ones are dropped. Only boundary cells
-    carry edges, so most points skip the exact test.
-    """
+
+def _reference(cell_x: Column, cell_y: Column, cell: float) -> tuple[Column, Column]:
+    return (cell_x + F.lit(REFERENCE[0])) * F.lit(cell), (cell_y + F.lit(REFERENCE[1])) * F.lit(cell)
+
+
+def zone_cells(zones: DataFrame, cell: float) -> DataFrame:
+    """Per grid cell the candidate zones, each with the edges that meet the cell
+    (``edges``) and whether the cell's reference point is inside (``inside``)."""
     cx = F.explode(F.sequence(F.floor(F.col("z.minx") / cell), F.floor(F.col("z.maxx") / cell)))
     cy = F.explode(F.sequence(F.floor(F.col("z.miny") / cell), F.floor(F.col("z.maxy") / cell)))
     z = F.struct("priority", "zone", "minx", "miny", "maxx", "maxy", "edges").alias("z")
     per_zone = zones.select(z).select("z", cx.alias("cell_x")).select("z", "cell_x", cy.alias("cell_y"))
     # the cell is widened by a hair so rounding in floor(x / cell) can never
-    # put a point of a 'full' cell next to an edge
+    # part a point from an edge beside it
     eps = cell * 1e-6
     x0, y0 = F.col("cell_x") * cell, F.col("cell_y") * cell
     x1, y1 = x0 + cell, y0 + cell
-    touched = F.exists("z.edges", lambda e: (F.least(e["x1"], e["x2"]) <= x1 + eps)
-                       & (F.greatest(e["x1"], e["x2"]) >= x0 - eps)
-                       & (F.least(e["y1"], e["y2"]) <= y1 + eps) & (F.greatest(e["y1"], e["y2"]) >= y0 - eps))
-    centre_in = _parity(F.col("z.edges"), x0 + cell / 2, y0 + cell / 2)
-    per_zone = per_zone.withColumn("touched", touched).where(F.col("touched") | centre_in)
+    meets = F.filter("z.edges", lambda e: (F.least(e["x1"], e["x2"]) <= x1 + eps) & (F.greatest(e["x1"], e["x2"]) >= x0 - eps)
+                     & (F.least(e["y1"], e["y2"]) <= y1 + eps) & (F.greatest(e["y1"], e["y2"]) >= y0 - eps))
+    inside = _parity(F.col("z.edges"), *_reference(F.col("cell_x"), F.col("cell_y"), cell))
+    per_zone = per_zone.withColumn("edges", meets).withColumn("inside", inside).where(F.col("inside") | (F.size("edges") > 0))
     cand = F.struct(F.col("z.priority").alias("priority"), F.col("z.zone").alias("zone"),
                     F.col("z.minx").alias("minx"), F.col("z.miny").alias("miny"),
-                    F.col("z.maxx").alias("maxx"), F.col("z.maxy").alias("maxy"),
-                    (~F.col("touched")).alias("full"),
-                    F.when(F.col("touched"), F.col("z.edges")).otherwise(F.array().cast(T.ArrayType(EDGE)))
-                    .alias("edges"))
+                    F.col("z.maxx").alias("maxx"), F.col("z.maxy").alias("maxy"), "inside", "edges")
     return per_zone.groupBy("cell_x", "cell_y").agg(F.collect_list(cand).alias("cands"))
 
 
-def _within(c: Column, px: Column, py: Column) -> Column:
-    inside_box = (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
+def _within(c: Column, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    in_box = (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
+
+    def flips(e):
+        x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        along_row = ((e["y1"] > py) != (e["y2"] > py)) & ((px < x_at) != (rx < x_at))
+        y_at = (e["y2"] - e["y1"]) * (rx - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+        along_column = ((e["x1"] > rx) != (e["x2"] > rx)) & ((py < y_at) != (ry < y_at))
+        return along_row != along_column
 
     def on_edge(e):
         cross = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
         return ((cross == 0) & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
                 & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
 
-    exact = inside_box & _parity(c["edges"], px, py) & ~F.exists(c["edges"], on_edge)
-    return c["full"] | exact
-
+    inside = F.aggregate(c["edges"], c["inside"], lambda acc, e: acc != flips(e))
+    return in_box & inside & ~F.exists(c["edges"], on_edge)
 
-def cell_table_bytes(zones: DataFrame, cell: float) -> int:
-    """Estimated size of the cell table (one small aggregate over the zone dimension)."""
-    n_cells = ((F.floor(F.col("maxx") / cell) - F.floor(F.col("minx") / cell) + 1)
-               * (F.floor(F.col("maxy") / cell) - F.floor(F.col("miny") / cell) + 1))
-    est = zones.select(F.sum(n_cells * (F.size("edges") * EDGE_BYTES + 64)).alias("b")).first()["b"]
-    return int(est or 0)
 
-
-def estimate_bytes(rows: list[tuple], cell: float) -> int:
-    """Cell-table size estimate from zone rows held on the driver."""
-    import math
-    total = 0
-    for _z, _n, _p, minx, miny, maxx, maxy, edges in rows:
-        n = ((math.floor(maxx / cell) - math.floor(minx / cell) + 1)
-             * (math.floor(maxy / cell) - math.floor(miny / cell) + 1))
-        total += n * (len(edges) * EDGE_BYTES + 64)
-    return total
+SALTS = 8  # copies of the cell table in a shuffled join
+NO_CELL = -(10 ** 12)  # keys below it are no cells: rows without coordinates are spread over them
 
 
 def assign_zone(points: DataFrame, zones: DataFrame, lon: str = K.COL_LON, lat: str = K.COL_LAT,
-                out: str = K.COL_ZONE, cell: float = 0.0025, broadcast_limit: int = BROADCAST_LIMIT,
-                zones_bytes: int | None = None) -> DataFrame:
+                out: str = K.COL_ZONE, cell: float = 0.0025, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Left join each point to the zone containing it (strictly), by priority.
 
     ``lon``/``lat`` must be double columns (WGS84). Every input row is kept
-    exactly once; ``out`` is null where no polygon contains the point.
+    exactly once; ``out`` is null where no polygon contains the point. The cell
+    table (of the bounded zone dimension) is built when the plan is, as its
+    measured size is part of the plan.
     """
-    cells = zone_cells(zones, cell)
-    size = zones_bytes if zones_bytes is not None else cell_table_bytes(zones, cell)
-    if size <= broadcast_limit:
-        cells = F.broadcast(cells)
+    cells = cut_lineage(zone_cells(zones, cell))
+    n_bytes = F.aggregate("cands", F.lit(0), lambda n, c: n + F.size(c["edges"]) * EDGE_BYTES + 80)
+    size = cells.agg(F.sum(n_bytes)).first()[0] or 0
     px, py = F.col(lon), F.col(lat)
-    keyed = points.withColumn("__cx", F.floor(px / cell)).withColumn("__cy", F.floor(py / cell))
-    joined = keyed.join(cells, (F.col("__cx") == cells["cell_x"]) & (F.col("__cy") == cells["cell_y"]), "left")
-    hits = F.filter("cands", lambda c: _within(c, px, py))
+    cx, cy = F.floor(px / cell), F.floor(py / cell)
+    if size <= broadcast_limit:
+        keyed = points.withColumn("__cx", cx).withColumn("__cy", cy)
+        cells = F.broadcast(cells.withColumnsRenamed({"cell_x": "__x", "cell_y": "__y"}))
+        match = (F.col("__cx") == F.col("__x")) & (F.col("__cy") == F.col("__y"))
+    else:
+        spread = F.xxhash64(*points.columns)
+        keyed = (points.withColumn("__cx", F.coalesce(cx, F.lit(NO_CELL) - F.pmod(spread, F.lit(4096)))).withColumn("__cy", F.coalesce(cy, F.lit(0)))
+                 .withColumn("__s", F.pmod(spread, F.lit(SALTS)).cast("int")))
+        cells = cells.withColumnsRenamed({"cell_x": "__x", "cell_y": "__y"}).withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        match = (F.col("__cx") == F.col("__x")) & (F.col("__cy") == F.col("__y")) & (F.col("__s") == F.col("__t"))
+    joined = keyed.join(cells, match, "left")
+    rx, ry = _reference(F.col("__x"), F.col("__y"), cell)
+    hits = F.filter("cands", lambda c: _within(c, px, py, rx, ry))
     best = F.array_min(F.transform(hits, lambda c: F.struct(c["priority"].alias("p"), c["zone"].alias("z"))))
-    return joined.withColumn(out, best["z"]).drop("__cx", "__cy", "cell_x", "cell_y", "cands")
+    return joined.withColumn(out, best["z"]).select(*points.columns, out)

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 
+def rows_after(landed: DataFrame, has_history: bool, mark, ts: str = K.COL_START) -> DataFrame:
+    """Rows of ``landed`` strictly later than the stored history's latest date
+    ``mark``: all without history, none if the history holds no date."""
+    if not has_history:
+        return landed
+    return landed.where(F.col(ts) > F.lit(mark).cast("timestamp"))
+
+
 def new_rows(history: DataFrame | None, landed: DataFrame, ts: str = K.COL_START) -> DataFrame:
     """Rows of ``landed`` strictly later than the history's latest date.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.contact import contact_class, contact_class_dashboard
-from ..functions.dates import (label_board_week, label_day_month, label_iso, pct_with_count, share_pct,
+from ..functions.dates import (first_number, label_board_week, label_day_month, label_iso, pct_with_count, share_pct,
                                week_monday)
 from .evolution import top_weeks
 
@@ -152,14 +152,20 @@ def weekly_zone_summary(clean: DataFrame, start: str = K.ACCUMULATION_START, ts:
     """
     base = (clean.where(F.col(zone).isNotNull())
                  .withColumn("__z", F.col(zone).cast("int").cast("double"))
-                 .withColumn("__w", week_monday(ts)))
+                 .withColumn("__w", week_monday(ts))
+                 .withColumn("__late", F.coalesce(F.col(ts) >= F.lit(start).cast("timestamp"), F.lit(False))))
     contact = contact_class(K.COL_STATE, K.COL_RESULT)
-    weekly = (base.where(F.col("__w").isNotNull()).groupBy("__w", "__z")
-                  .agg(*indicator_aggs(contact, F.col(K.COL_CATEGORY) == K.CATEGORY_CIS)))
-    weekly = with_shares(weekly, F.col("calls"))
-    acc = zone_accumulated(base.drop(zone).withColumnRenamed("__z", zone), start, ts, zone)
-    j = weekly.join(acc, weekly["__z"] == acc["zone"], "left")
-    acc_cols = ["acum_total", "acum_cis", "acum_llamados", "Se contacta_y", "No se contacta_y", "Sin cubrir_y"]
+    # one aggregation of the rows, split at the start of the accumulation, serves both parts
+    parts = base.groupBy("__w", "__z", "__late").agg(*indicator_aggs(contact, F.col(K.COL_CATEGORY) == K.CATEGORY_CIS))
+    acc_names = {"total": "acum_total", "cis": "acum_cis", "calls": "acum_llamados",
+                 "n_contact": "Se contacta_y", "n_no_contact": "No se contacta_y", "n_uncovered": "Sin cubrir_y"}
+    weekly = parts.groupBy("__z", "__w").agg(*[F.sum(c).alias(c) for c in COUNTS],
+                                             *[F.sum(F.when(F.col("__late"), F.col(c)).otherwise(0)).alias(f"late_{c}") for c in COUNTS])
+    per_zone = Window.partitionBy("__z")  # at most a row per week
+    for c, name in acc_names.items():
+        weekly = weekly.withColumn(name, F.sum(f"late_{c}").over(per_zone))
+    j = with_shares(weekly.where(F.col("__w").isNotNull()), F.col("calls"))
+    acc_cols = list(acc_names.values())
     return j.select(
         label_iso("__w").alias("Semana"),
         F.concat(F.lit("Comuna "), F.col("__z").cast("int").cast("string")).alias("Comuna"),
@@ -172,37 +178,40 @@ def weekly_zone_summary(clean: DataFrame, start: str = K.ACCUMULATION_START, ts:
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in acc_cols])
 
 
+def _zone_number():
+    return first_number("Comuna")
+
+
 def summary_order(summary: DataFrame) -> DataFrame:
     """Week descending, then the zone number ascending (sink order)."""
-    num = F.regexp_extract("Comuna", r"(\d+)", 1).cast("int")
-    return summary.orderBy(F.col("Semana").desc(), num.asc())
+    return summary.orderBy(F.col("Semana").desc(), _zone_number().asc())
+
+
+def with_position(summary: DataFrame) -> DataFrame:
+    """The sink order as a column ``pos`` from 1 (the summary holds a row per
+    week and zone, so one task ranks it)."""
+    return summary.withColumn("pos", F.row_number().over(Window.orderBy(F.col("Semana").desc(), _zone_number().asc())))
 
 
 def dashboard_payload(kpis: DataFrame) -> DataFrame:
     """One JSON document per scope: week labels and the six indicator rows
-    (label, baseline, eight values), in week order."""
+    (label, baseline, eight values: numbers for the counts), in week order."""
     pts = F.sort_array(F.collect_list(F.struct(
         "week", "week_label", "total", "cis", "calls", "fmt_contact", "fmt_no_contact", "fmt_uncovered")))
     firsts = [F.first(c).alias(c) for c in ("base_total", "base_cis", "base_calls", "base_contact",
                                              "base_no_contact", "base_uncovered")]
     g = kpis.groupBy("scope").agg(pts.alias("p"), *firsts)
 
-    def row(label, base, field, as_text):
-        vals = F.transform("p", lambda x: x[field].cast("string") if as_text else x[field])
-        return F.struct(F.lit(label).alias("label"), F.col(base).alias("base"), vals.alias("vals"))
+    def row(i, base, field):
+        vals = F.transform("p", lambda x: x[field])
+        return F.to_json(F.struct(F.lit(K.INDICATORS[i]).alias("label"), F.col(base).alias("base"), vals.alias("vals")))
 
-    weeks = F.transform("p", lambda x: x["week_label"])
-    num_rows = F.array(row(K.INDICATORS[0], "base_total", "total", False),
-                       row(K.INDICATORS[1], "base_cis", "cis", False),
-                       row(K.INDICATORS[2], "base_calls", "calls", False))
-    txt_rows = F.array(row(K.INDICATORS[3], "base_contact", "fmt_contact", True),
-                       row(K.INDICATORS[4], "base_no_contact", "fmt_no_contact", True),
-                       row(K.INDICATORS[5], "base_uncovered", "fmt_uncovered", True))
-    doc = F.struct(weeks.alias("weeks"), F.concat(
-        F.transform(num_rows, lambda r: F.struct(r["label"].alias("label"), r["base"].alias("base"),
-                                                 F.transform(r["vals"], lambda v: v.cast("string")).alias("vals"))),
-        txt_rows).alias("rows"))
-    return g.select("scope", F.to_json(doc).alias("payload"))
+    rows = [row(0, "base_total", "total"), row(1, "base_cis", "cis"), row(2, "base_calls", "calls"),
+            row(3, "base_contact", "fmt_contact"), row(4, "base_no_contact", "fmt_no_contact"),
+            row(5, "base_uncovered", "fmt_uncovered")]
+    weeks = F.to_json(F.transform("p", lambda x: x["week_label"]))
+    # counts are JSON numbers and shares texts, so the rows are rendered one by one
+    return g.select("scope", F.concat(F.lit('{"weeks":'), weeks, F.lit(',"rows":['), F.concat_ws(",", *rows), F.lit("]}")).alias("payload"))
 
 
 def board_sheet(boards: DataFrame) -> DataFrame:
@@ -214,7 +223,7 @@ def board_sheet(boards: DataFrame) -> DataFrame:
     cells = F.array(
         F.struct(F.lit(0).alias("row_no"), F.lit("Indicador").alias("Indicador"), F.lit("Linea base").alias("base"),
                  F.col("week_label").alias("v")),
-        *[F.struct(F.lit(i + 1).alias("row_no"), F.lit(K.INDICATORS[i]).alias("Indicador"),
+        *[F.struct(F.lit(i + 1).alias("row_no"), F.lit(K.BOARD_INDICATORS[i]).alias("Indicador"),
                    F.col(base).alias("base"), val.alias("v"))
           for i, (base, val) in enumerate([
               ("base_total", F.col("total").cast("string")), ("base_cis", F.col("cis").cast("string")),

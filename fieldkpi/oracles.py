@@ -1,16 +1,22 @@
 """DuckDB SQL oracles for the registered queries.
 
-These are independent, set-based formulations of the same semantics, written
-for DuckDB over the driver's pre-registered views. They are used only for
-verification (the driver and the test-suite run them side by side with the
-Spark queries). Only the fixture adapter (sources/fixtures.py) is shared text.
+These are set-based formulations of the same semantics, written for DuckDB over
+the driver's pre-registered views. They are used only for verification (the
+driver and the test-suite run them side by side with the Spark queries). Shared
+with the operators are the fixture adapter (sources/fixtures.py) and the fixed
+values of constants.py (codes, word lists, patterns, baselines). Zone edges are
+read from the GeoJSON files by DuckDB, and the labels and types of the published
+documents are written out here by hand.
 """
 
 from __future__ import annotations
 
+import os
+
 from . import constants as K
 from .sources import fixtures
-from .sources.zones import demo_zone_rows
+
+ASSETS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "assets")
 
 
 def q(s: str | None) -> str:
@@ -42,10 +48,37 @@ def closing_sql(x: str) -> str:
     return f"coalesce({s}, '')"
 
 
-def category_sql(t: str, fuzzy_placeholder: str = K.NO_MATCH) -> str:
+# FIXED VALUES: cleaned fixture notes that no rule resolves and whose best label
+# reaches the fuzzy threshold (outcome_fuzzy_sql computes the scores)
+FUZZY_ACCEPTED = {
+    "acompanamiento a otro efector": "derivacion a same",
+    "activa protocolo salud mental": "se activa protocolo de salud mental",
+    "derivacion a plaza publica": "derivacion a same",
+    "desestimada por carta 911": "desestimado (cartas 911 u otras areas)",
+    "entrevista realizada": "rechaza entrevista y se retira del lugar",
+    "imposible abordar por consumo": "imposibilidad de abordaje por consumo",
+    "no estaba en situacion de calle": "no se encuentra en situacion de calle",
+    "no se contacta ni se observan pertenencias": "no se contacta y se observan pertenencias",
+    "no se contacta se observan pertenencias": "no se contacta y se observan pertenencias",
+    "otra area": "desestimado (cartas 911 u otras areas)",
+    "rechaza entrevista queda en el lugar": "rechaza entrevista y se queda en el lugar",
+    "rechaza la entrevista se retira": "rechaza entrevista y se retira del lugar",
+    "se recorre la zona junto al equipo de noche se conversa con vecinos y comerciantes no se ubica a la persona indicada por el llamado y se deja constancia para el proximo turno":
+        "traslado efectivo a cis",
+    "traslado efectivo al cis": "traslado efectivo a cis",
+}
+
+
+def rule_sql(t: str) -> str:
+    """Category by the exact and substring rules, else null."""
     exact = " ".join(f"WHEN {t} = {q(k)} THEN {q(v)}" for k, v in K.EXACT_RULES.items())
     subs = " ".join(f"WHEN contains({t}, {q(p)}) THEN {q(c)}" for p, c in K.SUBSTRING_RULES)
-    return f"CASE {exact} {subs} ELSE {q(fuzzy_placeholder)} END"
+    return f"CASE {exact} {subs} END"
+
+
+def category_sql(t: str) -> str:
+    fuzzy = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in FUZZY_ACCEPTED.items())
+    return f"coalesce({rule_sql(t)}, CASE {t} {fuzzy} ELSE {q(K.NO_MATCH)} END)"
 
 
 def levels_sql(c: str) -> tuple[str, str]:
@@ -103,16 +136,31 @@ def fmt_sql(pct: str, n: str) -> str:
 
 # -- clean table ---------------------------------------------------------------
 
-def zone_ctes(points: str) -> str:
-    """CTEs zedges, zhits, zone_of(row_id, zone) for points (row_id, "Longitud", "Latitud")."""
-    vals = []
-    for zone, _name, prio, minx, miny, maxx, maxy, edges in demo_zone_rows():
-        for x1, y1, x2, y2 in edges:
-            vals.append(f"({zone!r}, {prio}, {minx!r}, {miny!r}, {maxx!r}, {maxy!r}, "
-                        f"{x1!r}, {y1!r}, {x2!r}, {y2!r})")
-    values = ",\n    ".join(vals)
-    return f"""zedges(zone, prio, minx, miny, maxx, maxy, x1, y1, x2, y2) AS (VALUES
-    {values}
+DEMO_LAYERS = [(os.path.join(ASSETS, "demo_zones.geojson"), "zone", None)]
+DETAILED_LAYERS = [(os.path.join(ASSETS, "detailed_zones.geojson"), "comuna", None),
+                   (os.path.join(ASSETS, "detailed_special.geojson"), None, 14.5)]
+
+
+def zone_ctes(points: str, layers=None) -> str:
+    """CTEs zedges, zhits, zone_of(row_id, zone) for points (row_id, "Longitud",
+    "Latitud"). The edges are read from the GeoJSON files here, by DuckDB."""
+    feats = "\n  UNION ALL ".join(
+        "SELECT " + (f"{fixed}" if fixed is not None else f"CAST(f->'properties'->>'{prop}' AS DOUBLE)") + " AS zone, "
+        f"CAST(f->'geometry'->'coordinates' AS DOUBLE[][][]) AS rings "
+        f"FROM (SELECT unnest(CAST(CAST(content AS JSON)->'features' AS JSON[])) AS f FROM read_text({q(path)}))"
+        for path, prop, fixed in layers or DEMO_LAYERS)
+    return f"""zfeat AS (
+  {feats}
+),
+zring AS (SELECT zone, row_number() OVER () AS poly, rings FROM zfeat),
+zline AS (SELECT zone, poly, unnest(rings) AS r FROM zring),
+zraw AS (
+  SELECT zone, poly, unnest(list_transform(range(1, len(r)), lambda i: {{'x1': r[i][1], 'y1': r[i][2], 'x2': r[i + 1][1], 'y2': r[i + 1][2]}})) AS e FROM zline
+),
+zbox AS (SELECT poly, min(e.x1) AS minx, min(e.y1) AS miny, max(e.x1) AS maxx, max(e.y1) AS maxy FROM zraw GROUP BY poly),
+zedges AS (
+  SELECT zone, CASE WHEN zone = 2.5 THEN 0 WHEN zone = 14.5 THEN 1 ELSE 2 END AS prio, zraw.poly, minx, miny, maxx, maxy, e.x1 AS x1, e.y1 AS y1, e.x2 AS x2, e.y2 AS y2
+  FROM zraw JOIN zbox USING (poly)
 ),
 zcand AS (
   SELECT p.row_id, p."Longitud" AS px, p."Latitud" AS py, e.*
@@ -122,7 +170,7 @@ zcand AS (
 zin AS (
   SELECT row_id, zone, prio
   FROM zcand
-  GROUP BY row_id, zone, prio
+  GROUP BY row_id, zone, prio, poly
   HAVING sum(CASE WHEN (y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1
                   THEN 1 ELSE 0 END) % 2 = 1
      AND sum(CASE WHEN (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1) = 0
@@ -414,7 +462,7 @@ def enriched_sql(table: str) -> str:
                              "SELECT * FROM e")
 
 
-def zone_assignment_sql(table: str) -> str:
+def zone_assignment_sql(table: str, layers=None) -> str:
     return f"""WITH raw AS (
 {fixtures.interventions_sql(table)}
 ),
@@ -422,7 +470,7 @@ pts AS (
   SELECT row_id, CAST(replace("Longitud", ',', '.') AS DOUBLE) AS "Longitud",
          CAST(replace("Latitud", ',', '.') AS DOUBLE) AS "Latitud" FROM raw
 ),
-{zone_ctes('pts')}
+{zone_ctes('pts', layers)}
 SELECT pts.row_id, pts."Longitud", pts."Latitud", zone_of.zone AS comuna_calculada
 FROM pts LEFT JOIN zone_of USING (row_id)"""
 
@@ -485,18 +533,162 @@ FROM evo GROUP BY target"""
 
 
 def dashboard_payload_sql(table: str = "orders") -> str:
-    inner = dashboard_kpis_sql(table)
-    lab = K.INDICATORS
+    """Counts are JSON numbers, shares texts; the document is put together from text."""
+    def row(label, base, values):
+        return f"'{{\"label\":\"{label}\",\"base\":\"' || first({base}) || '\",\"vals\":[' || {values} || ']}}'"
+
+    def numbers(field):
+        return f"string_agg(CAST({field} AS VARCHAR), ',' ORDER BY week)"
 
-    def row(i, base, field):
-        return (f"{{'label': {q(lab[i])}, 'base': first({base}), "
-                f"'vals': list(CAST({field} AS VARCHAR) ORDER BY week)}}")
+    def texts(field):
+        return f"string_agg('\"' || {field} || '\"', ',' ORDER BY week)"
 
-    rows = ", ".join([row(0, "base_total", "total"), row(1, "base_cis", "cis"), row(2, "base_calls", "calls"),
-                      row(3, "base_contact", "fmt_contact"), row(4, "base_no_contact", "fmt_no_contact"),
-                      row(5, "base_uncovered", "fmt_uncovered")])
+    rows = " || ',' || ".join([
+        row("Intervenciones totales", "base_total", numbers("total")), row("Derivaciones CIS", "base_cis", numbers("cis")),
+        row("Llamados 108", "base_calls", numbers("calls")), row("% Se contacta", "base_contact", texts("fmt_contact")),
+        row("% No se contacta", "base_no_contact", texts("fmt_no_contact")), row("% Sin cubrir", "base_uncovered", texts("fmt_uncovered"))])
     return f"""WITH k AS (
-{inner}
+{dashboard_kpis_sql(table)}
 )
-SELECT scope, CAST(to_json({{'weeks': list(week_label ORDER BY week), 'rows': [{rows}]}}) AS VARCHAR) AS payload
+SELECT scope, '{{"weeks":[' || {texts('week_label')} || '],"rows":[' || {rows} || ']}}' AS payload
 FROM k GROUP BY scope"""
+
+
+def chart_document_sql(table: str = "orders") -> str:
+    def data(label, field, colour):
+        return (f"'{{\"label\":\"{label}\",\"data\":[' || string_agg(CAST({field} AS VARCHAR), ',' ORDER BY week) || "
+                f"'],\"backgroundColor\":\"{colour}\"}}'")
+
+    sets = " || ',' || ".join([data("Nuevos", "nuevos", "#10B981"), data("Recurrentes", "recurrentes", "#3B82F6"),
+                               data("Migratorios", "migratorios", "#F97316")])
+    return f"""WITH evo AS (
+{zone_evolution_sql(table)}
+)
+SELECT target, '{{"labels":[' || string_agg('"' || week_label || '"', ',' ORDER BY week) || '],"datasets":[' || {sets} || ']}}' AS chart
+FROM evo GROUP BY target"""
+
+
+def board_sheet_sql(table: str = "orders") -> str:
+    rows = [("Intervenciones totales", "base_total", "CAST(total AS VARCHAR)"), ("Derivaciones CIS", "base_cis", "CAST(cis AS VARCHAR)"),
+            ("Llamados 108", "base_calls", "CAST(calls AS VARCHAR)"), ("% Contacta", "base_contact", "fmt_contact"),
+            ("% No se contacta", "base_no_contact", "fmt_no_contact"), ("% Sin cubrir", "base_uncovered", "fmt_uncovered")]
+    cells = "SELECT zone, slot, 0 AS row_no, 'Indicador' AS \"Indicador\", 'Linea base' AS \"Linea base\", week_label AS v FROM n"
+    for i, (label, base, value) in enumerate(rows):
+        cells += f"\n  UNION ALL SELECT zone, slot, {i + 1}, '{label}', {base}, {value} FROM n"
+    slots = ", ".join(f"max(v) FILTER (WHERE slot = {i}) AS s{i}" for i in range(1, 9))
+    return f"""WITH b AS (
+{zone_boards_sql(table)}
+),
+n AS (SELECT *, row_number() OVER (PARTITION BY zone ORDER BY week) AS slot FROM b),
+cells AS (
+  {cells}
+)
+SELECT zone, row_no, "Indicador", "Linea base", {slots} FROM cells GROUP BY ALL"""
+
+
+def summary_sheet_sql(table: str, start: str) -> str:
+    return f"""WITH s AS (
+{weekly_zone_summary_sql(table, start)}
+),
+o AS (SELECT *, row_number() OVER (ORDER BY "Semana" DESC, CAST(regexp_extract("Comuna", '[0-9]+') AS INTEGER)) AS pos FROM s)
+SELECT CAST(COLUMNS(*) AS VARCHAR) FROM o"""
+
+
+def outcome_fuzzy_sql(table: str = "orders") -> str:
+    """The weighted ratio of every unresolved distinct closing text against the
+    labels, as set operations. The longest common subsequence of a short and a
+    long string is a fold over the long one's characters, each a bit mask of
+    its places in the short one."""
+    labels = ", ".join(f"({i}, {q(c)})" for i, c in enumerate(K.CATEGORIES_ALL))
+
+    def joined(x: str) -> str:
+        return f"array_to_string(list_sort({x}), ' ')"
+
+    def fold(masks: str, n: str) -> str:
+        return (f"({n} - bit_count(list_reduce(list_prepend((1::HUGEINT << {n}) - 1, {masks}), "
+                f"lambda v, m: ((v + (v & m)) | (v - (v & m))) & ((1::HUGEINT << {n}) - 1))))")
+
+    def masks(of: str, places: str) -> str:
+        return (f"list_transform(string_split({of}, ''), lambda c: list_sum(list_transform(range(length({places})), "
+                f"lambda i: CASE WHEN substr({places}, CAST(i AS INTEGER) + 1, 1) = c THEN 1::HUGEINT << CAST(i AS INTEGER) ELSE 0::HUGEINT END))::HUGEINT)")
+
+    def windows(m: str, n_short: str, n_long: str) -> str:
+        part = f"list_slice({m}, greatest(1, k - {n_short} + 1), least(k, {n_long}))"
+        size = f"(least(k, {n_long}) - greatest(1, k - {n_short} + 1) + 1)"
+        return f"list_max(list_transform(range(1, {n_long} + {n_short}), lambda k: 200.0 * {fold(part, n_short)} / ({n_short} + {size})))"
+
+    return f"""WITH raw AS (
+{fixtures.interventions_sql(table)}
+),
+blanked AS (
+  SELECT coalesce(CASE WHEN "Cierre Supervisor" IN {in_list(K.EMPTY_MARKERS)} THEN NULL ELSE "Cierre Supervisor" END,
+                  CASE WHEN "Resultado" IN {in_list(K.EMPTY_MARKERS)} THEN NULL ELSE "Resultado" END) AS raw
+  FROM raw
+),
+vocab AS (SELECT raw, {closing_sql('raw')} AS text FROM (SELECT DISTINCT raw FROM blanked)),
+ruled AS (SELECT raw, text, {rule_sql('text')} AS rule FROM vocab),
+t AS (SELECT DISTINCT text, string_split(text, ' ') AS w FROM ruled WHERE rule IS NULL),
+l(pos, label) AS (VALUES {labels}),
+pair AS (
+  SELECT text, pos, label, w, string_split(label, ' ') AS u,
+         list_distinct(list_filter(w, lambda x: NOT list_contains(string_split(label, ' '), x))) AS dw,
+         list_distinct(list_filter(string_split(label, ' '), lambda x: NOT list_contains(w, x))) AS du,
+         list_distinct(list_filter(w, lambda x: list_contains(string_split(label, ' '), x))) AS common
+  FROM t, l WHERE text <> ''
+),
+named AS (
+  SELECT *, {joined('w')} AS sw, {joined('u')} AS su, {joined('dw')} AS ab, {joined('du')} AS ba, {joined('common')} AS sect FROM pair
+),
+strs AS (
+  SELECT text, pos, 'plain' AS kind, text AS x, label AS y FROM named
+  UNION ALL SELECT text, pos, 'sorted', sw, su FROM named
+  UNION ALL SELECT text, pos, 'rest', ab, ba FROM named
+),
+sided AS (
+  SELECT text, pos, kind, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS s, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS g
+  FROM strs WHERE x <> '' AND y <> ''
+),
+masked AS (
+  SELECT *, length(s) AS ns, length(g) AS ng, {masks('g', 's')} AS m, CASE WHEN length(s) = length(g) THEN {masks('s', 'g')} END AS m2 FROM sided
+),
+scored AS (
+  SELECT text, pos, kind, ns + ng AS total, {fold('m', 'ns')} AS lcs,
+         greatest({windows('m', 'ns', 'ng')}, CASE WHEN m2 IS NULL THEN 0 ELSE {windows('m2', 'ng', 'ns')} END) AS part
+  FROM masked
+),
+wide AS (
+  SELECT n.*, length(ab) AS la, length(ba) AS lb, length(sect) AS ls,
+         200.0 * p.lcs / p.total AS ratio, p.part AS part, 200.0 * s.lcs / s.total AS sort_ratio, s.part AS sort_part,
+         coalesce(r.lcs, 0) AS rest_lcs, coalesce(r.part, 0) AS rest_part
+  FROM named n
+  LEFT JOIN scored p ON p.text = n.text AND p.pos = n.pos AND p.kind = 'plain'
+  LEFT JOIN scored s ON s.text = n.text AND s.pos = n.pos AND s.kind = 'sorted'
+  LEFT JOIN scored r ON r.text = n.text AND r.pos = n.pos AND r.kind = 'rest'
+),
+token AS (
+  SELECT *, ls + CASE WHEN ls > 0 THEN 1 ELSE 0 END + la AS sab, ls + CASE WHEN ls > 0 THEN 1 ELSE 0 END + lb AS sba,
+         greatest(length(text), length(label)) * 1.0 / least(length(text), length(label)) AS len_ratio
+  FROM wide
+),
+final AS (
+  SELECT text, pos, label,
+    CASE WHEN len_ratio < 1.5 THEN greatest(ratio, 0.95 * CASE
+           WHEN ls > 0 AND (la = 0 OR lb = 0) THEN 100.0
+           ELSE greatest(sort_ratio,
+             CASE WHEN sab + sba > 0 THEN 100.0 - 100.0 * (la + lb - 2 * rest_lcs) / (sab + sba) ELSE 100.0 END,
+             CASE WHEN ls > 0 THEN 100.0 - 100.0 * (1 + la) / (ls + sab) ELSE 0 END,
+             CASE WHEN ls > 0 THEN 100.0 - 100.0 * (1 + lb) / (ls + sba) ELSE 0 END) END)
+    ELSE greatest(ratio, part * CASE WHEN len_ratio < 8 THEN 0.9 ELSE 0.6 END,
+           0.95 * CASE WHEN len_ratio < 8 THEN 0.9 ELSE 0.6 END * CASE
+             WHEN ls > 0 THEN 100.0
+             WHEN len(w) = len(dw) AND len(u) = len(du) THEN sort_part
+             ELSE greatest(sort_part, rest_part) END) END AS score
+  FROM token
+),
+best AS (SELECT text, arg_max(label, score * 1000 - pos * 1e-7) AS label, max(score) AS score FROM final GROUP BY text),
+known AS (SELECT t.text, coalesce(best.label, {q(K.CATEGORIES_ALL[0])}) AS label, coalesce(best.score, 0.0) AS score FROM t LEFT JOIN best USING (text))
+SELECT ruled.raw, ruled.text,
+       CASE WHEN rule IS NOT NULL THEN rule WHEN known.score >= {K.FUZZY_ACCEPT} THEN known.label ELSE {q(K.NO_MATCH)} END AS category,
+       CASE WHEN rule IS NULL THEN round(known.score, 4) END AS score,
+       CASE WHEN rule IS NULL THEN 'fuzzy' ELSE 'rule' END AS method
+FROM ruled LEFT JOIN known ON known.text = ruled.text"""

@@ -19,7 +19,6 @@ from ..functions.text import with_clean_names
 from ..operators.classify import closing_columns
 from ..operators.evolution import label_rows
 from ..operators.geo import assign_zone
-from ..session import spread
 
 
 def type_report(raw: DataFrame, strict_coordinates: bool = True) -> DataFrame:
@@ -41,21 +40,21 @@ def drop_agencies(df: DataFrame, agencies: list[str] = K.AGENCIES_DROPPED) -> Da
     return df.where(~F.coalesce(F.col(K.COL_AGENCY).isin(agencies), F.lit(False)))
 
 
-def clean_rows(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True, cell: float = 0.0025,
-               zones_bytes: int | None = None) -> DataFrame:
+def clean_rows(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True, cell: float = 0.0025) -> DataFrame:
     """Row-wise part of the clean step (no row depends on another)."""
-    df = drop_agencies(spread(type_report(raw)))
+    df = drop_agencies(type_report(raw))
     df = closing_columns(df, fuzzy_fallback=fuzzy_fallback)
-    df = assign_zone(df, zones, cell=cell, zones_bytes=zones_bytes)
+    df = assign_zone(df, zones, cell=cell)
     df = with_dni(df)
     return with_clean_names(df, [K.COL_FIRST, K.COL_LAST])
 
 
 def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
-                  cell: float = 0.0025, zones_bytes: int | None = None,
+                  cell: float = 0.0025,
                   diagnostics: dict | None = None, prior: DataFrame | None = None) -> DataFrame:
-    """Full clean step over the whole history (one lazy plan, apart from the
-    small vocabulary table that is classified and checkpointed first).
+    """Full clean step over the whole history: one lazy plan, apart from two
+    tables that are checkpointed first because their sizes are part of it (the
+    scored texts that no rule resolves, and the zone cells).
 
     With ``diagnostics`` (a dict), two ``Observation`` objects are attached:
     ``zones`` (rows per zone class before de-duplication) and ``kept`` (rows
@@ -63,7 +62,7 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
     Use ``clean_diagnostics`` to read them. ``prior`` is passed to the
     evolution labels (incremental runs).
     """
-    df = clean_rows(raw, zones, fuzzy_fallback, cell, zones_bytes)
+    df = clean_rows(raw, zones, fuzzy_fallback, cell)
     if diagnostics is not None:
         z = F.col(K.COL_ZONE)
         diagnostics["zones"] = Observation("zones")
@@ -85,8 +84,3 @@ def clean_diagnostics(diagnostics: dict) -> dict:
     kept = diagnostics["kept"].get
     return {**zones, "duplicates_removed": zones["rows"] - kept["rows"]}
 
-
-def store_clean(clean: DataFrame, path: str, ts: str = K.COL_START) -> None:
-    """Write the clean history sorted by date within each file (no global
-    sort): readers get tight min/max statistics per row group on the date."""
-    clean.sortWithinPartitions(ts).write.mode("errorifexists").option("compression", "snappy").parquet(path)

@@ -16,14 +16,7 @@ TARGETS = [2.0, 14.0]
 def dashboard_data(clean: DataFrame, targets: list[float] = TARGETS) -> tuple[DataFrame, DataFrame]:
     """(per-scope indicator documents, per-target chart documents)."""
     payload = kpi.dashboard_payload(kpi.dashboard_kpis(clean))
-    chart = evolution.chart_series(evolution.zone_evolution(clean, targets=targets))
-    datasets = F.array(
-        F.struct(F.lit("Nuevos").alias("label"), F.col("nuevos").alias("data")),
-        F.struct(F.lit("Recurrentes").alias("label"), F.col("recurrentes").alias("data")),
-        F.struct(F.lit("Migratorios").alias("label"), F.col("migratorios").alias("data")))
-    chart_doc = chart.select("target", F.to_json(F.struct(F.col("labels"), datasets.alias("datasets")))
-                             .alias("chart"))
-    return payload, chart_doc
+    return payload, evolution.chart_document(evolution.zone_evolution(clean, targets=targets))
 
 
 def write_dashboard(clean: DataFrame, out: str, targets: list[float] = TARGETS) -> None:

@@ -2,13 +2,19 @@
 history, updated incrementally.
 
 The clean history is stored partitioned by month (of each row's Monday week,
-so a week never straddles two partitions). New rows are strictly later than
-the previous high-water mark, so only weeks from the mark's week on can
-change. The update re-cleans the raw rows from the first Monday of the mark's
-month on, starts the evolution labels from each key's last earlier zone (read
-from the stored clean history) and overwrites just those month partitions
-(dynamic partition overwrite). The first run, or a missing clean table,
-builds everything.
+so a week never straddles two partitions). An update re-cleans the raw rows
+from the first Monday of the earliest month that any batch not yet cleaned can
+change, starts the evolution labels from each key's last earlier zone, and
+overwrites just those month partitions (dynamic partition overwrite).
+
+Two small tables beside the clean history make this safe and cheap:
+
+- ``<clean>_log``: a row per finished update (last batch cleaned, first month
+  rewritten), written after the clean data. A run that failed in between leaves
+  its batch pending, and the next run cleans it, whether or not a report came.
+- ``<clean>_keys``: the last zone of every key as of the end of a month. An
+  update starts from the newest copy that no later update has made stale and
+  reads only the months since.
 """
 
 from __future__ import annotations
@@ -22,10 +28,10 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.dates import week_monday
 from ..operators.evolution import label_rows, prior_state
-from ..operators.incremental import new_rows
-from ..session import cut_lineage, ensure_checkpoint_dir
-from ..sources.readers import _fs, newest_file, read_batches, read_report
-from ..sources.writers import append_batch, replace_table
+from ..operators.incremental import rows_after
+from ..session import ensure_checkpoint_dir
+from ..sources.readers import _fs, batch_stats, list_versions, newest_file, read_batches, read_report
+from ..sources.writers import append_batch, publish_table
 from .clean import clean_history, clean_rows, type_report
 
 CLEAN_PART = K.CLEAN_PART
@@ -40,75 +46,140 @@ class WeeklyResult:
     from_week: datetime.date | None = None
 
 
-def _with_row_ids(df: DataFrame, start: int = 0) -> DataFrame:
-    """Unique ids for rows that arrive without one (tie-breaker)."""
-    if K.COL_ROW_ID in df.columns:
-        return df
-    return df.withColumn(K.COL_ROW_ID, F.monotonically_increasing_id() + F.lit(start))
-
-
 def _write_weeks(clean: DataFrame, path: str, dynamic: bool) -> None:
+    """Month partitions, each in as few files as its size needs (the rebalance
+    hint splits large months and joins small ones), sorted by date."""
     out = clean.withColumn(CLEAN_PART, F.date_format(week_monday(K.COL_START), "yyyy-MM"))
-    out = out.sortWithinPartitions(K.COL_START)
+    out = out.hint("rebalance", CLEAN_PART).sortWithinPartitions(CLEAN_PART, K.COL_START)
     w = out.write.mode("overwrite").option("compression", "snappy").partitionBy(CLEAN_PART)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
-def build_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame) -> None:
-    """Clean the whole raw history and store it partitioned by week."""
+# -- small tables beside the clean history ---------------------------------------
+
+def _log(spark: SparkSession, clean_path: str) -> list:
+    """Finished updates in order (``update``, ``batch``, ``from_month``); one row each."""
+    n = list_versions(spark, f"{clean_path}_log", "update")
+    if not n:
+        return []
+    rows = spark.read.schema("update int, batch int, from_month string").parquet(*[f"{clean_path}_log/update={i}" for i in n])
+    return sorted(rows.collect(), key=lambda r: r.update)
+
+
+def _finish(spark: SparkSession, clean_path: str, batch: int, from_month: str) -> None:
+    done = _log(spark, clean_path)
+    n = done[-1].update + 1 if done else 1
+    row = spark.createDataFrame([(n, batch, from_month)], "update int, batch int, from_month string")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{clean_path}_log/update={n}")
+
+
+def _previous_month(month: str) -> str:
+    first = datetime.date.fromisoformat(month + "-01")
+    return (first - datetime.timedelta(days=1)).strftime("%Y-%m")
+
+
+def key_state(spark: SparkSession, clean_path: str, month: str, from_week: datetime.date) -> DataFrame:
+    """(key, last_zone, last_week) before ``from_week``, the first Monday of
+    ``month``: the newest valid copy joined with the months stored since, and
+    kept as a copy of its own."""
+    done = _log(spark, clean_path)
+    base, asof = f"{clean_path}_keys", _previous_month(month)
+    copies = []
+    for as_of_update in list_versions(spark, base, "copy"):
+        name = spark.read.parquet(f"{base}/copy={as_of_update}").select("asof", "made_by").first()
+        if name and name.asof <= asof and not any(u.update > name.made_by and u.from_month <= name.asof for u in done):
+            copies.append((name.asof, as_of_update))
+    stored = spark.read.parquet(clean_path).where(F.col(CLEAN_PART) <= asof)
+    if copies:
+        last, n = max(copies)
+        old = spark.read.parquet(f"{base}/copy={n}").select("key", "last_zone", "last_week")
+        if last == asof:
+            return old
+        stored = stored.where(F.col(CLEAN_PART) > last)
+        new = prior_state(stored, from_week)
+        both = old.unionByName(new)
+        state = both.groupBy("key").agg(F.max_by("last_zone", "last_week").alias("last_zone"), F.max("last_week").alias("last_week"))
+    else:
+        state = prior_state(stored, from_week)
+    n = max(list_versions(spark, base, "copy"), default=0) + 1
+    made_by = done[-1].update if done else 0
+    state.select("key", "last_zone", "last_week", F.lit(asof).alias("asof"), F.lit(made_by).alias("made_by")).write.mode("overwrite").parquet(f"{base}/copy={n}")
+    return spark.read.parquet(f"{base}/copy={n}").select("key", "last_zone", "last_week")
+
+
+# -- building and updating ---------------------------------------------------------
+
+def build_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame, strict_coordinates: bool = True) -> None:
+    """Clean the whole raw history and store it partitioned by month."""
+    stats = batch_stats(spark, raw_base)
     raw_all = read_batches(spark, raw_base)
-    _write_weeks(clean_history(type_report(raw_all, strict_coordinates=False), zones), clean_path, False)
+    _write_weeks(clean_history(type_report(raw_all, strict_coordinates), zones), clean_path, False)
+    _finish(spark, clean_path, stats[-1].batch, "")
 
 
 def update_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame,
-                 mark: datetime.datetime) -> datetime.date:
-    """Re-clean the raw rows from the first Monday of the mark's month on and
-    overwrite only those month partitions. Returns that first Monday."""
-    week = (mark - datetime.timedelta(days=mark.weekday())).date()
+                 earliest: datetime.datetime, strict_coordinates: bool = True) -> datetime.date:
+    """Re-clean the raw rows from the first Monday of the month of
+    ``earliest``'s week on and overwrite only those month partitions. Returns
+    that first Monday."""
+    batch = batch_stats(spark, raw_base)[-1].batch
+    week = (earliest - datetime.timedelta(days=earliest.weekday())).date()
     first_day = week.replace(day=1)
     from_week = first_day + datetime.timedelta(days=(7 - first_day.weekday()) % 7)
+    month = from_week.strftime("%Y-%m")
     affected = read_batches(spark, raw_base).where(F.col(K.COL_START) >= F.lit(from_week).cast("timestamp"))
-    rows = clean_rows(type_report(affected, strict_coordinates=False), zones)
-    stored = spark.read.parquet(clean_path)
-    stored = stored.where(F.col(CLEAN_PART) <= F.lit(from_week.strftime("%Y-%m"))).drop(CLEAN_PART)
-    # the state is checkpointed, so the write below never reads the path it overwrites
-    prior = cut_lineage(prior_state(stored, from_week, rows.select(K.COL_KEY)))
+    rows = clean_rows(type_report(affected, strict_coordinates), zones)
+    # the state lies in a folder of its own, so the write never reads the path it overwrites
+    prior = key_state(spark, clean_path, month, from_week)
     _write_weeks(label_rows(rows, prior=prior), clean_path, True)
+    _finish(spark, clean_path, batch, month)
     return from_week
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    return fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    return fs.exists(p)
+
+
+def clean_pending(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame,
+                  strict_coordinates: bool = True) -> tuple[bool, datetime.date | None]:
+    """Clean every batch that no finished update covers: (rebuilt, first week
+    updated). A history without a finished build is built whole, and so is one
+    whose pending batches hold rows without a date."""
+    stats = batch_stats(spark, raw_base)
+    if not stats:
+        return False, None
+    done = _log(spark, clean_path) if _exists(spark, clean_path) else []
+    pending = [r for r in stats if r.batch > (done[-1].batch if done else 0)]
+    if done and not pending:
+        return False, None
+    if not done or any(r.undated or r.first is None for r in pending):
+        build_clean(spark, raw_base, clean_path, zones, strict_coordinates)
+        return True, None
+    earliest = min(r.first for r in pending)
+    return False, update_clean(spark, raw_base, clean_path, zones, earliest, strict_coordinates)
 
 
 def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str, zones: DataFrame,
-               table: str | None = None, glob: str = "*.csv", fmt: str = "csv") -> WeeklyResult:
+               table: str | None = None, glob: str = "*.csv", fmt: str = "csv", strict_coordinates: bool = True) -> WeeklyResult:
     """One weekly cycle: pick the newest landed report, keep rows strictly
-    after the history's latest date, append them as a raw batch, then update
-    the clean history (incrementally when it exists) and optionally the table."""
+    after the history's latest date, append them as a raw batch, then clean all
+    that is pending and optionally publish the table. Running it again after a
+    failure, or with nothing new, is safe. Bad coordinate text ends the run,
+    unless ``strict_coordinates`` is False (then it gives no zone)."""
     ensure_checkpoint_dir(spark)
     path = newest_file(spark, landing, glob)
-    if path is None:
-        return WeeklyResult(None, False, None)
-    landed = read_report(spark, path, fmt)
-    landed = landed.withColumn(K.COL_START, F.try_to_timestamp(F.col(K.COL_START).cast("string")))
-    history = read_batches(spark, raw_base)
-    mark, offset = None, 0
-    if history is not None:
-        stats = history.agg(F.max(K.COL_START).alias("m"), F.max(K.COL_ROW_ID).alias("r")).first()
-        mark, offset = stats["m"], (stats["r"] if stats["r"] is not None else -1) + 1
-    fresh = _with_row_ids(new_rows(history, landed), offset)
-    appended = not fresh.isEmpty()
-    raw_batch = append_batch(fresh, raw_base) if appended else None
-    result = WeeklyResult(path, appended, raw_batch)
-    if mark is None or not _exists(spark, clean_path):
-        build_clean(spark, raw_base, clean_path, zones)
-        result.rebuilt = True
-    elif appended:
-        result.from_week = update_clean(spark, raw_base, clean_path, zones, mark)
-    if table:
-        replace_table(spark.read.parquet(clean_path), table)
-    return result
+    raw_batch = None
+    if path is not None:
+        landed = read_report(spark, path, fmt)
+        landed = landed.withColumn(K.COL_START, F.try_to_timestamp(F.col(K.COL_START).cast("string")))
+        done = batch_stats(spark, raw_base)
+        mark = max((r.mark for r in done if r.mark is not None), default=None)
+        raw_batch = append_batch(rows_after(landed, bool(done), mark), raw_base)
+    rebuilt, from_week = clean_pending(spark, raw_base, clean_path, zones, strict_coordinates)
+    if table and _exists(spark, clean_path):
+        publish_table(spark, clean_path, table)
+    return WeeklyResult(path, raw_batch is not None, raw_batch, rebuilt, from_week)
+

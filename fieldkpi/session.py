@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,10 +44,10 @@ def get_spark(master: str | None = None, app: str = "fieldkpi", shuffle_partitio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set our own only where unset.
+    """The cluster's shared folder, named in ``spark.checkpoint.dir``.
 
-    The fallback (a fresh temporary folder) is meant for local tests only; on a
-    cluster the shared folder named in the session configuration is used.
+    Only a local master (tests) gets a fresh temporary folder where it is unset;
+    anywhere else that raises, as executors share no machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="fieldkpi-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -69,39 +71,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), name) if base.startswith("file:") else f"{base}/{name}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
 _MATERIALIZED: dict[tuple, str] = {}
 
 
-def materialize(df, name: str, key: tuple = ()) -> DataFrame:
-    """Write a DataFrame as parquet under the shared checkpoint folder (once
-    per session and key) and read it back: a durable lineage cut that later
-    jobs of the same session reuse, like a stored table.
-
-    ``df`` may be a DataFrame or a zero-argument callable building one (so a
-    plan with eager parts is not even built when the table already exists).
-    """
-    from pyspark.sql import SparkSession as _S
-
-    spark = df.sparkSession if isinstance(df, DataFrame) else _S.getActiveSession()
-    app = spark.sparkContext.applicationId
-    k = (app, name) + tuple(key)
+def materialize(write, spark: SparkSession, name: str, key: tuple = ()) -> DataFrame:
+    """A stored table of this session: ``write(path)`` fills a fresh folder
+    under the shared checkpoint folder once per session and key; later calls
+    read it back."""
+    k = (spark.sparkContext.applicationId, name) + tuple(key)
     path = _MATERIALIZED.get(k)
     if path is None:
-        frame = df if isinstance(df, DataFrame) else df()
-        path = scratch_dir(spark, f"tables/{app}/{name}-{abs(hash(k)) % 10**10}")
-        frame.write.mode("overwrite").parquet(path)
+        path = scratch_dir(spark, f"tables/{name}-{uuid.uuid4().hex}")
+        write(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when a scan yields fewer partitions than
-    the cluster can run at once (small inputs stored as one row group). Large
-    inputs already split into many tasks pass through unchanged."""
+    """Round-robin repartition of a scan that yields fewer partitions than the
+    cluster can run at once (small inputs stored as one row group). Large
+    inputs already split into many tasks pass through unchanged. For scans
+    only: it counts the partitions by planning what it is given."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.contact import contact_case_sql
+from .readers import _fs
 from .writers import replace_table
 
 ENRICHED_VIEW = "vista_intervenciones_enriquecida"
@@ -54,7 +55,10 @@ def create_views(spark: SparkSession, table: str = CLEAN_TABLE, temporary: bool
 
 
 def restore(spark: SparkSession, parquet_path: str, table: str = CLEAN_TABLE) -> bool:
-    """Stored clean parquet -> table -> views; stops (False) when empty."""
+    """Stored clean parquet -> table -> views; stops (False) when absent or empty."""
+    fs, p = _fs(spark, parquet_path)
+    if not fs.exists(p):
+        return False
     df = spark.read.parquet(parquet_path)
     if df.isEmpty():
         return False

@@ -14,9 +14,10 @@ from .. import constants as K
 from ..session import spread
 
 # FIXED VALUES (test fixture design): closing codes by source category and the
-# supervisor notes written beside them. Notes are chosen so that every closing
-# text resolves through the exact or substring rules; texts that need the fuzzy
-# scorer are exercised by their own query.
+# supervisor notes written beside them. In each list the first four resolve
+# through the exact or substring rules; the other four are for the fuzzy scorer:
+# close to and far from its threshold, empty once cleaned, long, and (with a
+# number) many distinct ones.
 RESULT_CODES = [
     "01-Traslado efectivo a CIS",
     "12–No se contacta y no se observan pertenencias",
@@ -25,29 +26,40 @@ RESULT_CODES = [
     "16-Desestimado (cartas 911 u otras áreas)",
 ]
 SUPERVISOR_NOTES = [
-    ["17 - DIPA Derivación a CIS", "Traslado a CIS", "Acepta CIS pero no hay vacante", "Derivación a SAME"],
+    ["17 - DIPA Derivación a CIS", "Traslado a CIS", "Acepta CIS pero no hay vacante", "Derivación a SAME",
+     "Traslado efectivo al CIS", "Acompañamiento a otro efector", "Deriva a SAME", "Activa protocolo salud mental"],
     ["Rechaza entrevista y se retira", "Rechaza entrevista y se queda", "Imposibilidad de abordaje",
-     "Mendicidad"],
+     "Mendicidad",
+     "Rechaza la entrevista, se retira", "Imposible abordar por consumo", "Rechaza entrevista, queda en el lugar",
+     "Menor mendigando"],
     ["Se realiza entrevista", "Derivación a espacio público", "Protocolo de salud mental",
-     "21 - Asesoramiento sobre programas"],
-    ["-", "SIN DATO", None, "N/A"],
-    ["(Vacio)", "nan", " ", "No se encuentra en situación de calle"],
+     "21 - Asesoramiento sobre programas",
+     "Entrevista realizada", "Derivación a plaza pública", "No estaba en situación de calle", "xyz"],
+    ["-", "SIN DATO", None, "N/A",
+     "Seguimiento nro #", "Se recorre la zona junto al equipo de noche, se conversa con vecinos y comerciantes, no se ubica a la "
+     "persona indicada por el llamado y se deja constancia para el próximo turno", "!!!", "Sin cobertura"],
+    ["(Vacio)", "nan", " ", "No se encuentra en situación de calle",
+     "No se contacta, se observan pertenencias", "No se contacta ni se observan pertenencias", "Desestimada por carta 911", "Otra área"],
 ]
+NOTE_NUMBERS = 40  # numbers that stand for the # in a note
 
 
-def _lit(v: str | None) -> str:
-    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+def _lit(v: str | None, number: str | None = None) -> str:
+    if v is None:
+        return "NULL"
+    text = "'" + v.replace("'", "''") + "'"
+    return f"replace({text}, '#', CAST({number} AS STRING))" if number and "#" in v else text
 
 
-def _case(index_expr: str, values: list) -> str:
-    whens = " ".join(f"WHEN {i} THEN {_lit(v)}" for i, v in enumerate(values))
+def _case(index_expr: str, values: list, number: str | None = None) -> str:
+    whens = " ".join(f"WHEN {i} THEN {_lit(v, number)}" for i, v in enumerate(values))
     return f"CASE {index_expr} {whens} END"
 
 
 def _closing_cols(code_idx: str, row: str) -> list[tuple[str, str]]:
     result = _case(code_idx, RESULT_CODES)
     notes = "CASE " + " ".join(
-        f"WHEN {code_idx} = {i} THEN {_case(f'{row} % 4', vals)}" for i, vals in enumerate(SUPERVISOR_NOTES)
+        f"WHEN {code_idx} = {i} THEN {_case(f'({row} + CAST(floor({row} / 32) AS BIGINT)) % 8', vals, f'{row} % {NOTE_NUMBERS}')}" for i, vals in enumerate(SUPERVISOR_NOTES)
     ) + " END"
     return [(K.COL_SUPERVISOR, notes), (K.COL_RESULT, result)]
 

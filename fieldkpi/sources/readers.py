@@ -1,4 +1,4 @@
-"""Readers: newest landed report, report scan, versioned history."""
+"""Readers: newest landed report, report scan, append-only raw history and its statistics."""
 
 from __future__ import annotations
 
@@ -27,9 +27,10 @@ def read_report(spark: SparkSession, path: str, fmt: str = "csv", banner: bool =
                 sep: str = ",") -> DataFrame:
     """Scan landed report(s). CSV exports carry one banner line above the
     header. The header line is peeked on the driver (two lines of the first
-    file), the files are read with an explicit all-text schema, and the
-    banner and header rows (one of each per file) are filtered out by literal
-    match. Typing is the clean step's job."""
+    file), the files are read with an explicit all-text schema, quoted cells
+    may hold line breaks and doubled quotes (so a file is one task: weekly
+    reports are small), and the banner and header rows (one of each per file)
+    are filtered out by literal match. Typing is the clean step's job."""
     import csv
 
     if fmt == "parquet":
@@ -40,7 +41,8 @@ def read_report(spark: SparkSession, path: str, fmt: str = "csv", banner: bool =
     head = lines[1] if banner else lines[0]
     names = next(csv.reader([head], delimiter=sep))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.schema(schema).option("header", False).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(schema).option("header", False).option("sep", sep).option("mode", "PERMISSIVE") \
+        .option("multiLine", True).option("escape", '"').csv(path)
     first = F.col(f"`{names[0]}`")
     is_header = F.coalesce(first == F.lit(names[0]), F.lit(False))
     if banner:
@@ -63,8 +65,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_versions(spark: SparkSession, base: str, prefix: str = "version") -> list[int]:
-    """Committed versions / batches (``<prefix>=N`` folders with a _SUCCESS marker)."""
+def list_versions(spark: SparkSession, base: str, prefix: str = "batch") -> list[int]:
+    """Committed batches (``<prefix>=N`` folders with a _SUCCESS marker)."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
@@ -77,20 +79,38 @@ def list_versions(spark: SparkSession, base: str, prefix: str = "version") -> li
     return sorted(out)
 
 
-def read_history(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Latest committed version of a versioned table; None when there is none
-    (or an empty frame of ``schema`` when one is given)."""
-    versions = list_versions(spark, base)
-    if not versions:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{base}/version={versions[-1]}")
-
-
 def read_batches(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
     """An append-only table: the union of its committed batches (columns
-    aligned by name across batches); None / empty frame when there is none."""
-    batches = list_versions(spark, base, "batch")
+    aligned by name across batches); None / empty frame when there is none
+    (a missing history is an empty one)."""
+    batches = list_versions(spark, base)
     if not batches:
         return spark.createDataFrame([], schema) if schema is not None else None
     paths = [f"{base}/batch={b}" for b in batches]
     return spark.read.option("mergeSchema", True).parquet(*paths)
+
+
+STATS = T.StructType([T.StructField("batch", T.IntegerType()), T.StructField("rows", T.LongType()),
+                      T.StructField("first", T.TimestampType()), T.StructField("mark", T.TimestampType()),
+                      T.StructField("undated", T.LongType()), T.StructField("last_id", T.LongType())])
+
+
+def write_batch_stats(spark: SparkSession, base: str, batch: int, ts: str = K.COL_START, row_id: str = K.COL_ROW_ID) -> None:
+    """One row of figures about a committed batch, beside the batches."""
+    rows = spark.read.parquet(f"{base}/batch={batch}").select(F.col(ts).cast("timestamp").alias("t"), F.col(row_id).cast("long").alias("i"))
+    rows.agg(F.lit(batch).alias("batch"), F.count("*").alias("rows"), F.min("t").alias("first"), F.max("t").alias("mark"),
+             F.count_if(F.col("t").isNull()).alias("undated"), F.max("i").alias("last_id")
+             ).coalesce(1).write.mode("overwrite").parquet(f"{base}/_stats/batch={batch}")
+
+
+def batch_stats(spark: SparkSession, base: str) -> list:
+    """The figures of all committed batches, in order: one small row a batch,
+    so that no run has to read the history for its latest date or id. Figures
+    that are missing (a run that failed after its batch) are made up for."""
+    batches = list_versions(spark, base)
+    if not batches:
+        return []
+    for b in sorted(set(batches) - set(list_versions(spark, f"{base}/_stats"))):
+        write_batch_stats(spark, base, b)
+    paths = [f"{base}/_stats/batch={b}" for b in batches]
+    return sorted(spark.read.schema(STATS).parquet(*paths).collect(), key=lambda r: r.batch)

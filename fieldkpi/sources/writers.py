@@ -1,53 +1,70 @@
-"""Writers: versioned parquet, table replace, sheet-style CSV, JSON payload,
+"""Writers: append-only batches, table replace and publish, sheet-style CSV, JSON payload,
 one output per zone."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .readers import list_versions
+from .. import constants as K
+from .readers import batch_stats, read_batches, write_batch_stats
 
 # FIXED VALUES: whole-cell texts a spreadsheet export shows for missing values
 SHEET_NULL_MARKERS = ["nan", "NaT", "None", "<NA>"]
 
 
-def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of a versioned parquet table.
-
-    A plan may read the current version while writing: the new version goes to
-    its own folder, so nothing being read is overwritten; readers pick the
-    highest committed version (Spark's _SUCCESS marker). Snappy parquet.
-    """
-    spark = df.sparkSession
-    versions = list_versions(spark, base)
-    nxt = (versions[-1] + 1) if versions else 1
-    path = f"{base}/version={nxt}"
-    w = df.write.mode("errorifexists").option("compression", "snappy")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def append_batch(df: DataFrame, base: str) -> str:
-    """Append ``df`` to an append-only table as its next batch folder.
+def append_batch(df: DataFrame, base: str, ts: str = K.COL_START, row_id: str = K.COL_ROW_ID) -> str | None:
+    """Append ``df`` to an append-only table as its next batch folder; None
+    (and nothing written) if ``df`` has no rows.
 
     Only the new rows are written; earlier batches are never rewritten, so a
     weekly append costs the size of the week, not of the history. Readers
     (``readers.read_batches``) take committed batches only.
+
+    Row ids are given here and nowhere else, to batch and streaming input
+    alike. Rows without the column get ids beyond all earlier ones. Ids that
+    come with the rows are checked: null, negative or repeated ids, or ids of
+    an earlier batch, end the append before the batch is committed.
     """
     spark = df.sparkSession
-    batches = list_versions(spark, base, "batch")
-    nxt = (batches[-1] + 1) if batches else 1
+    done = batch_stats(spark, base)
+    nxt = (done[-1].batch + 1) if done else 1
     path = f"{base}/batch={nxt}"
+    given = row_id in df.columns
+    if not given:
+        offset = 1 + max([r.last_id for r in done], default=-1)
+        df = df.withColumn(row_id, F.monotonically_increasing_id() + F.lit(offset))
+    if df.isEmpty():
+        return None
+    if given:
+        ids = df.select(F.col(row_id).cast("long").alias("id"))
+        bad = ids.groupBy("id").agg(F.count("*").alias("n")).where("id IS NULL OR id < 0 OR n > 1").select("id")
+        if done and (ids.agg(F.min("id")).first()[0] or 0) <= max(r.last_id for r in done):
+            bad = bad.unionAll(ids.join(read_batches(spark, base).select(F.col(row_id).alias("id")), "id", "left_semi"))
+        if not bad.isEmpty():
+            raise ValueError(f"{row_id}: null, negative, repeated or already stored ids")
     df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    write_batch_stats(spark, base, nxt, ts, row_id)
     return path
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    """Replace a catalog table (failures raise)."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replace a catalog table (failures raise), without the storage column."""
+    df.drop(K.CLEAN_PART).write.mode("overwrite").saveAsTable(name)
+
+
+def publish_table(spark: SparkSession, clean_path: str, name: str) -> None:
+    """Publish the stored clean history as ``name`` without copying it: an
+    external table over its month folders, and a view that hides the storage
+    column. Costs a listing of the folders, however long the history."""
+    store = f"{name}_almacen"
+    spark.sql(f"DROP TABLE IF EXISTS {store}")  # external: the files stay
+    spark.sql(f"CREATE TABLE {store} USING parquet LOCATION '{clean_path}'")
+    spark.sql(f"MSCK REPAIR TABLE {store}")
+    kinds = {t.name: t.tableType for t in spark.catalog.listTables()}
+    if kinds.get(name, "VIEW") != "VIEW":  # an earlier full copy makes way for the view
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * EXCEPT ({K.CLEAN_PART}) FROM {store}")
 
 
 def sheet_frame(df: DataFrame) -> DataFrame:

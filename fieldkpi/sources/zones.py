@@ -10,10 +10,12 @@ priority rule matters. Real layers are read with ``geo.zones_from_geojson``.
 from __future__ import annotations
 
 import json
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import constants as K
 from ..operators import geo
 
 ASSET = os.path.join(os.path.dirname(os.path.dirname(__file__)), "assets", "demo_zones.geojson")
@@ -64,9 +66,33 @@ def demo_zones(spark: SparkSession) -> DataFrame:
     return geo.zones_from_features(spark, demo_features())
 
 
-def demo_zone_rows() -> list[tuple]:
-    return geo.zone_rows(demo_features())
+# FIXED VALUES (detailed layer): centre, radii, waves and code of each shape; the last is the special layer's
+DETAILED = [(-58.441, -34.569, 0.016, 0.011, 7, 3.0), (-58.418, -34.583, 0.014, 0.012, 11, 5.0),
+            (-58.405, -34.560, 0.012, 0.010, 5, 9.0), (-58.428, -34.574, 0.010, 0.007, 9, 14.5)]
+DETAILED_VERTICES = 1200
+DETAILED_ASSET = os.path.join(os.path.dirname(ASSET), "detailed_zones.geojson")
+SPECIAL_ASSET = os.path.join(os.path.dirname(ASSET), "detailed_special.geojson")
 
 
-def demo_zones_bytes(cell: float = 0.0025) -> int:
-    return geo.estimate_bytes(demo_zone_rows(), cell)
+def _wavy(cx: float, cy: float, rx: float, ry: float, waves: int) -> list[list[float]]:
+    out = []
+    for k in range(DETAILED_VERTICES):
+        a = 2 * math.pi * k / DETAILED_VERTICES
+        r = 1 + 0.15 * math.sin(waves * a) + 0.02 * math.sin(97 * a)
+        out.append([round(cx + rx * r * math.cos(a), 7), round(cy + ry * r * math.sin(a), 7)])
+    return _closed(out)
+
+
+def write_detailed_assets() -> None:
+    """Two layers of shapes with many vertices: codes in property ``comuna``,
+    and one shape with only a name, as special layers have."""
+    feats = [{"type": "Feature", "properties": {"comuna": code} if code != K.ZONE_SPECIAL_14_5 else {"name": "special"},
+              "geometry": {"type": "Polygon", "coordinates": [_wavy(cx, cy, rx, ry, w)]}} for cx, cy, rx, ry, w, code in DETAILED]
+    for path, part in ((DETAILED_ASSET, feats[:-1]), (SPECIAL_ASSET, feats[-1:])):
+        with open(path, "w", encoding="utf-8") as fh:
+            json.dump({"type": "FeatureCollection", "features": part}, fh)
+
+
+def detailed_zones(spark: SparkSession) -> DataFrame:
+    """The detailed layers, read from their files."""
+    return geo.zone_layers(spark, [f"{DETAILED_ASSET}@comuna", f"{SPECIAL_ASSET}={K.ZONE_SPECIAL_14_5}"])

@@ -4,6 +4,7 @@ import os
 import time
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from fieldkpi import constants as K
@@ -12,7 +13,7 @@ from fieldkpi.plans.dashboard import dashboard_data
 from fieldkpi.plans.weekly import weekly_run
 from fieldkpi.sources import catalog, readers, writers
 from fieldkpi.sources.fixtures import interventions
-from fieldkpi.sources.zones import demo_zones
+from fieldkpi.sources.zones import ASSET, demo_zones
 from fieldkpi.streaming.ingest import start_ingest
 
 SF = "/root/testdata/sf0.001"
@@ -116,14 +117,19 @@ def test_sheet_and_payload(spark, tmp_path):
     assert payload.count() == 16 and chart.count() == 2
     import json
     doc = json.loads(payload.where("scope = 'total'").first().payload)
-    assert len(doc["weeks"]) == 8 and [r["label"] for r in doc["rows"]] == K.INDICATORS
+    assert len(doc["weeks"]) == 8 and [r["label"] for r in doc["rows"]] == [
+        "Intervenciones totales", "Derivaciones CIS", "Llamados 108", "% Se contacta", "% No se contacta", "% Sin cubrir"]
+    assert [type(r["vals"][0]) for r in doc["rows"]] == [int, int, int, str, str, str]
+    sets = json.loads(chart.first().chart)["datasets"]
+    assert [(d["label"], d["backgroundColor"], type(d["data"][0])) for d in sets] == [
+        ("Nuevos", "#10B981", int), ("Recurrentes", "#3B82F6", int), ("Migratorios", "#F97316", int)]
 
 
 def test_streaming_ingest(spark, tmp_path):
     land, raw, ck = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "ck")
     land.mkdir()
     pdf = _report_rows(spark, "1997-01-01", "1997-03-01")
-    pdf.to_csv(land / "r1.csv", index=False)
+    _write_report(pdf, str(land / "r1.csv"))   # with its banner line
     schema = readers.history_schema(list(pdf.columns))
     q = start_ingest(spark, str(land), schema, raw, ck)
     q.awaitTermination(120)
@@ -141,7 +147,9 @@ def test_command_line(spark, tmp_path):
     land, raw, clean = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "clean")
     land.mkdir()
     _write_report(_report_rows(spark, "1996-01-01", "1996-04-01"), str(land / "w1.csv"))
-    assert main(["weekly", "--landing", str(land), "--raw", raw, "--clean", clean]) == 0
+    assert main(["weekly", "--landing", str(land), "--raw", raw, "--clean", clean, "--zones", ASSET]) == 0
+    with pytest.raises(SystemExit):   # no default layer
+        main(["weekly", "--landing", str(land), "--raw", raw, "--clean", clean])
     assert main(["dashboard", "--clean", clean, "--out", str(tmp_path / "dash")]) == 0
     assert (tmp_path / "dash" / "indicators").exists() and (tmp_path / "dash" / "evolution").exists()
     assert main(["reports", "--clean", clean, "--out", str(tmp_path / "rep"), "--start", "1996-01-01"]) == 0
@@ -166,3 +174,137 @@ def test_view_contact_case_equals_rule(spark):
     view = spark.table(catalog.ENRICHED_VIEW).select(K.COL_ROW_ID, "Categoria_Contacto")
     rule = clean.select(K.COL_ROW_ID, contact_class(K.COL_STATE, K.COL_RESULT).alias("Categoria_Contacto"))
     assert view.exceptAll(rule).count() == 0 and rule.exceptAll(view).count() == 0
+
+
+def _clean_rows(spark, path):
+    from fieldkpi.plans.weekly import CLEAN_PART
+    return spark.read.parquet(path).drop(CLEAN_PART)
+
+
+def _same(a, b):
+    b = b.select(*a.columns)
+    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_streamed_batches_keep_every_anonymous_row(spark, tmp_path):
+    from fieldkpi.plans.weekly import clean_pending
+    land, raw, clean, ck = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "clean"), str(tmp_path / "ck")
+    land.mkdir()
+    zones = demo_zones(spark)
+    for n, (lo, hi) in enumerate([("1997-01-01", "1997-03-01"), ("1997-03-01", "1997-04-15")]):
+        pdf = _report_rows(spark, lo, hi)
+        _write_report(pdf, str(land / f"r{n}.csv"))
+        start_ingest(spark, str(land), readers.history_schema(list(pdf.columns)), raw, ck).awaitTermination(120)
+        rebuilt, week = clean_pending(spark, raw, clean, zones)
+        assert rebuilt == (n == 0)
+    hist = readers.read_batches(spark, raw)
+    assert hist.where(F.col(K.COL_ROW_ID).isNull()).count() == 0
+    from fieldkpi.plans.clean import clean_rows, type_report
+    typed = clean_rows(type_report(hist), zones)
+    anonymous = typed.where(F.col(K.COL_KEY).isin(K.ANONYMOUS_KEYS)).count()
+    assert anonymous > 10 and _clean_rows(spark, clean).where(F.col(K.COL_EVOLUTION) == K.EVO_UNCLASSIFIED).count() == anonymous
+
+
+def test_failed_update_is_repaired_by_the_next_run(spark, tmp_path, monkeypatch):
+    from fieldkpi.plans import weekly
+    land, raw, clean, full = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "clean"), str(tmp_path / "full")
+    land.mkdir()
+    zones = demo_zones(spark)
+    spans = [("1996-01-01", "1996-03-10"), ("1996-03-10", "1996-04-20"), ("1996-04-20", "1996-05-05"), ("1996-05-05", "1996-06-20")]
+    for n, (lo, hi) in enumerate(spans):
+        time.sleep(1.1)
+        _write_report(_report_rows(spark, lo, hi), str(land / f"w{n}.csv"))
+        if n in (1, 2):   # two runs in a row fail between the raw batch and the clean data
+            with monkeypatch.context() as m:
+                m.setattr(weekly, "_write_weeks", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+                with pytest.raises(RuntimeError):
+                    weekly.weekly_run(spark, str(land), raw, clean, zones)
+            if n == 1:
+                r = weekly.weekly_run(spark, str(land), raw, clean, zones)   # the same report again
+                assert not r.appended and r.from_week is not None
+        else:
+            weekly.weekly_run(spark, str(land), raw, clean, zones)
+    r = weekly.weekly_run(spark, str(land), raw, clean, zones)
+    assert not r.appended and not r.rebuilt and r.from_week is None
+    weekly.build_clean(spark, raw, full, zones)
+    assert _same(_clean_rows(spark, clean), _clean_rows(spark, full))
+
+
+def test_row_ids_are_checked_at_the_append(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    schema = f"`{K.COL_START}` timestamp, {K.COL_ROW_ID} long"
+    frame = lambda ids: spark.createDataFrame([(None, i) for i in ids], schema)
+    for bad in ([1, None], [1, 1], [-1]):
+        with pytest.raises(ValueError):
+            writers.append_batch(frame(bad), base)
+    assert writers.append_batch(frame([]), base) is None and readers.batch_stats(spark, base) == []
+    assert writers.append_batch(frame([4, 2]), base).endswith("batch=1")
+    with pytest.raises(ValueError):
+        writers.append_batch(frame([9, 4]), base)
+    writers.append_batch(frame([3]).drop(K.COL_ROW_ID), base)
+    ids = sorted(r[0] for r in readers.read_batches(spark, base).select(K.COL_ROW_ID).collect())
+    assert ids[:2] == [2, 4] and ids[2] > 4 and [r.last_id for r in readers.batch_stats(spark, base)] == [4, ids[2]]
+
+
+def test_clean_files_are_few_and_sorted_by_date(spark, tmp_path):
+    from __spark_entry__ import _clean
+    from fieldkpi.plans.weekly import CLEAN_PART, _write_weeks
+    path = str(tmp_path / "clean")
+    _write_weeks(_clean(spark, SF).repartition(8), path, False)
+    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    months = spark.read.parquet(path).select(CLEAN_PART).distinct().count()
+    assert len(files) <= 1.2 * months
+    for f in files[:12]:
+        dates = [r[0] for r in spark.read.parquet(f).select(K.COL_START).collect()]
+        assert dates == sorted(dates, key=lambda d: (d is not None, d))
+
+
+def test_cells_with_line_breaks_and_quotes(spark, tmp_path):
+    p = tmp_path / "r.csv"
+    cells = ["a\nb", 'say "hi"', "x,y"]
+    with open(p, "w", encoding="utf-8") as fh:
+        fh.write("Reporte\n")
+        pd.DataFrame({K.COL_START: ["2025-01-01"] * 3, K.COL_RESULT: cells}).to_csv(fh, index=False)
+    assert sorted(r[K.COL_RESULT] for r in readers.read_report(spark, str(p)).collect()) == sorted(cells)
+
+
+def test_first_run_with_an_empty_report(spark, tmp_path):
+    land, raw, clean = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "clean")
+    land.mkdir()
+    (land / "w.csv").write_text("Reporte\n" + ",".join(readers.REPORT_COLUMNS) + "\n", encoding="utf-8")
+    r = weekly_run(spark, str(land), raw, clean, demo_zones(spark))
+    assert not r.appended and not r.rebuilt and not os.path.exists(clean)
+
+
+def test_bad_coordinates_raise_unless_lenient(spark, tmp_path):
+    land, zones = tmp_path / "landing", demo_zones(spark)
+    land.mkdir()
+    pdf = _report_rows(spark, "1996-01-01", "1996-01-20")
+    pdf.loc[0, K.COL_LAT] = "abc"
+    pdf.loc[0, K.COL_AGENCY] = None
+    _write_report(pdf, str(land / "w.csv"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        weekly_run(spark, str(land), str(tmp_path / "raw"), str(tmp_path / "clean"), zones)
+    r = weekly_run(spark, str(land), str(tmp_path / "raw"), str(tmp_path / "clean"), zones, strict_coordinates=False)
+    assert r.rebuilt
+
+
+def test_published_table_hides_the_storage_column(spark, tmp_path):
+    from __spark_entry__ import _clean
+    from fieldkpi.plans.weekly import CLEAN_PART, _write_weeks
+    path = str(tmp_path / "clean")
+    _write_weeks(_clean(spark, SF), path, False)
+    writers.publish_table(spark, path, "publicado")
+    writers.publish_table(spark, path, "publicado")
+    got = spark.table("publicado")
+    assert CLEAN_PART not in got.columns and got.count() == spark.read.parquet(path).count()
+    assert not catalog.restore(spark, str(tmp_path / "absent"))
+
+
+def test_checkpoint_folder_must_be_shared_off_local_masters():
+    from types import SimpleNamespace
+
+    from fieldkpi.session import ensure_checkpoint_dir
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://x"), conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake)

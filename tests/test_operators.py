@@ -2,6 +2,8 @@
 
 import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from fieldkpi import constants as K
@@ -238,12 +240,22 @@ def test_row_labels_match_loop(spark):
 def test_one_row_per_week(spark):
     d = datetime.datetime
     rows = [(1, d(2025, 1, 6, 9), "A", 1.0), (2, d(2025, 1, 8, 9), "A", 2.0), (3, d(2025, 1, 8, 9), "A", 3.0),
-            (4, d(2025, 1, 14, 9), "A", 4.0)]
-    df = _frame(spark, rows).withColumn("wk", F.to_date(F.date_trunc("week", K.COL_START)))
-    last = sorted(r.row_id for r in evolution.one_row_per_week(df, K.COL_KEY, "wk", keep="last").collect())
-    first = sorted(r.row_id for r in evolution.one_row_per_week(df, K.COL_KEY, "wk", keep="first").collect())
-    assert last == [3, 4]     # equal times: the larger row id is the later row
-    assert first == [1, 4]
+            (4, d(2025, 1, 14, 9), "A", 3.0)]
+    df = _frame(spark, rows)
+    kept = {r.row_id: r[K.COL_EVOLUTION] for r in evolution.label_rows(df).collect()}
+    # equal times: the larger row id is the later row
+    assert kept == {3: K.EVO_NEW, 4: K.EVO_RECURRING}
+    first = evolution.zone_evolution(df, targets=[1.0]).orderBy("week").first()   # the first row of the week counts
+    assert first["nuevos"] == 1
+
+
+def test_rows_without_person_or_date_are_never_grouped(spark):
+    d = datetime.datetime
+    rows = [(i, d(2025, 1, 6, 9), K.KEY_NOT_GIVEN, 1.0) for i in range(5)] + [(10 + i, None, "A", 1.0) for i in range(3)] + [(20, d(2025, 1, 6, 9), "A", 1.0)]
+    got = evolution.label_rows(_frame(spark, rows))
+    assert got.count() == 9 and got.where(F.col(K.COL_EVOLUTION) == K.EVO_UNCLASSIFIED).count() == 8
+    with pytest.raises(Exception, match="null row_id"):
+        evolution.label_rows(_frame(spark, [(None, d(2025, 1, 6, 9), "A", 1.0)])).collect()
 
 
 def test_geojson_multipolygon_reader_matches_features(spark, tmp_path):
@@ -268,3 +280,37 @@ def test_geojson_multipolygon_reader_matches_features(spark, tmp_path):
     got = {(x, y): a[i] for i, x, y in pts}
     assert got[(1.5, 1.5)] == 3.0 and got[(11.5, 1.5)] == 9.0
     assert got[(16.5, 2.5)] is None and got[(14.5, 0.5)] == 9.0   # hole of the second part
+
+
+def test_zone_layers_from_files(spark, tmp_path):
+    import json
+    square = [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]
+    inner = [[[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]]
+
+    def layer(name, props, ring):
+        p = tmp_path / name
+        p.write_text(json.dumps({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": props, "geometry": {"type": "Polygon", "coordinates": ring}}]}))
+        return str(p)
+
+    regular, special = layer("r.geojson", {"comuna": "3"}, square), layer("s.geojson", {"name": "only a name"}, inner)
+    zones = geo.zone_layers(spark, [f"{regular}@comuna", f"{special}=14.5"])
+    pts = spark.createDataFrame([(1, 1.5, 1.5), (2, 3.0, 3.0), (3, 9.0, 9.0), (4, None, None), (5, 4.0, 2.0)], "id int, lon double, lat double")
+    for limit in (10**9, 0):   # broadcast and shuffled
+        got = {r.id: r.z for r in geo.assign_zone(pts, zones, "lon", "lat", "z", cell=0.7, broadcast_limit=limit).collect()}
+        assert got == {1: 14.5, 2: 3.0, 3: None, 4: None, 5: None}
+    with pytest.raises(Exception, match="feature without zone"):   # a null code would win over real zones
+        geo.assign_zone(pts, geo.zone_layers(spark, [special]), "lon", "lat", "z").collect()
+    with pytest.raises(ValueError):
+        geo.zone_rows([{"properties": {"name": "x"}, "geometry": {"type": "Polygon", "coordinates": square}}])
+
+
+def test_detailed_polygons_keep_few_edges_per_cell(spark):
+    from fieldkpi.sources.zones import DETAILED_VERTICES, detailed_zones
+    zones = detailed_zones(spark)
+    assert zones.where(F.size("edges") >= 1000).count() == 4
+    cells = geo.zone_cells(zones, 0.0025)
+    most = cells.select(F.explode("cands").alias("c")).agg(F.max(F.size("c.edges"))).first()[0]
+    assert most < DETAILED_VERTICES / 5
+    plan = geo.assign_zone(spark.createDataFrame([(1, -58.44, -34.57)], "id int, lon double, lat double"), zones, "lon", "lat", "z")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -3,6 +3,8 @@ joins) and the report writers."""
 
 import re
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from fieldkpi.operators import kpi
 from fieldkpi.plans.reports import write_reports
@@ -10,8 +12,16 @@ from fieldkpi.plans.reports import write_reports
 SF = "/root/testdata/sf0.001"
 
 
+def _own_queries():
+    """The library's queries without those of the training-data subpackage."""
+    extra = set(entry.llm_queries.QUERIES) | {"pipeline"} if entry.llm_queries else set()
+    return {k: q for k, q in entry.queries().items() if k not in extra}
+
+
 def test_plans_stay_in_the_jvm(spark):
-    for name, q in entry.queries().items():
+    """Apart from the fuzzy scorer's own query. Its runs inside other queries
+    are checkpointed first; test_only_unresolved_texts_are_scored looks at them."""
+    for name, q in _own_queries().items():
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan), name
         if name != "outcome_fuzzy":
@@ -25,6 +35,8 @@ def test_board_sheet(spark):
     assert sheet.count() == 7 * zones
     row = sheet.where("row_no = 1").orderBy("zone").first()
     assert row["Indicador"] == "Intervenciones totales"
+    assert [r["Indicador"] for r in sheet.where(f"zone = {row['zone']} AND row_no > 0").orderBy("row_no").collect()] == [
+        "Intervenciones totales", "Derivaciones CIS", "Llamados 108", "% Contacta", "% No se contacta", "% Sin cubrir"]
     head = sheet.where("row_no = 0").orderBy("zone").first()
     assert head["s1"].startswith("Sem ")
 
@@ -36,11 +48,45 @@ def test_write_reports(spark, tmp_path):
     assert "zone=2.5" in parts and "zone=14.5" in parts
 
 
-def test_clean_dedup_aggregates_map_side(spark):
-    """The weekly de-dup reduces each (week, key) map-side before the shuffle
-    (partial aggregation), so a hot key never travels whole."""
+def test_only_unresolved_texts_are_scored(spark, monkeypatch):
+    """The scorer gets each distinct text that no rule resolves, and no other."""
+    from fieldkpi import constants as K
+    from fieldkpi.operators import classify
+    from fieldkpi.sources.fixtures import interventions
+    seen = []
+    original = classify.score_texts
+    monkeypatch.setattr(classify, "score_texts", lambda *a: seen.append(original(*a)) or seen[-1])
+    rows = classify.closing_columns(interventions(spark, SF, "orders"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and plan.index("HashAggregate") > plan.index("MapInPandas")   # distinct before scoring
+    scored = {r.text for r in seen[0].collect()}
+    ruled = {r[0] for r in rows.where(classify.rule_category(K.COL_CLEAN_TEXT).isNotNull()).select(K.COL_CLEAN_TEXT).distinct().collect()}
+    assert len(scored) > 20 and not scored & ruled
+    assert rows.where(F.col(K.COL_CATEGORY).isNull()).count() == 0
+
+
+def test_clean_dedup_is_narrow_and_map_side(spark):
+    """The weekly winners are picked on narrow columns with partial aggregation,
+    so a hot key never travels whole, and the wide rows move once."""
     plan = entry.queries()["clean_history"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+    wide = re.findall(r"Exchange hashpartitioning\(([^,)]*)", plan)
+    assert len([k for k in wide if k.startswith(("row_id", "coalesce"))]) <= 2   # the rows and their labels
+    assert len(wide) <= 4, wide
+
+
+def test_reports_scan_the_history_once(spark):
+    def scans(name):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.index("== Initial Plan ==") if "== Initial Plan ==" in plan else 0:]
+        return plan.count("FileScan parquet")
+    assert scans("weekly_zone_summary") == 1
+
+
+def test_registered_dashboard_prunes_months(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = entry.queries()["dashboard_kpis"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*mes_part#\d+ >= date_format\(cast\((Reused)?Subquery", plan)
 
 
 def test_vocabulary_join_without_broadcast(spark):

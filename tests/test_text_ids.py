@@ -29,6 +29,7 @@ DNI_CASES = [
     (" 12345678 ", "12345678", "dni_valido"),  # str.strip() removes Unicode spaces
     ("no brinda", NB, "patron_no_brindo_genericos"),  # Python \s is Unicode-aware
     ("٣٤٥٦٧٨٩", "3456789", "dni_valido"),  # int() reads any decimal digit
+    ("\U0001d7cf\U0001d7d0\U0001d7d1\U0001d7d2\U0001d7d3\U0001d7d4\U0001d7d5", "1234567", "dni_valido"),  # beyond the first plane
 ]
 
 
@@ -82,3 +83,8 @@ def test_cleaners_idempotent(spark, fn):
     twice = _run(spark, [x for x in once], fn("v"))
     expect = [x if x is not None else (None if fn is clean_name else "") for x in once]
     assert twice == expect
+
+
+def test_closing_text_transliterates_other_scripts_and_signs(spark):
+    cases = [("Привет ½ ℃ №1", "privet 1 2 degc no1"), ("Ωμέγα", "omega"), ("㎏ ①", "kg 1"), ("\U0001d400\U0001d41b", "ab"), ("汉字 x", "x")]
+    assert _run(spark, [c[0] for c in cases], clean_closing_text("v")) == [c[1] for c in cases]
