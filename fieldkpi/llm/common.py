@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fieldkpi.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 
 
