@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fieldkpi.llm.common import U64, Words, mix, sample_fraction, slices, text_array
 
-FIT_ROWS = 12_000
+FIT_ROWS = 20_000
 BITS = 20
 EPOCHS = 4
 THRESHOLD = 0.7
@@ -93,7 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id
         keep = (w != 0) | (every == 1 << BITS)
         yield pa.RecordBatch.from_arrays([pa.array(every[keep]), pa.array(w[keep])], names=["i", "w"])
 
-    drawn = sample.mapInArrow(rows, "at long, i array<int>, y int").coalesce(1)
+    drawn = sample.mapInArrow(rows, "at long, i array<int>, y int").repartition(1)  # the bounded sample only: texts are read in many tasks
     got = drawn.mapInArrow(fit, "i long, w double").toPandas().sort_values("i")
     return got["i"].to_numpy(), got["w"].to_numpy()
 
