@@ -173,7 +173,8 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str
     per_dim = nodes.groupBy("dim").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int")).drop("n")
     dealt = nodes.join(per_dim, "dim").withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), F.col("node")), F.col("shards")).cast("int"))
     draw = (F.pmod(F.xxhash64(F.lit("level"), F.col("node")), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40))
-    dealt = dealt.select("dim", "shard", "node", "v", draw.alias("draw"))
+    n_shards = per_dim.agg(F.sum("shards")).first()[0] or 1
+    dealt = dealt.select("dim", "shard", "node", "v", draw.alias("draw")).repartition(int(n_shards) * 2, "dim", "shard")
 
     def make(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", kind="stable")
@@ -195,7 +196,8 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_i
     n_blocks = max(1, math.ceil(asked.count() / block_queries))
     blocks = (asked.select("query_id", "qv", F.size("qv").alias("dim"), F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("block"))
               .groupBy("dim", "block").agg(F.sort_array(F.collect_list(F.struct("query_id", "qv"))).alias("asked")))
-    cells = index.join(blocks, "dim")  # the stated queries, in blocks, against every shard
+    n_cells = n_blocks * max(1, index.count())
+    cells = index.join(blocks, "dim").repartition(n_cells * 2, "dim", "shard", "block")  # the stated queries, in blocks, against every shard
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
