@@ -4,8 +4,8 @@ A source's rate is its target share of the output over its share of the input.
 Every document draws a repetition count from a Poisson distribution with its
 source's rate as mean, by inverting the distribution at a uniform number hashed
 from a seed and the document's id; it is exploded by that count. The copies are
-shuffled globally: a hash of seed, id and copy gives each a random bucket and a
-place in it, and each bucket is one partition, sorted.
+shuffled globally: a hash of seed, id and copy gives each a random place in
+[0, 1), and partition k of n holds the k-th n-th of the places, sorted.
 
 Targets default to each source's count to the power ``alpha`` (1: as found, 0:
 all alike); the output has about as many rows as the input unless ``total`` says
@@ -27,7 +27,7 @@ from fieldkpi.llm.common import bounded_broadcast, stored
 SEED = 17
 ALPHA = 0.5
 MAX_BROADCAST_SOURCES = 10_000
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 20_000
 
 
 def _uniform(*parts) -> Column:
@@ -80,8 +80,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     copies = (drawn.withColumn("_u", u).withColumn("_k", count).where("_k > 0")
               .select(*keep, F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("copy")))
     placed = copies.withColumn("place", _uniform(seed, "p", key, F.col("copy").cast("string")))
-    return (placed.withColumn("_bucket", F.floor(F.col("place") * buckets).cast("int")).repartition(buckets, "_bucket")
-            .sortWithinPartitions("_bucket", "place", id_col, "copy").drop("_bucket"))
+    return placed.repartitionById(buckets, F.floor(F.col("place") * buckets).cast("int")).sortWithinPartitions("place", id_col, "copy")
 
 
 def mix_sql(alpha: float = ALPHA, seed: int = SEED, table: str = "documents", columns: str = "d.*") -> str:
