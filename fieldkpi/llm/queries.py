@@ -32,7 +32,8 @@ _MARKED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[
 
 def op2_chat_format(spark, sf_dir):
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    more = spark.createDataFrame(_MARKED, turns.schema)
+    rows = ", ".join(f"({c}L, {t}L, '{r}', '{x}')" for c, t, r, x in _MARKED)
+    more = spark.sql(f"SELECT * FROM VALUES {rows} AS v(conv_id, turn, role, text)")
     return chat.digest(chat.format_turns(turns.unionByName(more)))
 
 
