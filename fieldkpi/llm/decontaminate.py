@@ -72,5 +72,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows of contaminated documents, all columns as they are."""
-    bad = stored(contamination(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_bad")).distinct(), "dc_bad")
-    return docs.join(bounded_broadcast(bad, 200_000), F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    bad = stored(contamination(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__dc_bad")).distinct(), "dc_bad")
+    return docs.join(bounded_broadcast(bad, 200_000), F.col(id_col).eqNullSafe(F.col("__dc_bad")), "left_anti")

@@ -74,11 +74,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_BUCKET))
     keep = [c for c in docs.columns if c not in ("copy", "place")]
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    drawn = docs.join(bounded_broadcast(r.select("_source", "cdf"), MAX_BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("_source")))
+    drawn = docs.join(bounded_broadcast(r.select(F.col("_source").alias("__mix_source"), F.col("cdf").alias("__mix_cdf")), MAX_BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("__mix_source")))
     u = _uniform(seed, "n", key)
-    count = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
-    copies = (drawn.withColumn("_u", u).withColumn("_k", count).where("_k > 0")
-              .select(*keep, F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("copy")))
+    count = F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_u")))
+    copies = (drawn.withColumn("__mix_u", u).withColumn("__mix_k", count).where("__mix_k > 0")
+              .select(*keep, F.explode(F.sequence(F.lit(1), F.col("__mix_k"))).alias("copy")))
     placed = copies.withColumn("place", _uniform(seed, "p", key, F.col("copy").cast("string")))
     return placed.repartitionById(buckets, F.floor(F.col("place") * buckets).cast("int")).sortWithinPartitions("place", id_col, "copy")
 

@@ -229,12 +229,13 @@ def feature_rows(docs: DataFrame, label: str, text_col: str = "text") -> DataFra
     return docs.select(text_col, F.col(label).cast("int").alias("y")).mapInArrow(run, "x array<double>, y int")
 
 
-def train(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id", max_rows: int = FIT_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text",
+          max_rows: int = FIT_ROWS) -> Model:
     """Fit on the labelled documents (0 or 1 in ``target``), a hash sample of
     about ``max_rows`` of them. The sampled numbers, not texts, reach the driver."""
     known = labels.where(F.col(target).isin(0, 1)).groupBy(id_col).agg(F.max(target).alias("_y"))
     sample = sample_fraction(known, id_col, max_rows)
-    rows = docs.join(F.broadcast(sample), id_col).select("text", "_y")
+    rows = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col).select("text", "_y")
     got = feature_rows(rows, "_y").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
     order = np.lexsort([*x.T, got["y"].to_numpy()])  # the order of rows must not change the fit

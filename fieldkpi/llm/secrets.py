@@ -114,19 +114,19 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
            example_owners: int = EXAMPLE_OWNERS, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each live span's text replaced by ``mark`` (overlapping spans as one) and ``size_col``, where there, set to the new length."""
     live = _by_row(docs, id_col, text_col, owner_col, example_owners).select(
-        F.col("row_key").alias("_key"), F.filter("spans", lambda s: s["live"]).alias("_live")).where(F.size("_live") > 0)
-    rows = docs.withColumn("_key", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
-    got = rows.join(live, "_key", "left")
+        F.col("row_key").alias("__sec_key"), F.filter("spans", lambda s: s["live"]).alias("__sec_live")).where(F.size("__sec_live") > 0)
+    rows = docs.withColumn("__sec_key", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+    got = rows.join(live, "__sec_key", "left")
     text = F.col(text_col)
     new = F.aggregate(
-        "_live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        "__sec_live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda s, m: F.struct(
             F.greatest(s["at"], m["stop"]).alias("at"),
             F.when(m["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), F.lit(mark)))
             .otherwise(s["out"]).alias("out")),
         lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    got = got.withColumn(text_col, F.when(F.col("_live").isNotNull(), new).otherwise(text))
+    got = got.withColumn(text_col, F.when(F.col("__sec_live").isNotNull(), new).otherwise(text))
     if size_col in docs.columns:
         kind = docs.schema[size_col].dataType
-        got = got.withColumn(size_col, F.when(F.col("_live").isNotNull(), F.length(text_col).cast(kind)).otherwise(F.col(size_col)))
+        got = got.withColumn(size_col, F.when(F.col("__sec_live").isNotNull(), F.length(text_col).cast(kind)).otherwise(F.col(size_col)))
     return got.select(*docs.columns)

@@ -66,7 +66,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id
           max_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) other than zero, the intercept last."""
     known = labels.where(F.col(target).isin(0, 1)).groupBy(id_col).agg(F.max(target).alias("_y"))
-    sample = docs.join(F.broadcast(sample_fraction(known, id_col, max_rows)), id_col).select(F.xxhash64(id_col, text_col).alias("at"), F.col(text_col).alias("text"), "_y")
+    texts = docs.select(id_col, F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(sample_fraction(known, id_col, max_rows)), id_col).select(F.xxhash64(id_col, "text").alias("at"), "text", "_y")
 
     def rows(batches):
         for batch in batches:
