@@ -38,6 +38,11 @@ def _mixed(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")
 
 
+def _row_key(id_col: str, text_col: str) -> Column:
+    """A key of a row's id and text: rows that share it have equal spans."""
+    return F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))), 256)
+
+
 def _found(kind_no: int) -> Column:
     """Array of (start, kind, end, value) of the matches of a kind in ``text``."""
     kind, pattern, group, least = KINDS[kind_no]
@@ -61,7 +66,7 @@ def _found(kind_no: int) -> Column:
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
     """A row per distinct (id, text) that has candidates: id, ``row_key``, ``owner``, ``start``, ``kind``, ``stop``, ``value_hash``."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(owner_col).alias("owner"))
-    found = rows.select("id", "owner", F.xxhash64("id", "text").alias("row_key"), F.concat(*[_found(k) for k in range(len(KINDS))]).alias("m"))
+    found = rows.select("id", "owner", _row_key("id", "text").alias("row_key"), F.concat(*[_found(k) for k in range(len(KINDS))]).alias("m"))
     m = found.where(F.size("m") > 0).select("id", "row_key", "owner", F.explode("m").alias("m"))
     return m.select("id", "row_key", "owner", "m.start", "m.kind", "m.stop", F.sha2("m.value", 256).alias("value_hash"))
 
@@ -94,7 +99,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     """A row per row of ``docs``: id, counts per base kind, ``base`` (base spans,
     joined), ``spans`` (all spans, joined), ``n_live`` and ``n_example``."""
     n_base = len(BASE)
-    rows = docs.select(F.col(id_col), F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("row_key"))
+    rows = docs.select(F.col(id_col), _row_key(id_col, text_col).alias("row_key"))
     got = rows.join(_by_row(docs, id_col, text_col, owner_col, example_owners), "row_key", "left").withColumn(
         "spans", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,stop:int,live:boolean>>")))
     base = F.filter("spans", lambda s: s["kind"] < n_base)
@@ -115,7 +120,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     """``docs`` with each live span's text replaced by ``mark`` (overlapping spans as one) and ``size_col``, where there, set to the new length."""
     live = _by_row(docs, id_col, text_col, owner_col, example_owners).select(
         F.col("row_key").alias("__sec_key"), F.filter("spans", lambda s: s["live"]).alias("__sec_live")).where(F.size("__sec_live") > 0)
-    rows = docs.withColumn("__sec_key", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+    rows = docs.withColumn("__sec_key", _row_key(id_col, text_col))
     got = rows.join(live, "__sec_key", "left")
     text = F.col(text_col)
     new = F.aggregate(
