@@ -164,7 +164,8 @@ def _valid(col: str) -> Column:
 
 
 def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = SHARD_ROWS):
-    """(nodes, index): a row per distinct vector with its smallest ids, and a row of flat arrays per shard."""
+    """(nodes, index, shards per vector length): a row per distinct vector with
+    its smallest ids, and a row of flat arrays per shard."""
     rows = vectors.where(F.col(id_col).isNotNull() & _valid(vec_col)).select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).distinct()
     first = Window.partitionBy("v").orderBy("id")
     few = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
@@ -183,21 +184,23 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str
             "dim": pdf["dim"].iloc[:1], "shard": pdf["shard"].iloc[:1], "nodes": [pdf["node"].to_numpy(np.int64).tobytes()],
             "unit": [ix["unit"].tobytes()], "members": [[m.tobytes() for m, _ in ix["levels"]]], "neighbours": [[e.tobytes() for _, e in ix["levels"]]]})
     index = dealt.groupBy("dim", "shard").applyInPandas(make, "dim int, shard int, nodes binary, unit binary, members array<binary>, neighbours array<binary>")
-    return nodes, stored(index, "nn_index")
+    return nodes, stored(index, "nn_index"), per_dim
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
             shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, beam: int = BEAM) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``id_col``, ``score``: the ``k`` nearest rows of
     ``vectors`` found for each of ``queries`` (id, vector), without a row of the query's own id."""
-    nodes, index = build_index(vectors, k, id_col, vec_col, shard_rows)
+    nodes, index, per_dim = build_index(vectors, k, id_col, vec_col, shard_rows)
     asked = stored(queries.where(F.col(id_col).isNotNull() & _valid(vec_col)).select(
         F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("qv")).distinct(), "nn_query")
     n_blocks = max(1, math.ceil(asked.count() / block_queries))
     blocks = (asked.select("query_id", "qv", F.size("qv").alias("dim"), F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("block"))
               .groupBy("dim", "block").agg(F.sort_array(F.collect_list(F.struct("query_id", "qv"))).alias("asked")))
-    n_cells = n_blocks * max(1, index.count())
-    cells = index.join(blocks, "dim").repartition(n_cells * 2, "dim", "shard", "block")  # the stated queries, in blocks, against every shard
+    # the stated queries, in blocks, go to every shard of their length; cells are dealt by shard
+    n_cells = n_blocks * int(per_dim.agg(F.sum("shards")).first()[0] or 1)
+    sent = blocks.join(per_dim, "dim").select("dim", "block", "asked", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    cells = sent.join(index, ["dim", "shard"]).repartition(2 * n_cells, "dim", "shard", "block")
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
