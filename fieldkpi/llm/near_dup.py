@@ -174,13 +174,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     mode = votes.groupBy("token").agg(F.max(F.struct("n", "p")).alias("x")).select("token", F.col("x.p").alias("mode"))
     settled = first.join(mode, "token", "left").select("token", F.coalesce("mode", "p").alias("p"))
     held = stored(cross.join(settled, "token").select("rep", "c", "p").distinct(), "nd_held")
-    rest = stored(_same_pivot(held, texts, width, pct).select(F.col("a").alias("rep"), F.col("b").alias("p")), "nd_pairs")
-    return members, stored(found.unionAll(linked(rest)), "nd_edge")
+    sure, pairs = _same_pivot(held, texts, width, pct)
+    rest = stored(pairs.select(F.col("a").alias("rep"), F.col("b").alias("p")), "nd_pairs")
+    return members, stored(found.unionAll(sure).unionAll(linked(rest)), "nd_edge")
 
 
-def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> DataFrame:
-    """Pairs (a, b) of classes in different components ``c`` that hold the same
-    pivot ``p`` and that may be similar enough by their differences from it.
+def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> tuple[DataFrame, DataFrame]:
+    """(links, pairs), each (a, b): links of classes with a pivot ``p`` that they
+    hold, and pairs of classes in different components ``c`` that hold the same
+    pivot and that may be similar enough by their differences from it.
 
     For a class x: ``plus`` shingles that p lacks, ``minus`` shingles of p that x
     lacks, and ``far`` = f * (plus + minus) - |x| - |p| with f = (100 + pct) / (100 - pct),
@@ -212,7 +214,7 @@ def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> Data
                     keep.append(kept[: max(0, len(kept) - -(-pct * len(x) // 100) + 1)].view(np.int64))
                     need = max(1, -(-pct * len(x) // 100) - len(kept))  # plus shingles that a linked class shares at least
                     opened.append(max(0, len(add) - need + 1))
-                    far.append(f * (len(add) + gone) - len(x) - len(p))
+                    far.append(((100 + pct) * (len(add) + gone) - (100 - pct) * (len(x) + len(p))) / (100 - pct))
                     minus.append(gone)
                     short.append((f - 1) * (gone - len(add)))
                 lists = [pa.array(v, pa.list_(pa.int64())) for v in (plus, keep)]
@@ -237,9 +239,10 @@ def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> Data
     fewest = (F.col("x.a") + F.col("x.minus") + F.col("y.a") + F.col("y.minus") - (F.col("x.size") + F.col("y.size")) / f) / 2 - F.least("x.minus", "y.minus")
     either = ((F.col("x.far") > 0) & (F.col("x.far") <= F.col("y.short"))) | ((F.col("y.far") > 0) & (F.col("y.far") <= F.col("x.short")))
     may = F.when(F.col("x.kind") == 0, (fewest <= F.least("x.most", "y.most")) & ((F.col("x.far") > 0) | (F.col("y.far") > 0))).otherwise(either)
-    return (x.join(y, (F.col("x.p") == F.col("y.p")) & (F.col("x.kind") == F.col("y.kind")) & (F.col("x.s") == F.col("y.s"))
+    pairs = x.join(y, (F.col("x.p") == F.col("y.p")) & (F.col("x.kind") == F.col("y.kind")) & (F.col("x.s") == F.col("y.s"))
                    & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & may)
-            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+    sure = d.where("far <= 0 AND rep <> p").select(F.col("rep").alias("a"), F.col("p").alias("b"))
+    return sure, pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,

@@ -30,6 +30,26 @@ def test_borderline_groups_without_a_centre(spark):
     assert got == near_components([(d[0], d[1]) for d in docs])
 
 
+def test_mixed_groups_fragments_and_extensions(spark):
+    """Several hot groups that share passages; cut, extended and edited copies at every distance."""
+    import random
+    from fixtures import WORDS, swap
+    rng = random.Random(23)
+    passage = prose(rng, 40)
+    docs = []
+    for g in range(4):
+        base = prose(rng, 90) + " " + passage
+        w = base.split()
+        for k in range(30):
+            docs.append(swap(rng, base, rng.randint(0, 7)))
+            docs.append(" ".join(w[: rng.randint(60, 130)]))
+            docs.append(" ".join(w[rng.randint(0, 60):] + [rng.choice(WORDS) for _ in range(rng.randint(0, 40))]))
+    rng.shuffle(docs)
+    rows_ = [(i, t, "en", "s", 0) for i, t in enumerate(docs)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows_, SCHEMA)).collect()}
+    assert got == near_components([(d[0], d[1]) for d in rows_])
+
+
 def test_null_and_repeated_ids_extra_columns_empty_table(spark):
     import random
     rng = random.Random(2)
