@@ -96,7 +96,9 @@ def _pieces(data: np.ndarray, off: np.ndarray, length: int):
 
 
 def anchors(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """A row per text with windows: ``h`` (its hash) and ``m``, an array of key, ctx, first, n."""
+    """A row per text with windows: ``h`` (its hash) and ``m``, an array of key,
+    ctx, n and ``firsts``, every place of that context in the text: a line that a
+    text repeats is one entry."""
     def run(batches):
         for batch in batches:
             texts = text_array(batch.column(1))
@@ -106,13 +108,19 @@ def anchors(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram:
                     key, ctx, first, count = _anchors_of(part, ends, length, gram)
                     doc = np.searchsorted(at, first, "right") - 1
                     rows = len(at) - 1
+                    by = np.lexsort((ctx, key, doc))  # stable: places stay in order
+                    key, ctx, first, count, doc = key[by], ctx[by], first[by], count[by], doc[by]
+                    new = np.ones(len(key), bool)
+                    new[1:] = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1]) | (doc[1:] != doc[:-1])
+                    one = np.flatnonzero(new)
+                    places = pa.ListArray.from_arrays(np.append(one, len(key)).astype(np.int32), pa.array((first - at[doc] + shift).astype(np.int64)))
                     item = pa.StructArray.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array((first - at[doc] + shift).astype(np.int64)), pa.array(count.astype(np.int32))],
-                        names=["key", "ctx", "first", "n"])
-                    starts = np.searchsorted(doc, np.arange(rows + 1)).astype(np.int32)
+                        [pa.array(key[one].view(np.int64)), pa.array(ctx[one].view(np.int64)), pa.array(count[one].astype(np.int32)), places],
+                        names=["key", "ctx", "n", "firsts"])
+                    starts = np.searchsorted(doc[one], np.arange(rows + 1)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(a + base, rows), pa.ListArray.from_arrays(pa.array(starts), item)], names=["h", "m"])
     rows = docs.where(F.octet_length(text_col) >= length).select(F.unhex(F.substring(F.sha2(text_col, 256), 1, 32)).alias("h"), F.col(text_col))
-    return rows.mapInArrow(run, "h binary, m array<struct<key:long,ctx:long,first:long,n:int>>")
+    return rows.mapInArrow(run, "h binary, m array<struct<key:long,ctx:long,n:int,firsts:array<long>>>")
 
 
 # -- suffix arrays ------------------------------------------------------------
@@ -279,14 +287,17 @@ def _merge_shards(batches):
 
 def repeated_windows(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                      shard_bytes: int = SHARD_BYTES, split_contexts: int = SPLIT_CONTEXTS) -> DataFrame:
-    """Per text hash ``h``: ``m``, an array of (first, marks): from byte ``first`` on, a bit per window start that is repeated elsewhere."""
+    """Per text hash ``h``: ``m``, an array of (firsts, marks, wins): from each
+    byte of ``firsts`` on, a bit per window start that is repeated elsewhere, or
+    the numbers of such window starts."""
     all_anchors = stored(anchors(docs, text_col, length, gram), "sa_anchor")
     each = all_anchors.select("h", F.explode("m").alias("m")).select("h", "m.*")
-    keys = each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    found = stored(each.join(keys, "key", "left_semi").groupBy("key", "ctx", "h", "first", "n").agg(F.count("*").alias("w")), "sa_found")
+    keys = each.groupBy("key").agg(F.sum(F.size("firsts")).alias("c")).where("c > 1").select("key")
+    found = stored(each.join(keys, "key", "left_semi").groupBy("key", "ctx", "h", "firsts", "n").agg(
+        (F.count("*") * F.size("firsts")).alias("w")), "sa_found")
 
     # one of equal contexts, with their number, and its shard
-    contexts = stored(found.groupBy("key", "ctx").agg(F.sum("w").alias("w"), F.min(F.struct("h", "first", "n")).alias("x"))
+    contexts = stored(found.groupBy("key", "ctx").agg(F.sum("w").alias("w"), F.min(F.struct("h", F.col("firsts")[0].alias("first"), "n")).alias("x"))
                       .select("key", "ctx", "w", "x.*"), "sa_context")
     n_bytes = contexts.agg(F.sum(F.col("n") + length)).first()[0] or 0
     n_shards = max(1, math.ceil(n_bytes / shard_bytes))
@@ -306,13 +317,13 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", length: int = LENG
     marked = searched.where("marks IS NOT NULL").select("key", "ctx", "marks")
     extra = searched.where(F.size("reps") > 0).select("shard", "key", "ctx", F.explode("reps").alias("r")).select("shard", "key", "ctx", "r.win", "r.print")
     n_extra = extra.count()
-    found = found.select("key", "ctx", "h", "first")
-    got = found.join(marked, ["key", "ctx"]).select("h", "first", "marks", F.lit(None).cast("array<int>").alias("wins"))
+    found = found.select("key", "ctx", "h", "firsts")
+    got = found.join(marked, ["key", "ctx"]).select("h", "firsts", "marks", F.lit(None).cast("array<int>").alias("wins"))
     if n_extra:
         across = (extra.repartition(max(1, math.ceil(n_extra / 200_000)), "print").mapInArrow(_merge_shards, "key long, ctx long, win int")
                   .groupBy("key", "ctx").agg(F.collect_list("win").alias("wins")))
-        got = got.unionAll(found.join(across, ["key", "ctx"]).select("h", "first", F.lit(None).cast("binary").alias("marks"), "wins"))
-    return got.groupBy("h").agg(F.collect_list(F.struct("first", "marks", "wins")).alias("m"))
+        got = got.unionAll(found.join(across, ["key", "ctx"]).select("h", "firsts", F.lit(None).cast("binary").alias("marks"), "wins"))
+    return got.groupBy("h").agg(F.collect_list(F.struct("firsts", "marks", "wins")).alias("m"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
@@ -337,11 +348,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         gone = np.zeros(len(own) + 1, np.int64)
                         starts = np.zeros(len(own), bool)
                         for x in marks:
-                            if x["marks"] is not None:
-                                bits = np.flatnonzero(np.unpackbits(np.frombuffer(x["marks"], np.uint8)))
-                                starts[x["first"] + bits] = True
-                            if x["wins"]:
-                                starts[x["first"] + np.array(x["wins"])] = True
+                            bits = np.flatnonzero(np.unpackbits(np.frombuffer(x["marks"], np.uint8))) if x["marks"] is not None else np.array(x["wins"])
+                            starts[(np.array(x["firsts"])[:, None] + bits).ravel()] = True
                         s = np.flatnonzero(starts)
                         np.add.at(gone, s, 1)
                         np.add.at(gone, s + length, -1)
