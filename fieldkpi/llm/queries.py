@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import chat, decontaminate, hnsw, langid, mixing, near_dup, quality, secrets, suffix_dedup, toxicity
+from fieldkpi.llm import chat, decontaminate, hnsw, langid, mixing, near_dup, oracles, quality, secrets, suffix_dedup, toxicity
 from fieldkpi.llm.common import crc_mod, documents
 
 
@@ -102,4 +102,8 @@ QUERIES = {
 ORACLES = {
     "op1_source_mixing": mixing.mix_sql(),
     "op2_chat_format": _op2_sql(),
+    "op5_suffix_array_dedup": oracles.suffix_dedup_sql(),
+    "op6_decontamination": oracles.contamination_sql(),
+    "op7_minhash_near_dedup": oracles.near_duplicates_sql(),
+    "op8_secret_scan": oracles.secret_scan_sql(),
 }
