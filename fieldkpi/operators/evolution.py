@@ -37,7 +37,8 @@ def order_key(ts: str, row_id: str):
 
 def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts: str = K.COL_START,
                row_id: str = K.COL_ROW_ID, out: str = K.COL_EVOLUTION,
-               anonymous: list[str] = K.ANONYMOUS_KEYS, prior: DataFrame | None = None) -> DataFrame:
+               anonymous: list[str] = K.ANONYMOUS_KEYS, prior: DataFrame | None = None,
+               keyed: DataFrame | None = None) -> DataFrame:
     """Row evolution label of the clean step.
 
     Identified keys: one row kept per (Monday week, key) - the last by time -
@@ -49,7 +50,8 @@ def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts:
     a hash aggregation that reduces a hot key map-side; ``lag`` runs over the
     winners; their labels meet the wide rows on the row id, which spreads
     evenly. So the wide rows move once. Row ids must be unique; a null id
-    raises (``writers.append_batch`` assigns them).
+    raises (``writers.append_batch`` assigns them). ``keyed`` may give the narrow
+    columns of the same rows from a shorter plan than ``df``'s.
 
     ``prior`` (columns ``key``, ``last_zone``) carries the state of keys seen
     before the first week of ``df``: such a key is not new, and its first row
@@ -60,7 +62,7 @@ def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts:
     rid = F.coalesce(F.col(row_id), F.raise_error(F.lit(f"null {row_id}")).cast("long"))
     base = df.withColumn(row_id, rid)
     unplaced = F.coalesce(F.col(key).isin(anonymous), F.lit(False)) | F.col(ts).isNull()
-    narrow = base.where(~unplaced).select(F.col(key).alias("__g"), week_monday(ts).alias("__w"),
+    narrow = (base if keyed is None else keyed.withColumn(row_id, rid)).where(~unplaced).select(F.col(key).alias("__g"), week_monday(ts).alias("__w"),
                                           order_key(ts, row_id).alias("__o"), F.col(zone).alias("__z"))
     won = narrow.groupBy("__w", "__g").agg(F.max("__o").alias("__o"), F.max_by("__z", "__o").alias("__z"))
     w = Window.partitionBy("__g").orderBy("__w")

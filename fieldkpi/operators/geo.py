@@ -21,6 +21,8 @@ Plan (no shuffle of the point side while the cell table stays small):
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -203,18 +205,31 @@ SALTS = 8  # copies of the cell table in a shuffled join
 NO_CELL = -(10 ** 12)  # keys below it are no cells: rows without coordinates are spread over them
 
 
-def assign_zone(points: DataFrame, zones: DataFrame, lon: str = K.COL_LON, lat: str = K.COL_LAT,
+class ZoneIndex(NamedTuple):
+    """The cell table of a zone table, its cell width and its measured bytes."""
+
+    cells: DataFrame
+    cell: float
+    bytes: int
+
+
+def zone_index(zones: DataFrame, cell: float = 0.0025) -> ZoneIndex:
+    """Build and checkpoint the cell table (of the bounded zone dimension)."""
+    cells = cut_lineage(zone_cells(zones, cell))
+    n_bytes = F.aggregate("cands", F.lit(0), lambda n, c: n + F.size(c["edges"]) * EDGE_BYTES + 80)
+    return ZoneIndex(cells, cell, cells.agg(F.sum(n_bytes)).first()[0] or 0)
+
+
+def assign_zone(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str = K.COL_LON, lat: str = K.COL_LAT,
                 out: str = K.COL_ZONE, cell: float = 0.0025, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Left join each point to the zone containing it (strictly), by priority.
 
     ``lon``/``lat`` must be double columns (WGS84). Every input row is kept
     exactly once; ``out`` is null where no polygon contains the point. The cell
-    table (of the bounded zone dimension) is built when the plan is, as its
-    measured size is part of the plan.
+    table is built when the plan is, as its measured size is part of the plan;
+    pass a ``zone_index`` to use one table more than once.
     """
-    cells = cut_lineage(zone_cells(zones, cell))
-    n_bytes = F.aggregate("cands", F.lit(0), lambda n, c: n + F.size(c["edges"]) * EDGE_BYTES + 80)
-    size = cells.agg(F.sum(n_bytes)).first()[0] or 0
+    cells, cell, size = zones if isinstance(zones, ZoneIndex) else zone_index(zones, cell)
     px, py = F.col(lon), F.col(lat)
     cx, cy = F.floor(px / cell), F.floor(py / cell)
     if size <= broadcast_limit:

@@ -18,7 +18,7 @@ from ..functions.ids import with_dni
 from ..functions.text import with_clean_names
 from ..operators.classify import closing_columns
 from ..operators.evolution import label_rows
-from ..operators.geo import assign_zone
+from ..operators.geo import assign_zone, zone_index
 
 
 def type_report(raw: DataFrame, strict_coordinates: bool = True) -> DataFrame:
@@ -49,6 +49,13 @@ def clean_rows(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True, ce
     return with_clean_names(df, [K.COL_FIRST, K.COL_LAST])
 
 
+def keyed_rows(raw: DataFrame, zones) -> DataFrame:
+    """Row id, date, person key and zone of the same rows: all that the labels
+    depend on, without the outcome texts."""
+    df = drop_agencies(type_report(raw)).select(K.COL_ROW_ID, K.COL_START, K.COL_LON, K.COL_LAT, K.COL_DNI)
+    return with_dni(assign_zone(df, zones), reason=False)
+
+
 def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
                   cell: float = 0.0025,
                   diagnostics: dict | None = None, prior: DataFrame | None = None) -> DataFrame:
@@ -62,7 +69,8 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
     Use ``clean_diagnostics`` to read them. ``prior`` is passed to the
     evolution labels (incremental runs).
     """
-    df = clean_rows(raw, zones, fuzzy_fallback, cell)
+    index = zone_index(zones, cell)
+    df = clean_rows(raw, index, fuzzy_fallback)
     if diagnostics is not None:
         z = F.col(K.COL_ZONE)
         diagnostics["zones"] = Observation("zones")
@@ -71,7 +79,7 @@ def clean_history(raw: DataFrame, zones: DataFrame, fuzzy_fallback: bool = True,
                         F.count_if(z == K.ZONE_SPECIAL_2_5).alias("zone_2_5"),
                         F.count_if(z.between(1, 15)).alias("zones_1_15"),
                         F.count_if(z.isNull()).alias("no_zone"))
-    out = label_rows(df, prior=prior)
+    out = label_rows(df, prior=prior, keyed=keyed_rows(raw, index))
     if diagnostics is not None:
         diagnostics["kept"] = Observation("kept")
         out = out.observe(diagnostics["kept"], F.count(F.lit(1)).alias("rows"))

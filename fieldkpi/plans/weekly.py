@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.dates import week_monday
-from ..operators.evolution import label_rows, prior_state
+from ..operators.evolution import prior_state
 from ..operators.incremental import rows_after
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import _fs, batch_stats, list_versions, newest_file, read_batches, read_report
 from ..sources.writers import append_batch, publish_table
-from .clean import clean_history, clean_rows, type_report
+from .clean import clean_history, type_report
 
 CLEAN_PART = K.CLEAN_PART
 
@@ -130,10 +130,9 @@ def update_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: Dat
     from_week = first_day + datetime.timedelta(days=(7 - first_day.weekday()) % 7)
     month = from_week.strftime("%Y-%m")
     affected = read_batches(spark, raw_base).where(F.col(K.COL_START) >= F.lit(from_week).cast("timestamp"))
-    rows = clean_rows(type_report(affected, strict_coordinates), zones)
     # the state lies in a folder of its own, so the write never reads the path it overwrites
     prior = key_state(spark, clean_path, month, from_week)
-    _write_weeks(label_rows(rows, prior=prior), clean_path, True)
+    _write_weeks(clean_history(type_report(affected, strict_coordinates), zones, prior=prior), clean_path, True)
     _finish(spark, clean_path, batch, month)
     return from_week
 
