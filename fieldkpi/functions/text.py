@@ -135,10 +135,6 @@ def closing_fold() -> tuple[str, str, dict[str, str]]:
     return src, dst, {k: "".join(v) for k, v in multi.items()}
 
 
-def _char_class(chars: str) -> str:
-    return "[" + "".join(re.escape(c) if c in "\\^-[]" else c for c in chars) + "]"
-
-
 def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
     """Apply a per-character fold.
 
@@ -160,18 +156,19 @@ def _apply_fold(col: Column, fold: tuple[str, str, dict[str, str]]) -> Column:
     n_dst = "".join(d for c, d in pairs if ord(c) >= 128)
     if a_src:
         col = F.translate(col, a_src, a_dst)
-    folded = F.translate(col, n_src, n_dst)
-    rare = {}
+    base = F.translate(col, n_src, n_dst)
+    common, rare = {}, {}
     for img, chars in multi.items():
         for ch in chars:
-            if ord(ch) < 0x250 or ch in CLOSING_SPECIAL or ch in _LETTERS:
-                folded = F.replace(folded, F.lit(ch), F.lit(img))
-            else:
-                rare[ch] = img
+            (common if ord(ch) < 0x250 or ch in CLOSING_SPECIAL or ch in _LETTERS else rare)[ch] = img
+    folded = base
+    for ch, img in common.items():
+        folded = F.replace(folded, F.lit(ch), F.lit(img))
     if rare:
+        # a range that holds them all: a class of single characters is tried one by one
         table = F.create_map(*[F.lit(x) for kv in rare.items() for x in kv])
         one_by_one = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-        folded = F.when(folded.rlike(_char_class("".join(sorted(rare)))), one_by_one).otherwise(folded)
+        folded = F.when(col.rlike("[\\x{250}-\\x{10FFFF}]"), one_by_one).otherwise(folded)
     return F.when(col.rlike("[^\\x00-\\x7F]"), folded).otherwise(col)
 
 
