@@ -10,8 +10,9 @@ A document is contaminated by an item if that balance reaches ``MIN_SCORE``, or
 
 Words are runs of letters and digits of the lower-cased text. Items with fewer
 words than a mask spans have no seed and contaminate nothing; null and empty texts
-have no words. A null id takes part like any other. Rows that repeat an id give
-that id's best overlap. Empty tables give an empty result.
+have no words. A null id takes part like any other. Every alignment of every
+distinct text is verified; rows that repeat an id, of a document or an item, then
+give that id's best overlap. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ def _words(col: str) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(F.col(col), F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
+def _text_key(col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(col), F.lit("")), 256))
+
+
 def _seeds(words: DataFrame) -> DataFrame:
     """A row per position and mask of the rows' arrays ``w``: ``at``, ``seed``."""
     at = F.explode(F.sequence(F.lit(0), F.size("w") - SPAN))
@@ -47,27 +52,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """A row per document id and item that overlap: id, ``item_id``, ``score``
     (equal less replaced words of the best stretch), ``n_words`` of the item and
     ``at``, the document's word position aligned with the item's start."""
-    items = stored(benchmark.select(F.col(item_col).alias("item_id"), _words(item_text).alias("w")).where(F.size("w") >= SPAN), "dc_items")
-    seeds = stored(_seeds(items).select("seed", "item_id", F.col("at").alias("j"), F.size("w").alias("n")).distinct(), "dc_seeds")
-    rows = docs.select(F.col(id_col).alias("id"), _words(text_col).alias("w"))
+    items = stored(benchmark.select(F.col(item_col).alias("item_id"), _text_key(item_text).alias("item_key"), _words(item_text).alias("w"))
+                   .where(F.size("w") >= SPAN).distinct(), "dc_items")
+    seeds = stored(_seeds(items).select("seed", "item_key", F.col("at").alias("j"), F.size("w").alias("n")).distinct(), "dc_seeds")
+    rows = docs.select(F.col(id_col).alias("id"), _text_key(text_col).alias("text_key"), _words(text_col).alias("w"))
     start = F.greatest(F.col("at") - F.col("j"), F.lit(0))
     hits = _seeds(rows).join(bounded_broadcast(seeds, MAX_BROADCAST_SEEDS), "seed").select(
-        "id", "item_id", (F.col("at") - F.col("j")).alias("shift"),
+        "id", "text_key", "item_key", (F.col("at") - F.col("j")).alias("shift"),
         F.slice("w", start + 1, F.greatest(F.col("n") + F.col("at") - F.col("j") - start, F.lit(1))).alias("part"))
-    lines = hits.groupBy("id", "item_id", "shift").agg(F.first("part").alias("part"))
-    whole = items.select("item_id", F.col("w").alias("iw"))
+    # rows of a group have the same part: it is a stretch of one text
+    lines = hits.groupBy("id", "text_key", "item_key", "shift").agg(F.first("part").alias("part"))
+    whole = items.select("item_id", "item_key", F.col("w").alias("iw"))
     skip = F.greatest(-F.col("shift"), F.lit(0))
     best = F.aggregate(
         F.zip_with(F.col("part"), F.slice("iw", skip + 1, F.size("part")), lambda x, y: F.when(x == y, 1).otherwise(-1)),
         F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")),
         lambda s, x: F.struct(F.greatest(s["run"] + x, F.lit(0)).alias("run"), F.greatest(s["best"], s["run"] + x).alias("best")),
         lambda s: s["best"])
-    scored = (lines.join(bounded_broadcast(whole, MAX_BROADCAST_SEEDS), "item_id")
+    scored = (lines.join(bounded_broadcast(whole, MAX_BROADCAST_SEEDS), "item_key")
               .select("id", "item_id", F.size("iw").alias("n_words"), "shift", best.alias("score"))
               .where(F.col("score") >= F.least(F.lit(min_score), F.ceil(F.col("n_words") * min_share))))
-    top = scored.groupBy("id", "item_id").agg(F.max("n_words").alias("n_words"), F.max(F.struct("score", (-F.col("shift")).alias("back"))).alias("x"))
+    top = scored.groupBy("id", "item_id").agg(F.max(F.struct("score", (-F.col("shift")).alias("back"), "n_words")).alias("x"))
     return top.select(F.col("id").alias(id_col), "item_id", F.col("x.score").cast("long").alias("score"),
-                      F.col("n_words").cast("long").alias("n_words"), (-F.col("x.back")).cast("long").alias("at"))
+                      F.col("x.n_words").cast("long").alias("n_words"), (-F.col("x.back")).cast("long").alias("at"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -30,3 +30,16 @@ def test_finds_passages_with_replaced_words_and_leaves_others(spark):
     assert left.columns == d.columns and {r.doc_id for r in left.collect()} == {1000 + k for k in range(30)} | {2000, 2001, 2002}
     assert contamination(d.limit(0), b).count() == 0 and contamination(d, b.limit(0)).count() == 0
     assert drop_contaminated(d, b.limit(0)).count() == len(docs)
+
+
+def test_every_text_of_a_repeated_id_is_verified(spark):
+    rng = random.Random(8)
+    item = prose(rng, 30)
+    brush = " ".join(item.split()[:8]) + " "  # meets seeds at the same shift as the copy, without a score
+    docs = [(None, brush + prose(rng, 60)) for _ in range(20)] + [(None, item)] + [(None, brush + prose(rng, 60)) for _ in range(20)]
+    docs += [(7, brush + prose(rng, 60)) for _ in range(20)] + [(7, item + " " + prose(rng, 5)), (8, brush + prose(rng, 60))]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4, "text")
+    longer = prose(rng, 8) + " " + " ".join(item.split()[8:]) + " " + prose(rng, 40)
+    b = spark.createDataFrame([(1, item), (2, longer), (2, item), (None, item)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.n_words, r.at) for r in contamination(d, b).collect()}
+    assert got == {(i, j): (30, 30, 0) for i in (None, 7) for j in (1, 2, None)}
