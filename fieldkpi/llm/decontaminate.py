@@ -46,12 +46,10 @@ def _seeds(words: DataFrame) -> DataFrame:
     return rows.select("*", F.explode(F.array(*hashes)).alias("seed"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text", min_score: int = MIN_SCORE,
-                  min_share: float = MIN_SHARE) -> DataFrame:
-    """A row per document id and item that overlap: id, ``item_id``, ``score``
-    (equal less replaced words of the best stretch), ``n_words`` of the item and
-    ``at``, the document's word position aligned with the item's start."""
+def _overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str,
+              min_score: int, min_share: float) -> DataFrame:
+    """A row per accepted alignment of a distinct (id, text) and an item: ``id``,
+    ``text_key``, ``item_id``, ``n_words``, ``shift``, ``score``."""
     items = stored(benchmark.select(F.col(item_col).alias("item_id"), _text_key(item_text).alias("item_key"), _words(item_text).alias("w"))
                    .where(F.size("w") >= SPAN).distinct(), "dc_items")
     seeds = stored(_seeds(items).select("seed", "item_key", F.col("at").alias("j"), F.size("w").alias("n")).distinct(), "dc_seeds")
@@ -69,15 +67,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")),
         lambda s, x: F.struct(F.greatest(s["run"] + x, F.lit(0)).alias("run"), F.greatest(s["best"], s["run"] + x).alias("best")),
         lambda s: s["best"])
-    scored = (lines.join(bounded_broadcast(whole, MAX_BROADCAST_SEEDS), "item_key")
-              .select("id", "item_id", F.size("iw").alias("n_words"), "shift", best.alias("score"))
-              .where(F.col("score") >= F.least(F.lit(min_score), F.ceil(F.col("n_words") * min_share))))
+    return (lines.join(bounded_broadcast(whole, MAX_BROADCAST_SEEDS), "item_key")
+            .select("id", "text_key", "item_id", F.size("iw").alias("n_words"), "shift", best.alias("score"))
+            .where(F.col("score") >= F.least(F.lit(min_score), F.ceil(F.col("n_words") * min_share))))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text: str = "text", min_score: int = MIN_SCORE,
+                  min_share: float = MIN_SHARE) -> DataFrame:
+    """A row per document id and item that overlap: id, ``item_id``, ``score``
+    (equal less replaced words of the best stretch), ``n_words`` of the item and
+    ``at``, the document's word position aligned with the item's start."""
+    scored = _overlaps(docs, benchmark, id_col, text_col, item_col, item_text, min_score, min_share)
     top = scored.groupBy("id", "item_id").agg(F.max(F.struct("score", (-F.col("shift")).alias("back"), "n_words")).alias("x"))
     return top.select(F.col("id").alias(id_col), "item_id", F.col("x.score").cast("long").alias("score"),
                       F.col("x.n_words").cast("long").alias("n_words"), (-F.col("x.back")).cast("long").alias("at"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows of contaminated documents, all columns as they are."""
-    bad = stored(contamination(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__dc_bad")).distinct(), "dc_bad")
-    return docs.join(bounded_broadcast(bad, 200_000), F.col(id_col).eqNullSafe(F.col("__dc_bad")), "left_anti")
+    """``docs`` without the rows whose own text is contaminated, all columns as they are."""
+    found = _overlaps(docs, benchmark, id_col, text_col, "item_id", "text", MIN_SCORE, MIN_SHARE)
+    bad = stored(found.select(F.col("text_key").alias("__dc_bad")).distinct(), "dc_bad")
+    return docs.join(bounded_broadcast(bad, 200_000), _text_key(text_col) == F.col("__dc_bad"), "left_anti")

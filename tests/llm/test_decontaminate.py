@@ -43,3 +43,13 @@ def test_every_text_of_a_repeated_id_is_verified(spark):
     b = spark.createDataFrame([(1, item), (2, longer), (2, item), (None, item)], "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.score, r.n_words, r.at) for r in contamination(d, b).collect()}
     assert got == {(i, j): (30, 30, 0) for i in (None, 7) for j in (1, 2, None)}
+
+
+def test_only_rows_with_a_contaminated_text_go(spark):
+    rng = random.Random(9)
+    item = prose(rng, 30)
+    clean = [(i, prose(rng, 60)) for i in (None, None, 7, 7, 8)] + [(None, None), (7, "")]
+    d = spark.createDataFrame(clean + [(None, item), (7, "so " + item), (9, item)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = [(r.doc_id, r.text) for r in drop_contaminated(d, b).collect()]
+    assert sorted(left, key=str) == sorted(clean, key=str)
