@@ -62,3 +62,17 @@ def test_query_recall_on_given_table(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding, 0) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert recall(by_query(queries.op3_hnsw_neighbours(spark, sf)), brute(rows, lambda q: q % 20 == 0, 20)) >= 0.9
+
+
+def test_recall_with_vectors_of_10000_times_the_norm(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 32))
+    v = centres[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 32)) * 0.4
+    v[1990] *= 1e4
+    v[1995] *= 1e7
+    rows = [(i, x.astype(np.float32).tolist(), 0) for i, x in enumerate(v)] + [(3000, [1e-30] * 32, 0), (3001, [1e30] * 31 + [0.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = by_query(nearest(df.where("vec_id % 20 = 0"), df, 20))
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert set(got) == set(want) and recall(got, want) >= 0.95
+    assert all(got[q][0] == (want[q][0][0], pytest.approx(want[q][0][1])) for q in want)  # the long ones are found
