@@ -27,10 +27,26 @@ U64 = np.uint64
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared checkpoint folder and
     read it back: cuts the lineage, and survives the loss of executors."""
+    return stored_at(df, name)[0]
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`stored`, with the table's path."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table that :func:`stored_at` wrote and that no later plan reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import chat, decontaminate, hnsw, langid, mixing, near_dup, oracles, quality, secrets, suffix_dedup, toxicity
+from fieldkpi.llm import (chat, codes, decontaminate, hnsw, langid, mixing, near_dup, oracles, prefix_trie, quality, secrets, suffix_dedup, toxicity,
+                          warc)
 from fieldkpi.llm.common import crc_mod, documents
 
 
@@ -86,6 +87,18 @@ def op10_toxicity(spark, sf_dir):
                                               F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return codes.digest(spark, _table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc_revisits(spark, sf_dir):
+    return warc.digest(spark, _table(spark, sf_dir, "pages"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_chat_format": op2_chat_format,
@@ -97,6 +110,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_warc_revisits": op12_warc_revisits,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -106,4 +122,7 @@ ORACLES = {
     "op6_decontamination": oracles.contamination_sql(),
     "op7_minhash_near_dedup": oracles.near_duplicates_sql(),
     "op8_secret_scan": oracles.secret_scan_sql(),
+    "op11_vector_codes": codes.digest_sql(),
+    "op12_warc_revisits": warc.digest_sql(),
+    "op13_prefix_trie": prefix_trie.trie_sql(),
 }
