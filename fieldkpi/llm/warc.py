@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm.common import bounded_broadcast, fresh_path, stored
+from fieldkpi.llm.common import bounded_broadcast, discard, fresh_path, stored
 
 MIN_BYTES = 100
 FILE_BYTES = 32 << 20
@@ -91,7 +91,7 @@ def _packed(records: Iterator[bytes], file_bytes: int) -> Iterator[pa.RecordBatc
 def _write(files: DataFrame, path: str) -> None:
     """Each row becomes a file; the writer's line end closes the last record."""
     (files.select(F.col("value").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
-     .option("lineSep", END.decode()).option("compression", "gzip").text(path))
+     .option("lineSep", END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
@@ -262,6 +262,7 @@ def digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
     raw, final = fresh_path(spark, "warc_raw"), fresh_path(spark, "warc_final")
     write_archives(pages, raw)
     deduplicate(spark, raw, final)
+    discard(spark, raw)
     return read_archives(spark, final).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
