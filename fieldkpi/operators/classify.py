@@ -1,10 +1,10 @@
 """Outcome classification: exact lookup, ordered substring rules, fuzzy fallback.
 
 Cleaning, exact and substring rules are native expressions on each row (no
-join, no shuffle). Only texts that no rule resolves reach the fuzzy scorer, once
-per *distinct* text: the distinct set is aggregated (partial aggregation first,
-so a hot text costs one row per task), scored in Arrow batches and written to
-the checkpoint folder. Its measured size decides how the scores meet the rows
+join, no shuffle). Only texts that no rule resolves reach the fuzzy scorer, a
+native expression too, once per *distinct* text: the distinct set is aggregated
+(partial aggregation first, so a hot text costs one row per task), scored and
+written to the checkpoint folder. Its measured size decides how the scores meet the rows
 again: broadcast under a limit, otherwise a join on the text in which rows that
 need no score are spread over keys of their own. Scoring runs when the plan is
 built, as its size is part of the plan.
@@ -12,7 +12,6 @@ built, as its size is part of the plan.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,22 +49,18 @@ SCORED = T.StructType([T.StructField("text", T.StringType()), T.StructField("cat
                        T.StructField("score", T.DoubleType())])
 
 
-def _score(batches):
-    """mapInPandas body: best label and score of each text that is not null."""
-    for pdf in batches:
-        pdf = pdf[pdf["text"].notna()]
-        best = [fuzzy.best_label(t, K.CATEGORIES_ALL) for t in pdf["text"]]
-        yield pd.DataFrame({"text": pdf["text"], "score": [float(s) for _, s in best],
-                            "category": [label if s >= K.FUZZY_ACCEPT else K.NO_MATCH for label, s in best]})[SCORED.names]
-
-
-def score_texts(rows: DataFrame, text: str, rule: str) -> DataFrame:
-    """Distinct cleaned texts that no rule resolves -> (text, category, score).
+def score_texts(rows: DataFrame, text: str, rule: str, floor: float = 0.0) -> DataFrame:
+    """Distinct cleaned texts that no rule resolves -> (text, category, score),
+    and a row with a null text. Under ``floor`` a score may be null.
 
     Resolved texts become one null rather than being filtered: a filter on the
     rule would be pushed below the cleaning and repeat it in every rule."""
     unresolved = F.when(F.col(rule).isNull(), F.col(text)).alias("text")
-    return rows.select(unresolved).distinct().mapInPandas(_score, SCORED)
+    # dealt anew: a few distinct texts are much work, and would share a task
+    texts = rows.select(unresolved).distinct().repartition(rows.sparkSession.sparkContext.defaultParallelism, "text")
+    best = texts.select("text", fuzzy.best_label("text", K.CATEGORIES_ALL, floor).alias("best"))
+    return best.select("text", F.when(F.col("best.score") >= K.FUZZY_ACCEPT, F.col("best.label")).otherwise(K.NO_MATCH).alias("category"),
+                       F.col("best.score").alias("score"))
 
 
 def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True) -> DataFrame:
@@ -74,7 +69,7 @@ def classify_vocabulary(texts: DataFrame, text: str, fuzzy_fallback: bool = True
     vocab = texts.select(F.col(text).alias("raw")).distinct()
     vocab = vocab.withColumn("text", clean_closing_text("raw")).withColumn("rule", rule_category("text"))
     if fuzzy_fallback:
-        scored = score_texts(vocab, "text", "rule")
+        scored = cut_lineage(score_texts(vocab, "text", "rule"))
     else:
         scored = vocab.sparkSession.createDataFrame([], SCORED)
     return vocab.join(scored, "text", "left").select(
@@ -94,7 +89,7 @@ def classify_outcomes(df: DataFrame, raw_text: str = K.COL_CLOSING, text_out: st
     rows = rows.withColumn("__rule", rule_category(text_out))
     if not fuzzy_fallback:
         return rows.withColumn(out, F.coalesce("__rule", F.lit(K.NO_MATCH))).drop("__rule")
-    scored = cut_lineage(score_texts(rows, text_out, "__rule"))
+    scored = cut_lineage(score_texts(rows, text_out, "__rule", K.FUZZY_ACCEPT))
     size = scored.agg(F.sum(F.octet_length("text") + F.octet_length("category") + F.lit(48)).alias("b")).first()["b"] or 0
     side = scored.select(F.col("text").alias("__text"), F.col("category").alias("__scored"))
     if size <= broadcast_bytes:

@@ -1,5 +1,5 @@
-"""Plan guards (no Python outside the fuzzy scorer, no nested-loop / cartesian
-joins) and the report writers."""
+"""Plan guards (no Python, no nested-loop / cartesian joins) and the report
+writers."""
 
 import re
 
@@ -19,13 +19,10 @@ def _own_queries():
 
 
 def test_plans_stay_in_the_jvm(spark):
-    """Apart from the fuzzy scorer's own query. Its runs inside other queries
-    are checkpointed first; test_only_unresolved_texts_are_scored looks at them."""
     for name, q in _own_queries().items():
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan), name
-        if name != "outcome_fuzzy":
-            assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|PythonUDF", plan), name
+        assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|PythonUDF", plan), name
 
 
 def test_board_sheet(spark):
@@ -58,7 +55,8 @@ def test_only_unresolved_texts_are_scored(spark, monkeypatch):
     monkeypatch.setattr(classify, "score_texts", lambda *a: seen.append(original(*a)) or seen[-1])
     rows = classify.closing_columns(interventions(spark, SF, "orders"))
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in plan and plan.index("HashAggregate") > plan.index("MapInPandas")   # distinct before scoring
+    assert "Python" not in plan and "InPandas" not in plan
+    assert plan.index("HashAggregate") > plan.index("bit_count")   # distinct before scoring
     scored = {r.text for r in seen[0].collect()}
     ruled = {r[0] for r in rows.where(classify.rule_category(K.COL_CLEAN_TEXT).isNotNull()).select(K.COL_CLEAN_TEXT).distinct().collect()}
     assert len(scored) > 20 and not scored & ruled

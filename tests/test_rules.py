@@ -46,18 +46,93 @@ def test_levels(spark):
                    ("Derivaciones/seguimientos", "")]
 
 
-def test_fuzzy_scores():
-    assert round(fuzzy.ratio("01 traslado efectivo a cis", "traslado efectivo a cis"), 2) == 93.88
-    assert fuzzy.wratio("01 traslado efectivo a cis", "traslado efectivo a cis") == 95.0
-    s = fuzzy.wratio("12 no se contacta y no se observan pertenencias", "no se contacta y no se observan pertenencias")
-    assert round(s, 1) == 96.7
-    assert fuzzy.wratio("", "sin cubrir") == 0
-    lab, score = fuzzy.best_label("01 traslado efectivo a cis", K.CATEGORIES_ALL)
-    assert lab == "traslado efectivo a cis" and score == 95.0
-    lab, score = fuzzy.best_label("12 no se contacta y no se observan pertenencias", K.CATEGORIES_ALL)
-    assert lab == "no se contacta y no se observan pertenencias"
-    assert fuzzy.lcs_len("abcde", "ace") == 3
-    assert fuzzy.partial_ratio("abc", "xxabcxx") == 100.0
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def _ratio(a, b):
+    return 200 * _lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def _partial(a, b):
+    """Best ratio of the shorter text with any window of the other one, by trying them all."""
+    if len(a) > len(b):
+        a, b = b, a
+    n = len(a)
+    cuts = [b[i: i + n] for i in range(len(b) - n + 1)] + [b[:k] for k in range(1, n)] + [b[-k:] for k in range(1, n)]
+    both = [a[:k] for k in range(1, n)] + [a[-k:] for k in range(1, n)] if len(a) == len(b) else []
+    return max([_ratio(a, c) for c in cuts] + [_ratio(b, c) for c in both])
+
+
+def _weighted(a, b):
+    """The public definition, step by step."""
+    if not a or not b:
+        return 0.0
+    ta, tb = a.split(), b.split()
+    x, y = " ".join(sorted(ta)), " ".join(sorted(tb))
+    shared, own, theirs = (" ".join(sorted(w)) for w in (set(ta) & set(tb), set(ta) - set(tb), set(tb) - set(ta)))
+    lens = max(len(a), len(b)) / min(len(a), len(b))
+    if lens < 1.5:
+        both = [" ".join(filter(None, (shared, w))) for w in (own, theirs)]
+        apart = len(both[0]) + len(both[1])
+        sets = [100 - 100 * (len(own) + len(theirs) - 2 * _lcs(own, theirs)) / apart]
+        if shared:
+            sets = [100.0] if not own or not theirs else sets + [_ratio(shared, w) for w in both]
+        return max(_ratio(a, b), 0.95 * max(_ratio(x, y), *sets))
+    scale = 0.9 if lens < 8 else 0.6
+    words = 100.0 if shared else max(_partial(x, y), _partial(own, theirs))
+    return max(_ratio(a, b), scale * _partial(a, b), 0.95 * scale * words)
+
+
+def _best(spark, texts, labels, floor=0.0):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    return {r["t"]: r["b"] for r in df.select("t", fuzzy.best_label("t", labels, floor).alias("b")).collect()}
+
+
+def test_fuzzy_scores(spark):
+    got = _best(spark, ["01 traslado efectivo a cis", "12 no se contacta y no se observan pertenencias", "", None], K.CATEGORIES_ALL)
+    assert tuple(got["01 traslado efectivo a cis"]) == ("traslado efectivo a cis", 95.0)
+    b = got["12 no se contacta y no se observan pertenencias"]
+    assert b.label == "no se contacta y no se observan pertenencias" and round(b.score, 1) == 96.7
+    assert tuple(got[""]) == (K.CATEGORIES_ALL[0], 0.0) and got[None] is None
+
+
+def test_weighted_ratio_public_examples(spark):
+    def score(a, b):
+        return round(_best(spark, [a], [b])[a].score, 2)
+    assert score("new york mets", "new york meats") == 96.3  # plain ratio
+    assert score("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 95.0  # same words, other order
+    assert score("the wonderful new york mets", "new york mets") == 90.0  # the short side inside the long one
+    assert score("no se contacta " + "x" * 150, "sin cubrir") <= 60.0  # very different lengths
+    assert round(_weighted("new york mets", "new york meats"), 2) == 96.3
+
+
+def test_best_label_equals_the_definition(spark):
+    import random
+    rnd = random.Random(11)
+    words = sorted({w for x in K.CATEGORIES_ALL for w in x.split()}) + ["xx", "zap", "1", "no"]
+    texts = ["a", "zz", "sin", "no no se se"]
+    for _ in range(40):
+        texts.append(" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 9))))
+        near = list(rnd.choice(K.CATEGORIES_ALL))
+        for _ in range(rnd.randint(0, 12)):
+            near[rnd.randrange(len(near))] = rnd.choice("abcdeins ")
+        texts.append(" ".join("".join(near[:rnd.randint(3, len(near))]).split()) or "b")
+        texts.append(" ".join("".join(rnd.choice("qwxz abeins") for _ in range(rnd.randint(1, 90))).split()) or "c")
+    want = {t: max(((_weighted(t, x), -i, x) for i, x in enumerate(K.CATEGORIES_ALL))) for t in texts}
+    got, kept = _best(spark, texts, K.CATEGORIES_ALL), _best(spark, texts, K.CATEGORIES_ALL, 80.0)
+    for t, (score, _, label) in want.items():
+        assert got[t].label == label and abs(got[t].score - score) < 1e-9, t
+        if score >= 80:
+            assert kept[t] == got[t]
+        else:
+            assert kept[t] is None or kept[t].score < 80
 
 
 def test_fuzzy_vocabulary(spark):
@@ -93,15 +168,6 @@ def test_target_zone(spark):
     assert [r[0] for r in df2.select(is_target_zone("z", 2)).collect()] == [True, True, False]
 
 
-def test_pruned_partial_equals_plain_scan():
-    import random
-    rnd = random.Random(11)
-    for _ in range(400):
-        s1 = "".join(rnd.choice("abc de") for _ in range(rnd.randint(1, 30)))
-        s2 = "".join(rnd.choice("abc def") for _ in range(rnd.randint(len(s1), 400)))
-        assert fuzzy._partial_pruned(s1, s2) == fuzzy._partial_short_needle(s1, s2)
-
-
 def test_labels(spark):
     from fieldkpi.functions.dates import first_number, label_board_week, label_day_month, label_iso, label_stamp
     df = spark.createDataFrame([(datetime.datetime(2025, 12, 8, 9, 5), "Comuna 14")], "t timestamp, c string")
@@ -109,15 +175,3 @@ def test_labels(spark):
                   label_stamp("t"), first_number("c")).first()
     assert tuple(r) == ("Sem 08 Dec", "08 Dec", "2025-12-08", "08/12/2025 09:05", 14)
 
-
-def test_weighted_ratio_public_examples():
-    # plain ratio path (length ratio < 1.5)
-    assert round(fuzzy.wratio("new york mets", "new york meats"), 2) == 96.3
-    # token sort: same words, other order -> 100 * 0.95
-    assert fuzzy.wratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 95.0
-    # partial path: the short side inside the long one -> 100 * 0.9
-    assert fuzzy.partial_ratio("new york mets", "the wonderful new york mets") == 100.0
-    assert fuzzy.wratio("new york mets", "the wonderful new york mets") == 90.0
-    # very different lengths (ratio >= 8) scale partial scores by 0.6
-    long = "no se contacta " + "x" * 150
-    assert fuzzy.wratio("sin cubrir", long) <= 60.0
