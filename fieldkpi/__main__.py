@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("check")
     args = ap.parse_args(argv)
 
+    from .sources.snapshots import read_snapshot
     spark = get_spark(args.master)
     if args.cmd == "weekly":
         from .operators.geo import zone_layers
@@ -53,14 +54,14 @@ def main(argv: list[str] | None = None) -> int:
                           "rebuilt": res.rebuilt, "from_week": str(res.from_week) if res.from_week else None}))
     elif args.cmd == "dashboard":
         from .plans.dashboard import write_dashboard
-        write_dashboard(spark.read.parquet(args.clean), args.out)
+        write_dashboard(read_snapshot(spark, args.clean), args.out)
     elif args.cmd == "reports":
         from .plans.reports import write_reports
-        write_reports(spark.read.parquet(args.clean), args.out, args.start)
+        write_reports(read_snapshot(spark, args.clean), args.out, args.start)
     elif args.cmd == "views":
         from .sources.catalog import CLEAN_TABLE, create_views
         from .sources.writers import replace_table
-        replace_table(spark.read.parquet(args.clean), CLEAN_TABLE)
+        replace_table(read_snapshot(spark, args.clean), CLEAN_TABLE)
         create_views(spark, CLEAN_TABLE)
     elif args.cmd == "check":
         from .sources.catalog import missing_objects

@@ -1,20 +1,18 @@
 """The weekly run: newest landed report -> append-only raw history -> clean
 history, updated incrementally.
 
-The clean history is stored partitioned by month (of each row's Monday week,
-so a week never straddles two partitions). An update re-cleans the raw rows
-from the first Monday of the earliest month that any batch not yet cleaned can
-change, starts the evolution labels from each key's last earlier zone, and
-overwrites just those month partitions (dynamic partition overwrite).
-
-Two small tables beside the clean history make this safe and cheap:
-
-- ``<clean>_log``: a row per finished update (last batch cleaned, first month
-  rewritten), written after the clean data. A run that failed in between leaves
-  its batch pending, and the next run cleans it, whether or not a report came.
-- ``<clean>_keys``: the last zone of every key as of the end of a month. An
-  update starts from the newest copy that no later update has made stale and
-  reads only the months since.
+The clean history is stored by month (of each row's Monday week, so a week
+never straddles two months) as snapshots: version folders and a manifest
+(sources/snapshots.py). An update re-cleans the raw rows from the first Monday of
+the earliest month that any batch not yet cleaned can change, starts the evolution
+labels from each key's last earlier zone, writes those months as a new version and
+commits the snapshot that names them. Readers keep the old snapshot until then.
+
+The manifest also says which batch a snapshot covers. A run that failed before its
+commit leaves its batch pending, and the next run cleans it, whether or not a
+report came. ``<clean>_keys`` holds the last zone of every key as of the end of a
+month: an update starts from the newest copy that no later update has made stale
+and reads only the months since.
 """
 
 from __future__ import annotations
@@ -30,8 +28,9 @@ from ..functions.dates import week_monday
 from ..operators.evolution import prior_state
 from ..operators.incremental import rows_after
 from ..session import ensure_checkpoint_dir
-from ..sources.readers import _fs, batch_stats, list_versions, newest_file, read_batches, read_report
-from ..sources.writers import append_batch, publish_table
+from ..sources.readers import batch_stats, list_versions, newest_file, read_batches, read_report
+from ..sources.snapshots import Snapshot, commit, expire, next_version, publish, read_snapshot, snapshots
+from ..sources.writers import append_batch
 from .clean import clean_history, type_report
 
 CLEAN_PART = K.CLEAN_PART
@@ -46,33 +45,19 @@ class WeeklyResult:
     from_week: datetime.date | None = None
 
 
-def _write_weeks(clean: DataFrame, path: str, dynamic: bool) -> None:
+def _write_weeks(clean: DataFrame, path: str) -> None:
     """Month partitions, each in as few files as its size needs (the rebalance
     hint splits large months and joins small ones), sorted by date."""
     out = clean.withColumn(CLEAN_PART, F.date_format(week_monday(K.COL_START), "yyyy-MM"))
     out = out.hint("rebalance", CLEAN_PART).sortWithinPartitions(CLEAN_PART, K.COL_START)
-    w = out.write.mode("overwrite").option("compression", "snappy").partitionBy(CLEAN_PART)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    out.write.mode("overwrite").option("compression", "snappy").partitionBy(CLEAN_PART).parquet(path)
 
 
-# -- small tables beside the clean history ---------------------------------------
-
-def _log(spark: SparkSession, clean_path: str) -> list:
-    """Finished updates in order (``update``, ``batch``, ``from_month``); one row each."""
-    n = list_versions(spark, f"{clean_path}_log", "update")
-    if not n:
-        return []
-    rows = spark.read.schema("update int, batch int, from_month string").parquet(*[f"{clean_path}_log/update={i}" for i in n])
-    return sorted(rows.collect(), key=lambda r: r.update)
-
-
-def _finish(spark: SparkSession, clean_path: str, batch: int, from_month: str) -> None:
-    done = _log(spark, clean_path)
-    n = done[-1].update + 1 if done else 1
-    row = spark.createDataFrame([(n, batch, from_month)], "update int, batch int, from_month string")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{clean_path}_log/update={n}")
+def _write_snapshot(clean: DataFrame, clean_path: str, batch: int, from_month: str) -> Snapshot:
+    spark = clean.sparkSession
+    version = next_version(spark, clean_path)
+    _write_weeks(clean, f"{clean_path}/version={version}")
+    return commit(spark, clean_path, version, batch, from_month)
 
 
 def _previous_month(month: str) -> str:
@@ -84,14 +69,14 @@ def key_state(spark: SparkSession, clean_path: str, month: str, from_week: datet
     """(key, last_zone, last_week) before ``from_week``, the first Monday of
     ``month``: the newest valid copy joined with the months stored since, and
     kept as a copy of its own."""
-    done = _log(spark, clean_path)
+    done = snapshots(spark, clean_path)
     base, asof = f"{clean_path}_keys", _previous_month(month)
     copies = []
     for as_of_update in list_versions(spark, base, "copy"):
         name = spark.read.parquet(f"{base}/copy={as_of_update}").select("asof", "made_by").first()
         if name and name.asof <= asof and not any(u.update > name.made_by and u.from_month <= name.asof for u in done):
             copies.append((name.asof, as_of_update))
-    stored = spark.read.parquet(clean_path).where(F.col(CLEAN_PART) <= asof)
+    stored = read_snapshot(spark, clean_path, done[-1]).where(F.col(CLEAN_PART) <= asof)
     if copies:
         last, n = max(copies)
         old = spark.read.parquet(f"{base}/copy={n}").select("key", "last_zone", "last_week")
@@ -115,14 +100,13 @@ def build_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: Data
     """Clean the whole raw history and store it partitioned by month."""
     stats = batch_stats(spark, raw_base)
     raw_all = read_batches(spark, raw_base)
-    _write_weeks(clean_history(type_report(raw_all, strict_coordinates), zones), clean_path, False)
-    _finish(spark, clean_path, stats[-1].batch, "")
+    _write_snapshot(clean_history(type_report(raw_all, strict_coordinates), zones), clean_path, stats[-1].batch, "")
 
 
 def update_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame,
                  earliest: datetime.datetime, strict_coordinates: bool = True) -> datetime.date:
     """Re-clean the raw rows from the first Monday of the month of
-    ``earliest``'s week on and overwrite only those month partitions. Returns
+    ``earliest``'s week on and commit a snapshot with those months anew. Returns
     that first Monday."""
     batch = batch_stats(spark, raw_base)[-1].batch
     week = (earliest - datetime.timedelta(days=earliest.weekday())).date()
@@ -130,18 +114,11 @@ def update_clean(spark: SparkSession, raw_base: str, clean_path: str, zones: Dat
     from_week = first_day + datetime.timedelta(days=(7 - first_day.weekday()) % 7)
     month = from_week.strftime("%Y-%m")
     affected = read_batches(spark, raw_base).where(F.col(K.COL_START) >= F.lit(from_week).cast("timestamp"))
-    # the state lies in a folder of its own, so the write never reads the path it overwrites
     prior = key_state(spark, clean_path, month, from_week)
-    _write_weeks(clean_history(type_report(affected, strict_coordinates), zones, prior=prior), clean_path, True)
-    _finish(spark, clean_path, batch, month)
+    _write_snapshot(clean_history(type_report(affected, strict_coordinates), zones, prior=prior), clean_path, batch, month)
     return from_week
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
 def clean_pending(spark: SparkSession, raw_base: str, clean_path: str, zones: DataFrame,
                   strict_coordinates: bool = True) -> tuple[bool, datetime.date | None]:
     """Clean every batch that no finished update covers: (rebuilt, first week
@@ -150,7 +127,7 @@ def clean_pending(spark: SparkSession, raw_base: str, clean_path: str, zones: Da
     stats = batch_stats(spark, raw_base)
     if not stats:
         return False, None
-    done = _log(spark, clean_path) if _exists(spark, clean_path) else []
+    done = snapshots(spark, clean_path)
     pending = [r for r in stats if r.batch > (done[-1].batch if done else 0)]
     if done and not pending:
         return False, None
@@ -162,7 +139,8 @@ def clean_pending(spark: SparkSession, raw_base: str, clean_path: str, zones: Da
 
 
 def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str, zones: DataFrame,
-               table: str | None = None, glob: str = "*.csv", fmt: str = "csv", strict_coordinates: bool = True) -> WeeklyResult:
+               table: str | None = None, glob: str = "*.csv", fmt: str = "csv", strict_coordinates: bool = True,
+               keep_snapshots: int = 3) -> WeeklyResult:
     """One weekly cycle: pick the newest landed report, keep rows strictly
     after the history's latest date, append them as a raw batch, then clean all
     that is pending and optionally publish the table. Running it again after a
@@ -178,7 +156,9 @@ def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str
         mark = max((r.mark for r in done if r.mark is not None), default=None)
         raw_batch = append_batch(rows_after(landed, bool(done), mark), raw_base)
     rebuilt, from_week = clean_pending(spark, raw_base, clean_path, zones, strict_coordinates)
-    if table and _exists(spark, clean_path):
-        publish_table(spark, clean_path, table)
+    if snapshots(spark, clean_path):
+        if table:
+            publish(spark, clean_path, table)
+        expire(spark, clean_path, keep_snapshots)
     return WeeklyResult(path, raw_batch is not None, raw_batch, rebuilt, from_week)
 

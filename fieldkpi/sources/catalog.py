@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.contact import contact_case_sql
 from .readers import _fs
+from .snapshots import read_snapshot
 from .writers import replace_table
 
 ENRICHED_VIEW = "vista_intervenciones_enriquecida"
@@ -59,7 +60,7 @@ def restore(spark: SparkSession, parquet_path: str, table: str = CLEAN_TABLE) ->
     fs, p = _fs(spark, parquet_path)
     if not fs.exists(p):
         return False
-    df = spark.read.parquet(parquet_path)
+    df = read_snapshot(spark, parquet_path)
     if df.isEmpty():
         return False
     replace_table(df, table)

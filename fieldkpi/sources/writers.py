@@ -1,4 +1,4 @@
-"""Writers: append-only batches, table replace and publish, sheet-style CSV, JSON payload,
+"""Writers: append-only batches, table replace, sheet-style CSV, JSON payload,
 one output per zone."""
 
 from __future__ import annotations
@@ -53,20 +53,6 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.drop(K.CLEAN_PART).write.mode("overwrite").saveAsTable(name)
 
 
-def publish_table(spark: SparkSession, clean_path: str, name: str) -> None:
-    """Publish the stored clean history as ``name`` without copying it: an
-    external table over its month folders, and a view that hides the storage
-    column. Costs a listing of the folders, however long the history."""
-    store = f"{name}_almacen"
-    spark.sql(f"DROP TABLE IF EXISTS {store}")  # external: the files stay
-    spark.sql(f"CREATE TABLE {store} USING parquet LOCATION '{clean_path}'")
-    spark.sql(f"MSCK REPAIR TABLE {store}")
-    kinds = {t.name: t.tableType for t in spark.catalog.listTables()}
-    if kinds.get(name, "VIEW") != "VIEW":  # an earlier full copy makes way for the view
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * EXCEPT ({K.CLEAN_PART}) FROM {store}")
-
-
 def sheet_frame(df: DataFrame) -> DataFrame:
     """Every column as text; nulls and null markers blanked."""
     cols = []

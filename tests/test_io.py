@@ -1,6 +1,7 @@
 """Sources, sinks, catalog views, the weekly run and the streaming ingest."""
 
 import os
+import threading
 import time
 
 import pandas as pd
@@ -11,8 +12,9 @@ from fieldkpi import constants as K
 from fieldkpi.operators import evolution
 from fieldkpi.plans.dashboard import dashboard_data
 from fieldkpi.plans.weekly import weekly_run
-from fieldkpi.sources import catalog, readers, writers
+from fieldkpi.sources import catalog, readers, snapshots, writers
 from fieldkpi.sources.fixtures import interventions
+from fieldkpi.sources.snapshots import read_snapshot
 from fieldkpi.sources.zones import ASSET, demo_zones
 from fieldkpi.streaming.ingest import start_ingest
 
@@ -72,8 +74,8 @@ def test_weekly_run_incremental_equals_rebuild(spark, tmp_path):
     from fieldkpi.plans.weekly import CLEAN_PART, build_clean
     full = str(tmp_path / "full")
     build_clean(spark, raw, full, zones)
-    a = spark.read.parquet(clean).drop(CLEAN_PART)
-    b = spark.read.parquet(full).drop(CLEAN_PART).select(*a.columns)
+    a = read_snapshot(spark, clean).drop(CLEAN_PART)
+    b = read_snapshot(spark, full).drop(CLEAN_PART).select(*a.columns)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     # same report again: nothing new, nothing rewritten
     r3 = weekly_run(spark, str(land), raw, clean, zones)
@@ -178,7 +180,7 @@ def test_view_contact_case_equals_rule(spark):
 
 def _clean_rows(spark, path):
     from fieldkpi.plans.weekly import CLEAN_PART
-    return spark.read.parquet(path).drop(CLEAN_PART)
+    return read_snapshot(spark, path).drop(CLEAN_PART)
 
 
 def _same(a, b):
@@ -250,7 +252,7 @@ def test_clean_files_are_few_and_sorted_by_date(spark, tmp_path):
     from __spark_entry__ import _clean
     from fieldkpi.plans.weekly import CLEAN_PART, _write_weeks
     path = str(tmp_path / "clean")
-    _write_weeks(_clean(spark, SF).repartition(8), path, False)
+    _write_weeks(_clean(spark, SF).repartition(8), path)
     files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
     months = spark.read.parquet(path).select(CLEAN_PART).distinct().count()
     assert len(files) <= 1.2 * months
@@ -289,15 +291,62 @@ def test_bad_coordinates_raise_unless_lenient(spark, tmp_path):
     assert r.rebuilt
 
 
-def test_published_table_hides_the_storage_column(spark, tmp_path):
-    from __spark_entry__ import _clean
-    from fieldkpi.plans.weekly import CLEAN_PART, _write_weeks
-    path = str(tmp_path / "clean")
-    _write_weeks(_clean(spark, SF), path, False)
-    writers.publish_table(spark, path, "publicado")
-    writers.publish_table(spark, path, "publicado")
-    got = spark.table("publicado")
-    assert CLEAN_PART not in got.columns and got.count() == spark.read.parquet(path).count()
+def _small(spark, n, months):
+    """Clean rows of the given months, ``n`` a month; one row in ten without a date."""
+    dates = [f"{m}-{8 + 7 * (i % 3):02d}" for m in months for i in range(n)]
+    rows = [(i, None if i % 10 == 9 else d) for i, d in enumerate(dates)]
+    return spark.createDataFrame(rows, "row_id long, d string").select("row_id", F.to_timestamp("d").alias(K.COL_START))
+
+
+def test_a_failing_write_leaves_readers_on_the_old_snapshot(spark, tmp_path, monkeypatch):
+    from fieldkpi.plans import weekly
+    base = str(tmp_path / "clean")
+    weekly._write_snapshot(_small(spark, 8, ["2024-01", "2024-02", "2024-03"]), base, 1, "")
+    first = snapshots.snapshots(spark, base)[-1]
+    before = sorted(r[0] for r in read_snapshot(spark, base).select("row_id").collect())
+    assert len(before) == 24 and None in first.months
+    with monkeypatch.context() as m:  # the data are written, the manifest isn't
+        m.setattr(weekly, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            weekly._write_snapshot(_small(spark, 5, ["2024-03"]), base, 2, "2024-03")
+    assert sorted(r[0] for r in read_snapshot(spark, base).select("row_id").collect()) == before
+    second = weekly._write_snapshot(_small(spark, 5, ["2024-03"]).where(F.col(K.COL_START).isNotNull()), base, 2, "2024-03")
+    got = read_snapshot(spark, base)
+    assert {m for m, v in second.months.items() if v != first.months[m]} == {"2024-03"} and second.months["2024-03"] == 3
+    assert got.where(F.col(K.CLEAN_PART) == "2024-03").count() == 5 and got.where(F.col(K.CLEAN_PART).isNull()).count() == 2
+    assert sorted(r[0] for r in read_snapshot(spark, base, first).select("row_id").collect()) == before  # the old one is still there
+    assert snapshots.expire(spark, base, keep=2) == [2] and snapshots.expire(spark, base, keep=1) == []  # version 1 holds other months
+    plan = got.where(F.col(K.CLEAN_PART) >= "2024-03")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mes_part" in plan
+
+
+def test_readers_see_whole_snapshots_while_one_is_published(spark, tmp_path):
+    from fieldkpi.plans import weekly
+    base, seen, stop = str(tmp_path / "clean"), [], threading.Event()
+    weekly._write_snapshot(_small(spark, 8, ["2024-01", "2024-02"]), base, 1, "")
+    snapshots.publish(spark, base, "publicado")
+    assert K.CLEAN_PART not in spark.table("publicado").columns
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(spark.sql("SELECT count(*) AS n FROM publicado").first().n)
+            except Exception as e:  # noqa: BLE001 - any failure is what the test is about
+                seen.append(repr(e))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(1, 4):
+        dated = _small(spark, 8 + i, ["2024-02"]).where(F.col(K.COL_START).isNotNull())
+        weekly._write_snapshot(dated, base, 1 + i, "2024-02")
+        snapshots.publish(spark, base, "publicado")
+        snapshots.publish(spark, base, "publicado")
+    stop.set()
+    reader.join()
+    allowed = {read_snapshot(spark, base, s).count() for s in snapshots.snapshots(spark, base)}
+    assert len(seen) > 3 and set(seen) <= allowed
+    assert spark.table("publicado").count() == read_snapshot(spark, base).count()
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith("publicado_almacen_")]) == 2
     assert not catalog.restore(spark, str(tmp_path / "absent"))
 
 

@@ -103,7 +103,7 @@ def test_dashboard_prunes_week_partitions(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")   # untruncated scan filters
     clean = entry._clean(spark, SF)
     path = str(tmp_path / "clean_by_week")
-    _write_weeks(clean, path, False)
+    _write_weeks(clean, path)
     stored = spark.read.parquet(path)
     k = kpi.dashboard_kpis(stored)
     rows = sorted(map(tuple, k.collect()))
