@@ -7,9 +7,10 @@ A turn is its opening mark, a space, the text, a space and its closing mark:
 
 The parser reads an opening mark, then text up to the first space and closing
 mark. It takes one backslash out of every escaped mark, which has one or more
-backslashes after its bracket. Each turn is first rendered as it is and read
-back; where role or text differ, the text's marks get one more backslash each,
-and the turn is read back again. Then the whole conversation is read back; if it
+backslashes after its bracket. A text conflicts if it holds a mark, escaped or
+not, or if its turn, rendered as it is, doesn't read back as its role and text;
+the marks of such a text get one more backslash each, so that no rendered text
+holds a mark. Then the whole conversation is read back; if it
 isn't identical, all its turns are escaped, and a conversation that still
 differs ends the job with an error.
 
@@ -69,7 +70,7 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     source = F.array(F.struct("role", "text"))
-    plain = parse(_render(F.col("role"), F.col("text"))) == source
+    plain = ~F.col("text").rlike(f"[<\\[]\\\\*{_CONTROL}") & (parse(_render(F.col("role"), F.col("text"))) == source)
     rows = rows.withColumn("body", F.when(plain, F.col("text")).otherwise(escape(F.col("text"))))
     rows = rows.withColumn("escaped", ~plain)
     conv = rows.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "body", "escaped"))).alias("t"))
@@ -117,7 +118,7 @@ def digest_sql(table: str) -> str:
     control = "/?(?:INST\\]|ASST\\]|SYS\\]|ROLE|s>)"
     return f"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM {table}),
-e AS (SELECT *, regexp_matches(x, ' (\\[/INST\\]|</s>|\\[/SYS\\]|\\[/ROLE\\])') OR regexp_matches(x, '[<\\[]\\\\+{control}') AS bad FROM t)
+e AS (SELECT *, regexp_matches(x, '[<\\[]\\\\*{control}') AS bad FROM t)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
   CAST(coalesce(sum(length(x)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,

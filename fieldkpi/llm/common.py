@@ -55,6 +55,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def broadcast_within(df: DataFrame, row_bytes: Column, max_bytes: int) -> DataFrame:
+    """As :func:`bounded_broadcast`, by the summed ``row_bytes``; for rows of any length."""
+    return F.broadcast(df) if (df.agg(F.sum(row_bytes)).first()[0] or 0) <= max_bytes else df
+
+
 def crc_mod(id_col: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (null id: null)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % mod

@@ -6,7 +6,7 @@ counted, and spans are running lengths of what the patterns split and match.
 
 from __future__ import annotations
 
-from fieldkpi.llm.decontaminate import MASKS, MIN_SCORE, MIN_SHARE, SPAN
+from fieldkpi.llm.decontaminate import MIN_SCORE, MIN_SHARE, MIN_WORDS, SPAN
 from fieldkpi.llm.secrets import BASE, EXAMPLE_OWNERS, KINDS
 
 
@@ -68,25 +68,31 @@ FROM d LEFT JOIN g USING (doc_id)"""
 
 
 def contamination_sql(docs: str = "documents", items: str = "benchmark") -> str:
-    """Seeds as equal words at a mask's positions; a stretch's balance as the
-    largest difference of two running sums along the alignment."""
-    seeds = "\n  UNION ALL ".join(
-        f"SELECT id, i, {m} AS m, " + " || ' ' || ".join(f"w[i + {k + 1}]" for k in mask) + f" AS s FROM {{0}}" for m, mask in enumerate(MASKS))
+    """Every alignment with two equal words in a row is scored; a stretch that is
+    accepted has some. A stretch's balance is the largest difference of two running
+    sums along the alignment. Items shorter than the span are looked for whole."""
+    pairs = "SELECT id, i, w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT id, w, unnest(range(0, len(w) - 1)) AS i FROM {0} WHERE len(w) >= {1})"
     return f"""
 WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM {docs}),
 b AS (SELECT item_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM {items}),
-dp AS (SELECT id, w, unnest(range(0, len(w) - {SPAN} + 1)) AS i FROM d WHERE len(w) >= {SPAN}),
-bp AS (SELECT id, w, unnest(range(0, len(w) - {SPAN} + 1)) AS i FROM b WHERE len(w) >= {SPAN}),
-ds AS ({seeds.format('dp')}),
-bs AS ({seeds.format('bp')}),
-hit AS (SELECT DISTINCT ds.id AS doc_id, bs.id AS item_id, ds.i - bs.i AS shift FROM ds JOIN bs ON ds.m = bs.m AND ds.s = bs.s),
+ds AS ({pairs.format('d', 2)}),
+bs AS ({pairs.format('b', SPAN)}),
+hit AS (SELECT DISTINCT ds.id AS doc_id, bs.id AS item_id, ds.i - bs.i AS shift FROM ds JOIN bs ON ds.s = bs.s),
 al AS (
   SELECT hit.*, len(b.w) AS n, list_transform(range(greatest(0, -shift), least(len(b.w), len(d.w) - shift)),
     lambda j: CASE WHEN d.w[j + shift + 1] = b.w[j + 1] THEN 1 ELSE -1 END) AS e
   FROM hit JOIN d ON d.id = hit.doc_id JOIN b ON b.id = hit.item_id
 ),
-run AS (SELECT doc_id, item_id, shift, n, list_transform(range(0, len(e) + 1), lambda k: coalesce(list_sum(e[1:k]), 0)) AS p FROM al),
-sc AS (SELECT doc_id, item_id, shift, n, CAST(list_max(list_transform(range(1, len(p) + 1), lambda k: p[k] - list_min(p[1:k]))) AS BIGINT) AS score FROM run)
+run AS (
+  SELECT doc_id, item_id, shift, n, list_transform(range(0, len(e) + 1), lambda k: coalesce(list_sum(e[1:k]), 0)) AS p FROM al
+  WHERE len(list_filter(e, lambda x: x = 1)) >= least({MIN_SCORE}, ceil(n * {MIN_SHARE}))
+),
+sc AS (
+  SELECT doc_id, item_id, shift, n, CAST(list_max(list_transform(range(1, len(p) + 1), lambda k: p[k] - list_min(p[1:k]))) AS BIGINT) AS score FROM run
+  UNION ALL
+  SELECT d.id, b.id, d.i, len(b.w), len(b.w) FROM (SELECT id, w, unnest(range(0, len(w))) AS i FROM d) d JOIN (SELECT * FROM b WHERE len(w) BETWEEN 1 AND {SPAN - 1}) b
+    ON d.w[d.i + 1:d.i + len(b.w)] = b.w AND (len(b.w) >= {MIN_WORDS} OR len(d.w) = len(b.w))
+)
 SELECT doc_id, item_id, max(score) AS score, CAST(any_value(n) AS BIGINT) AS n_words, CAST(arg_min(shift, shift - score * 1000000000) AS BIGINT) AS at
 FROM sc WHERE score >= least({MIN_SCORE}, ceil(n * {MIN_SHARE})) GROUP BY doc_id, item_id"""
 

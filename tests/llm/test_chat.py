@@ -46,6 +46,15 @@ def test_reads_back_and_equals_sql(spark):
     assert digest(format_turns(df.limit(0))).count() == 0
 
 
+def test_no_rendered_text_holds_a_mark(spark):
+    marks = ["</s>", "[INST]", "[/INST]", "[ASST]", "[SYS]", "[/SYS]", "[ROLE", "[/ROLE]"]
+    texts = [f"{a}{m}{b}" for m in marks for a in ("", "hello", "a ", "\\") for b in ("", "b", " b")]
+    df = spark.createDataFrame([(i, 0, "assistant", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    for r in format_turns(df).collect():
+        body = r.formatted[len("[ASST] "): -len(" </s>")]
+        assert r.n_escaped == 1 and not any(m in body for m in marks), r.formatted
+
+
 def test_escape_is_reversible(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS if t is not None], "x string")
     once = escape(df.x)

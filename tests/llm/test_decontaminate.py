@@ -1,8 +1,10 @@
+import itertools
+import math
 import random
 
 from fixtures import prose, swap
 
-from fieldkpi.llm.decontaminate import contamination, drop_contaminated
+from fieldkpi.llm.decontaminate import MASKS, MIN_SCORE, MIN_SHARE, contamination, drop_contaminated
 
 
 def test_finds_passages_with_replaced_words_and_leaves_others(spark):
@@ -18,7 +20,7 @@ def test_finds_passages_with_replaced_words_and_leaves_others(spark):
     half = items[4].split()
     docs += [(900, " ".join(half[30:]) + " " + prose(rng, 30)), (901, prose(rng, 30) + " " + " ".join(half[:30]))]
     want |= {(900, 4), (901, 4)}
-    docs += [(1000 + k, prose(rng, 200)) for k in range(30)] + [(2000, None), (2001, ""), (2002, "too short"), (None, items[0]), (3, docs[3][1])]
+    docs += [(1000 + k, prose(rng, 200)) for k in range(30)] + [(2000, None), (2001, ""), (2002, "too short a text"), (None, items[0]), (3, docs[3][1])]
     want.add((None, 0))
     d = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS item_id", "2 AS w")
     b = spark.createDataFrame(list(zip(ids, items)), "item_id long, text string")
@@ -53,3 +55,27 @@ def test_only_rows_with_a_contaminated_text_go(spark):
     b = spark.createDataFrame([(1, item)], "item_id long, text string")
     left = [(r.doc_id, r.text) for r in drop_contaminated(d, b).collect()]
     assert sorted(left, key=str) == sorted(clean, key=str)
+
+
+def test_masks_meet_every_accepted_way_to_replace_words():
+    for n in range(8, 21):
+        least = min(MIN_SCORE, math.ceil(n * MIN_SHARE))
+        for r in range((n - least) // 2 + 1):
+            size = least + 2 * r  # the shortest stretch with r replaced words; all words around it may be replaced too
+            for gone in itertools.combinations(range(1, size - 1), r):
+                left = set(range(size)) - set(gone)
+                assert any(all(at + k in left for k in m) for m in MASKS for at in range(size)), (n, gone)
+
+
+def test_short_items_and_few_words_around_replaced_ones(spark):
+    rng = random.Random(12)
+    w = [prose(rng, 1) + str(i) for i in range(40)]
+    items = [" ".join(w[:7]), " ".join(w[10:14]), " ".join(w[20:22]), w[30], " ".join(w[31:39])]
+    docs = [(1, prose(rng, 20) + " " + items[0] + " " + prose(rng, 5)), (2, " ".join(w[:6] + ["other"])),  # verbatim; one word replaced
+            (3, items[1].upper() + "!"), (4, "x " + items[2] + " y"), (5, items[2]), (6, w[30]), (7, w[30] + " z"),
+            (8, prose(rng, 9) + " " + " ".join(w[31:34] + ["q"] + w[35:39]) + " tail"), (9, " ".join(w[32:39])), (10, " ".join(w[31:33] + ["q"] + w[34:36] + ["q", "q", "q"]))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.score) for r in contamination(d, b).collect()}
+    assert got == {(1, 0, 7), (3, 1, 4), (5, 2, 2), (6, 3, 1), (8, 4, 6), (9, 4, 7)}
+    assert {r.doc_id for r in drop_contaminated(d, b).collect()} == {2, 4, 7, 10}

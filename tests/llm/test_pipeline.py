@@ -8,7 +8,7 @@ from fixtures import BASE, near_components
 
 import corpus_pipeline as P
 from fieldkpi.llm import mixing, quality
-from fieldkpi.llm.decontaminate import MIN_SCORE, MIN_SHARE, SPAN
+from fieldkpi.llm.decontaminate import MIN_SCORE, MIN_SHARE, MIN_WORDS, SPAN
 from fieldkpi.llm.queries import quality_model
 from fieldkpi.llm.secrets import EXAMPLE_OWNERS
 
@@ -28,6 +28,8 @@ def contaminated(text, items):
     w = WORD.findall((text or "").lower())
     for it in items:
         if len(it) < SPAN:
+            if any(w[i: i + len(it)] == it for i in range(len(w))) and (len(it) >= MIN_WORDS or len(it) == len(w)):
+                return True
             continue
         least = min(MIN_SCORE, math.ceil(len(it) * MIN_SHARE))
         for shift in range(-len(it) + 1, len(w)):

@@ -51,3 +51,14 @@ def test_ownership_separates_examples_and_redaction(spark):
     assert out[90].text == f"{copied} and [SECRET] énd" and out[90].n_chars == len(out[90].text)
     assert out[None].text is None and redact(df).columns == df.columns
     assert scan(df.limit(0)).count() == 0 and redact(df.limit(0)).count() == 0
+
+
+def test_very_many_matches_in_one_text(spark):
+    line = f"token=a{MIXED} é password: 12345 "
+    text = line * 25_000
+    df = spark.createDataFrame([("a:b", "c", "s", 1), ("a", "b:c", "s", 1), ("t", text, "s", 1), ("t", text, "s", 1)], "doc_id string, text string, source string, n_chars long")
+    got = sorted(tuple(r)[:4] for r in scan(df).collect())
+    counts, joined = base_spans(text)
+    assert got == [("a", 0, 0, 0), ("a:b", 0, 0, 0)] + [("t", *counts)] * 2 and counts[0] == 25_000
+    assert {sha(r.base) for r in scan(df).collect() if r.doc_id == "t"} == {sha(joined)}
+    assert {r.text for r in redact(df).collect() if r.doc_id == "t"} == {"[SECRET] é password: 12345 " * 25_000}
