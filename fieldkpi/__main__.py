@@ -57,7 +57,10 @@ def main(argv: list[str] | None = None) -> int:
         write_dashboard(read_snapshot(spark, args.clean), args.out)
     elif args.cmd == "reports":
         from .plans.reports import write_reports
-        write_reports(read_snapshot(spark, args.clean), args.out, args.start)
+        from .plans.aggregates import read_daily
+        from .sources.snapshots import snapshots
+        rows = read_daily(spark, args.clean) if snapshots(spark, args.clean) else read_snapshot(spark, args.clean)
+        write_reports(rows, args.out, args.start)
     elif args.cmd == "views":
         from .sources.catalog import CLEAN_TABLE, create_views
         from .sources.writers import replace_table

@@ -6,10 +6,16 @@ Restrictions to "the last 8 weeks" are a filter against the oldest of the 8
 latest weeks (a scalar subquery, which prunes week partitions of a stored
 clean history at run time) placed *before* the aggregation, or a rank over
 the already aggregated rows, never a scan per week or per zone.
+
+Boards, summary and totals only need counts per zone and day. These add up, so
+they are kept as a small table (:func:`daily_counts`) that the weekly run renews
+by month (plans/aggregates.py); the reports take that table or clean rows.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,16 +112,42 @@ def dashboard_kpis(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, zones: list
     return out.select("*", *base_cols)
 
 
-def zone_boards(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, ts: str = K.COL_START,
+SUMMED = ["total", "calls", "cis_result", "cis_category", "n_contact", "n_no_contact", "n_uncovered"]
+
+
+def daily_counts(clean: DataFrame, ts: str = K.COL_START, zone: str = K.COL_ZONE) -> DataFrame:
+    """Rows of the clean history counted per ``zone`` and ``day`` (with its
+    ``week``): all, automatic calls, CIS by result and by category, and the
+    contact classes among calls (plain rule). Null zones and days are kept."""
+    category = F.coalesce(F.col(K.COL_CATEGORY) == K.CATEGORY_CIS, F.lit(False))
+    aggs = indicator_aggs(contact_class(K.COL_STATE, K.COL_RESULT), F.col(K.COL_RESULT) == K.RESULT_CIS)
+    counted = clean.groupBy(F.col(zone).alias("zone"), F.to_date(ts).alias("day")).agg(*aggs, F.count_if(category).alias("cis_category"))
+    return counted.withColumnRenamed("cis", "cis_result").select("zone", "day", week_monday("day").alias("week"), *SUMMED)
+
+
+def _daily(rows: DataFrame, ts: str, zone: str) -> DataFrame:
+    return rows if set(SUMMED) <= set(rows.columns) else daily_counts(rows, ts, zone)
+
+
+def _sums(cis: str) -> list[Column]:
+    return [F.sum(cis if c == "cis" else c).alias(c) for c in COUNTS]
+
+
+def _first_day(start: str) -> Column:
+    """``start`` as a date; the counts know no time of day."""
+    at = datetime.datetime.fromisoformat(start)
+    if at.time() != datetime.time():
+        raise ValueError(f"accumulation starts with a day, not at {start}")
+    return F.lit(at.date())
+
+
+def zone_boards(rows: DataFrame, last_weeks: int = K.LAST_WEEKS, ts: str = K.COL_START,
                 zone: str = K.COL_ZONE) -> DataFrame:
     """Sheet board per distinct zone value (2.5 and 14.5 are zones of their own):
     the zone's own ``last_weeks`` latest weeks, plain contact rule, shares over
-    the automatic calls, board baseline by zone."""
-    base = clean.where(F.col(zone).isNotNull()).select(
-        F.col(zone).alias("zone"), week_monday(ts).alias("week"), K.COL_STATE, K.COL_RESULT, K.COL_CARD
-    ).where(F.col("week").isNotNull())
-    contact = contact_class(K.COL_STATE, K.COL_RESULT)
-    g = base.groupBy("zone", "week").agg(*indicator_aggs(contact, F.col(K.COL_RESULT) == K.RESULT_CIS))
+    the automatic calls, board baseline by zone. ``rows``: daily counts or clean rows."""
+    base = _daily(rows, ts, zone).where(F.col("zone").isNotNull() & F.col("week").isNotNull())
+    g = base.groupBy("zone", "week").agg(*_sums("cis_result"))
     rank = F.dense_rank().over(Window.partitionBy("zone").orderBy(F.col("week").desc()))
     g = g.withColumn("__r", rank).where(F.col("__r") <= last_weeks).drop("__r")
     g = with_shares(g)
@@ -127,14 +159,13 @@ def zone_boards(clean: DataFrame, last_weeks: int = K.LAST_WEEKS, ts: str = K.CO
                     "fmt_uncovered", *base_cols)
 
 
-def zone_accumulated(clean: DataFrame, start: str = K.ACCUMULATION_START, ts: str = K.COL_START,
+def zone_accumulated(rows: DataFrame, start: str = K.ACCUMULATION_START, ts: str = K.COL_START,
                      zone: str = K.COL_ZONE) -> DataFrame:
     """Totals per zone since ``start``: rows, CIS by category, calls and the
-    three contact classes among calls (plain rule). Null zone is left out."""
-    base = clean.where((F.col(ts) >= F.lit(start).cast("timestamp")) & F.col(zone).isNotNull())
-    contact = contact_class(K.COL_STATE, K.COL_RESULT)
-    g = base.groupBy(F.col(zone).alias("zone")).agg(
-        *indicator_aggs(contact, F.col(K.COL_CATEGORY) == K.CATEGORY_CIS))
+    three contact classes among calls (plain rule). Null zone is left out.
+    ``rows``: daily counts or clean rows."""
+    base = _daily(rows, ts, zone).where((F.col("day") >= _first_day(start)) & F.col("zone").isNotNull())
+    g = base.groupBy("zone").agg(*_sums("cis_category"))
     return g.select("zone", *[F.col(c).cast("bigint").alias(c) for c in
                               ("total", "cis", "calls", "n_contact", "n_no_contact", "n_uncovered")]) \
         .withColumnsRenamed({"total": "acum_total", "cis": "acum_cis", "calls": "acum_llamados",
@@ -142,21 +173,21 @@ def zone_accumulated(clean: DataFrame, start: str = K.ACCUMULATION_START, ts: st
                              "n_uncovered": "Sin cubrir_y"})
 
 
-def weekly_zone_summary(clean: DataFrame, start: str = K.ACCUMULATION_START, ts: str = K.COL_START,
+def weekly_zone_summary(rows: DataFrame, start: str = K.ACCUMULATION_START, ts: str = K.COL_START,
                         zone: str = K.COL_ZONE) -> DataFrame:
     """Unified week x zone summary with the accumulated columns per zone.
 
     Rows with null zone are dropped and zones truncate to int (2.5 -> 2,
     14.5 -> 14). CIS counts by category; shares use the automatic calls as
-    denominator. Columns carry the report's display names.
+    denominator. Columns carry the report's display names. ``rows``: daily
+    counts or clean rows.
     """
-    base = (clean.where(F.col(zone).isNotNull())
-                 .withColumn("__z", F.col(zone).cast("int").cast("double"))
-                 .withColumn("__w", week_monday(ts))
-                 .withColumn("__late", F.coalesce(F.col(ts) >= F.lit(start).cast("timestamp"), F.lit(False))))
-    contact = contact_class(K.COL_STATE, K.COL_RESULT)
-    # one aggregation of the rows, split at the start of the accumulation, serves both parts
-    parts = base.groupBy("__w", "__z", "__late").agg(*indicator_aggs(contact, F.col(K.COL_CATEGORY) == K.CATEGORY_CIS))
+    base = (_daily(rows, ts, zone).where(F.col("zone").isNotNull())
+            .withColumn("__z", F.col("zone").cast("int").cast("double"))
+            .withColumn("__w", F.col("week"))
+            .withColumn("__late", F.coalesce(F.col("day") >= _first_day(start), F.lit(False))))
+    # one aggregation of the counts, split at the start of the accumulation, serves both parts
+    parts = base.groupBy("__w", "__z", "__late").agg(*_sums("cis_category"))
     acc_names = {"total": "acum_total", "cis": "acum_cis", "calls": "acum_llamados",
                  "n_contact": "Se contacta_y", "n_no_contact": "No se contacta_y", "n_uncovered": "Sin cubrir_y"}
     weekly = parts.groupBy("__z", "__w").agg(*[F.sum(c).alias(c) for c in COUNTS],

@@ -31,6 +31,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.readers import batch_stats, list_versions, newest_file, read_batches, read_report
 from ..sources.snapshots import Snapshot, commit, expire, next_version, publish, read_snapshot, snapshots
 from ..sources.writers import append_batch
+from .aggregates import refresh_daily
 from .clean import clean_history, type_report
 
 CLEAN_PART = K.CLEAN_PART
@@ -157,6 +158,7 @@ def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str
         raw_batch = append_batch(rows_after(landed, bool(done), mark), raw_base)
     rebuilt, from_week = clean_pending(spark, raw_base, clean_path, zones, strict_coordinates)
     if snapshots(spark, clean_path):
+        refresh_daily(spark, clean_path, keep_snapshots)
         if table:
             publish(spark, clean_path, table)
         expire(spark, clean_path, keep_snapshots)

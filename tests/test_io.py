@@ -77,6 +77,14 @@ def test_weekly_run_incremental_equals_rebuild(spark, tmp_path):
     a = read_snapshot(spark, clean).drop(CLEAN_PART)
     b = read_snapshot(spark, full).drop(CLEAN_PART).select(*a.columns)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # the daily counts follow: only the months of the update were counted anew
+    from fieldkpi.operators import kpi
+    from fieldkpi.plans import aggregates
+    daily = aggregates.daily_path(clean)
+    versions = snapshots.snapshots(spark, daily)[-1].months
+    moved = {m for m, v in versions.items() if v == 2}
+    assert aggregates.refresh_daily(spark, clean) is None and min(moved) == r2.from_week.strftime("%Y-%m") and set(versions.values()) == {1, 2}
+    assert _same(aggregates.read_daily(spark, clean), kpi.daily_counts(read_snapshot(spark, clean)))
     # same report again: nothing new, nothing rewritten
     r3 = weekly_run(spark, str(land), raw, clean, zones)
     assert not r3.appended and readers.list_versions(spark, raw, "batch") == [1, 2]

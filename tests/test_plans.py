@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from fieldkpi import constants as K
 from fieldkpi.operators import kpi
 from fieldkpi.plans.reports import write_reports
 
@@ -113,3 +114,14 @@ def test_dashboard_prunes_week_partitions(spark, tmp_path):
     listing = [ln for ln in plan.splitlines() if re.search(r"PartitionFilters: \[[^\]]*mes_part#\d+ >= (Reused)?Subquery", ln)]
     assert listing, "the week listing should read the latest months only"
     assert rows == sorted(map(tuple, kpi.dashboard_kpis(clean).collect()))
+
+
+def test_reports_of_daily_counts_equal_those_of_clean_rows(spark):
+    clean, daily = entry._clean(spark, SF), entry._daily(spark, SF)
+    start = {"start": entry.ACC_START}
+    for report, how in ((kpi.zone_boards, {}), (kpi.weekly_zone_summary, start), (kpi.zone_accumulated, start)):
+        a, b = report(daily, **how), report(clean, **how)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert K.COL_STATE not in plan and "cis_" in plan  # no scan of the history
+    assert daily.agg(F.sum("total")).first()[0] == clean.count()
