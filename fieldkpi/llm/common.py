@@ -78,6 +78,17 @@ def sample_fraction(rows: DataFrame, key: str, max_rows: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.lit("fit"), F.col(key)), F.lit(1_000_000)) < int(1e6 * max_rows / n))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, id_col: str, text_col: str, max_rows: int) -> DataFrame:
+    """About ``max_rows`` rows at most to fit a classifier on: ``id_col``, ``text``
+    and ``_y``, the label (0 or 1). Ids are sampled by hash; rows that repeat an id
+    and text are one, and where an id has many texts these are sampled again."""
+    known = labels.where(F.col(target).isin(0, 1)).groupBy(id_col).agg(F.max(target).alias("_y"))
+    sample = F.broadcast(sample_fraction(known, id_col, max_rows))
+    rows = docs.select(id_col, F.col(text_col).alias("text")).join(sample, id_col).withColumn("__key", F.xxhash64(id_col, "text"))
+    rows = stored(rows.dropDuplicates(["__key"]), "fit_rows")
+    return sample_fraction(rows, "__key", max_rows).drop("__key")
+
+
 # -- text buffers -------------------------------------------------------------
 
 def _lut(chars: bytes) -> np.ndarray:

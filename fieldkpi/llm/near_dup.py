@@ -4,12 +4,12 @@
    distinct five-word shingles, and the set a signature of ``COORDS`` minima.
    Documents with equal sets form a class at once; one signature stands for it.
 2. Classes are posted under each (coordinate, value) token. Two signatures that
-   agree in ``MATCH`` coordinates share a token among each one's prefix, which
-   is all but its ``MATCH - 1`` most frequent tokens; so only prefixes are
+   agree in a number of coordinates, ``least_matches``, share a token among each
+   one's prefix, which is all but that number less one of its most frequent tokens; so only prefixes are
    merged, tokens of one class are skipped, and the commonest lists are never
-   opened. Candidates whose full signatures agree in fewer than ``MATCH``
-   coordinates are dropped (a pair with similarity 0.75 falls short of 32 of 64
-   with a probability of about 1e-5).
+   opened. Candidates whose full signatures agree in fewer coordinates are
+   dropped. The number follows from the similarity asked for: a pair that just
+   reaches it falls short with a probability of ``MISS`` at most (32 of 64 for 0.75).
 3. Every candidate is confirmed on the full sets of both texts.
 
 Pairs inside a hot list are not all formed, and no link is lost for it:
@@ -25,13 +25,16 @@ Pairs inside a hot list are not all formed, and no link is lost for it:
   within the margin on the prefix of the shingles that they share with p.
 - For that, every list takes the pivot that most of its members agree with best.
 
-Rows without words link with nothing. A null id takes no part: its row is kept,
-with a null component. Rows that repeat an id are one document, and stand or
-fall together. An empty table gives an empty result; further columns are ignored.
+Rows without words link with nothing. In :func:`near_duplicates` a null id takes no
+part: its row is kept, with a null component; rows that repeat an id are one
+document. :func:`drop_near_duplicates` judges every row by itself, also where ids are
+null or repeated: of a group the row with the smallest id stays (null last). An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,7 +46,7 @@ from fieldkpi.llm.components import components
 WIDTH = 5
 SIMILARITY_PCT = 75
 COORDS = 64
-MATCH = 32
+MISS = 1e-5
 PIVOT_MATCH = 16  # coordinates in which a class agrees with a pivot that it votes for
 
 _rng = np.random.default_rng(20240607)
@@ -51,6 +54,14 @@ _MUL = _rng.integers(1, 1 << 63, COORDS, dtype=U64) | U64(1)
 _ADD = _rng.integers(0, 1 << 63, COORDS, dtype=U64)
 
 
+def least_matches(pct: int) -> int:
+    """The most coordinates that signatures of pairs with ``pct`` percent similarity agree in but for a share ``MISS`` of them."""
+    p, short, k = pct / 100, 0.0, 0
+    while k < COORDS and (short := short + math.comb(COORDS, k) * p ** k * (1 - p) ** (COORDS - k)) <= MISS:
+        k += 1
+    return max(k, 1)
+
+
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
     """Per document of a slice the sorted distinct hashes of its shingles."""
     w = Words(data, off)
@@ -110,6 +121,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     """(members, edges): per row id, ``n_shingles`` and ``rep``, its class's
     smallest id (null without words); and confirmed edges between classes that
     join every component."""
+    match = least_matches(pct)
+    pivot_match = min(PIVOT_MATCH, match // 2)
     s = stored(signatures(docs, id_col, text_col, width), "nd_sig")
     some = s.where("n_shingles > 0 AND id IS NOT NULL")
     classes = stored(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "nd_class")
@@ -120,7 +133,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     lists = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     prefix = (tokens.join(lists, "token").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"), F.sum(F.floor(F.log2("n") * 16)).alias("central"))
-        .where(F.size("t") >= MATCH).select("rep", "central", F.explode(F.slice("t", F.lit(1), F.size("t") - (MATCH - 1))).alias("t")))
+        .where(F.size("t") >= match).select("rep", "central", F.explode(F.slice("t", F.lit(1), F.size("t") - (match - 1))).alias("t")))
     posts = stored(prefix.select("rep", "central", F.col("t.token").alias("token")).distinct(), "nd_post")
     sigs = stored(classes.select("rep", "sig").join(posts.select("rep").distinct(), "rep", "left_semi"), "nd_psig")
     texts = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -149,8 +162,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
 
     centre = F.max(F.struct("central", "rep")).alias("x")
     first = posts.groupBy("token").agg(centre).select("token", F.col("x.rep").alias("p"))
-    tried = stored(against(posts.join(first, "token").where("rep <> p").select("rep", "p").distinct()).where(F.col("agree") >= PIVOT_MATCH), "nd_pairs")
-    found = stored(edges.unionAll(linked(tried.where(F.col("agree") >= MATCH))), "nd_edge")
+    tried = stored(against(posts.join(first, "token").where("rep <> p").select("rep", "p").distinct()).where(F.col("agree") >= pivot_match), "nd_pairs")
+    found = stored(edges.unionAll(linked(tried.where(F.col("agree") >= match))), "nd_edge")
     cross = crossing(found)
     if pct >= 100 or cross.isEmpty():
         return members, found
@@ -159,8 +172,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     others = cross.join(lead, "token").where("c <> lead")
     second = others.groupBy("token").agg(centre).select("token", F.col("x.rep").alias("p"))
     more = stored(against(others.join(second, "token").where("rep <> p").select("rep", "p").distinct()
-                          .join(tried, ["rep", "p"], "left_anti")).where(F.col("agree") >= PIVOT_MATCH), "nd_pairs")
-    found = stored(found.unionAll(linked(more.where(F.col("agree") >= MATCH))), "nd_edge")
+                          .join(tried, ["rep", "p"], "left_anti")).where(F.col("agree") >= pivot_match), "nd_pairs")
+    found = stored(found.unionAll(linked(more.where(F.col("agree") >= match))), "nd_edge")
     cross = crossing(found)
     if cross.isEmpty():
         return members, found
@@ -257,6 +270,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`near_duplicates` doesn't keep, all columns as they are."""
-    gone = stored(near_duplicates(docs, id_col, text_col).where("NOT kept").select(id_col).distinct(), "nd_gone")
-    return docs.join(bounded_broadcast(gone, 200_000), id_col, "left_anti").select(*docs.columns)
+    """``docs`` without the rows that have a link to another that stays, all columns as they are."""
+    odd = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1))
+    if odd.isEmpty():
+        gone = stored(near_duplicates(docs, id_col, text_col).where("NOT kept").select(id_col).distinct(), "nd_gone")
+        return docs.join(bounded_broadcast(gone, 200_000), id_col, "left_anti").select(*docs.columns)
+    # ids that don't tell rows apart: rows are numbered in a stored copy
+    rows = stored(docs.withColumn("__nd_row", F.monotonically_increasing_id()), "nd_rows")
+    groups = near_duplicates(rows, "__nd_row", text_col).select("__nd_row", "component_id")
+    named = rows.select("__nd_row", F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "__nd_row").alias("order")).join(groups, "__nd_row")
+    first = named.groupBy("component_id").agg(F.min("order").alias("o")).select("component_id", F.col("o.__nd_row").alias("stays"))
+    gone = stored(groups.join(first, "component_id").where("__nd_row <> stays").select("__nd_row"), "nd_gone")
+    return rows.join(bounded_broadcast(gone, 200_000), "__nd_row", "left_anti").select(*docs.columns)

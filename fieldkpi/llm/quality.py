@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkpi.llm.common import Words, powers, sample_fraction, slices, text_array
+from fieldkpi.llm.common import Words, powers, labelled_sample, slices, text_array
 
 FIT_ROWS = 12_000
 BINS = 32
@@ -233,10 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id
           max_rows: int = FIT_ROWS) -> Model:
     """Fit on the labelled documents (0 or 1 in ``target``), a hash sample of
     about ``max_rows`` of them. The sampled numbers, not texts, reach the driver."""
-    known = labels.where(F.col(target).isin(0, 1)).groupBy(id_col).agg(F.max(target).alias("_y"))
-    sample = sample_fraction(known, id_col, max_rows)
-    rows = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col).select("text", "_y")
-    got = feature_rows(rows, "_y").toPandas()
+    got = feature_rows(labelled_sample(docs, labels, target, id_col, text_col, max_rows), "_y").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
     order = np.lexsort([*x.T, got["y"].to_numpy()])  # the order of rows must not change the fit
     return fit(x[order], got["y"].to_numpy(float)[order])

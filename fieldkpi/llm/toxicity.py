@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkpi.llm.common import U64, Words, mix, sample_fraction, slices, text_array
+from fieldkpi.llm.common import U64, Words, mix, labelled_sample, slices, text_array
 
 FIT_ROWS = 20_000
 BITS = 20
@@ -65,9 +65,8 @@ class Ftrl:
 def train(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text",
           max_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) other than zero, the intercept last."""
-    known = labels.where(F.col(target).isin(0, 1)).groupBy(id_col).agg(F.max(target).alias("_y"))
-    texts = docs.select(id_col, F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(sample_fraction(known, id_col, max_rows)), id_col).select(F.xxhash64(id_col, "text").alias("at"), "text", "_y")
+    drawn = labelled_sample(docs, labels, target, id_col, text_col, max_rows)
+    sample = drawn.select(F.xxhash64(id_col, "text").alias("at"), "text", "_y")
 
     def rows(batches):
         for batch in batches:

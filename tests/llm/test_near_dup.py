@@ -1,5 +1,8 @@
-from fixtures import SCHEMA, near_components, prose, rows
+import random
 
+from fixtures import SCHEMA, near_components, prose, rows, shingles, swap
+
+from fieldkpi.llm import near_dup
 from fieldkpi.llm.components import components
 from fieldkpi.llm.near_dup import drop_near_duplicates, near_duplicates
 
@@ -21,7 +24,6 @@ def test_equals_brute_force(spark):
 
 
 def test_borderline_groups_without_a_centre(spark):
-    import random
     from fixtures import swap
     rng = random.Random(11)
     base = prose(rng, 140)
@@ -32,7 +34,6 @@ def test_borderline_groups_without_a_centre(spark):
 
 def test_mixed_groups_fragments_and_extensions(spark):
     """Several hot groups that share passages; cut, extended and edited copies at every distance."""
-    import random
     from fixtures import WORDS, swap
     rng = random.Random(23)
     passage = prose(rng, 40)
@@ -51,7 +52,6 @@ def test_mixed_groups_fragments_and_extensions(spark):
 
 
 def test_null_and_repeated_ids_extra_columns_empty_table(spark):
-    import random
     rng = random.Random(2)
     a, b = prose(rng, 50), prose(rng, 50)
     docs = [(1, a, 9), (2, a, 8), (2, b, 7), (5, b, 6), (None, a, 5), (None, None, 4)]
@@ -59,5 +59,33 @@ def test_null_and_repeated_ids_extra_columns_empty_table(spark):
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
     assert got == sorted([(1, 1, True), (2, 1, False), (2, 1, False), (5, 1, False), (None, None, True), (None, None, True)], key=str)
     left = drop_near_duplicates(df)
-    assert left.columns == ["doc_id", "text", "token"] and sorted(r.token for r in left.collect()) == [4, 5, 9]
+    assert left.columns == ["doc_id", "text", "token"] and sorted(r.token for r in left.collect()) == [4, 7, 9]  # a row of each text, whatever its id
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_with_null_or_repeated_ids_are_judged_one_by_one(spark):
+    rng = random.Random(21)
+    text, other = prose(rng, 80), prose(rng, 80)
+    near = swap(rng, text, 1)
+    rows_ = [(None, text), (None, text), (7, other), (7, text), (7, other), (3, near), (None, other), (None, None), (None, ""), (None, "  "), (9, prose(rng, 50))]
+    df = spark.createDataFrame([(*r, "s", 1) for r in rows_], "doc_id long, text string, component_id string, __nd int")
+    out = near_dup.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(3, near), (7, other), (None, None), (None, ""), (None, "  "), rows_[-1]], key=str)
+
+
+def test_other_similarities_find_their_links(spark):
+    assert near_dup.least_matches(75) == 32 and near_dup.least_matches(50) < 20 and near_dup.least_matches(100) == near_dup.COORDS
+    rng = random.Random(22)
+    docs = []
+    for i in range(30):  # pairs at about 0.5
+        base = [prose(rng, 1) + str(rng.randint(0, 999)) for _ in range(90)]
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:60] + [w + "z" for w in base[60:]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {}
+    for a, b in zip(docs[::2], docs[1::2]):
+        x, y = shingles(a[1]), shingles(b[1])
+        want[b[0]] = a[0] if 100 * len(x & y) >= 45 * len(x | y) else b[0]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df, pct=45).collect()}
+    assert {k: got[k] for k in want} == want and any(k != v for k, v in want.items())
