@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--lenient-coordinates", action="store_true", help="bad coordinate text gives no zone instead of an error")
     w.add_argument("--table", default=None)
     w.add_argument("--glob", default="*.csv")
+    w.add_argument("--person-buckets", type=int, default=None, help="buckets of the stored person days (default: shuffle partitions)")
     d = sub.add_parser("dashboard")
     d.add_argument("--clean", required=True)
     d.add_argument("--out", required=True)
@@ -49,12 +50,15 @@ def main(argv: list[str] | None = None) -> int:
         from .operators.geo import zone_layers
         from .plans.weekly import weekly_run
         res = weekly_run(spark, args.landing, args.raw, args.clean, zone_layers(spark, args.zones), args.table,
-                         args.glob, strict_coordinates=not args.lenient_coordinates)
+                         args.glob, strict_coordinates=not args.lenient_coordinates, person_buckets=args.person_buckets)
         print(json.dumps({"report": res.report, "appended": res.appended, "raw_batch": res.raw_batch,
                           "rebuilt": res.rebuilt, "from_week": str(res.from_week) if res.from_week else None}))
     elif args.cmd == "dashboard":
+        from .plans.aggregates import read_persons
         from .plans.dashboard import write_dashboard
-        write_dashboard(read_snapshot(spark, args.clean), args.out)
+        from .sources.snapshots import snapshots
+        persons = read_persons(spark, args.clean) if snapshots(spark, args.clean) else None
+        write_dashboard(read_snapshot(spark, args.clean), args.out, persons=persons)
     elif args.cmd == "reports":
         from .plans.reports import write_reports
         from .plans.aggregates import read_daily

@@ -89,6 +89,28 @@ def prior_state(clean: DataFrame, before_week, key: str = K.COL_KEY, zone: str =
     return past.groupBy(F.col(key).alias("key")).agg(F.max_by(F.col(zone), wk).alias("last_zone"), F.max(wk).alias("last_week"))
 
 
+PERSON_DAY = ["key", "day", "zone"]
+
+
+def person_days(clean: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts: str = K.COL_START,
+                row_id: str = K.COL_ROW_ID) -> DataFrame:
+    """(key, day, zone): the zone of each key's first row of a day. A week of
+    either kind (from Monday or from Sunday) has its first zone on its first day.
+    Null keys and null days are kept; a key that many rows share is cut to one row
+    per day map-side."""
+    return clean.groupBy(F.col(key).alias("key"), F.to_date(ts).alias("day")).agg(F.min_by(F.col(zone), order_key(ts, row_id)).alias("zone"))
+
+
+def _first_zones(rows: DataFrame, week_of, key: str, zone: str, ts: str, row_id: str) -> DataFrame:
+    """(key, week, zone) with the zone of the week's first row, from clean rows or
+    person days. Person days bucketed by key are neither shuffled here nor by a
+    window over the key afterwards."""
+    if set(PERSON_DAY) <= set(rows.columns) and ts not in rows.columns:
+        first = F.coalesce(F.col("day"), F.to_date(F.lit("0001-01-01")))
+        return rows.groupBy("key", week_of("day").alias("week")).agg(F.min_by("zone", first).alias("zone"))
+    return rows.groupBy(F.col(key).alias("key"), week_of(ts).alias("week")).agg(F.min_by(F.col(zone), order_key(ts, row_id)).alias("zone"))
+
+
 def top_weeks(weeks: DataFrame, week: str, n: int = K.LAST_WEEKS) -> DataFrame:
     """The n latest distinct weeks (bounded result: n rows)."""
     return weeks.select(week).where(F.col(week).isNotNull()).distinct().orderBy(F.col(week).desc()).limit(n)
@@ -102,15 +124,13 @@ def zone_evolution(df: DataFrame, targets: list[float] = (2.0, 14.0), key: str =
     All keys count, anonymous ones included (each anonymous value is one
     person). One row per (week, key) is kept - the first by time - and the
     state is carried over all zones. Output: the last ``last_weeks`` weeks present
-    in the data, for every target, zero where the target has no rows.
+    in the data, for every target, zero where the target has no rows. ``df``:
+    clean rows or :func:`person_days`.
     """
     week = "week"
     if key not in df.columns and K.COL_DNI in df.columns:
         key = K.COL_DNI  # no categorised key yet: the raw ID column stands in
-    base = df.select(F.col(key).alias("key"), F.col(zone).alias("zone"), F.col(ts).alias("ts"),
-                     F.col(row_id).alias("rid"), week_monday(ts).alias(week)).where(F.col(week).isNotNull())
-    first_rows = (base.groupBy(week, "key")
-                      .agg(F.min_by("zone", order_key("ts", "rid")).alias("zone")))
+    first_rows = _first_zones(df, week_monday, key, zone, ts, row_id).where(F.col(week).isNotNull())
     w = Window.partitionBy("key").orderBy(week)
     lab = (first_rows.withColumn("is_first", F.lag(week).over(w).isNull())
                      .withColumn("prev_zone", F.lag("zone").over(w)))
@@ -161,11 +181,11 @@ def population_weekly(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZON
 
     Keys in ``excluded`` are dropped with SQL semantics (a null key is dropped
     too); the week's zone is the first by time; previous zone by ``lag``; no
-    previous -> new, equal -> recurring, else migrant.
+    previous -> new, equal -> recurring, else migrant. ``df``: clean rows or
+    :func:`person_days`.
     """
-    base = df.where(~F.col(key).isin(excluded))
-    g = (base.groupBy(F.col(key).alias("DNI"), week_sunday(ts).alias("Semana"))
-             .agg(F.min_by(F.col(zone), order_key(ts, row_id)).alias("Comuna_Semanal")))
+    g = _first_zones(df, week_sunday, key, zone, ts, row_id).where(~F.col("key").isin(excluded))
+    g = g.select(F.col("key").alias("DNI"), F.col("week").alias("Semana"), F.col("zone").alias("Comuna_Semanal"))
     w = Window.partitionBy("DNI").orderBy("Semana")
     g = g.withColumn("Comuna_Anterior", F.lag("Comuna_Semanal").over(w))
     return g.withColumn("Condicion_Poblacion", population_class("Comuna_Anterior", "Comuna_Semanal"))

@@ -31,7 +31,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.readers import batch_stats, list_versions, newest_file, read_batches, read_report
 from ..sources.snapshots import Snapshot, commit, expire, next_version, publish, read_snapshot, snapshots
 from ..sources.writers import append_batch
-from .aggregates import refresh_daily
+from .aggregates import refresh_daily, refresh_persons
 from .clean import clean_history, type_report
 
 CLEAN_PART = K.CLEAN_PART
@@ -141,12 +141,13 @@ def clean_pending(spark: SparkSession, raw_base: str, clean_path: str, zones: Da
 
 def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str, zones: DataFrame,
                table: str | None = None, glob: str = "*.csv", fmt: str = "csv", strict_coordinates: bool = True,
-               keep_snapshots: int = 3) -> WeeklyResult:
+               keep_snapshots: int = 3, person_buckets: int | None = None) -> WeeklyResult:
     """One weekly cycle: pick the newest landed report, keep rows strictly
     after the history's latest date, append them as a raw batch, then clean all
     that is pending and optionally publish the table. Running it again after a
     failure, or with nothing new, is safe. Bad coordinate text ends the run,
-    unless ``strict_coordinates`` is False (then it gives no zone)."""
+    unless ``strict_coordinates`` is False (then it gives no zone). ``person_buckets``:
+    see ``aggregates.person_buckets``."""
     ensure_checkpoint_dir(spark)
     path = newest_file(spark, landing, glob)
     raw_batch = None
@@ -159,6 +160,7 @@ def weekly_run(spark: SparkSession, landing: str, raw_base: str, clean_path: str
     rebuilt, from_week = clean_pending(spark, raw_base, clean_path, zones, strict_coordinates)
     if snapshots(spark, clean_path):
         refresh_daily(spark, clean_path, keep_snapshots)
+        refresh_persons(spark, clean_path, person_buckets, keep_snapshots)
         if table:
             publish(spark, clean_path, table)
         expire(spark, clean_path, keep_snapshots)

@@ -77,17 +77,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 _MATERIALIZED: dict[tuple, str] = {}
 
 
-def materialize(write, spark: SparkSession, name: str, key: tuple = ()) -> DataFrame:
-    """A stored table of this session: ``write(path)`` fills a fresh folder
-    under the shared checkpoint folder once per session and key; later calls
-    read it back."""
+def stored_path(write, spark: SparkSession, name: str, key: tuple = ()) -> str:
+    """A folder of this session: ``write(path)`` fills a fresh one under the
+    shared checkpoint folder once per session and key."""
     k = (spark.sparkContext.applicationId, name) + tuple(key)
     path = _MATERIALIZED.get(k)
     if path is None:
         path = scratch_dir(spark, f"tables/{name}-{uuid.uuid4().hex}")
         write(path)
         _MATERIALIZED[k] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def materialize(write, spark: SparkSession, name: str, key: tuple = ()) -> DataFrame:
+    """A stored table of this session, written once (:func:`stored_path`); later
+    calls read it back."""
+    return spark.read.parquet(stored_path(write, spark, name, key))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ or the new one, and a write that fails leaves nothing that a reader sees.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +101,43 @@ def _shown_store(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"].rpartition(" ")[2].strip("`") if rows else ""
 
 
+def _create_store(spark: SparkSession, store: str, base: str, now: Snapshot, layout: str = "") -> None:
+    """An external table over a snapshot's month folders."""
+    rows = read_snapshot(spark, base, now)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spark.sql(f"DROP TABLE IF EXISTS {store}")  # left by a run that failed; external, so files stay
+    spark.sql(f"CREATE TABLE {store} ({columns}) USING parquet PARTITIONED BY ({K.CLEAN_PART}) {layout} LOCATION '{base}/version={max(now.months.values())}'")
+    parts = " ".join(f"PARTITION ({K.CLEAN_PART}={'null' if m is None else repr(m)}) LOCATION '{p}'"
+                     for m, p in zip(sorted(now.months, key=lambda x: x or ""), now.paths(base)))
+    spark.sql(f"ALTER TABLE {store} ADD {parts}")
+
+
+def write_bucketed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Rows by month in ``buckets`` files a month, all rows of a key in files of
+    one number; for :func:`read_bucketed`."""
+    name = f"escritura_{uuid.uuid4().hex}"
+    try:
+        rows.repartition(buckets, key).write.partitionBy(K.CLEAN_PART).bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name, format="parquet")
+    finally:
+        rows.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+
+
+def read_bucketed(spark: SparkSession, base: str, key: str, buckets: int) -> DataFrame:
+    """The newest snapshot of rows that :func:`write_bucketed` wrote, through a
+    catalog table that tells Spark of the buckets: grouping by the key, and windows
+    over it, then need no shuffle, however many months there are."""
+    now = snapshots(spark, base)[-1]
+    prefix = f"cubos_{hashlib.sha256(base.encode()).hexdigest()[:16]}_"
+    store = f"{prefix}{now.update}"
+    tables = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    if store not in tables:
+        _create_store(spark, store, base, now, f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS")
+        for t in tables:
+            if int(t[len(prefix):]) < now.update - 1:
+                spark.sql(f"DROP TABLE IF EXISTS {t}")
+    return spark.table(store)
+
+
 def publish(spark: SparkSession, base: str, name: str) -> str:
     """Publish the newest snapshot as ``name`` without copying it: a store of its
     own (an external table over the snapshot's month folders) and one switch of
@@ -113,13 +152,7 @@ def publish(spark: SparkSession, base: str, name: str) -> str:
     shown = _shown_store(spark, name) if tables.get(name) == "VIEW" else ""
     if shown == store:
         return store
-    rows = read_snapshot(spark, base, now)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    spark.sql(f"DROP TABLE IF EXISTS {store}")  # left by a publication that failed; external, so files stay
-    spark.sql(f"CREATE TABLE {store} ({columns}) USING parquet PARTITIONED BY ({K.CLEAN_PART}) LOCATION '{base}/version={max(now.months.values())}'")
-    parts = " ".join(f"PARTITION ({K.CLEAN_PART}={'null' if m is None else repr(m)}) LOCATION '{p}'"
-                     for m, p in zip(sorted(now.months, key=lambda x: x or ""), now.paths(base)))
-    spark.sql(f"ALTER TABLE {store} ADD {parts}")
+    _create_store(spark, store, base, now)
     if tables.get(name, "VIEW") != "VIEW":  # an earlier full copy makes way for the view, once
         spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * EXCEPT ({K.CLEAN_PART}) FROM {store}")

@@ -85,6 +85,12 @@ def test_weekly_run_incremental_equals_rebuild(spark, tmp_path):
     moved = {m for m, v in versions.items() if v == 2}
     assert aggregates.refresh_daily(spark, clean) is None and min(moved) == r2.from_week.strftime("%Y-%m") and set(versions.values()) == {1, 2}
     assert _same(aggregates.read_daily(spark, clean), kpi.daily_counts(read_snapshot(spark, clean)))
+    # and so do the person days, bucketed by key
+    persons = aggregates.persons_path(clean, aggregates.person_buckets(spark, clean))
+    versions = snapshots.snapshots(spark, persons)[-1].months
+    moved = {m for m, v in versions.items() if v == 2}
+    assert aggregates.refresh_persons(spark, clean) is None and min(moved) == r2.from_week.strftime("%Y-%m") and set(versions.values()) == {1, 2}
+    assert _same(aggregates.read_persons(spark, clean), evolution.person_days(read_snapshot(spark, clean)))
     # same report again: nothing new, nothing rewritten
     r3 = weekly_run(spark, str(land), raw, clean, zones)
     assert not r3.appended and readers.list_versions(spark, raw, "batch") == [1, 2]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from fieldkpi import constants as K
-from fieldkpi.operators import kpi
+from fieldkpi.operators import evolution, kpi
 from fieldkpi.plans.reports import write_reports
 
 SF = "/root/testdata/sf0.001"
@@ -125,3 +125,28 @@ def test_reports_of_daily_counts_equal_those_of_clean_rows(spark):
         plan = a._jdf.queryExecution().executedPlan().toString()
         assert K.COL_STATE not in plan and "cis_" in plan  # no scan of the history
     assert daily.agg(F.sum("total")).first()[0] == clean.count()
+
+
+def test_person_days_need_no_shuffle_by_key(spark):
+    """Equal to the reports of clean rows, without an exchange on the key."""
+    clean, persons = entry._clean(spark, SF), entry._persons(spark, SF)
+    for report in (evolution.zone_evolution, evolution.population_weekly):
+        a, b = report(persons), report(clean)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Window" in plan
+        assert not re.search(r"Exchange hashpartitioning\((key|DNI)#", plan), plan
+        assert re.search(r"Exchange hashpartitioning\((key|DNI|" + K.COL_KEY + ")#", b._jdf.queryExecution().executedPlan().toString())
+
+
+def test_person_days_of_null_keys_and_days(spark):
+    rows = [(1, "a", 2.0, "2024-01-07 10:00:00"), (2, "a", 14.0, "2024-01-07 09:00:00"), (3, "a", 2.0, "2024-01-08 08:00:00"), (4, None, 2.0, "2024-01-08 08:00:00"),
+            (5, "a", 3.0, None), (6, "a", 4.0, None), (7, "b", None, "2024-01-09 08:00:00"), (8, "b", 5.0, "2024-01-10 08:00:00")]
+    clean = spark.createDataFrame(rows, "rid long, k string, z double, t string").select(
+        F.col("rid").alias(K.COL_ROW_ID), F.col("k").alias(K.COL_KEY), F.col("z").alias(K.COL_ZONE), F.col("t").cast("timestamp").alias(K.COL_START))
+    days = evolution.person_days(clean)
+    assert {(r.key, str(r.day)): r.zone for r in days.collect()} == {
+        ("a", "2024-01-07"): 14.0, ("a", "2024-01-08"): 2.0, (None, "2024-01-08"): 2.0, ("a", "None"): 3.0, ("b", "2024-01-09"): None, ("b", "2024-01-10"): 5.0}
+    for report in (evolution.zone_evolution, evolution.population_weekly):
+        assert sorted(map(str, report(days).collect())) == sorted(map(str, report(clean).collect()))
+    assert evolution.zone_evolution(days.limit(0)).count() == 0
