@@ -2,14 +2,15 @@
 
 Plan (no shuffle of the point side while the cell table stays small):
 
-1. Each zone's bounding box is cut into grid cells. A cell keeps only the zone's
-   edges that meet it and whether one reference point of the cell lies inside;
-   a cell without edges is wholly inside (kept) or outside (dropped). The cell
-   table is written to the checkpoint folder and its size measured.
-2. Each point computes its cell key and meets the cell table in an equi-join:
-   broadcast up to a size limit. Beyond it the join is shuffled; the cell table
-   is then repeated over a few salts, so that a busy cell's points go to several
-   tasks, and points without coordinates are spread over keys of their own.
+1. The zones' area is cut into cells of four sizes, small ones only where edges
+   are. A cell keeps only the zone's edges that meet it and whether one reference
+   point of the cell lies inside; a cell without edges is wholly inside (kept) or
+   outside (dropped). The cell table is written to the checkpoint folder and the
+   size of each level measured.
+2. Each point computes its cell key and meets the levels in equi-joins: broadcast
+   up to a size limit. Beyond it a level's join is shuffled; its cells are then
+   repeated over a few salts, so that a busy cell's points go to several tasks, and
+   points without coordinates are spread over keys of their own.
 3. The exact test runs as native higher-order functions over the cell's edges:
    from the point along the row to the reference point's column, then along
    that column to the reference point, every edge crossed flips inside and
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +44,11 @@ ZONE_SCHEMA = T.StructType([
 # broadcast limit for the cell table, in estimated bytes
 BROADCAST_LIMIT = 64 * 1024 * 1024
 EDGE_BYTES = 40
+STEP = 4      # a cell of one level has 2^STEP x 2^STEP parts of the next
+TOP = 3       # levels above the smallest cells: 0.0025, 0.04, 0.64 and 10.24 degrees
+DENSE = 8     # edges that a cell may hold without being cut
+SALTS = 8     # copies of a level's cells in a shuffled join
+NO_CELL = -(10 ** 12)  # keys below it are no cells: rows without coordinates are spread over them
 
 
 def priority_of(zone: float | None) -> int:
@@ -160,44 +166,83 @@ def _reference(cell_x: Column, cell_y: Column, cell: float) -> tuple[Column, Col
     return (cell_x + F.lit(REFERENCE[0])) * F.lit(cell), (cell_y + F.lit(REFERENCE[1])) * F.lit(cell)
 
 
-def zone_cells(zones: DataFrame, cell: float) -> DataFrame:
-    """Per grid cell the candidate zones, each with the edges that meet the cell
-    (``edges``) and whether the cell's reference point is inside (``inside``)."""
-    cx = F.explode(F.sequence(F.floor(F.col("z.minx") / cell), F.floor(F.col("z.maxx") / cell)))
-    cy = F.explode(F.sequence(F.floor(F.col("z.miny") / cell), F.floor(F.col("z.maxy") / cell)))
-    z = F.struct("priority", "zone", "minx", "miny", "maxx", "maxy", "edges").alias("z")
-    per_zone = zones.select(z).select("z", cx.alias("cell_x")).select("z", "cell_x", cy.alias("cell_y"))
-    # the cell is widened by a hair so rounding in floor(x / cell) can never
-    # part a point from an edge beside it
-    eps = cell * 1e-6
-    x0, y0 = F.col("cell_x") * cell, F.col("cell_y") * cell
-    x1, y1 = x0 + cell, y0 + cell
-    meets = F.filter("z.edges", lambda e: (F.least(e["x1"], e["x2"]) <= x1 + eps) & (F.greatest(e["x1"], e["x2"]) >= x0 - eps)
-                     & (F.least(e["y1"], e["y2"]) <= y1 + eps) & (F.greatest(e["y1"], e["y2"]) >= y0 - eps))
-    inside = _parity(F.col("z.edges"), *_reference(F.col("cell_x"), F.col("cell_y"), cell))
-    per_zone = per_zone.withColumn("edges", meets).withColumn("inside", inside).where(F.col("inside") | (F.size("edges") > 0))
-    cand = F.struct(F.col("z.priority").alias("priority"), F.col("z.zone").alias("zone"),
-                    F.col("z.minx").alias("minx"), F.col("z.miny").alias("miny"),
-                    F.col("z.maxx").alias("maxx"), F.col("z.maxy").alias("maxy"), "inside", "edges")
-    return per_zone.groupBy("cell_x", "cell_y").agg(F.collect_list(cand).alias("cands"))
+def _meets(edges: Column, x: Column, y: Column, width: float, hair: float) -> Column:
+    """The edges whose box meets a cell. The cell is widened by a hair, so rounding
+    in floor(x / cell) can never part a point from an edge beside it."""
+    x0, y0 = x * F.lit(width) - F.lit(hair), y * F.lit(width) - F.lit(hair)
+    x1, y1 = (x + 1) * F.lit(width) + F.lit(hair), (y + 1) * F.lit(width) + F.lit(hair)
+    return F.filter(edges, lambda e: (F.least(e["x1"], e["x2"]) <= x1) & (F.greatest(e["x1"], e["x2"]) >= x0)
+                    & (F.least(e["y1"], e["y2"]) <= y1) & (F.greatest(e["y1"], e["y2"]) >= y0))
+
+
+def _parts(width: float, cell: float, level: int) -> Column:
+    """A candidate's cells one level further down, from its own edges alone: each
+    with the edges that meet it and its reference point's side, which is the larger
+    cell's, flipped by the edges on the way from one reference point to the other."""
+    side = 1 << STEP
+    rx, ry = _reference(F.col("cell_x"), F.col("cell_y"), width)
+
+    def part(k):
+        x, y = F.shiftleft("cell_x", STEP) + k % side, F.shiftleft("cell_y", STEP) + F.floor(k / side)
+        px, py = _reference(x, y, width / side)
+        inside = F.aggregate("edges", F.col("inside"), lambda acc, e: acc != _flips(e, px, py, rx, ry))
+        return F.struct(F.lit(level - 1).alias("level"), x.alias("cell_x"), y.alias("cell_y"),
+                        _meets(F.col("edges"), x, y, width / side, cell * 1e-6).alias("edges"), inside.alias("inside"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), part), lambda c: c["inside"] | (F.size(c["edges"]) > 0))
+
+
+def zone_cells(zones: DataFrame, cell: float, top: int = TOP, dense: int = DENSE) -> DataFrame:
+    """Cells of several sizes (``level`` n: ``cell`` times 16^n) with their candidate
+    zones, each with the edges that meet the cell (``edges``) and whether the cell's
+    reference point is inside (``inside``).
+
+    A zone starts with the few cells of level ``top`` that its box meets; only for
+    these its whole ring is walked. A cell whose zones have more than ``dense``
+    edges in it is cut into 16 x 16 parts, for the zones with edges there, down to
+    level 0; a cell without edges stays whole, however large it is. So the work and
+    the table grow with the boundaries, not with the area.
+    """
+    names = ["priority", "zone", "minx", "miny", "maxx", "maxy"]
+    width = cell * (1 << STEP * top)
+
+    def span(lo: str, hi: str):
+        return F.explode(F.sequence(*[F.shiftright(F.floor(F.col(c) / cell), STEP * top) for c in (lo, hi)]))
+
+    roots = zones.select(*names, F.col("edges").alias("ring"), span("minx", "maxx").alias("cell_x"))
+    roots = roots.select("*", span("miny", "maxy").alias("cell_y"))
+    x, y = F.col("cell_x"), F.col("cell_y")
+    now = roots.select(*names, F.lit(top).alias("level"), "cell_x", "cell_y", _meets(F.col("ring"), x, y, width, cell * 1e-6).alias("edges"),
+                       _parity(F.col("ring"), *_reference(x, y, width)).alias("inside"))
+    for level in range(top, 0, -1):
+        crowd = F.sum(F.size("edges")).over(Window.partitionBy("level", "cell_x", "cell_y"))  # a row per zone
+        same = F.struct("level", "cell_x", "cell_y", "edges", "inside")
+        split = (F.col("level") == level) & (F.col("crowd") > dense) & (F.size("edges") > 0)
+        parts = F.when(split, _parts(cell * (1 << STEP * level), cell, level)).otherwise(F.array(same))
+        now = now.withColumn("crowd", crowd).select(*names, F.explode(parts).alias("c")).select(*names, "c.*")
+    cand = F.struct(*names, "inside", "edges")
+    return now.where(F.col("inside") | (F.size("edges") > 0)).groupBy("level", "cell_x", "cell_y").agg(F.collect_list(cand).alias("cands"))
+
+
+def _flips(e: Column, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    """Whether an edge is crossed an odd number of times on the way from p along its
+    row to r's column and along that column to r."""
+    x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+    along_row = ((e["y1"] > py) != (e["y2"] > py)) & ((px < x_at) != (rx < x_at))
+    y_at = (e["y2"] - e["y1"]) * (rx - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+    along_column = ((e["x1"] > rx) != (e["x2"] > rx)) & ((py < y_at) != (ry < y_at))
+    return along_row != along_column
 
 
 def _within(c: Column, px: Column, py: Column, rx: Column, ry: Column) -> Column:
     in_box = (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
 
-    def flips(e):
-        x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        along_row = ((e["y1"] > py) != (e["y2"] > py)) & ((px < x_at) != (rx < x_at))
-        y_at = (e["y2"] - e["y1"]) * (rx - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
-        along_column = ((e["x1"] > rx) != (e["x2"] > rx)) & ((py < y_at) != (ry < y_at))
-        return along_row != along_column
-
     def on_edge(e):
         cross = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
         return ((cross == 0) & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
                 & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
 
-    inside = F.aggregate(c["edges"], c["inside"], lambda acc, e: acc != flips(e))
+    inside = F.aggregate(c["edges"], c["inside"], lambda acc, e: acc != _flips(e, px, py, rx, ry))
     return in_box & inside & ~F.exists(c["edges"], on_edge)
 
 
@@ -205,19 +250,26 @@ SALTS = 8  # copies of the cell table in a shuffled join
 NO_CELL = -(10 ** 12)  # keys below it are no cells: rows without coordinates are spread over them
 
 
+def _hits(cands: str, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    """(priority, zone) of the candidates that contain the point; none without candidates."""
+    found = F.filter(cands, lambda c: _within(c, px, py, rx, ry))
+    none = F.array().cast("array<struct<p:int,z:double>>")
+    return F.coalesce(F.transform(found, lambda c: F.struct(c["priority"].alias("p"), c["zone"].alias("z"))), none)
+
+
 class ZoneIndex(NamedTuple):
-    """The cell table of a zone table, its cell width and its measured bytes."""
+    """The cell table of a zone table, its smallest cell width and the measured bytes of each level."""
 
     cells: DataFrame
     cell: float
-    bytes: int
+    bytes: dict[int, int]
 
 
 def zone_index(zones: DataFrame, cell: float = 0.0025) -> ZoneIndex:
     """Build and checkpoint the cell table (of the bounded zone dimension)."""
     cells = cut_lineage(zone_cells(zones, cell))
     n_bytes = F.aggregate("cands", F.lit(0), lambda n, c: n + F.size(c["edges"]) * EDGE_BYTES + 80)
-    return ZoneIndex(cells, cell, cells.agg(F.sum(n_bytes)).first()[0] or 0)
+    return ZoneIndex(cells, cell, {r.level: r.n for r in cells.groupBy("level").agg(F.sum(n_bytes).alias("n")).collect()})  # a row per level
 
 
 def assign_zone(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str = K.COL_LON, lat: str = K.COL_LAT,
@@ -226,24 +278,31 @@ def assign_zone(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str = K.CO
 
     ``lon``/``lat`` must be double columns (WGS84). Every input row is kept
     exactly once; ``out`` is null where no polygon contains the point. The cell
-    table is built when the plan is, as its measured size is part of the plan;
-    pass a ``zone_index`` to use one table more than once.
+    table is built when the plan is, as the measured size of its levels is part of
+    the plan; pass a ``zone_index`` to use one table more than once. The levels
+    are broadcast, large cells first, while they stay within ``broadcast_limit``
+    together.
     """
-    cells, cell, size = zones if isinstance(zones, ZoneIndex) else zone_index(zones, cell)
+    cells, cell, sizes = zones if isinstance(zones, ZoneIndex) else zone_index(zones, cell)
     px, py = F.col(lon), F.col(lat)
-    cx, cy = F.floor(px / cell), F.floor(py / cell)
-    if size <= broadcast_limit:
-        keyed = points.withColumn("__cx", cx).withColumn("__cy", cy)
-        cells = F.broadcast(cells.withColumnsRenamed({"cell_x": "__x", "cell_y": "__y"}))
-        match = (F.col("__cx") == F.col("__x")) & (F.col("__cy") == F.col("__y"))
-    else:
-        spread = F.xxhash64(*points.columns)
-        keyed = (points.withColumn("__cx", F.coalesce(cx, F.lit(NO_CELL) - F.pmod(spread, F.lit(4096)))).withColumn("__cy", F.coalesce(cy, F.lit(0)))
-                 .withColumn("__s", F.pmod(spread, F.lit(SALTS)).cast("int")))
-        cells = cells.withColumnsRenamed({"cell_x": "__x", "cell_y": "__y"}).withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        match = (F.col("__cx") == F.col("__x")) & (F.col("__cy") == F.col("__y")) & (F.col("__s") == F.col("__t"))
-    joined = keyed.join(cells, match, "left")
-    rx, ry = _reference(F.col("__x"), F.col("__y"), cell)
-    hits = F.filter("cands", lambda c: _within(c, px, py, rx, ry))
-    best = F.array_min(F.transform(hits, lambda c: F.struct(c["priority"].alias("p"), c["zone"].alias("z"))))
-    return joined.withColumn(out, best["z"]).select(*points.columns, out)
+    spread, total, hits = F.xxhash64(*points.columns), 0, []
+    joined = points.withColumn("__fx", F.floor(px / cell)).withColumn("__fy", F.floor(py / cell))
+    for level in sorted(sizes, reverse=True):
+        # a larger cell's number comes from the smallest one's, so that rounding can't part the levels
+        x, y = F.shiftright("__fx", STEP * level), F.shiftright("__fy", STEP * level)
+        one = cells.where(F.col("level") == level).select(F.col("cell_x").alias("__x"), F.col("cell_y").alias("__y"), F.col("cands").alias(f"__c{level}"))
+        total += sizes[level]
+        if total <= broadcast_limit:
+            keyed = joined.withColumn("__kx", x).withColumn("__ky", y)
+            match = (F.col("__kx") == F.col("__x")) & (F.col("__ky") == F.col("__y"))
+            joined = keyed.join(F.broadcast(one), match, "left").drop("__kx", "__ky", "__x", "__y")
+        else:
+            keyed = (joined.withColumn("__kx", F.coalesce(x, F.lit(NO_CELL) - F.pmod(spread, F.lit(4096)))).withColumn("__ky", F.coalesce(y, F.lit(0)))
+                     .withColumn("__s", F.pmod(spread, F.lit(SALTS)).cast("int")))
+            one = one.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            match = (F.col("__kx") == F.col("__x")) & (F.col("__ky") == F.col("__y")) & (F.col("__s") == F.col("__t"))
+            joined = keyed.join(one, match, "left").drop("__kx", "__ky", "__x", "__y", "__s", "__t")
+        rx, ry = _reference(x, y, cell * (1 << STEP * level))
+        hits.append(_hits(f"__c{level}", px, py, rx, ry))
+    best = F.array_min(F.concat(*hits))["z"] if hits else F.lit(None).cast("double")
+    return joined.withColumn(out, best).select(*points.columns, out)

@@ -1,6 +1,7 @@
 """Zone join, evolution windows, incremental append and KPIs on small frames."""
 
 import datetime
+import math
 
 import pytest
 
@@ -314,3 +315,51 @@ def test_detailed_polygons_keep_few_edges_per_cell(spark):
     assert most < DETAILED_VERTICES / 5
     plan = geo.assign_zone(spark.createDataFrame([(1, -58.44, -34.57)], "id int, lon double, lat double"), zones, "lon", "lat", "z")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def _star(cx, cy, radius, vertices, arms):
+    ring = []
+    for i in range(vertices):
+        a = 2 * math.pi * i / vertices
+        r = radius * (0.7 + 0.3 * math.sin(arms * a))
+        ring.append([cx + r * math.cos(a), cy + r * math.sin(a)])
+    return ring + ring[:1]
+
+
+def _inside(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+    return odd
+
+
+def test_country_sized_polygon_of_ten_thousand_vertices(spark):
+    """Cells are small only along the boundary, and every point gets the zone that a
+    walk around the whole rings gives, broadcast or shuffled."""
+    import random
+    country, hole, lake = _star(-64.0, -38.0, 9.0, 10000, 7), _star(-64.0, -38.0, 2.0, 3000, 5), _star(-62.0, -33.5, 1.0, 400, 3)
+    feats = [{"properties": {"zone": 3.0}, "geometry": {"type": "Polygon", "coordinates": [country, hole]}},
+             {"properties": {"zone": 2.5}, "geometry": {"type": "Polygon", "coordinates": [lake]}}]
+    zones = geo.zones_from_features(spark, feats)
+    index = geo.zone_index(zones)
+    cells = index.cells.select("level", "cell_x", F.explode("cands").alias("c")).groupBy("level").agg(
+        F.count("*").alias("n"), F.max(F.size("c.edges")).alias("edges"), F.count_if(F.size("c.edges") == 0).alias("whole")).collect()
+    assert sum(r.n for r in cells) < 20 * 13400          # by the boundary: the box alone has 50 million of the smallest cells
+    assert max(r.edges for r in cells) <= 40 and any(r.level >= 2 and r.whole for r in cells)
+    rnd = random.Random(3)
+    pts = [(rnd.uniform(-74, -54), rnd.uniform(-48, -28)) for _ in range(150)]
+    for ring in (country, hole, lake):   # close to the boundary, on both sides
+        pts += [(x + rnd.gauss(0, 0.003), y + rnd.gauss(0, 0.003)) for x, y in rnd.sample(ring, 60)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)] + [(-1, None, None), (-2, float("nan"), 1.0)], "id int, lon double, lat double")
+    want = {i: 2.5 if _inside([lake], x, y) else 3.0 if _inside([country, hole], x, y) else None for i, (x, y) in enumerate(pts)} | {-1: None, -2: None}
+    assert {2.5, 3.0, None} == set(want.values())
+    for limit in (10**9, max(index.bytes.values()), 0):
+        assert {r.id: r.z for r in geo.assign_zone(df, index, "lon", "lat", "z", broadcast_limit=limit).collect()} == want
+
+
+def test_points_without_zones(spark):
+    zones = geo.zones_from_features(spark, [{"properties": {"zone": 3.0}, "geometry": {"type": "Polygon", "coordinates": [_ring(0, 0, 1, 1)]}}]).limit(0)
+    df = spark.createDataFrame([(1, 0.5, 0.5)], "id int, lon double, lat double")
+    assert [tuple(r) for r in geo.assign_zone(df, zones, "lon", "lat", "z").collect()] == [(1, 0.5, 0.5, None)]
