@@ -79,14 +79,66 @@ CYRILLIC = {
     "ё": "io", "ђ": "dj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "ch",
     "ў": "u", "џ": "dzh", "ґ": "g",
 }
-_LETTERS = GREEK | CYRILLIC
+# FIXED VALUES: transliterations of Hebrew letters, and of Arabic and Persian ones (vowel
+# points are marks and vanish; signs become spaces later)
+HEBREW = {
+    "א": "a", "ב": "b", "ג": "g", "ד": "d", "ה": "h", "ו": "v", "ז": "z", "ח": "kh", "ט": "t", "י": "y", "ך": "k", "כ": "k",
+    "ל": "l", "ם": "m", "מ": "m", "ן": "n", "נ": "n", "ס": "s", "ע": "`", "ף": "p", "פ": "p", "ץ": "ts", "צ": "ts", "ק": "q",
+    "ר": "r", "ש": "sh", "ת": "t",
+}
+ARABIC = {
+    "ء": "", "ا": "", "ب": "b", "ة": "@", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r",
+    "ز": "z", "س": "s", "ش": "sh", "ص": "s", "ض": "d", "ط": "t", "ظ": "z", "ع": "`", "غ": "g", "ـ": "", "ف": "f", "ق": "q",
+    "ك": "k", "ل": "l", "م": "m", "ن": "n", "ه": "h", "و": "w", "ى": "~", "ي": "y", "پ": "p", "چ": "ch", "ژ": "zh", "ک": "k",
+    "گ": "g", "ی": "y",
+}
+_LETTERS = GREEK | CYRILLIC | HEBREW | ARABIC
+# FIXED VALUES: kana whose usual romanisation isn't the one in their character names
+KANA = {"si": "shi", "ti": "chi", "tu": "tsu"}
+
+
+@functools.lru_cache(maxsize=1)
+def _kana() -> dict[str, str]:
+    """Romanised kana, from the names of the characters (HIRAGANA LETTER SMALL YA: ya)."""
+    out = {"ー": ""}
+    for cp in range(0x3041, 0x30FB):
+        found = re.fullmatch(r"(HIRAGANA|KATAKANA) LETTER (SMALL )?([A-Z]+)", unicodedata.name(chr(cp), ""))
+        if found:
+            sound = found[3].lower()
+            out[chr(cp)] = KANA.get(sound, sound)
+    return out
+
+
+@functools.lru_cache(maxsize=1)
+def _jamo() -> tuple[list[str], list[str], list[str]]:
+    """Romanised initials, vowels and finals of Hangul, from the names of the
+    syllables (HANGUL SYLLABLE GAG), which number them as (initial, vowel, final)."""
+    def sound(initial: int, vowel: int, final: int) -> str:
+        return unicodedata.name(chr(0xAC00 + (initial * 21 + vowel) * 28 + final)).rpartition(" ")[2].lower()
+
+    initials = [sound(i, 0, 0)[:-1] for i in range(19)]
+    vowels = [sound(11, v, 0) for v in range(21)]  # the initial numbered 11 is silent
+    return initials, vowels, [sound(11, 0, f)[1:] for f in range(28)]
+
+
+def _romanise_hangul(col: Column) -> Column:
+    """Hangul syllables by arithmetic on their numbers; other characters stay."""
+    initials, vowels, finals = (F.array(*[F.lit(x) for x in part]) for part in _jamo())
+
+    def one(c):
+        n = F.ascii(c) - F.lit(0xAC00)
+        sound = F.concat(F.get(initials, F.floor(n / 588).cast("int")), F.get(vowels, F.floor(n % 588 / 28).cast("int")), F.get(finals, n % 28))
+        return F.when((n >= 0) & (n < 19 * 588), sound).otherwise(c)
+
+    return F.when(col.rlike("[\\x{AC00}-\\x{D7A3}]"), F.array_join(F.transform(F.split(col, ""), one), "")).otherwise(col)
 
 
 @functools.lru_cache(maxsize=1)
 def closing_fold() -> tuple[str, str, dict[str, str]]:
     """Per-character ASCII transliteration of lower-cased text, all of Unicode.
 
-    Rule: CLOSING_SPECIAL and the letter tables first; whitespace -> space;
+    Rule: CLOSING_SPECIAL and the letter tables first, kana and single Hangul
+    letters by their names, decimal digits of all scripts; whitespace -> space;
     marks and format characters vanish; otherwise the compatibility
     decomposition without marks, each of its characters by the same rule.
     Characters without an image are left for the sign rule.
@@ -94,6 +146,9 @@ def closing_fold() -> tuple[str, str, dict[str, str]]:
     keep: list[tuple[str, str]] = []
     drop: list[str] = []
     multi: dict[str, list[str]] = {}
+    kana = _kana()
+    initials, vowels, finals = _jamo()
+    jamo = {chr(start + i): x for start, part in ((0x1100, initials), (0x1161, vowels), (0x11A8, finals[1:])) for i, x in enumerate(part)}
 
     def image(ch: str) -> str | None:
         if ch.isascii():
@@ -102,8 +157,14 @@ def closing_fold() -> tuple[str, str, dict[str, str]]:
             return CLOSING_SPECIAL[ch]
         if ch in _LETTERS:
             return _LETTERS[ch]
+        if ch in kana:
+            return kana[ch]
+        if ch in jamo:
+            return jamo[ch]
         if ch == "\u2044":  # fraction slash
             return "/"
+        if unicodedata.decimal(ch, None) is not None:
+            return str(unicodedata.decimal(ch))
         if ch.isspace():
             return " "
         if unicodedata.category(ch) in ("Mn", "Me", "Cf"):
@@ -207,7 +268,7 @@ def clean_closing_text(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     s = F.lower(c)
     s = F.regexp_replace(s, f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
-    s = _apply_fold(s, closing_fold())
+    s = _romanise_hangul(_apply_fold(s, closing_fold()))
     # '_' '-' and every other ASCII sign become a space: one translate (no
     # per-match regex cost); a leftover non-ASCII character (rare after the
     # fold) goes through the regex only when present.

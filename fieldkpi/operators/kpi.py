@@ -15,11 +15,13 @@ by month (plans/aggregates.py); the reports take that table or clean rows.
 from __future__ import annotations
 
 import datetime
+import itertools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import cut_lineage
 from ..functions.contact import contact_class, contact_class_dashboard
 from ..functions.dates import (first_number, label_board_week, label_day_month, label_iso, pct_with_count, share_pct,
                                week_monday)
@@ -219,9 +221,17 @@ def summary_order(summary: DataFrame) -> DataFrame:
 
 
 def with_position(summary: DataFrame) -> DataFrame:
-    """The sink order as a column ``pos`` from 1 (the summary holds a row per
-    week and zone, so one task ranks it)."""
-    return summary.withColumn("pos", F.row_number().over(Window.orderBy(F.col("Semana").desc(), _zone_number().asc())))
+    """The sink order as a column ``pos`` from 1, without a task that holds all rows:
+    the sorted rows (ranges of the order) are checkpointed, which fixes their
+    partitions, and a row's position is its place in its partition after the rows of
+    the partitions before. The driver gets one count per partition."""
+    rows = cut_lineage(summary_order(summary))
+    at = F.monotonically_increasing_id()  # partition << 33 | place in it
+    counts = dict(rows.select(F.shiftright(at, 33).alias("part")).groupBy("part").count().collect())
+    before = list(itertools.accumulate((counts.get(i, 0) for i in range(max(counts, default=0))), initial=0))
+    placed = rows.withColumn("__at", at)
+    pos = F.get(F.lit(before), F.shiftright("__at", 33).cast("int")) + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.withColumn("pos", pos.cast("int")).drop("__at")
 
 
 def dashboard_payload(kpis: DataFrame) -> DataFrame:

@@ -150,3 +150,19 @@ def test_person_days_of_null_keys_and_days(spark):
     for report in (evolution.zone_evolution, evolution.population_weekly):
         assert sorted(map(str, report(days).collect())) == sorted(map(str, report(clean).collect()))
     assert evolution.zone_evolution(days.limit(0)).count() == 0
+
+
+def test_positions_over_many_partitions(spark):
+    rows = [(f"2024-{m:02d}-{d:02d}", f"Comuna {z}") for m in range(1, 13) for d in (1, 8, 15, 22) for z in range(1, 16)]
+    df = spark.createDataFrame(rows, "Semana string, Comuna string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = kpi.with_position(df)
+        assert got.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    want = sorted(rows, key=lambda r: (r[0], -int(r[1].split()[1])), reverse=True)
+    assert [tuple(r)[:2] for r in sorted(got.collect(), key=lambda r: r.pos)] == want
+    assert sorted(r.pos for r in got.collect()) == list(range(1, len(rows) + 1))
+    assert kpi.with_position(df.limit(0)).count() == 0

@@ -88,3 +88,13 @@ def test_cleaners_idempotent(spark, fn):
 def test_closing_text_transliterates_other_scripts_and_signs(spark):
     cases = [("Привет ½ ℃ №1", "privet 1 2 degc no1"), ("Ωμέγα", "omega"), ("㎏ ①", "kg 1"), ("\U0001d400\U0001d41b", "ab"), ("汉字 x", "x")]
     assert _run(spark, [c[0] for c in cases], clean_closing_text("v")) == [c[1] for c in cases]
+
+
+def test_closing_text_romanises_by_rule(spark):
+    import unicodedata
+    cases = [("안녕 한국!", "annyeong hangug"), ("각 값 쌀", "gag gabs ssal"), (unicodedata.normalize("NFD", "한글"), "hangeul"), ("가힣", "gahih"),
+             ("かな ガギ しち つ", "kana gagi shichi tsu"), ("ｶﾅ カー ん", "kana ka n"), ("שלום", "shlvm"), ("שָׁלוֹם", "shlvm"), ("محمد", "mhmd"), ("پژ گ", "pzh g"),
+             ("١٢ ३", "12 3"), ("漢字 한 x", "han x"), ("", ""), (None, "")]
+    assert _run(spark, [c[0] for c in cases], clean_closing_text("v")) == [c[1] for c in cases]
+    syllables = [chr(cp) for cp in range(0xAC00, 0xD7A4, 7)]
+    assert _run(spark, syllables, clean_closing_text("v")) == [unicodedata.name(c).rpartition(" ")[2].lower() for c in syllables]
