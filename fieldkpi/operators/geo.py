@@ -46,7 +46,7 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 EDGE_BYTES = 40
 STEP = 4      # a cell of one level has 2^STEP x 2^STEP parts of the next
 TOP = 3       # levels above the smallest cells: 0.0025, 0.04, 0.64 and 10.24 degrees
-DENSE = 8     # edges that a cell may hold without being cut
+DENSE = 16    # edges that a cell may hold without being cut
 SALTS = 8     # copies of a level's cells in a shuffled join
 NO_CELL = -(10 ** 12)  # keys below it are no cells: rows without coordinates are spread over them
 
@@ -189,7 +189,13 @@ def _parts(width: float, cell: float, level: int) -> Column:
         return F.struct(F.lit(level - 1).alias("level"), x.alias("cell_x"), y.alias("cell_y"),
                         _meets(F.col("edges"), x, y, width / side, cell * 1e-6).alias("edges"), inside.alias("inside"))
 
-    return F.filter(F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), part), lambda c: c["inside"] | (F.size(c["edges"]) > 0))
+    def in_box(k):
+        x, y = F.shiftleft("cell_x", STEP) + k % side, F.shiftleft("cell_y", STEP) + F.floor(k / side)
+        lo_x, hi_x, lo_y, hi_y = (F.shiftright(F.floor(F.col(c) / cell), STEP * (level - 1)) for c in ("minx", "maxx", "miny", "maxy"))
+        return (x >= lo_x) & (x <= hi_x) & (y >= lo_y) & (y <= hi_y)
+
+    near = F.filter(F.sequence(F.lit(0), F.lit(side * side - 1)), in_box)
+    return F.filter(F.transform(near, part), lambda c: c["inside"] | (F.size(c["edges"]) > 0))
 
 
 def zone_cells(zones: DataFrame, cell: float, top: int = TOP, dense: int = DENSE) -> DataFrame:
