@@ -82,7 +82,8 @@ def _em(counts: np.ndarray, probs: np.ndarray, share: np.ndarray, rounds: int) -
 
 
 def infer(counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """Documents x languages proportions of each document's best language set."""
+    """Documents x languages proportions of each document's best language set. A
+    larger set is left untried only where no proportions at all could pay for it."""
     rows, n = len(counts), len(probs)
     p = probs.astype(np.float32)
     single = counts @ np.log(p).T  # log-likelihood of each language alone
@@ -91,9 +92,14 @@ def infer(counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
     top = np.argsort(-share, axis=1, kind="stable")
     alone = single.argmax(1)
     best[np.arange(rows), alone] = 1
-    value = single[np.arange(rows), alone].astype(float)
-    mixed = np.flatnonzero(share.max(1) < 0.98)
+    value = (counts * np.log(p[alone])).sum(1, dtype=float)
+    # what no set can exceed: the likelihood is concave, so it lies below its tangent at ``share``
+    total = np.maximum(counts.sum(1, dtype=float), 1)
+    mix = np.maximum(share @ p, 1e-12)
+    slope = ((counts / mix) @ p.T).max(1) / total
+    bound = (counts * np.log(mix)).sum(1, dtype=float) + total * np.log(np.maximum(slope, 1)) + 1e-5 * total
     for k in range(2, n + 1):
+        mixed = np.flatnonzero(bound - PENALTY * (k - 1) > value)
         if not len(mixed):
             break
         start = np.zeros((len(mixed), n), np.float32)
@@ -103,7 +109,6 @@ def infer(counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
         got = (counts[mixed] * np.log(np.maximum(some @ p, 1e-12))).sum(1, dtype=float) - PENALTY * (k - 1)
         better = got > value[mixed]
         best[mixed[better]], value[mixed[better]] = some[better], got[better]
-        mixed = mixed[better]
     return best
 
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from fieldkpi.llm import queries
-from fieldkpi.llm.langid import BUCKETS, infer, learn, predict, trigram_counts
+from fieldkpi.llm.langid import BUCKETS, PENALTY, ROUNDS, _em, infer, learn, predict, trigram_counts
 
 SF = "/root/testdata/sf0.1"
 
@@ -27,6 +27,38 @@ def test_mixture_proportions():
     assert np.allclose(got[2], [0.2, 0.3, 0.5], atol=0.03)
 
 
+def _by_all_sizes(counts, p):
+    """The best set of every size, one document at a time, none left out."""
+    out = []
+    for c in counts:
+        share = _em(c[None], p, np.full((1, len(p)), 1 / len(p)), ROUNDS)[0]
+        order, best = np.argsort(-share, kind="stable"), None
+        for k in range(1, len(p) + 1):
+            start = np.zeros(len(p))
+            if k == 1:
+                start[max(range(len(p)), key=lambda j: (c * np.log(p[j])).sum())] = 1
+            else:
+                start[order[:k]] = np.maximum(share[order[:k]], 1e-3)
+                start = _em(c[None], p, (start / start.sum())[None], ROUNDS)[0]
+            gain = (c * np.log(np.maximum(start @ p, 1e-12))).sum() - PENALTY * (k - 1)
+            if best is None or gain > best[0] + 1e-3:
+                best = gain, start
+        out.append(best[1])
+    return np.array(out)
+
+
+def test_sets_equal_a_trial_of_every_size():
+    """Small shares of long texts included: no share or size ends the search early."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet(np.full(BUCKETS, 0.05), 4) + 1e-6
+    p /= p.sum(1, keepdims=True)
+    shares = [[1, 0, 0, 0], [0.99, 0.01, 0, 0], [0.985, 0.005, 0.01, 0], [0.4, 0.3, 0.2, 0.1], [0.97, 0.01, 0.01, 0.01], [0.5, 0.5, 0, 0]]
+    counts = np.array([rng.multinomial(n, np.array(s) @ p) for s in shares for n in (0, 5, 60, 700, 20000)], np.float32)
+    got, want = infer(counts, p), _by_all_sizes(counts.astype(float), p)
+    assert ((got > 0) == (want > 0)).all() and np.allclose(got, want, atol=0.01)
+    assert (got[9] > 0).sum() == 2 and (got[14] > 0).sum() == 3   # 200 letters of 20,000
+
+
 def test_held_out_accuracy_and_edge_rows(spark):
     got = queries.op9_language_id(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
