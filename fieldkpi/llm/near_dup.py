@@ -47,6 +47,8 @@ WIDTH = 5
 SIMILARITY_PCT = 75
 COORDS = 64
 MISS = 1e-5
+SIG_ROWS = 30_000  # signatures in a file
+TEXT_ROWS = 2_000  # texts in a file, or pairs of texts that a task compares
 PIVOT_MATCH = 16  # coordinates in which a class agrees with a pivot that it votes for
 
 _rng = np.random.default_rng(20240607)
@@ -124,20 +126,23 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     match = least_matches(pct)
     pivot_match = min(PIVOT_MATCH, match // 2)
     s = stored(signatures(docs, id_col, text_col, width), "nd_sig")
+    n_rows = s.count()
     some = s.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = stored(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "nd_class")
+    classes = stored(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "nd_class", n_rows, SIG_ROWS)
+    n_classes = classes.count()
     members = stored(s.select("id", "n_shingles", "h1", "h2").join(classes.select("h1", "h2", "n_shingles", "rep"), ["h1", "h2", "n_shingles"], "left")
-                     .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")), "nd_member")
+                     .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")), "nd_member", n_rows)
 
     tokens = classes.select("rep", F.explode("sig").alias("token"))
     lists = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     prefix = (tokens.join(lists, "token").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"), F.sum(F.floor(F.log2("n") * 16)).alias("central"))
         .where(F.size("t") >= match).select("rep", "central", F.explode(F.slice("t", F.lit(1), F.size("t") - (match - 1))).alias("t")))
-    posts = stored(prefix.select("rep", "central", F.col("t.token").alias("token")).distinct(), "nd_post")
-    sigs = stored(classes.select("rep", "sig").join(posts.select("rep").distinct(), "rep", "left_semi"), "nd_psig")
+    posts = stored(prefix.select("rep", "central", F.col("t.token").alias("token")).distinct(), "nd_post", n_classes * COORDS)
+    n_posts = posts.count()
+    sigs = stored(classes.select("rep", "sig").join(posts.select("rep").distinct(), "rep", "left_semi"), "nd_psig", n_classes, SIG_ROWS)
     texts = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                   .join(posts.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "nd_text")
+                   .join(posts.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "nd_text", n_rows, TEXT_ROWS)
 
     # rows that repeat an id join their classes
     many = members.where("rep IS NOT NULL").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
@@ -158,12 +163,12 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         p = posts.join(components(found).withColumnRenamed("node", "rep"), "rep", "left").select(
             "token", "rep", "central", F.coalesce("component", "rep").alias("c"))
         mixed = p.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("token")
-        return stored(p.join(mixed, "token", "left_semi"), "nd_cross")
+        return stored(p.join(mixed, "token", "left_semi"), "nd_cross", n_posts)
 
     centre = F.max(F.struct("central", "rep")).alias("x")
     first = posts.groupBy("token").agg(centre).select("token", F.col("x.rep").alias("p"))
-    tried = stored(against(posts.join(first, "token").where("rep <> p").select("rep", "p").distinct()).where(F.col("agree") >= pivot_match), "nd_pairs")
-    found = stored(edges.unionAll(linked(tried.where(F.col("agree") >= match))), "nd_edge")
+    tried = stored(against(posts.join(first, "token").where("rep <> p").select("rep", "p").distinct()).where(F.col("agree") >= pivot_match), "nd_pairs", n_posts)
+    found = stored(edges.unionAll(linked(tried.where(F.col("agree") >= match))), "nd_edge", n_rows + tried.count(), TEXT_ROWS)
     cross = crossing(found)
     if pct >= 100 or cross.isEmpty():
         return members, found
@@ -172,8 +177,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     others = cross.join(lead, "token").where("c <> lead")
     second = others.groupBy("token").agg(centre).select("token", F.col("x.rep").alias("p"))
     more = stored(against(others.join(second, "token").where("rep <> p").select("rep", "p").distinct()
-                          .join(tried, ["rep", "p"], "left_anti")).where(F.col("agree") >= pivot_match), "nd_pairs")
-    found = stored(found.unionAll(linked(more.where(F.col("agree") >= match))), "nd_edge")
+                          .join(tried, ["rep", "p"], "left_anti")).where(F.col("agree") >= pivot_match), "nd_pairs", n_posts)
+    found = stored(found.unionAll(linked(more.where(F.col("agree") >= match))), "nd_edge", found.count() + more.count(), TEXT_ROWS)
     cross = crossing(found)
     if cross.isEmpty():
         return members, found
@@ -186,10 +191,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     votes = cross.join(near, "rep").groupBy("token", "p").agg(F.count("*").alias("n"))
     mode = votes.groupBy("token").agg(F.max(F.struct("n", "p")).alias("x")).select("token", F.col("x.p").alias("mode"))
     settled = first.join(mode, "token", "left").select("token", F.coalesce("mode", "p").alias("p"))
-    held = stored(cross.join(settled, "token").select("rep", "c", "p").distinct(), "nd_held")
+    held = stored(cross.join(settled, "token").select("rep", "c", "p").distinct(), "nd_held", n_posts)
     sure, pairs = _same_pivot(held, texts, width, pct)
     rest = stored(pairs.select(F.col("a").alias("rep"), F.col("b").alias("p")), "nd_pairs")
-    return members, stored(found.unionAll(sure).unionAll(linked(rest)), "nd_edge")
+    return members, stored(found.unionAll(sure).unionAll(linked(rest)), "nd_edge", found.count() + held.count() + rest.count(), TEXT_ROWS)
 
 
 def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> tuple[DataFrame, DataFrame]:
@@ -235,7 +240,7 @@ def _same_pivot(held: DataFrame, texts: DataFrame, width: int, pct: int) -> tupl
                                                  pa.array(minus, pa.int32()), pa.array([len(x) for x in sets[0]], pa.int32())],
                                                  names=["rep", "p", "c", "plus", "keep", "far", "short", "open", "minus", "size"])
     kind = held.schema["rep"].dataType.simpleString()
-    d = stored(both.mapInArrow(differ, f"rep {kind}, p {kind}, c {kind}, plus array<long>, keep array<long>, far double, short double, open int, minus int, size int"), "nd_differ")
+    d = stored(both.mapInArrow(differ, f"rep {kind}, p {kind}, c {kind}, plus array<long>, keep array<long>, far double, short double, open int, minus int, size int"), "nd_differ", held.count(), TEXT_ROWS)
     bound = d.groupBy("p").agg(F.max("short").alias("most"), F.min(F.when(F.col("far") > 0, F.col("far"))).alias("least"))
     within = d.join(bound, "p").where(((F.col("far") > 0) & (F.col("far") <= F.col("most"))) | (F.col("short") >= F.col("least")))
     facts = ["p", "rep", "c", "far", "short", "size", "minus", F.size("plus").alias("a")]

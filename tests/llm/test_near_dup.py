@@ -89,3 +89,29 @@ def test_other_similarities_find_their_links(spark):
         want[b[0]] = a[0] if 100 * len(x & y) >= 45 * len(x | y) else b[0]
     got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df, pct=45).collect()}
     assert {k: got[k] for k in want} == want and any(k != v for k, v in want.items())
+
+
+def test_components_of_stars_take_no_round_and_rounds_write_few_files(spark, monkeypatch):
+    from fieldkpi.llm import common
+    from fieldkpi.llm import components as module
+    files = []
+
+    def kept(df, *args, **kw):
+        out = common.stored(df, *args, **kw)
+        files.append(len(out.inputFiles()))
+        return out
+    monkeypatch.setattr(module, "stored", kept)
+    stars = [(c * 100, c * 100 + k) for c in range(20) for k in range(1, 30)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {b: a for a, b in stars} and not files
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = [(c * 100 + k, c * 100 + k + 1) for c in range(20) for k in range(9)]
+        got = {r.node: r.component for r in components(spark.createDataFrame(paths, "a long, b long")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {b: b // 100 * 100 for _, b in paths}
+    assert files and max(files) <= 4 * spark.sparkContext.defaultParallelism
