@@ -1,13 +1,14 @@
 """Outcome classification: exact lookup, ordered substring rules, fuzzy fallback.
 
-Cleaning, exact and substring rules are native expressions on each row (no
-join, no shuffle). Only texts that no rule resolves reach the fuzzy scorer, a
-native expression too, once per *distinct* text: the distinct set is aggregated
-(partial aggregation first, so a hot text costs one row per task), scored and
-written to the checkpoint folder. Its measured size decides how the scores meet the rows
-again: broadcast under a limit, otherwise a join on the text in which rows that
-need no score are spread over keys of their own. Scoring runs when the plan is
-built, as its size is part of the plan.
+Cleaning, exact and substring rules and the fuzzy scorer are native expressions.
+All run once per *distinct* text: the distinct raw texts are aggregated (partial
+aggregation first, so a hot text costs one row per task), cleaned and written to the
+checkpoint folder; of these, the cleaned texts that no rule resolves are scored.
+The measured sizes decide how the categories meet the rows again: the vocabulary of
+raw texts is broadcast under a limit. Beyond it every row is cleaned and ruled in
+place (no join, no shuffle), and only the scores are joined: broadcast under a limit,
+otherwise a join on the text in which rows that need no score are spread over keys of
+their own. Scoring runs when the plan is built, as its size is part of the plan.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from ..session import cut_lineage
 
 # broadcast limit for the classified vocabulary, in estimated bytes
 BROADCAST_BYTES = 64 * 1024 * 1024
+# the same for the vocabulary of raw texts; beyond it cleaning in place costs less than a join
+VOCABULARY_BYTES = 8 * 1024 * 1024
 
 
 def exact_rule(text: Column) -> Column:
@@ -85,13 +88,21 @@ def classify_outcomes(df: DataFrame, raw_text: str = K.COL_CLOSING, text_out: st
                       out: str = K.COL_CATEGORY, fuzzy_fallback: bool = True,
                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach the cleaned text and category of each row's raw closing text."""
+    if not fuzzy_fallback:
+        rows = df.withColumn(text_out, clean_closing_text(raw_text))
+        return rows.withColumn(out, F.coalesce(rule_category(text_out), F.lit(K.NO_MATCH)))
+    vocab = df.select(F.col(raw_text).alias("__raw")).distinct().withColumn("__text", clean_closing_text("__raw"))
+    vocab = cut_lineage(vocab.withColumn("__rule", rule_category("__text")))
+    scored = cut_lineage(score_texts(vocab, "__text", "__rule", K.FUZZY_ACCEPT))
+    side = scored.select(F.col("text").alias("__text"), F.col("category").alias("__scored"))
+    wide = vocab.agg(F.sum(F.coalesce(F.octet_length("__raw"), F.lit(0)) + F.octet_length("__text") + F.lit(96)).alias("b")).first()["b"] or 0
+    if wide <= min(broadcast_bytes, VOCABULARY_BYTES):
+        known = vocab.join(F.broadcast(side), "__text", "left").select("__raw", F.col("__text").alias(text_out), F.coalesce("__rule", "__scored").alias(out))
+        names = [c for c in df.columns if c not in (text_out, out)]
+        return df.select(*names).join(F.broadcast(known), F.col(raw_text).eqNullSafe(F.col("__raw")), "left").select(*names, text_out, out)
     rows = df.withColumn(text_out, clean_closing_text(raw_text))
     rows = rows.withColumn("__rule", rule_category(text_out))
-    if not fuzzy_fallback:
-        return rows.withColumn(out, F.coalesce("__rule", F.lit(K.NO_MATCH))).drop("__rule")
-    scored = cut_lineage(score_texts(rows, text_out, "__rule", K.FUZZY_ACCEPT))
     size = scored.agg(F.sum(F.octet_length("text") + F.octet_length("category") + F.lit(48)).alias("b")).first()["b"] or 0
-    side = scored.select(F.col("text").alias("__text"), F.col("category").alias("__scored"))
     if size <= broadcast_bytes:
         key, side = F.col(text_out), F.broadcast(side)
     else:

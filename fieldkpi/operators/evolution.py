@@ -62,9 +62,12 @@ def label_rows(df: DataFrame, key: str = K.COL_KEY, zone: str = K.COL_ZONE, ts:
     rid = F.coalesce(F.col(row_id), F.raise_error(F.lit(f"null {row_id}")).cast("long"))
     base = df.withColumn(row_id, rid)
     unplaced = F.coalesce(F.col(key).isin(anonymous), F.lit(False)) | F.col(ts).isNull()
-    narrow = (base if keyed is None else keyed.withColumn(row_id, rid)).where(~unplaced).select(F.col(key).alias("__g"), week_monday(ts).alias("__w"),
-                                          order_key(ts, row_id).alias("__o"), F.col(zone).alias("__z"))
-    won = narrow.groupBy("__w", "__g").agg(F.max("__o").alias("__o"), F.max_by("__z", "__o").alias("__z"))
+    narrow = (base if keyed is None else keyed.withColumn(row_id, rid)).select(F.col(key).alias("__g"), week_monday(ts).alias("__w"),
+                                          order_key(ts, row_id).alias("__o"), F.col(zone).alias("__z"), unplaced.alias("__u"))
+    # unplaced rows go as groups (a key and week have them only or none): a filter on the rows
+    # would be pushed below the key's rules and work each of them out several times
+    won = narrow.groupBy("__w", "__g").agg(F.max("__o").alias("__o"), F.max_by("__z", "__o").alias("__z"), F.max("__u").alias("__u"))
+    won = won.where("NOT __u").drop("__u")
     w = Window.partitionBy("__g").orderBy("__w")
     won = won.withColumn("__first", F.lag("__w").over(w).isNull()).withColumn("__prev", F.lag("__z").over(w))
     is_first, prev_zone = F.col("__first"), F.col("__prev")

@@ -166,3 +166,33 @@ def test_positions_over_many_partitions(spark):
     assert [tuple(r)[:2] for r in sorted(got.collect(), key=lambda r: r.pos)] == want
     assert sorted(r.pos for r in got.collect()) == list(range(1, len(rows) + 1))
     assert kpi.with_position(df.limit(0)).count() == 0
+
+
+def test_closing_texts_are_cleaned_once_per_distinct_text(spark):
+    """Rows meet a broadcast vocabulary; the cleaner isn't in their plan. Null, blank and repeated texts have the same category either way."""
+    from fieldkpi import constants as K
+    from fieldkpi.operators import classify
+    texts = [None, "", "  ", "Mendicidad", "MENDICIDAD", "Se realiza entrevista", "Entrevista realizada", "ñandú 1", "xyz", None, "xyz"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], f"row_id long, `{K.COL_CLOSING}` string")
+    got = classify.classify_outcomes(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    rows_plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "translate" not in rows_plan
+    placed = classify.classify_outcomes(df, broadcast_bytes=0)
+    assert got.columns == placed.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, placed.collect())) and got.count() == len(texts)
+
+
+def test_key_rules_are_not_repeated_in_a_filter(spark):
+    from fieldkpi import constants as K
+    from fieldkpi.functions.ids import with_dni
+    from fieldkpi.operators.evolution import label_rows
+    raw = spark.createDataFrame([(1, "2024-01-01", "20.111.222", 1.0), (2, "2024-01-02", "20111222", 2.0), (3, "2024-01-09", "20111222", 1.0),
+                                 (4, "2024-01-01", None, 1.0), (5, "2024-01-01", None, 2.0), (6, None, "20111222", 1.0)],
+                                f"`{K.COL_ROW_ID}` long, d string, `{K.COL_DNI}` string, `{K.COL_ZONE}` double")
+    got = label_rows(with_dni(raw.withColumn(K.COL_START, raw.d.cast("timestamp"))))
+    filters = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if x.lstrip(" :+-").startswith("Filter")]
+    assert not any("RLIKE" in x for x in filters), filters
+    rows = {r[K.COL_ROW_ID]: r[K.COL_EVOLUTION] for r in got.collect()}
+    assert set(rows) == {2, 3, 4, 5, 6} and rows[4] == rows[5] == rows[6] == K.EVO_UNCLASSIFIED
+    assert K.EVO_UNCLASSIFIED not in (rows[2], rows[3]) and rows[2] != rows[3]
